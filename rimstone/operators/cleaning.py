@@ -28,7 +28,6 @@ def clean(
 ) -> DataFrame:
     """Trimmed text columns, typed columns and pass-through columns, in that order; others are dropped."""
     casts = casts or {}
-    require_columns(df, [*trims, *casts, *keep])
     return df.select(
         *[trimmed(F.col(f"`{c}`")).alias(c) for c in trims],
         *[F.col(f"`{c}`").cast(t).alias(c) for c, t in casts.items()],

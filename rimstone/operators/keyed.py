@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from rimstone.errors import BudgetExceeded, EmptyDataset
 from rimstone.operators.cleaning import require_columns
@@ -17,6 +18,12 @@ from rimstone.operators.skew import spread_join
 FAILURE_BUDGET = 10
 ALL_SOURCES = "(all)"
 
+# Lines a per-key function gathers before they are handed to Spark.
+LINES_PER_BATCH = 10_000
+
+# What a per-key function returns for one dataset.
+Records = Iterable[Mapping[str, object]]
+
 
 def distinct_keys(df: DataFrame, key: str) -> DataFrame:
     """Distinct values of one column."""
@@ -58,14 +65,14 @@ def uncovered_by(keys: DataFrame, rows: DataFrame, key: str | Sequence[str]) ->
 def apply_per_key(
     keys: DataFrame,
     key: str,
-    function: Callable[[object], Mapping[str, pd.DataFrame] | pd.DataFrame],
+    function: Callable[[object], Records | Mapping[str, Records]],
     payload: Mapping[str, T.StructType] | T.StructType,
     source: str = "source_name",
 ) -> DataFrame:
     """Run a user function once per row of `keys(source, key)` and keep what it raised instead of stopping.
 
-    The function maps a key to one frame, or to several named frames; `payload` gives their schemas in the
-    same shape. Each key yields one line with `dataset` NULL that carries its `error` (NULL when it went
+    The function maps a key to the records of one dataset, or to several named lists of records; `payload`
+    gives their schemas in the same shape. Each key yields one line with `dataset` NULL that carries its `error` (NULL when it went
     well), and one line per returned row with the row in the struct column named after its dataset. Read it
     twice only from a written table, or the function runs twice.
     """
@@ -83,23 +90,27 @@ def apply_per_key(
     def lines_of(source_name: object, value: object) -> list[dict]:
         try:
             made = function(value)
-            frames = {"rows": made} if isinstance(made, pd.DataFrame) else made
+            named = made if isinstance(made, Mapping) else {"rows": made}
             lines: list[dict] = [{"error": None}]
-            for name, frame in frames.items():
-                fields = shapes[name].names
-                lines += [{"dataset": name, name: r} for r in frame[fields].to_dict("records")]
+            lines += [{"dataset": name, name: dict(r)} for name, records in named.items() for r in records]
         except Exception as exc:  # what the user's function raises is data here
             lines = [{"error": f"{type(exc).__name__}: {exc}"}]
         return [{source: source_name, key: value, **line} for line in lines]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            lines = [
-                line for s, k in zip(batch[source], batch[key], strict=True) for line in lines_of(s, k)
-            ]
-            yield pd.DataFrame(lines, columns=schema.names, dtype=object)
+    arrow_schema = to_arrow_schema(schema)
 
-    return keys.select(source, key).mapInPandas(run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            waiting: list[dict] = []
+            for s, k in zip(batch[source].to_pylist(), batch[key].to_pylist(), strict=True):
+                waiting += lines_of(s, k)
+                if len(waiting) >= LINES_PER_BATCH:
+                    yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
+                    waiting = []
+            if waiting:
+                yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
+
+    return keys.select(source, key).mapInArrow(run, schema)
 
 
 def results_of(applied: DataFrame, dataset: str = "rows") -> DataFrame:

@@ -16,6 +16,7 @@ def local_session(cores: int | str = 8, name: str = "rimstone") -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName(name)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", "12g")
