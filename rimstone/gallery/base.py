@@ -21,6 +21,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def split_up(df: DataFrame, key: str) -> DataFrame:
+    """`df` with at least one partition per core, for a table that lies in fewer file splits than that."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def flat(df: DataFrame) -> DataFrame:
     """Columns in types that compare the same in any engine: no decimals, dates or zoned timestamps."""
     plain = {"decimal": "double", "date": "string", "timestamp": "timestamp_ntz"}

@@ -9,8 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.gallery.base import table
+from rimstone.gallery.base import split_up, table
 from rimstone.plans.injury_reports import DecodedReports
+from rimstone.session import materialize
 
 # One row per order: a game between two teams.
 GAME = {
@@ -119,7 +120,8 @@ def _project(df: DataFrame, columns: dict[str, str]) -> DataFrame:
 
 def bronze_game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Team game logs in bronze form, lineage columns included."""
-    games = _project(table(spark, sf_dir, "orders"), GAME)
+    used = ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]
+    games = _project(split_up(table(spark, sf_dir, "orders").select(*used), "o_orderkey"), GAME)
     sides = _project(games.withColumn("side", F.explode(F.array(F.lit(0), F.lit(1)))), SIDE)
     ingests = F.when(F.col("st") == "P", F.array(F.lit(1))).otherwise(F.array(F.lit(0), F.lit(1)))
     return _project(_project(sides.withColumn("ver", F.explode(ingests)), VERSION), BRONZE)
@@ -182,7 +184,7 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
 
     Documents of one source have no table, and those of another a header that is nowhere on the page.
     """
-    docs = table(spark, sf_dir, "documents")
+    docs = split_up(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     tokens = docs.select(
         F.col("doc_id").alias("file"),
         "source",
@@ -233,3 +235,9 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
         .select(F.col("doc_id").alias("file"), F.posexplode(listed).alias("pos", "name"))
     )
     return DecodedReports(words, lines, cells)
+
+
+def landed_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
+    """The same with the words written to a table, as a decoder would leave them for the jobs after it."""
+    decoded = decoded_reports(spark, sf_dir)
+    return DecodedReports(materialize(decoded.words, "words"), decoded.lines, decoded.cells)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.gallery.base import Registered
-from rimstone.gallery.derived import PAGES_SQL, decoded_reports
+from rimstone.gallery.derived import PAGES_SQL, decoded_reports, landed_reports
 from rimstone.operators import layout as lay
 from rimstone.plans.injury_reports import REPORT_COLUMNS
 
@@ -27,7 +27,7 @@ from words group by 1
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     return lay.header_edges(reports.words, lay.header_lists(reports.cells))
 
 
@@ -58,7 +58,7 @@ ranges as (
 
 
 def word_to_line(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     placed = lay.words_to_lines(lay.data_words(reports.words), reports.lines)
     return placed.groupBy("file", "page", "line").agg(
         F.count(F.lit(1)).alias("n_words"),
@@ -76,7 +76,7 @@ group by 1, 2, 3
 
 
 def word_to_column(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     ranges = lay.column_ranges(lay.header_edges(reports.words, lay.header_lists(reports.cells)))
     placed = lay.words_to_columns(lay.data_words(reports.words), ranges)
     return placed.groupBy("file", "column").agg(
@@ -92,7 +92,7 @@ where w.idx >= 5 group by 1, 2
 
 
 def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     rows = lay.table_rows(reports.words, reports.lines, reports.cells, REPORT_COLUMNS)
     return rows.withColumn("row_order", F.col("row_order").cast("bigint"))
 
@@ -128,7 +128,7 @@ where not is_header and line is not null group by 1, 2, 3
 
 
 def layout_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     return lay.dropped_words(reports.words, reports.lines, reports.cells)
 
 
@@ -142,7 +142,7 @@ from placed where is_header or line is null or name is null group by 1, 2
 
 
 def layout_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = decoded_reports(spark, sf_dir)
+    reports = landed_reports(spark, sf_dir)
     return lay.layout_faults(reports.words, reports.lines, reports.cells)
 
 

@@ -54,4 +54,4 @@ def report_urls(slots: DataFrame) -> DataFrame:
 
 def missing_slots(slots: DataFrame, present: DataFrame, key: str) -> DataFrame:
     """Slots for which no file is present."""
-    return spread_join(slots, present.select(key).distinct(), [key], "left_anti", spread=2)
+    return spread_join(slots, present.select(key).distinct(), [key], "left_anti")

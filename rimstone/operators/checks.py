@@ -122,7 +122,7 @@ def not_latest(table: DataFrame, source: DataFrame, keys: Sequence[str], stamp:
     from rimstone.operators.skew import spread_join
 
     latest = source.groupBy(*[trimmed(k).alias(k) for k in keys]).agg(F.max(stamp).alias("_latest"))
-    joined = spread_join(table, latest, keys, spread=4)
+    joined = spread_join(table, latest, keys)
     return joined.where(F.col("_latest") != F.col(stamp)).drop("_latest").select(*table.columns)
 
 

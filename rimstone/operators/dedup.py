@@ -13,14 +13,12 @@ def latest_per_key(
 ) -> DataFrame:
     """The row of each key that is greatest by `newest`; rows whose key is NULL count as one key.
 
-    Ties fall to `tie`, or to a hash of the other columns, so a rerun picks the same row. Spark trims each
-    input partition to one row per key before the shuffle, so a key with very many rows stays cheap.
+    Ties fall to `tie`, by default all other columns in turn, so a rerun picks the same row; a sort looks at
+    them only when the columns before are equal. Spark trims each input partition to one row per key before
+    the shuffle, so a key with very many rows stays cheap.
     """
-    order = [F.col(c).desc() for c in newest]
     if tie is None:
-        rest = [c for c in df.columns if c not in {*keys, *newest}]
-        order += [F.xxhash64(*rest).desc()] if rest else []
-    else:
-        order += [F.col(c).desc() for c in tie]
+        tie = [c for c, dtype in df.dtypes if c not in {*keys, *newest} and "map<" not in dtype]
+    order = [F.col(c).desc() for c in [*newest, *tie]]
     ranked = df.withColumn("_rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
     return ranked.where("_rank = 1").drop("_rank")

@@ -53,13 +53,13 @@ def require_keys(keys: DataFrame) -> DataFrame:
 
 def covered_by(rows: DataFrame, keys: DataFrame, key: str) -> DataFrame:
     """Rows whose key is in the key list."""
-    return spread_join(rows, distinct_keys(keys, key), [key], "left_semi", spread=4)
+    return spread_join(rows, distinct_keys(keys, key), [key], "left_semi")
 
 
 def uncovered_by(keys: DataFrame, rows: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """Keys for which no row has landed."""
     on = [key] if isinstance(key, str) else list(key)
-    return spread_join(keys, rows.select(*on).distinct(), on, "left_anti", spread=4)
+    return spread_join(keys, rows.select(*on).distinct(), on, "left_anti")
 
 
 def apply_per_key(

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from rimstone.errors import LayoutFault
 from rimstone.functions import snake_name
-from rimstone.operators.skew import spread_join
+from rimstone.operators.skew import TINY_SIDE_SPREAD, spread_join
 
 # Words 0-1 of a page are its title, 2-4 its time, data starts at 5; the last column is 500
 # points wide; a column starts 1 point left of its header's first word.
@@ -77,24 +77,33 @@ def header_edges(words: DataFrame, headers: DataFrame) -> DataFrame:
     first_page = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", "x0")
     last_word = first_page.groupBy("file").agg(F.max("idx").alias("last_idx"))
     usable = headers.where(F.size("headers") <= MAX_COLUMNS).join(last_word, "file")
-    marked = spread_join(first_page, usable, ["file"], by=["idx"])
+    marked = spread_join(first_page, usable, ["file"], by=["idx"], spread=TINY_SIDE_SPREAD)
 
     text = F.col("text")
-    openers = marked.select(
+    matches = marked.select(
         "file",
         "idx",
         "x0",
-        _positions(lambda h: h["name"] == text).alias("whole"),
+        _positions(lambda h: (h["name"] == text) & (F.col("idx") < F.col("last_idx"))).alias("whole"),
         _positions(lambda h: F.startswith(h["name"], text)).alias("begins"),
-        (F.col("idx") == F.col("last_idx")).alias("is_last"),
-    ).where((F.size("begins") > 0) & ~F.col("is_last"))
-    closers = marked.select(
-        "file", (F.col("idx") - 1).alias("idx"), _positions(lambda h: F.endswith(h["name"], text)).alias("ends")
-    ).where(F.size("ends") > 0)
-    nothing = F.array().cast("array<int>")
-    opened = F.array_union("whole", F.array_intersect("begins", F.coalesce("ends", nothing)))
-    found = openers.join(closers, ["file", "idx"], "left").select(
-        "file", "idx", "x0", F.explode(opened).alias("pos")
+        _positions(lambda h: F.endswith(h["name"], text)).alias("ends"),
+    ).where((F.size("begins") > 0) | (F.size("ends") > 0))
+    # A word speaks for its own place and, as the ending of a pair, for the place before it.
+    own = F.struct(F.col("idx").alias("at"), "x0", "whole", "begins", F.lit(None).cast("array<int>").alias("ends"))
+    nothing = F.lit(None).cast("array<int>")
+    before = F.struct(
+        (F.col("idx") - 1).cast(words.schema["idx"].dataType).alias("at"),
+        F.lit(None).cast("double").alias("x0"),
+        nothing.alias("whole"),
+        nothing.alias("begins"),
+        "ends",
+    )
+    places = matches.select("file", F.inline(F.array(own, before))).groupBy("file", "at").agg(
+        F.max("x0").alias("x0"), F.max("whole").alias("whole"), F.max("begins").alias("begins"), F.max("ends").alias("ends")
+    )
+    opened = F.array_union("whole", F.array_intersect("begins", F.coalesce("ends", F.array().cast("array<int>"))))
+    found = places.where(F.col("x0").isNotNull()).select(
+        "file", F.col("at").alias("idx"), "x0", F.explode(opened).alias("pos")
     )
 
     # A header is placed at the latest at its MAX_COLUMNS-th match, since each earlier match that passed it
@@ -139,7 +148,7 @@ def row_boundaries(lines: DataFrame) -> DataFrame:
 def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
     """For every height at which a page has words, the first ruled line at or below it: `(file, page, bottom, line)`.
 
-    Heights below the last line are left out. Pages are cut into bands: inside a band the nearest line is a
+    The line is NULL for heights below the last line. Pages are cut into bands: inside a band the nearest line is a
     running minimum from the bottom up, and a band without a line further down takes the first line of the
     bands below it. Nothing here grows with the number of words at one height.
     """
@@ -164,15 +173,15 @@ def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     below = bands.select("file", "page", "band", F.min("first_line").over(bands_below).alias("next_line"))
-    found = in_band.join(below, ["file", "page", "band"]).select(
+    return in_band.join(below, ["file", "page", "band"]).select(
         "file", "page", "bottom", F.coalesce("line", "next_line").alias("line")
     )
-    return found.where(F.col("line").isNotNull())
 
 
 def words_to_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
     """Each word with the first line at or below it; words below the last line are left out."""
-    return spread_join(words, lines_below(words, lines), ["file", "page", "bottom"], by=["idx"])
+    found = lines_below(words, lines).where(F.col("line").isNotNull())
+    return spread_join(words, found, ["file", "page", "bottom"], by=["idx"])
 
 
 def _containing(ranges: Column) -> Column:
@@ -187,7 +196,7 @@ def range_lists(ranges: DataFrame) -> DataFrame:
 
 def words_to_columns(words: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each word once per column that contains it; words crossing an edge are left out."""
-    placed = spread_join(words, range_lists(ranges), ["file"], by=["page", "idx"])
+    placed = spread_join(words, range_lists(ranges), ["file"], by=["page", "idx"], spread=TINY_SIDE_SPREAD)
     named = placed.withColumn("column", F.explode(F.transform(_containing(F.col("ranges")), lambda r: r["name"])))
     return named.drop("ranges")
 
@@ -209,10 +218,7 @@ def _placements(words: DataFrame, lines: DataFrame, headers: DataFrame, edges: D
         .select("file", "ranges")
     )
     body = data_words(words)
-    heights = body.select("file", "page", "bottom").distinct()
-    targets = spread_join(
-        heights.join(lines_below(body, lines), ["file", "page", "bottom"], "left"), complete, ["file"]
-    )
+    targets = spread_join(lines_below(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
     placed = spread_join(body, targets, ["file", "page", "bottom"], by=["idx"])
     names = F.transform("ranges", lambda r: r["name"])
     return placed.select(
@@ -245,7 +251,7 @@ def table_rows(
     rows = kept.groupBy("file", "page", "line").agg(
         F.min("idx").alias("row_order"), *[cell(name) for name in columns]
     )
-    stamped = spread_join(rows, report_stamps(words), ["file"], "left", spread=4)
+    stamped = spread_join(rows, report_stamps(words), ["file"], "left", spread=TINY_SIDE_SPREAD)
     return stamped.withColumn("reported_at", F.coalesce("reported_at", F.lit("")))
 
 

@@ -71,14 +71,14 @@ def latest_good_of(state: DataFrame, s3_key: str) -> DataFrame:
 def missing(wanted: DataFrame, state: DataFrame, keys: Sequence[str] = ("s3_key",)) -> DataFrame:
     """Wanted datasets that no good run has produced."""
     keys = list(keys)
-    return spread_join(wanted, good_runs(state).select(*keys).distinct(), keys, "left_anti", spread=2)
+    return spread_join(wanted, good_runs(state).select(*keys).distinct(), keys, "left_anti")
 
 
 def route_stale(stale: DataFrame, objects: DataFrame, key: str = "s3_key") -> DataFrame:
     """Stale runs with the status they resolve to: success if their object is stored, else failure."""
     stored = objects.select(key).distinct().withColumn("_stored", F.lit(True))
     outcome = F.when(F.col("_stored"), SUCCESS).otherwise(FAILURE)
-    return spread_join(stale, stored, [key], "left", spread=2).withColumn("outcome", outcome).drop("_stored")
+    return spread_join(stale, stored, [key], "left").withColumn("outcome", outcome).drop("_stored")
 
 
 def outcome_counts(routed: DataFrame) -> DataFrame:

@@ -35,7 +35,7 @@ def rows_per_source(rows: DataFrame, keys: DataFrame, key: str, key_in_list: str
     """Rows of the listed keys, once per source that lists the key, with that `source_name`."""
     sources = keys.groupBy(F.col(key_in_list).alias(key)).agg(F.collect_set("source_name").alias("_sources"))
     landed = rows.drop("source_name")
-    found = spread_join(landed, sources, [key], spread=4)
+    found = spread_join(landed, sources, [key])
     return found.select(*landed.columns, F.explode("_sources").alias("source_name"))
 
 
