@@ -30,6 +30,8 @@ FIRST_PAGE = 1
 
 # A table with more columns than this is reported as a fault instead of being searched.
 MAX_COLUMNS = 64
+# Stands between headers in one text; no word and no header contains it.
+SEPARATOR = "\u001f"
 # Height of the bands a page is cut into while lines are looked up.
 BAND_HEIGHT = 72.0
 
@@ -76,18 +78,19 @@ def header_edges(words: DataFrame, headers: DataFrame) -> DataFrame:
     """
     first_page = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", "x0")
     last_word = first_page.groupBy("file").agg(F.max("idx").alias("last_idx"))
-    usable = headers.where(F.size("headers") <= MAX_COLUMNS).join(last_word, "file")
+    joined_names = header_line(F.transform("headers", lambda h: h["name"]))
+    usable = headers.where(F.size("headers") <= MAX_COLUMNS).join(last_word, "file").withColumn("joined", joined_names)
     marked = spread_join(first_page, usable, ["file"], by=["idx"], spread=TINY_SIDE_SPREAD)
 
-    text = F.col("text")
-    matches = marked.select(
+    text, joined = F.col("text"), F.col("joined")
+    matches = marked.where(begins_header(text, joined) | ends_header(text, joined)).select(
         "file",
         "idx",
         "x0",
         _positions(lambda h: (h["name"] == text) & (F.col("idx") < F.col("last_idx"))).alias("whole"),
         _positions(lambda h: F.startswith(h["name"], text)).alias("begins"),
         _positions(lambda h: F.endswith(h["name"], text)).alias("ends"),
-    ).where((F.size("begins") > 0) | (F.size("ends") > 0))
+    )
     # A word speaks for its own place and, as the ending of a pair, for the place before it.
     own = F.struct(F.col("idx").alias("at"), "x0", "whole", "begins", F.lit(None).cast("array<int>").alias("ends"))
     nothing = F.lit(None).cast("array<int>")
@@ -152,7 +155,7 @@ def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
     running minimum from the bottom up, and a band without a line further down takes the first line of the
     bands below it. Nothing here grows with the number of words at one height.
     """
-    at_words = words.select("file", "page", "bottom").distinct().withColumn("line", F.lit(None).cast("double"))
+    at_words = words.select("file", "page", "bottom", F.lit(None).cast("double").alias("line"))
     at_lines = lines.select("file", "page", "bottom").withColumn("line", F.col("bottom"))
     heights = (
         at_words.withColumn("has_word", F.lit(True))
@@ -167,12 +170,16 @@ def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
     )
     in_band = heights.withColumn("line", F.min("line").over(up_to_here)).where("has_word").drop("has_word")
 
-    bands = heights.groupBy("file", "page", "band").agg(F.min("line").alias("first_line"))
+    # Both uses of `heights` read the same columns, so that Spark computes and shuffles it once.
+    bands = heights.groupBy("file", "page", "band").agg(
+        F.min("line").alias("first_line"), F.max("has_word").alias("has_word")
+    )
     bands_below = (
         Window.partitionBy("file", "page").orderBy(F.col("band").desc())
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    below = bands.select("file", "page", "band", F.min("first_line").over(bands_below).alias("next_line"))
+    below = bands.withColumn("next_line", F.min("first_line").over(bands_below)).where("has_word")
+    below = below.select("file", "page", "band", "next_line")
     return in_band.join(below, ["file", "page", "band"]).select(
         "file", "page", "bottom", F.coalesce("line", "next_line").alias("line")
     )
@@ -201,34 +208,58 @@ def words_to_columns(words: DataFrame, ranges: DataFrame) -> DataFrame:
     return named.drop("ranges")
 
 
-def is_header_word(text: Column, names: Column) -> Column:
-    """Whether the word begins or ends one of the headers."""
-    return F.exists(names, lambda n: F.startswith(n, text) | F.endswith(n, text))
+def header_line(names: Column) -> Column:
+    """All headers in one text, each between separators, in which words can be looked up."""
+    return F.concat(F.lit(SEPARATOR), F.array_join(names, SEPARATOR), F.lit(SEPARATOR))
+
+
+def begins_header(text: Column, joined: Column) -> Column:
+    return F.contains(joined, F.concat(F.lit(SEPARATOR), text))
+
+
+def ends_header(text: Column, joined: Column) -> Column:
+    return F.contains(joined, F.concat(text, F.lit(SEPARATOR)))
 
 
-def _placements(words: DataFrame, lines: DataFrame, headers: DataFrame, edges: DataFrame) -> DataFrame:
+def _placements(
+    words: DataFrame, lines: DataFrame, headers: DataFrame, edges: DataFrame, columns: Sequence[str] = ()
+) -> DataFrame:
     """Every data word of the files whose headers are all placed, with its line and its columns.
 
-    `line` is NULL below the last line; `columns` is empty for a word that no column contains.
+    `line` is NULL below the last line. `slots` has, for each column that contains the word, its place in
+    `columns` counted from 1, or 0 if it is not listed there; it is empty for a word outside all columns.
     """
-    ranges = range_lists(column_ranges(edges))
+    known = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
+    listed = range_lists(column_ranges(edges)).select(
+        "file",
+        F.size("ranges").alias("n_ranges"),
+        header_line(F.transform("ranges", lambda r: r["name"])).alias("joined"),
+        F.transform(
+            "ranges",
+            lambda r: F.struct(
+                r["left_edge"].alias("left_edge"),
+                r["right_edge"].alias("right_edge"),
+                F.array_position(known, r["name"]).cast("int").alias("slot"),
+            ),
+        ).alias("ranges"),
+    )
     complete = (
-        headers.join(ranges, "file")
-        .where((F.size("headers") > 0) & (F.size("headers") == F.size("ranges")))
-        .select("file", "ranges")
+        headers.join(listed, "file")
+        .where((F.size("headers") > 0) & (F.size("headers") == F.col("n_ranges")))
+        .select("file", "ranges", "joined")
     )
     body = data_words(words)
     targets = spread_join(lines_below(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
-    placed = spread_join(body, targets, ["file", "page", "bottom"], by=["idx"])
-    names = F.transform("ranges", lambda r: r["name"])
-    return placed.select(
+    # Targets are keyed by file before this join, so both sides are exchanged right below it and adaptive
+    # execution splits a height with very many words.
+    return body.join(targets, ["file", "page", "bottom"]).select(
         "file",
         "page",
         "idx",
         "text",
         "line",
-        is_header_word(F.col("text"), names).alias("is_header"),
-        F.transform(_containing(F.col("ranges")), lambda r: r["name"]).alias("columns"),
+        (begins_header(F.col("text"), F.col("joined")) | ends_header(F.col("text"), F.col("joined"))).alias("is_header"),
+        F.transform(_containing(F.col("ranges")), lambda r: r["slot"]).alias("slots"),
     )
 
 
@@ -241,15 +272,21 @@ def table_rows(
     words all lie outside the columns is kept with NULL cells.
     """
     headers = header_lists(cells)
-    placed = _placements(words, lines, headers, header_edges(words, headers))
+    placed = _placements(words, lines, headers, header_edges(words, headers), columns)
     kept = placed.where(F.col("line").isNotNull() & ~F.col("is_header"))
+    entries = kept.select("file", "page", "line", "idx", "text", F.explode_outer("slots").alias("slot"))
+    in_cell = F.when(F.col("slot") > 0, F.struct("idx", "text", "slot"))
+    grouped = entries.groupBy("file", "page", "line").agg(
+        F.min("idx").alias("row_order"), F.array_sort(F.collect_list(in_cell)).alias("entries")
+    )
 
-    def cell(name: str) -> Column:
-        mine = F.when(F.array_contains("columns", name), F.struct("idx", "text"))
-        return F.nullif(F.trim(_joined(F.collect_list(mine))), F.lit("")).alias(snake_name(name))
+    def cell(place: int, name: str) -> Column:
+        mine = F.filter("entries", lambda e: e["slot"] == place)
+        text = F.array_join(F.transform(mine, lambda e: e["text"]), " ")
+        return F.nullif(F.trim(text), F.lit("")).alias(snake_name(name))
 
-    rows = kept.groupBy("file", "page", "line").agg(
-        F.min("idx").alias("row_order"), *[cell(name) for name in columns]
+    rows = grouped.select(
+        "file", "page", "line", "row_order", *[cell(i, name) for i, name in enumerate(columns, start=1)]
     )
     stamped = spread_join(rows, report_stamps(words), ["file"], "left", spread=TINY_SIDE_SPREAD)
     return stamped.withColumn("reported_at", F.coalesce("reported_at", F.lit("")))
@@ -262,7 +299,7 @@ def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataF
     reason = (
         F.when(F.col("is_header"), "header")
         .when(F.col("line").isNull(), "below_last_line")
-        .when(F.size("columns") == 0, "outside_columns")
+        .when(F.size("slots") == 0, "outside_columns")
     )
     in_body = placed.select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
     in_title = words.where(F.col("idx") < DATA_FROM).select("file", F.lit("title").alias("reason"))
