@@ -228,8 +228,8 @@ QUERIES: Registered = {
     ),
     "check_ratio": (check_ratio, _check_ratio_sql()),
     "check_prefix": (
-        _rows("part", ["p_partkey", "p_brand", "p_type"], holds("prefix", "= left(p_type, 8)", column="p_type")),
-        "select p_partkey, p_brand, p_type from part where length(p_type) > 8",
+        _rows("part", ["p_partkey", "p_brand", "p_type"], holds("prefix", "= left(p_type, 6)", column="p_type")),
+        "select p_partkey, p_brand, p_type from part where length(p_type) > 6",
     ),
     "check_sum": (
         _rows(
