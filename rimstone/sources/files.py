@@ -14,7 +14,7 @@ from rimstone.functions import file_stem
 log = logging.getLogger(__name__)
 
 # A dataset is a file or a folder named <source name>.parquet; a season folder looks like 2025-26.
-DATASET_PATH = r"^(.*\.parquet)(?:/[^/]*)?$"
+DATASET_PATH = r"^(.*?\.parquet)(?:/.*)?$"
 SEASON_PART = r"/([0-9]{4}-[0-9]{2})/"
 
 
