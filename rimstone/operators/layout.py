@@ -42,11 +42,15 @@ NO_ROWS = "no_rows"
 
 
 def header_lists(cells: DataFrame) -> DataFrame:
-    """Column headers per file in table order; empty cells and names with a slash are left out."""
-    named = cells.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("cells"))
-    names = F.filter("cells", lambda c: c["name"].isNotNull() & ~F.contains(c["name"], F.lit("/")))
-    numbered = F.transform(names, lambda c, i: F.struct(i.alias("pos"), c["name"].alias("name")))
-    return named.select("file", numbered.alias("headers"))
+    """Column headers per file in table order; empty cells and names with a slash are left out.
+
+    One header past `MAX_COLUMNS` is kept, by which a table with too many columns is told.
+    """
+    named = cells.where(F.col("name").isNotNull() & ~F.contains("name", F.lit("/")))
+    place = F.row_number().over(Window.partitionBy("file").orderBy("pos"))
+    numbered = named.select("file", "name", place.alias("place")).where(F.col("place") <= MAX_COLUMNS + 1)
+    entry = F.struct((F.col("place") - 1).alias("pos"), "name")
+    return numbered.groupBy("file").agg(F.array_sort(F.collect_list(entry)).alias("headers"))
 
 
 def data_words(words: DataFrame) -> DataFrame:

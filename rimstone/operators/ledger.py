@@ -6,7 +6,7 @@ and at equal time an outcome beats `Pending`. One writer at a time is assumed.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
@@ -170,11 +170,19 @@ class Ledger:
         """Whether no good run has produced the key; for many keys use `missing`."""
         return latest_good_of(self.state(), s3_key).isEmpty()
 
-    def reconcile(self, objects: DataFrame, as_of: datetime | None = None) -> dict[str, int]:
-        """Resolve stale runs by what is stored; returns the number of runs per outcome."""
+    def reconcile(
+        self, stored: Callable[[DataFrame], DataFrame], as_of: datetime | None = None
+    ) -> dict[str, int]:
+        """Resolve stale runs by what is stored; returns the number of runs per outcome.
+
+        `stored` is given the stale runs and returns the stored keys among theirs; with no stale run it is
+        not called.
+        """
         at = as_of or utc_now()
-        routed = route_stale(stale_runs(self.state(), F.lit(at).cast("timestamp")), objects)
-        counts = {r["outcome"]: r["n_runs"] for r in outcome_counts(routed).collect()}
-        if counts:
+        stale = stale_runs(self.state(), F.lit(at).cast("timestamp"))
+        counts = {}
+        if not stale.isEmpty():
+            routed = route_stale(stale, stored(stale))
+            counts = {r["outcome"]: r["n_runs"] for r in outcome_counts(routed).collect()}
             self.set_status(routed, at)
         return {SUCCESS: counts.get(SUCCESS, 0), FAILURE: counts.get(FAILURE, 0)}

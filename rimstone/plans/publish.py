@@ -11,7 +11,7 @@ from rimstone.functions import seasons_between
 from rimstone.operators.ledger import FAILURE, SUCCESS, Ledger, OpenRun
 from rimstone.sinks.naming import Target
 from rimstone.sinks.parquet import publish_parquet
-from rimstone.sources.files import list_files, object_keys
+from rimstone.sources.files import list_files, stored_among
 
 Build = Callable[[SparkSession], DataFrame]
 BuildMany = Callable[[SparkSession], Mapping[str, DataFrame]]
@@ -73,7 +73,7 @@ def publish_raw(ledger: Ledger, folder: str, s3_key: str, land: Callable[[], Non
 
 def reconcile(ledger: Ledger, root: str) -> dict[str, int]:
     """Resolve stale runs by what is stored below the lake's root."""
-    return ledger.reconcile(object_keys(ledger.spark, root))
+    return ledger.reconcile(lambda stale: stored_among(stale, root))
 
 
 def ingest(ledger: Ledger, root: str, target: Target, build: Build, *, skip_done: bool = True) -> int | None:

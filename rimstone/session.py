@@ -41,12 +41,21 @@ def shared_folder(spark: SparkSession) -> str:
     return _LOCAL_FOLDERS[app]
 
 
+def filesystem(spark: SparkSession, path: str):
+    """Hadoop file system of a path, and the path as it takes it."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
 def materialize(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` once to the shared folder and continue from the written table.
 
-    Cuts the lineage, survives the loss of executors, and later readers prune its columns.
+    Cuts the lineage, survives the loss of executors, and later readers prune its columns. The table is
+    removed when the driver ends.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    store, written = filesystem(spark, path)
+    store.deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rimstone.errors import ContractBroken, EmptyDataset
+from rimstone.session import filesystem
 from rimstone.sinks.naming import qualified
 
 
@@ -17,11 +19,6 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
-def _filesystem(spark: SparkSession, path: str):
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
-
-
 def publish_parquet(df: DataFrame, path: str) -> int:
     """Write a dataset beside its place, refuse it if it is empty, then move it there; returns the row count.
 
@@ -33,7 +30,7 @@ def publish_parquet(df: DataFrame, path: str) -> int:
     staged = f"{parent}/_staged-{uuid.uuid4().hex}-{name}"
     seen = Observation()
     observed = df.observe(seen, F.count(F.lit(1)).alias("rows_in"))
-    fs, staged_path = _filesystem(spark, staged)
+    fs, staged_path = filesystem(spark, staged)
     try:
         observed.write.option("compression", "zstd").parquet(staged)
         rows_in = seen.get["rows_in"]
@@ -73,12 +70,17 @@ def save_table(
     schema: str = "silver",
     catalog: str | None = None,
     description: str = "",
+    partition_by: Sequence[str] = (),
 ) -> str:
-    """Rebuild a catalog table from a frame that meets its contract, comments included; returns its name."""
+    """Rebuild a catalog table from a frame that meets its contract, comments included; returns its name.
+
+    A table that is mostly read by season can be laid out so, which lets Spark skip the other seasons.
+    """
     spark = df.sparkSession
     name = qualified(table, schema, catalog)
     spark.sql(f"create database if not exists {name.rpartition('.')[0]}")
-    with_comments(require_schema(df, declared), declared).write.mode("overwrite").saveAsTable(name)
+    writer = with_comments(require_schema(df, declared), declared).write.mode("overwrite")
+    (writer.partitionBy(*partition_by) if partition_by else writer).saveAsTable(name)
     if description:
         text = description.replace("'", "\\'")
         spark.sql(f"comment on table {name} is '{text}'")

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.functions import file_stem
+from rimstone.session import filesystem
 
 log = logging.getLogger(__name__)
 
@@ -98,23 +99,35 @@ def read_raw_files(spark: SparkSession, folder: str, glob: str = "*.pdf") -> Dat
     )
 
 
-def object_keys(spark: SparkSession, root: str) -> DataFrame:
-    """Keys stored below a root, one per dataset or raw file: `(s3_key)`."""
-    files = list_files(spark, root)
+def object_keys(spark: SparkSession, root: str, folders: Sequence[str] = ()) -> DataFrame:
+    """Keys stored below a root, one per dataset or raw file: `(s3_key)`; with `folders`, only below those."""
+    base = root.rstrip("/")
+    listed = [f"{base}/{folder}" for folder in folders] or [base]
+    files = union_by_name([list_files(spark, path) for path in listed])
     dataset = F.coalesce(F.nullif(dataset_path(F.col("path")), F.lit("")), F.col("path"))
     inside = F.regexp_replace(dataset, "^[a-z0-9]+:/*", "/")
-    base = "/" + root.split("://")[-1].removeprefix("file:").strip("/") + "/"
-    return files.select(F.substring_index(inside, base, -1).alias("s3_key")).distinct()
+    above = "/" + root.split("://")[-1].removeprefix("file:").strip("/") + "/"
+    return files.select(F.substring_index(inside, above, -1).alias("s3_key")).distinct()
+
+
+def stored_among(keys: DataFrame, root: str) -> DataFrame:
+    """Keys stored in the top folders that `keys(s3_key)` name; the rest of the store is not listed.
+
+    Top folders are seasons and dataset kinds, so there are few.
+    """
+    spark = keys.sparkSession
+    tops = keys.select(F.substring_index("s3_key", "/", 1).alias("top")).distinct().collect()
+    there = []
+    for top in sorted(r["top"] for r in tops):
+        store, path = filesystem(spark, f"{root.rstrip('/')}/{top}")
+        if store.exists(path):
+            there.append(top)
+    return object_keys(spark, root, there) if there else keys.where("false").select("s3_key")
 
 
 def object_exists(spark: SparkSession, root: str, key: str) -> bool:
     """Whether a key is stored; a key that is only a folder of other keys is not."""
-    try:
-        keys = object_keys(spark, root)
-    except AnalysisException as exc:
-        if exc.getCondition() == "PATH_NOT_FOUND":
-            return False
-        raise
+    keys = stored_among(spark.createDataFrame([(key,)], "s3_key string"), root)
     return not keys.where(F.col("s3_key") == key).isEmpty()
 
 

@@ -22,7 +22,7 @@ def plain(value):
     if isinstance(value, bool) or value is None:
         return value
     if isinstance(value, float):
-        return "nan" if math.isnan(value) else (int(value) if value == int(value) else round(value, 9))
+        return "nan" if math.isnan(value) else repr(value)
     if isinstance(value, datetime):
         return value.isoformat()
     return value

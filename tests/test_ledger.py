@@ -59,14 +59,14 @@ def test_reconcile_routes_stale_runs(spark, ledger, stored, expected):
     ledger.open_runs(["a", "b"], LONG_AGO)
     ledger.open_runs(["fresh"], NOW - timedelta(minutes=10))
     objects = keys_of(spark, *stored, "other", "other")
-    counts = ledger.reconcile(objects, NOW)
+    counts = ledger.reconcile(lambda stale: objects, NOW)
     assert counts == {s: list(expected.values()).count(s) for s in (SUCCESS, FAILURE)}
     assert statuses(ledger) == {**expected, "fresh": PENDING}
 
 
 def test_reconcile_of_nothing_writes_nothing(spark, ledger):
     before = ledger.events().inputFiles()
-    assert ledger.reconcile(keys_of(spark, "a"), NOW) == {SUCCESS: 0, FAILURE: 0}
+    assert ledger.reconcile(None, NOW) == {SUCCESS: 0, FAILURE: 0}
     ledger.set_status(spark.createDataFrame([], "run_id string, outcome string"))
     assert ledger.events().inputFiles() == before
 
@@ -83,7 +83,7 @@ def test_only_successful_ended_runs_with_rows_are_done(spark, ledger):
 
 def test_promoted_run_does_not_count_as_done(spark, ledger):
     ledger.open_runs(["a"], LONG_AGO)
-    ledger.reconcile(keys_of(spark, "a"), NOW)
+    ledger.reconcile(lambda stale: keys_of(spark, "a"), NOW)
     assert statuses(ledger) == {"a": SUCCESS}
     assert ledger.should_ingest("a")
 
