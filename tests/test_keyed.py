@@ -126,3 +126,31 @@ def test_all_failed_is_an_error(spark):
     report = kd.budget_report(kd.outcomes_of(applied), "game")
     with pytest.raises(EmptyDataset):
         kd.enforce_budget(report)
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """With a third of the rows on one key the join below a spread join is split at run time."""
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "4KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+    }
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        many = spark.range(0, 60_000, 1, 6).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id") % 50).alias("k"), F.sha2(F.col("id").cast("string"), 256).alias("v")
+        )
+        one = many.groupBy("k").agg(F.count(F.lit(1)).alias("n"))
+        joined = spread_join(many, one, ["k"])
+        assert joined.count() == 60_000
+        joined.write.format("noop").mode("overwrite").save()
+        collected = joined.groupBy("k").agg(F.max("n"))
+        assert len(collected.collect()) == 50
+        plan = collected._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for name in settings:
+            spark.conf.unset(name)
+    assert "skew=true" in plan
