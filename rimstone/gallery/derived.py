@@ -189,7 +189,7 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
         F.col("doc_id").alias("file"),
         "source",
         "lang",
-        F.filter(F.split("text", "[ \n]"), lambda w: w != "").alias("tokens"),
+        F.array_remove(F.split("text", "[ \n]"), "").alias("tokens"),
     )
     n_pages = F.greatest(F.ceil(F.size("tokens") / PAGE_WORDS), F.lit(1))
     pages = F.transform(
@@ -201,29 +201,27 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
     )
     sheets = tokens.select("file", "source", "lang", F.inline(pages))
 
-    def word(text, x0, x1, bottom):
-        parts = {"text": text, "x0": x0, "x1": x1, "bottom": bottom}
-        as_type = {"text": "string", "x0": "double", "x1": "double", "bottom": "double"}
-        return F.struct(*[F.lit(v).cast(as_type[n]).alias(n) for n, v in parts.items()])
+    title = F.array(F.lit("Injury"), F.lit("Report:"), "source", "lang", F.col("file").cast("string"))
+    band = F.when(F.col("page") == 1, F.array(*[F.lit(t) for t, _, _ in BAND])).otherwise(F.array())
+    placed = sheets.select("file", "page", F.posexplode(F.concat(title, band, "body")).alias("idx", "text"))
 
     shift = F.col("file") % 7
-    title = [F.lit("Injury"), F.lit("Report:"), F.col("source"), F.col("lang"), F.col("file").cast("string")]
-    title_words = F.array(*[word(t, 0, 1, 20) for t in title])
-    band_words = F.array(
-        *[word(F.lit(t), 21 + 100 * c + 50 * s + shift, 61 + 100 * c + 50 * s + shift, 50) for t, c, s in BAND]
-    )
-
-    def body_word(text, k):
-        x0 = 20 + 100 * (k % 7) + shift + (k * 13) % 60
-        return word(text, x0, x0 + 5 * F.length(text), 60 + 12 * F.floor(k / 7))
-
-    on_page = F.concat(
-        title_words,
-        F.when(F.col("page") == 1, band_words).otherwise(F.slice(band_words, 1, 0)),
-        F.transform("body", body_word),
-    )
-    words = sheets.select("file", "page", F.posexplode(on_page).alias("idx", "word")).select(
-        "file", "page", "idx", "word.*"
+    n_before = F.when(F.col("page") == 1, 5 + len(BAND)).otherwise(5)
+    is_title, is_band = F.col("idx") < 5, F.col("idx") < n_before
+    k = F.col("idx") - n_before
+    band_x0 = F.element_at(F.array(*[F.lit(21 + 100 * c + 50 * s) for _, c, s in BAND]), F.col("idx") - 4) + shift
+    body_x0 = 20 + 100 * (k % 7) + shift + (k * 13) % 60
+    x0 = F.when(is_title, 0).when(is_band, band_x0).otherwise(body_x0)
+    x1 = F.when(is_title, 1).when(is_band, band_x0 + 40).otherwise(body_x0 + 5 * F.length("text"))
+    bottom = F.when(is_title, 20).when(is_band, 50).otherwise(60 + 12 * F.floor(k / 7))
+    words = placed.select(
+        "file",
+        "page",
+        "idx",
+        "text",
+        x0.cast("double").alias("x0"),
+        x1.cast("double").alias("x1"),
+        bottom.cast("double").alias("bottom"),
     )
     rules = F.array(*[F.lit(60.0 + 36 * j) for j in range(12) for _ in range(2)])
     page_list = tokens.select("file", F.explode(F.sequence(F.lit(1).cast("bigint"), n_pages)).alias("page"))

@@ -16,7 +16,8 @@ def words_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = lay.data_words(words).groupBy("file").agg(
         F.count(F.lit(1)).alias("n_words"), F.sum(F.length("text")).alias("n_chars")
     )
-    return lay.report_stamps(words).join(counted, "file", "left").na.fill(0, ["n_words", "n_chars"])
+    stamps = lay.report_stamps(words)
+    return stamps.join(counted, "file", "left").na.fill(0, ["n_words", "n_chars"])
 
 
 WORDS_INDEX = f"""with {PAGES_SQL}
