@@ -16,8 +16,9 @@ TINY_SIDE_SPREAD = 8
 def slot(columns: Sequence[str], spread: int) -> Column:
     """Slot number of a row, the same whenever its task is run again.
 
-    Hashing the task's partition id with the row spreads identical copies too, and unlike `rand` a lost
-    task that is run again sends every row to the slot it had before.
+    The task's partition id is hashed with the columns, so rows of one key, and even copies of one row, that
+    come from different partitions get different slots. Unlike `rand`, a lost task that is run again sends
+    every row to the slot it had before.
     """
     return F.pmod(F.xxhash64(*columns, F.spark_partition_id()), F.lit(spread)).cast("int")
 
@@ -36,11 +37,12 @@ def spread_join(
     Each key's rows in `many` are spread over `spread` tasks and `one` is copied to each of them. Because the
     join key then differs from the key `one` was grouped by, both sides get their own exchange directly below
     the join, so adaptive execution can split what is still skewed, and can broadcast `one` if it turns out
-    to be small at run time. `how` may be any join that keeps or drops rows of `many` only.
+    to be small at run time. `by` names columns that differ between the rows of a key, where there are any, to
+    spread rows within a partition too. `how` may be any join that keeps or drops rows of `many` only.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"spread_join cannot run a {how} join")
     keys = list(keys)
-    spread_rows = many.withColumn("_slot", slot(list(by or many.columns), spread))
+    spread_rows = many.withColumn("_slot", slot(list(by or keys), spread))
     copies = one.withColumn("_slot", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
     return spread_rows.join(copies, [*keys, "_slot"], how).drop("_slot")

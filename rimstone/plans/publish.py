@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rimstone.errors import EmptyDataset
 from rimstone.functions import seasons_between
 from rimstone.operators.ledger import FAILURE, SUCCESS, Ledger, OpenRun
 from rimstone.sinks.naming import Target
@@ -122,10 +121,3 @@ def for_each_season(step: Callable[[str], object], start_year: int, end_year: in
 def for_each_year(step: Callable[..., object], years: Mapping[int, Mapping[str, object]]) -> list[object]:
     """Run one publish per year with its own options; the first error stops the rest."""
     return [step(year, **options) for year, options in years.items()]
-
-
-def require_landed(frames: Iterable[DataFrame]) -> None:
-    """Raise if any frame is empty."""
-    for frame in frames:
-        if frame.isEmpty():
-            raise EmptyDataset("a landed dataset has no rows")

@@ -8,7 +8,9 @@ from typing import Protocol, runtime_checkable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from rimstone.errors import EmptyDataset
 from rimstone.operators.cleaning import require_columns
+from rimstone.operators.keyed import covered_by, keys_by_source, require_keys
 from rimstone.sinks.naming import dataset_path, kebab_name
 from rimstone.sources.files import scan_prefix, with_source_name
 
@@ -167,8 +169,6 @@ class Landed:
 
     def get_box_score_game_logs(self, keys: DataFrame, variant: str, season: str = "*") -> dict[str, DataFrame]:
         """Box-score datasets of the games in the key list, which may span seasons."""
-        from rimstone.operators.keyed import covered_by
-
         frames = [
             covered_by(d.read(self.spark), keys, "gameId") for d in self.box_score_datasets(season, variant).values()
         ]
@@ -178,21 +178,14 @@ class Landed:
         return self.player_list_dataset(season).read(self.spark)
 
     def get_player_info(self, keys: DataFrame) -> DataFrame:
-        from rimstone.operators.keyed import covered_by
-
         return covered_by(self.player_detail_dataset().read(self.spark), keys, "PERSON_ID")
 
     def get_team_roster_info(self, keys: DataFrame, season: str | None = None) -> dict[str, DataFrame]:
-        from rimstone.operators.keyed import covered_by
-
         frames = [covered_by(d.read(self.spark), keys, "TEAM_ID") for d in self.roster_datasets().values()]
         return name_frames(ROSTER_DATASETS, frames)
 
     def game_ids_by_source(self, season: str, prefix: str = GAME_LOGS, key: str = "GAME_ID") -> DataFrame:
         """Distinct game ids of every landed source of a season: `(source_name, id)`; an error if there is none."""
-        from rimstone.errors import EmptyDataset
-        from rimstone.operators.keyed import keys_by_source, require_keys
-
         rows = scan_prefix(self.spark, f"{self.root}/{season}", prefix)
         if rows is None:
             raise EmptyDataset("There are no game IDs for the source")
