@@ -29,7 +29,7 @@ from rimstone.session import materialize
 def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All 77 checks on the silver game logs, written once and then read with only the columns each needs."""
     bronze = bronze_game_logs(spark, sf_dir)
-    built = materialize(game_logs.silver(bronze, F.lit(PROCESSED_AT)), "silver")
+    built = materialize(game_logs.silver(bronze, F.lit(PROCESSED_AT).cast("timestamp")), "silver")
     return game_logs.check_table(built, bronze).drop("column")
 
 
@@ -144,7 +144,7 @@ from lineitem group by 1 having count(*) <> 4 or sum(cast(l_quantity as decimal(
 
 
 def two_row_games(spark: SparkSession, sf_dir: str) -> DataFrame:
-    silver = game_logs.silver(bronze_game_logs(spark, sf_dir), F.lit(PROCESSED_AT))
+    silver = game_logs.silver(bronze_game_logs(spark, sf_dir), F.lit(PROCESSED_AT).cast("timestamp"))
     return game_logs.games_without_two_zero_sum_rows(silver)
 
 

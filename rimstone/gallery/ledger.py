@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.gallery.base import Registered, table
-from rimstone.operators.calendar import missing_slots, report_urls, slot_calendar
+from rimstone.operators.calendar import missing_slots, report_urls, slot_calendar, slot_text
 from rimstone.operators.ledger import latest_good, missing, outcome_counts, route_stale, run_state, stale_runs
 
 AS_OF = "2024-01-20 00:00:00"
@@ -22,7 +22,7 @@ def _runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All events with the key and run they belong to."""
     return table(spark, sf_dir, "events").select(
         F.concat(F.lit("users/"), "user_id").alias("s3_key"),
-        F.concat_ws("/", F.lit("users"), "user_id", F.date_format("ts", "yyyy-MM-dd")).alias("run_id"),
+        F.concat_ws("/", F.lit("users"), "user_id", F.to_date("ts").cast("string")).alias("run_id"),
         F.col("ts").alias("event_time"),
         "event_type",
         "value",
@@ -138,10 +138,9 @@ def slot_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
     years = events.select(F.year("ts").alias("year")).distinct()
     calendar = slot_calendar(years, datetime(2024, 1, 31), quarter_from=2024)
-    quarter = F.date_trunc("hour", "ts").cast("timestamp_ntz") + F.make_dt_interval(
-        mins=(F.floor(F.minute("ts") / 15) * 15).cast("int")
-    )
-    present = events.where("event_type = 'error'").select(F.date_format(quarter, "yyyy-MM-dd_hh_mma").alias("slot"))
+    into_quarter = F.make_dt_interval(mins=F.minute("ts") % 15, secs=F.expr("extract(second from ts)"))
+    text = slot_text(F.col("ts") - into_quarter, F.lit(True))
+    present = events.where("event_type = 'error'").select(text.alias("slot"))
     return missing_slots(calendar, present, "slot").select("slot", "slot_time")
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,7 +14,7 @@ from rimstone.operators.dedup import latest_per_key
 from rimstone.plans import game_logs
 from rimstone.sources.files import scan_prefix, union_by_name, with_source_name
 
-PROCESSED_AT = datetime(2024, 1, 1)
+PROCESSED_AT = "2024-01-01 00:00:00"
 
 
 def silver_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,7 +57,7 @@ qualify row_number() over (
 
 
 def silver_game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    processed = F.lit(PROCESSED_AT).cast("timestamp_ntz")
+    processed = F.lit(PROCESSED_AT).cast("timestamp")
     return flat(game_logs.silver(bronze_game_logs(spark, sf_dir), processed))
 
 
