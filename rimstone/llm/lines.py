@@ -57,14 +57,13 @@ def overlap_needed(n: Column, m: Column, percent: int) -> Column:
     return F.ceil((n + m) * percent / (100 + percent)).cast("int")
 
 
-def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """doc_id, n_lines, n_removed and the kept `text` of every row of `docs`.
+def lines_to_remove(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """`__id`, `__hash` and `__gone` (line numbers from 0) of the texts that lose lines.
 
     Lines end at a line feed; their words stand between blanks, as a set. A line goes if a line that stands before it
     (smaller doc_id, nulls first; then smaller text hash; then smaller line number) has a Jaccard similarity of at
     least `percent` / 100 with it, whether or not that earlier line stays. So the first of equal lines stays. Lines
-    without words always stay. A null text is empty: one line without words. Repeated rows are the same document and
-    keep the same lines; other columns are ignored; an empty table gives no rows.
+    without words always stay.
     """
     texts = keyed_texts(docs)
     classes = rarity_classes(texts)
@@ -92,19 +91,31 @@ def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     many = one.where(F.col("copies") > 1).select("set_id", "check", F.col("first").alias("neighbour"))
     bounds = earliest.unionByName(many).groupBy("set_id", "check").agg(F.min("neighbour").alias("earliest"))
     gone = sets.join(bounds, ["set_id", "check"]).where(F.col("place") > F.col("earliest"))
-    per_doc = gone.groupBy(F.col("place.doc_id").alias("id"), F.col("place.text_hash").alias("hash")).agg(
-        F.collect_set("place.line_no").alias("gone")
-    )
-    joined = texts.join(
-        per_doc, texts["doc_id"].eqNullSafe(per_doc["id"]) & (texts["text_hash"] == per_doc["hash"]), "left"
+    return gone.groupBy(F.col("place.doc_id").alias("__id"), F.col("place.text_hash").alias("__hash")).agg(
+        F.collect_set("place.line_no").alias("__gone")
     )
+
+
+def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """`docs` with the kept lines as `text`, and `n_lines` and `n_removed`; see `lines_to_remove`.
+
+    A null text is empty: one line without words. Repeated rows are the same document and keep the same lines. Other
+    columns pass through (those named n_lines or n_removed are replaced); an empty table gives no rows.
+    """
+    gone = lines_to_remove(docs, percent)
+    text = F.coalesce(docs["text"], F.lit(""))
+    joined = docs.withColumn("text", text).withColumn("__h", F.xxhash64("text"))
+    joined = joined.join(gone, joined["doc_id"].eqNullSafe(gone["__id"]) & (joined["__h"] == gone["__hash"]), "left")
     all_lines = F.split("text", "\n")
-    removed = F.coalesce(F.size("gone"), F.lit(0))
-    kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("gone"), i))
-    return joined.select(
-        "doc_id", F.size(all_lines).cast("long").alias("n_lines"), removed.cast("long").alias("n_removed"),
-        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"),
-    )
+    kept = F.filter(all_lines, lambda x, i: ~F.array_contains(F.col("__gone"), i))
+    whole = joined.withColumns(
+        {
+            "n_lines": F.size(all_lines).cast("long"),
+            "n_removed": F.coalesce(F.size("__gone"), F.lit(0)).cast("long"),
+            "text": F.when(F.col("__gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")),
+        }
+    )
+    return whole.drop("__id", "__hash", "__gone", "__h")
 
 
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.llm import bpe, decontam, html, knn, licenses, lines, oracles, quality, sharding
+from rimstone.llm import bpe, decontam, html, jaccard, knn, licenses, lines, oracles, quality, sharding, suffix
 from rimstone.llm.common import table
 
 
@@ -40,6 +41,10 @@ def op5_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return knn.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
+def op6_universe_partition_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents")).drop("text_hash")
+
+
 def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontam.contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
@@ -50,21 +55,28 @@ def op7_positional_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_line_set_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = lines.remove_similar_lines(table(spark, sf_dir, "documents"))
+    kept = lines.remove_similar_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_suffix_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.remove_repeats(table(spark, sf_dir, "documents"), digest=True)
+
+
 def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), digest=True)
 
 
 QUERIES = {
+    "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_byte_prefix_shards": (op1_byte_prefix_shards, None),
     "op2_page_differencing": (op2_page_differencing, None),
     "op3_license_templates": (op3_license_templates, None),
     "op4_factorisation_machine": (op4_factorisation_machine, None),
     "op5_voronoi_topk": (op5_voronoi_topk, oracles.OP5),
+    "op6_universe_partition_join": (op6_universe_partition_join, None),
     "op7_positional_index": (op7_positional_index, oracles.OP7),
     "op8_line_set_join": (op8_line_set_join, oracles.OP8),
+    "op9_suffix_sort": (op9_suffix_sort, None),
     "op10_bpe_transducer": (op10_bpe_transducer, None),
 }
