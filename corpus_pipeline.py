@@ -6,8 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.llm import bpe, decontam, jaccard, lines, quality
-from rimstone.llm.common import table
-from rimstone.session import materialize
+from rimstone.llm.common import materialize, table
 
 
 def quality_classifier(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

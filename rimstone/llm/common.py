@@ -11,7 +11,7 @@ from pyspark import TaskContext, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.session import materialize
+from rimstone import session
 
 # Functions of this subpackage travel to executors by value, so that executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__package__])
@@ -23,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def materialize(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the shared folder and read again; the shuffle files it took are then free to be removed.
+
+    Spark removes the shuffle files of a plan once the driver's collector has met the plan.
+    """
+    written = session.materialize(df, label)
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return written
+
+
 def shuffles(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

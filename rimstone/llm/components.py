@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rimstone.session import materialize
+from rimstone.llm.common import materialize
+
 
 
 def components(edges: DataFrame) -> DataFrame:

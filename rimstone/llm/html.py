@@ -16,8 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rimstone.llm.common import global_positions, per_slice
-from rimstone.session import materialize
+from rimstone.llm.common import global_positions, materialize, per_slice
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"

@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rimstone.llm.common import keyed_texts, shuffles, slices
+from rimstone.llm.common import keyed_texts, materialize, shuffles, slices
 from rimstone.llm.components import components
 from rimstone.llm.hashing import Prefixes, mixed
-from rimstone.session import materialize
 
 WORDS = 5
 SHORT = 24  # lists up to this length are never left out
@@ -68,7 +67,7 @@ def identity(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
 def _bands(most: int = 1 << 40) -> list[int]:
     low = [1]
     while low[-1] < most:
-        low.append(max(low[-1] + 1, -(-low[-1] * 7 // 4)))
+        low.append(max(low[-1] + 1, -(-low[-1] * 3 // 2)))
     return low
 
 
@@ -79,30 +78,32 @@ _ALLOCATED: dict[int, tuple[int, int, int]] = {}
 def allocation(frame: int) -> tuple[int, int, int]:
     """Segments, how many of them (the first) may differ by one shingle, and slack, for pairs of a frame.
 
-    Chosen by cost: as few keys as possible, while no more than half the slack is expected to go for empty segments.
+    Chosen by cost: as few keys as possible for the smallest sets of the frame, with enough slack for the segments
+    that are likely to be empty there and a twentieth more.
     """
     if frame in _ALLOCATED:
         return _ALLOCATED[frame]
     low, high = BANDS[frame], BANDS[frame + 1]
     needed = (high - 1) // 3 + 1
-    slack = needed // 10 + 1
-    total = needed + slack
-    size = (low + high - 1) / 2
-
-    def cost(wide: int) -> float:
-        return total - 2 * wide + wide * (1 + size / (total - wide))
-
-    def empty(wide: int) -> float:
-        return total * np.exp(-size / (total - wide))
-
-    fitting = [w for w in range(total // 2 + 1) if empty(w) <= slack / 2] or [total // 2]
-    wide = min(fitting, key=cost)
-    _ALLOCATED[frame] = total - wide, wide, slack
+    step = max(1, needed // 40)
+    best = None
+    for slack in range(0, needed + 2 * step, step):
+        for wide in range(0, (needed + slack) // 2 + 1, step):
+            total = needed + slack
+            segments = total - wide
+            hollow = (1 - 1 / segments) ** low * total
+            missing = hollow + 3 * np.sqrt(hollow) + needed // 20 - slack
+            keys = segments - hollow * segments / total + wide * low / segments
+            option = (max(missing, 0.0), keys, segments, wide, slack)
+            best = min(best or option, option)
+    _ALLOCATED[frame] = best[2:]
     return _ALLOCATED[frame]
 
 
 def frames(n: int) -> list[int]:
     """Frames in which a set of this size takes part: as one of its band, and as the larger of a pair."""
+    if n < 3:
+        return []  # different sets of one or two shingles are not similar to anything
     band = int(np.searchsorted(BANDS, n, "right")) - 1
     reach = band > 0 and 3 * n <= 4 * (BANDS[band] - 1)
     return [band - 1, band] if reach else [band]
@@ -198,11 +199,15 @@ def signature_rows(texts: DataFrame) -> DataFrame:
 
 
 def candidate_edges(texts: DataFrame) -> DataFrame:
-    """Edges `a`, `b` between sets that share a list they both use: of each list, its smallest set and every other."""
+    """Edges `a`, `b` whose components hold all similar sets.
+
+    Long lists that are in use give an edge from their smallest set to every other; short lists give the pairs that
+    share as many as similar sets must.
+    """
     n = shuffles(texts.sparkSession)
     rows = signature_rows(texts).repartition(n, "key").sortWithinPartitions("key", "node")
     shared = materialize(rows.mapInArrow(shared_lists, "key long, node long, tag long"), "lists")
-    lists = shared.groupBy("key").agg(F.count("*").alias("length"), F.min("node").alias("low"))
+    lists = shared.groupBy("key").agg(F.count("*").alias("length"))
     level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("length") / SHORT) / np.log2(LADDER))).cast("int")
     lists = materialize(lists.withColumn("level", level), "list-lengths")
     frame = F.shiftright("tag", 24).bitwiseAND(0xFF).alias("frame")
@@ -216,15 +221,23 @@ def candidate_edges(texts: DataFrame) -> DataFrame:
     )
     by_level = by_segment.groupBy("node", "frame", "level").agg(F.sum("weight").alias("w"), F.max("slack").alias("slack"))
     down = Window.partitionBy("node", "frame").orderBy(F.desc("level"))
-    over = by_level.withColumn("above", F.sum("w").over(down)).where("above > slack")
-    kept_to = over.groupBy("node", "frame").agg(F.max("level").alias("top"))  # lists up to this level stay in use
+    by_level = materialize(by_level.withColumn("above", F.sum("w").over(down)), "long-lists")
+    kept_to = by_level.where("above > slack").groupBy("node", "frame").agg(F.max("level").alias("top"))
+    out = by_level.where("above <= slack").groupBy("node", "frame").agg(F.max("above").alias("left_out"))
     stay = long_ones.join(kept_to, ["node", "frame"]).where(F.col("level") <= F.col("top")).select("key", "node")
     # The smallest set of a long list may have left it: the list is led by the smallest that stays.
     lead = stay.groupBy("key").agg(F.min("node").alias("low"))
-    long_edges = stay.join(lead, "key").select(F.col("low").alias("a"), F.col("node").alias("b"))
-    short = shared.select("key", "node").join(lists.where("level = 0").select("key", "low"), "key")
-    short_edges = short.select(F.col("low").alias("a"), F.col("node").alias("b"))
-    return short_edges.unionByName(long_edges).where("a <> b").distinct()
+    long_edges = stay.join(lead, "key").select(F.col("low").alias("a"), F.col("node").alias("b")).where("a <> b")
+    # Of short lists, similar sets share as many as must match and have not been left out as long ones.
+    short = used.join(lists.where("level = 0").select("key"), "key").join(out, ["node", "frame"], "left")
+    must = (F.col("slack") + 1 - F.coalesce("left_out", F.lit(0))).alias("must")
+    short = short.select("key", "node", "frame", "weight", must)
+    other = short.select("key", F.col("node").alias("b"), F.col("must").alias("must_b"))
+    met = short.join(other, "key").where(F.col("node") < F.col("b"))
+    counted = met.groupBy(F.col("node").alias("a"), "b", "frame").agg(
+        F.sum("weight").alias("shared"), F.greatest(F.max("must"), F.max("must_b")).alias("must")
+    )
+    return counted.where("shared >= must").select("a", "b").unionByName(long_edges).distinct()
 
 
 def similar_in(sets: list[np.ndarray], cut: int, percent: int) -> Iterator[tuple[int, int]]:

@@ -16,7 +16,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from rimstone.session import materialize
+from rimstone.llm.common import materialize
+
 
 PIVOTS = 24
 BLOCK_ROWS = 4096  # about as many vectors of a cell are searched by one task at a time

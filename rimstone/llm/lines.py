@@ -1,8 +1,10 @@
 """Removal of near-duplicate lines: an exact set-similarity join of the words of lines, in DataFrame functions only.
 
-The words of a line are ordered by rarity. Lines with Jaccard similarity t share one of the first
-n - ceil(t n) + 1 words of that order (prefix filter), have sizes within t of each other (length filter), and leave
-enough words after the shared one (positional filter). Pairs that pass are verified on all their words.
+The words of a line are ordered by rarity. Lines of n and m words with Jaccard similarity t have sizes within t of each
+other (length filter) and at least k = ceil(t (n + m) / (1 + t)) words in common. So they share one of the first
+n - ceil(t n) + 1 words of that order (prefix filter), and the first they share leaves k words in both from there on
+(positional filter). Pairs that pass, and whose parity bits do not tell that too many words differ, are verified on all
+their words.
 """
 
 from __future__ import annotations
@@ -10,8 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rimstone.llm.common import keyed_texts
-from rimstone.session import materialize
+from rimstone.llm.common import keyed_texts, materialize
 
 BUCKETS = 1 << 17  # of words; the number of word counts that are known, whatever the corpus
 SHIFT = 56  # a word's key: its rarity class, then 56 bits of its hash
@@ -22,8 +23,9 @@ def rarity_classes(texts: DataFrame) -> Column:
 
     Half a power of two makes a class, so that words of about equal counts are told apart by hash only.
     """
-    words = texts.select(F.explode(F.split("text", "[ \n]")).alias("word"))
-    counted = words.groupBy(F.pmod(F.xxhash64("word"), F.lit(BUCKETS)).cast("int").alias("bucket")).count()
+    lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
+    words = lines.select(F.explode(F.split("line", " ")).alias("word"))
+    counted = words.groupBy(F.xxhash64("word").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket")).count()
     rows = counted.select("bucket", F.floor(2 * F.log2(F.col("count") + 1)).cast("int")).collect()  # BUCKETS rows
     classes = [0] * BUCKETS
     for bucket, rarity in rows:
@@ -31,20 +33,16 @@ def rarity_classes(texts: DataFrame) -> Column:
     return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
 
 
-def line_words(line: Column) -> Column:
-    return F.array_distinct(F.array_remove(F.split(line, " "), ""))
-
-
 def word_keys(line: Column, classes: Column) -> Column:
     """Keys of a line's distinct words in the order of rarity."""
-    hashes = F.transform(line_words(line), lambda w: F.xxhash64(w))
-    keys = F.transform(
-        hashes,
-        lambda h: F.shiftleft(
-            F.element_at(classes, F.pmod(h, F.lit(BUCKETS)).cast("int") + 1).cast("long"), SHIFT
-        ).bitwiseOR(F.shiftrightunsigned(h, 64 - SHIFT)),
-    )
-    return F.sort_array(keys)
+
+    def key(word: Column) -> Column:
+        h = F.xxhash64(word)
+        rarity = F.element_at(classes, h.bitwiseAND(BUCKETS - 1).cast("int") + 1).cast("long")
+        return F.shiftleft(rarity, SHIFT).bitwiseOR(F.shiftrightunsigned(h, 64 - SHIFT))
+
+    keys = F.array_distinct(F.transform(F.split(line, " "), key))
+    return F.sort_array(F.array_remove(keys, key(F.lit(""))))
 
 
 def at_least(n: Column, percent: int) -> Column:
@@ -68,24 +66,39 @@ def lines_to_remove(docs: DataFrame, percent: int = 75) -> DataFrame:
     texts = keyed_texts(docs)
     classes = rarity_classes(texts)
     keys = word_keys(F.col("line"), classes)
+
+    def parity(half: int) -> Column:
+        """Parity of the words of each of 64 kinds; the two halves have different kinds of words."""
+
+        def flip(bits: Column, key: Column) -> Column:
+            bit = F.shiftrightunsigned(key, 1).bitwiseAND(63).cast("int")
+            mine = F.lit(1 - half).cast("long").bitwiseXOR(key.bitwiseAND(1))
+            return bits.bitwiseXOR(F.call_function("shiftleft", mine, bit))
+
+        return F.aggregate("keys", F.lit(0).cast("long"), flip)
+
     lines = texts.select("doc_id", "text_hash", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    long_prefix = F.slice("keys", F.lit(1), F.size("keys") - at_least(F.size("keys"), percent) + 1)
     sets = (
-        lines.select("doc_id", "text_hash", "line_no", keys.alias("keys"))
-        .where(F.size("keys") > 0)
+        lines.where(F.trim("line") != "")
+        .select("doc_id", "text_hash", "line_no", keys.alias("keys"))
         .select(
             F.struct("doc_id", "text_hash", "line_no").alias("place"),
             F.xxhash64("keys").alias("set_id"),
             F.xxhash64(F.lit(1), "keys").alias("check"),
             F.size("keys").alias("n"),
-            F.slice("keys", F.lit(1), F.size("keys") - at_least(F.size("keys"), percent) + 1).alias("prefix"),
+            parity(0).alias("bits"), parity(1).alias("more_bits"),
+            # Half of a key is enough to meet; the words themselves are compared later.
+            F.transform(long_prefix, lambda k: k.bitwiseAND(0x7FFFFFFF).cast("int")).alias("prefix"),
         )
-    )
+    )
     sets = materialize(sets, "line-sets")
     # Equal lines are one set with its first place; what follows works on sets.
     one = sets.groupBy("set_id", "check", "n").agg(
-        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("prefix").alias("prefix")
-    )
-    one = materialize(one, "distinct-lines")
+        F.min("place").alias("first"), F.count("*").alias("copies"), F.first("bits").alias("bits"),
+        F.first("more_bits").alias("more_bits"), F.first("prefix").alias("prefix"),
+    )
+    one = materialize(one.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     near = similar_sets(one, texts, classes, percent)
     earliest = near.groupBy("set_id", "check").agg(F.min("first").alias("neighbour"))
     many = one.where(F.col("copies") > 1).select("set_id", "check", F.col("first").alias("neighbour"))
@@ -120,53 +133,50 @@ def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
     """set_id, check, and `first` place of a similar set, in both directions, for all pairs of similar sets."""
-    n, m = F.col("n"), F.col("m")
-    postings = one.where(n > 2).select("set_id", "n", F.posexplode("prefix").alias("at", "key"))
-    left = postings
-    right = postings.select(F.col("set_id").alias("other"), F.col("n").alias("m"), F.col("at").alias("to"), "key")
+    # Size and place share a number, to keep the rows that are shuffled short.
+    packed = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("packed")
+    words = one.where(F.col("n") > 2).select("id", "n", "bits", F.posexplode("prefix").alias("at", "key"))
+    words = words.select("key", "id", "bits", packed)
+    # Both sides are the same rows, so that they are shuffled once.
+    others = words.select("key", *[F.col(c).alias(f"{c}_to") for c in ("id", "bits", "packed")])
+    n, at, m, to = (
+        (F.shiftright(c, 32) if upper else F.col(c).bitwiseAND(0xFFFFFFFF)).cast("int")
+        for c in ("packed", "packed_to") for upper in (True, False)
+    )
+    smaller = (n < m) | ((n == m) & (F.col("id") < F.col("id_to")))
     needed = overlap_needed(n, m, percent)
+
+    def differing(bits: str) -> Column:
+        """Each word that only one line has changes the parity of one bit, so at least so many words differ."""
+        return F.bit_count(F.col(bits).bitwiseXOR(F.col(f"{bits}_to")))
+
     meet = (
-        (F.col("set_id") < F.col("other"))
-        & (n * 100 >= m * percent) & (m * 100 >= n * percent)
+        smaller & (n * 100 >= m * percent) & (at <= n - needed) & (to <= m - needed)
+        & (differing("bits") <= n + m - needed * 2)
     )
-    pairs = left.join(right, "key").where(meet).groupBy("set_id", "n", "other", "m").agg(
-        F.count("*").alias("common"), F.min("at").alias("at"), F.min("to").alias("to")
-    )
-    # From the first common word on, the shorter rest holds all that is common.
-    rest = F.least(n - F.col("at"), m - F.col("to"))
-    # A further common word lies behind the prefix of the line whose prefix ends first.
-    behind = F.greatest(at_least(n, percent), at_least(m, percent)) - 1
-    pairs = materialize(pairs.where((rest >= needed) & (F.col("common") + behind >= needed)).select("set_id", "other"), "line-pairs")
+    pairs = words.join(others, "key").where(meet).select("id", "id_to").distinct()
+    known = one.select("id", "n", "bits", "more_bits")
+    known_to = known.select(*[F.col(c).alias(f"{c}_to") for c in known.columns])
+    pairs = pairs.join(known, "id").join(known_to, "id_to")
+    all_differ = differing("bits") + differing("more_bits")
+    left = F.col("n") + F.col("n_to") - overlap_needed(F.col("n"), F.col("n_to"), percent) * 2
+    pairs = materialize(pairs.where(all_differ <= left).select("id", "id_to"), "line-pairs")
     # All words of the lines that are in a pair, from the first place of each.
-    wanted = pairs.select("set_id").union(pairs.select("other")).distinct()
-    places = one.join(wanted, "set_id").select("set_id", "check", "first")
-    per_doc = places.groupBy(F.col("first.doc_id").alias("id"), F.col("first.text_hash").alias("hash")).agg(
-        F.collect_list(F.struct("first.line_no", "set_id", "check")).alias("wanted")
+    wanted = pairs.select("id").union(pairs.select("id_to")).distinct()
+    places = one.join(wanted, "id").select("id", "first")
+    per_doc = places.groupBy(F.col("first.doc_id").alias("doc"), F.col("first.text_hash").alias("hash")).agg(
+        F.collect_list(F.struct("first.line_no", "id")).alias("wanted")
     )
-    found = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["id"]) & (texts["text_hash"] == per_doc["hash"]))
-    found = found.withColumn("lines", F.split("text", "\n")).select(
-        "doc_id", "text_hash", F.explode(F.transform("wanted", lambda w: F.struct(
-            w["line_no"].alias("line_no"), w["set_id"].alias("set_id"), w["check"].alias("check"),
-            F.element_at(F.col("lines"), w["line_no"] + 1).alias("line")))).alias("w"),
-    )
-    full = found.select(
-        F.struct("doc_id", "text_hash", F.col("w.line_no").alias("line_no")).alias("first"),
-        "w.set_id", "w.check", word_keys(F.col("w.line"), classes).alias("keys"),
-    )
-    full = materialize(full, "line-keys")
-    a = full.select("set_id", F.col("check").alias("check_a"), F.col("first").alias("first_a"), F.col("keys").alias("a"))
-    b = full.select(
-        F.col("set_id").alias("other"), F.col("check").alias("check_b"), F.col("first").alias("first_b"),
-        F.col("keys").alias("b"),
-    )
-    both = pairs.join(a, "set_id").join(b, "other")
-    common = F.size(F.array_intersect("a", "b"))
-    linked = both.where(common * 100 >= percent * (F.size("a") + F.size("b") - common))
-    return linked.select(
-        F.explode(
-            F.array(
-                F.struct("set_id", F.col("check_a").alias("check"), F.col("first_b").alias("first")),
-                F.struct(F.col("other").alias("set_id"), F.col("check_b").alias("check"), F.col("first_a").alias("first")),
-            )
-        ).alias("link")
-    ).select("link.*")
+    found = texts.join(per_doc, texts["doc_id"].eqNullSafe(per_doc["doc"]) & (texts["text_hash"] == per_doc["hash"]))
+    one_line = lambda w: F.struct(w["id"].alias("id"), F.element_at(F.col("lines"), w["line_no"] + 1).alias("line"))
+    found = found.select(F.split("text", "\n").alias("lines"), "wanted")
+    full = found.select(F.explode(F.transform("wanted", one_line)).alias("w")).select(
+        "w.id", word_keys(F.col("w.line"), classes).alias("keys")
+    )
+    both = pairs.join(full, "id").join(full.select(F.col("id").alias("id_to"), F.col("keys").alias("keys_to")), "id_to")
+    common = F.size(F.array_intersect("keys", "keys_to"))
+    linked = both.where(common * 100 >= percent * (F.size("keys") + F.size("keys_to") - common)).select("id", "id_to")
+    ends = linked.union(linked.select("id_to", "id")).distinct()
+    sets = one.select("id", "set_id", "check")
+    first = one.select(F.col("id").alias("id_to"), "first")
+    return ends.join(first, "id_to").join(sets, "id").select("set_id", "check", "first")

@@ -18,10 +18,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rimstone.llm.common import keyed_texts, same_doc, shuffles, slices
+from rimstone.llm.common import keyed_texts, materialize, same_doc, shuffles, slices
 from rimstone.llm.decontam import merged
 from rimstone.llm.hashing import BASE, Prefixes, byte_values
-from rimstone.session import materialize
 
 SEED = 128  # bytes of an anchor string
 SLICE = 1 << 20
