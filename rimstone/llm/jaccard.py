@@ -79,7 +79,7 @@ def allocation(frame: int) -> tuple[int, int, int]:
     """Segments, how many of them (the first) may differ by one shingle, and slack, for pairs of a frame.
 
     Chosen by cost: as few keys as possible for the smallest sets of the frame, with enough slack for the segments
-    that are likely to be empty there and a twentieth more.
+    that are likely to be empty there (their mean and 2.5 deviations) and a few more.
     """
     if frame in _ALLOCATED:
         return _ALLOCATED[frame]
@@ -92,7 +92,7 @@ def allocation(frame: int) -> tuple[int, int, int]:
             total = needed + slack
             segments = total - wide
             hollow = (1 - 1 / segments) ** low * total
-            missing = hollow + 3 * np.sqrt(hollow) + needed // 20 - slack
+            missing = hollow + 2.5 * np.sqrt(hollow) + needed // 60 - slack
             keys = segments - hollow * segments / total + wide * low / segments
             option = (max(missing, 0.0), keys, segments, wide, slack)
             best = min(best or option, option)

@@ -138,27 +138,28 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     words = one.where(F.col("n") > 2).select("id", "n", "bits", F.posexplode("prefix").alias("at", "key"))
     words = words.select("key", "id", "bits", packed)
     # Both sides are the same rows, so that they are shuffled once.
-    others = words.select("key", *[F.col(c).alias(f"{c}_to") for c in ("id", "bits", "packed")])
+    a, b = words.alias("a"), words.alias("b")
     n, at, m, to = (
         (F.shiftright(c, 32) if upper else F.col(c).bitwiseAND(0xFFFFFFFF)).cast("int")
-        for c in ("packed", "packed_to") for upper in (True, False)
+        for c in ("a.packed", "b.packed") for upper in (True, False)
     )
-    smaller = (n < m) | ((n == m) & (F.col("id") < F.col("id_to")))
+    smaller = (n < m) | ((n == m) & (F.col("a.id") < F.col("b.id")))
     needed = overlap_needed(n, m, percent)
 
-    def differing(bits: str) -> Column:
+    def differing(bits: str, bits_to: str) -> Column:
         """Each word that only one line has changes the parity of one bit, so at least so many words differ."""
-        return F.bit_count(F.col(bits).bitwiseXOR(F.col(f"{bits}_to")))
+        return F.bit_count(F.col(bits).bitwiseXOR(F.col(bits_to)))
 
     meet = (
         smaller & (n * 100 >= m * percent) & (at <= n - needed) & (to <= m - needed)
-        & (differing("bits") <= n + m - needed * 2)
+        & (differing("a.bits", "b.bits") <= n + m - needed * 2)
     )
-    pairs = words.join(others, "key").where(meet).select("id", "id_to").distinct()
+    met = a.join(b, (F.col("a.key") == F.col("b.key")) & meet)
+    pairs = met.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_to")).distinct()
     known = one.select("id", "n", "bits", "more_bits")
     known_to = known.select(*[F.col(c).alias(f"{c}_to") for c in known.columns])
     pairs = pairs.join(known, "id").join(known_to, "id_to")
-    all_differ = differing("bits") + differing("more_bits")
+    all_differ = differing("bits", "bits_to") + differing("more_bits", "more_bits_to")
     left = F.col("n") + F.col("n_to") - overlap_needed(F.col("n"), F.col("n_to"), percent) * 2
     pairs = materialize(pairs.where(all_differ <= left).select("id", "id_to"), "line-pairs")
     # All words of the lines that are in a pair, from the first place of each.
