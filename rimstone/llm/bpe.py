@@ -11,6 +11,7 @@ from __future__ import annotations
 import codecs
 import hashlib
 import json
+import re
 import unicodedata
 from collections.abc import Iterable, Iterator
 from pathlib import Path
@@ -25,8 +26,9 @@ from rimstone.llm.common import per_slice
 
 # How the vocabulary's files split a text (White_Space as Unicode has it).
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
+ODD_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
-CACHE_ROWS = 100_000  # words remembered by a task; beyond it the memory starts anew, with the same results
+CACHE_ROWS = 200_000  # words remembered by a task, those that it meets first; others are encoded each time
 
 
 def byte_symbols() -> list[str]:
@@ -44,11 +46,13 @@ class Merges:
         vocab = model["model"]["vocab"]
         self.end = model["model"]["end_of_word_suffix"] or ""
         self.special = {t["content"]: t["id"] for t in model["added_tokens"]}
-        self.rank: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank: dict[tuple[int, int], int] = {}
+        self.whole: list[int] = []
         self.parts: dict[int, tuple[int, int]] = {}
         for order, (a, b) in enumerate(model["model"]["merges"]):
             whole = vocab[a + b]
-            self.rank[vocab[a], vocab[b]] = (order, whole)
+            self.rank[vocab[a], vocab[b]] = order
+            self.whole.append(whole)
             self.parts.setdefault(whole, (vocab[a], vocab[b]))
         symbols = byte_symbols()
         self.inner = [vocab[s] for s in symbols]
@@ -74,23 +78,19 @@ class Merges:
 
     def merge(self, symbols: list[int]) -> list[int]:
         """Plain encoding of a few symbols: the earliest rule first, its leftmost place first."""
-        out = list(symbols)
-        rank, never = self.rank, (len(self.rank), -1)
-        while len(out) > 1:
-            pairs = [rank.get(p, never) for p in zip(out, out[1:], strict=False)]
-            best = min(pairs)
-            if best is never or best[1] < 0:
+        out, rank, never = list(symbols), self.rank, len(self.whole)
+        orders = [rank.get(pair, never) for pair in zip(out, out[1:], strict=False)]
+        while orders:
+            best = min(orders)
+            if best == never:
                 break
-            i = 0
-            merged = []
-            while i < len(out):
-                if i < len(pairs) and pairs[i] == best and rank.get((out[i], out[i + 1])) == best:
-                    merged.append(best[1])
-                    i += 2
-                else:
-                    merged.append(out[i])
-                    i += 1
-            out = merged
+            i = orders.index(best)
+            out[i : i + 2] = [self.whole[best]]
+            del orders[i]
+            if i:
+                orders[i - 1] = rank.get((out[i - 1], out[i]), never)
+            if i < len(orders):
+                orders[i] = rank.get((out[i], out[i + 1]), never)
         return out
 
     def may_follow(self, left: int, right: int) -> bool:
@@ -156,28 +156,33 @@ class Encoder:
     def __init__(self, file: str):
         self.merges = Merges(file)
         self.known: dict[str, list[int]] = {}
+        self.pieces: dict[str, list[int]] = {}
         special = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a stretch without white space."""
-        ids = self.known.get(chunk)
-        if ids is None:
-            if len(self.known) >= CACHE_ROWS:
-                self.known.clear()
-            ids = []
-            for piece in PIECES.findall(chunk):
-                ids += self.merges.encode_word(piece.encode())
-            if len(chunk) <= 40:
-                self.known[chunk] = ids
+        ids = []
+        for piece in PIECES.findall(chunk):
+            found = self.pieces.get(piece)
+            if found is None:
+                found = self.merges.encode_word(piece.encode())
+                if len(self.pieces) < CACHE_ROWS and len(piece) <= 40:
+                    self.pieces[piece] = found
+            ids += found
+        if len(self.known) < CACHE_ROWS and len(chunk) <= 40:
+            self.known[chunk] = ids
         return ids
 
     def plain(self, text: str) -> list[int]:
         """Ids of a text without special tokens: composed form, lower case letter by letter, pieces, merges."""
         text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
+        # Unless a text has characters that only Python takes for white space, its own splitting is right.
+        chunks = SPACE.split(text) if ODD_SPACE.search(text) else text.split()
         out: list[int] = []
-        for chunk in SPACE.split(text):
-            out += self.chunk(chunk)
+        known = self.known.get
+        for chunk in chunks:
+            out += known(chunk) or self.chunk(chunk)
         return out
 
     def encode(self, text: str) -> list[int]:
