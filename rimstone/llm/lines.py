@@ -156,6 +156,7 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     )
     met = a.join(b, (F.col("a.key") == F.col("b.key")) & meet)
     pairs = met.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_to")).distinct()
+    pairs = materialize(pairs, "line-candidates")
     known = one.select("id", "n", "bits", "more_bits")
     known_to = known.select(*[F.col(c).alias(f"{c}_to") for c in known.columns])
     pairs = pairs.join(known, "id").join(known_to, "id_to")
