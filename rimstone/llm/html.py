@@ -11,6 +11,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -103,13 +104,13 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     return lines
 
 
-def shared_lines(mine: list[str], other: list[str]) -> set[int]:
+def shared_lines(mine: list, other: list) -> set[int]:
     """Places of `mine` in a longest common subsequence with `other`.
 
     Bit-parallel: row i is an integer whose clear bits mark the places of `other` where the length grows, so a page
     of thousands of lines costs a few wide integer operations for each line.
     """
-    where: dict[str, int] = {}
+    where: dict = {}
     for j, line in enumerate(other):
         where[line] = where.get(line, 0) | 1 << j
     full = (1 << len(other)) - 1
@@ -130,15 +131,14 @@ def shared_lines(mine: list[str], other: list[str]) -> set[int]:
     return shared
 
 
-def main_lines(lines: list[tuple[str, int]], other: list[str]) -> tuple[list[str], int]:
-    """Lines of the main text, and how many lines the neighbour shares."""
-    shared = shared_lines([line for line, _ in lines], other)
-    own = [line for line, where in lines if where == ARTICLE]
-    if own:
-        return own, len(shared)
-    rest = [i for i, (_, where) in enumerate(lines) if where == OUTSIDE]
-    kept = [i for i in rest if i not in shared]
-    return [lines[i][0] for i in kept or rest], len(shared)  # two equal pages have no difference to tell by
+def main_lines(lines: list[str], at: list[int], own: bool, marks: list[int], other: list[int]) -> tuple[list[str], int]:
+    """Lines of the main text, and how many lines the neighbour shares.
+
+    `lines` may be main text, `at` are their places on the page and `own` tells that they are the page's own article.
+    """
+    shared = shared_lines(marks, other)
+    kept = [line for line, i in zip(lines, at, strict=True) if own or i not in shared]
+    return kept or lines, len(shared)  # two equal pages have no difference to tell by
 
 
 def host_of(url: Column) -> Column:
@@ -151,17 +151,27 @@ def path_of(url: Column) -> Column:
 
 
 def parsed(pages: DataFrame) -> DataFrame:
-    """page_id, url, host, path and the lines of every whole page."""
+    """page_id, url, host, path, the lines that may be main text, their places, and a 64-bit mark of every line."""
 
     def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        lines = [page_lines(h or "") for h in batch["html"].to_pylist()]
+        lines, at, own, marks = [], [], [], []
+        for page in batch["html"].to_pylist():
+            found = page_lines(page or "")
+            best = ARTICLE if any(where == ARTICLE for _, where in found) else OUTSIDE
+            at.append([i for i, (_, where) in enumerate(found) if where == best])
+            lines.append([found[i][0] for i in at[-1]])
+            own.append(best == ARTICLE)
+            marks.append([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "big", signed=True) for x, _ in found])
         named = {c: batch[c] for c in ("page_id", "url", "host", "path")}
-        named["lines"] = pa.array([[line for line, _ in page] for page in lines], pa.list_(pa.string()))
-        named["places"] = pa.array([[w for _, w in page] for page in lines], pa.list_(pa.int32()))
+        named |= {"lines": pa.array(lines, pa.list_(pa.string())), "at": pa.array(at, pa.list_(pa.int32()))}
+        named |= {"own": pa.array(own, pa.bool_()), "marks": pa.array(marks, pa.list_(pa.int64()))}
         yield pa.RecordBatch.from_pydict(named)
 
     read = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
-    schema = "page_id long, url string, host string, path string, lines array<string>, places array<int>"
+    schema = (
+        "page_id long, url string, host string, path string, lines array<string>, at array<int>, own boolean, "
+        "marks array<long>"
+    )
     return read.mapInArrow(per_slice(run, "html"), schema)
 
 
@@ -191,18 +201,19 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     id stands for a path. Addresses without host form a host of their own. Other columns are ignored, repeated rows
     are extracted each. Only paths are sorted globally; no host is gathered in one task.
     """
-    lines = materialize(parsed(pages), "page-lines")
-    one = lines.groupBy("host", "path").agg(
-        F.min_by("lines", F.struct("page_id", "url", "lines")).alias("other")
-    )
-    near = neighbours(lines.select("host", "path").distinct())
+    lines = parsed(pages)
+    # Only marks are written and sorted; pages are read again for their lines, which then move once.
+    marks = materialize(lines.select("page_id", "url", "host", "path", "marks"), "page-marks")
+    one = marks.groupBy("host", "path").agg(F.min_by("marks", F.struct("page_id", "url", "marks")).alias("other"))
+    near = neighbours(marks.select("host", "path").distinct())
     of_path = near.join(one.select("host", F.col("path").alias("near"), "other"), ["host", "near"])
-    joined = lines.join(of_path.select("host", "path", "other"), ["host", "path"], "left")
+    of_path = materialize(of_path.select("host", "path", "other"), "neighbours")
+    joined = lines.join(of_path, ["host", "path"], "left")
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = (batch[c].to_pylist() for c in ("lines", "places", "other"))
-            made = [main_lines(list(zip(a, b, strict=True)), c or []) for a, b, c in zip(*columns, strict=True)]
+            columns = (batch[c].to_pylist() for c in ("lines", "at", "own", "marks", "other"))
+            made = [main_lines(*row[:4], row[4] or []) for row in zip(*columns, strict=True)]
             texts = ["\n".join(kept) for kept, _ in made]
             yield pa.RecordBatch.from_pydict(
                 {
@@ -213,4 +224,4 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
             )
 
     schema = "page_id long, url string, text string, n_chars long, n_shared long"
-    return joined.select("page_id", "url", "lines", "places", "other").mapInArrow(run, schema)
+    return joined.select("page_id", "url", "lines", "at", "own", "marks", "other").mapInArrow(run, schema)
