@@ -104,9 +104,8 @@ def lines_to_remove(docs: DataFrame, percent: int = 75) -> DataFrame:
     many = one.where(F.col("copies") > 1).select("set_id", "check", F.col("first").alias("neighbour"))
     bounds = earliest.unionByName(many).groupBy("set_id", "check").agg(F.min("neighbour").alias("earliest"))
     gone = sets.join(bounds, ["set_id", "check"]).where(F.col("place") > F.col("earliest"))
-    return gone.groupBy(F.col("place.doc_id").alias("__id"), F.col("place.text_hash").alias("__hash")).agg(
-        F.collect_set("place.line_no").alias("__gone")
-    )
+    by_text = gone.groupBy(F.col("place.doc_id").alias("__id"), F.col("place.text_hash").alias("__hash"))
+    return materialize(by_text.agg(F.collect_set("place.line_no").alias("__gone")), "lines-to-remove")
 
 
 def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
@@ -175,6 +174,7 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     full = found.select(F.explode(F.transform("wanted", one_line)).alias("w")).select(
         "w.id", word_keys(F.col("w.line"), classes).alias("keys")
     )
+    full = materialize(full, "line-keys")
     both = pairs.join(full, "id").join(full.select(F.col("id").alias("id_to"), F.col("keys").alias("keys_to")), "id_to")
     common = F.size(F.array_intersect("keys", "keys_to"))
     linked = both.where(common * 100 >= percent * (F.size("keys") + F.size("keys_to") - common)).select("id", "id_to")
