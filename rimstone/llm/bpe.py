@@ -28,7 +28,8 @@ from rimstone.llm.common import per_slice
 PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+")
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
-CACHE_ROWS = 200_000  # words remembered by a task, those that it meets first; others are encoded each time
+SLICE = 1 << 20
+CACHE_ROWS = 120_000  # words remembered by a task, those that it meets first; others are encoded each time
 
 
 def byte_symbols() -> list[str]:
@@ -255,7 +256,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, digest: bool = Fa
                 [doc_ids, *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             )
 
-        yield from per_slice(convert)(batches)
+        yield from per_slice(convert, most=SLICE)(batches)
 
     whole = "doc_id long, text string, ids array<int>, decoded string"
     short = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"

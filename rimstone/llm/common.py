@@ -105,11 +105,11 @@ def global_positions(df: DataFrame, order_by: list[str], size: Column | None = N
     return moved.drop("__part", "__rows_before", "__bytes_before"), rows_before[-1], bytes_before[-1]
 
 
-def per_slice(function: Callable, column: str = "text") -> Callable:
+def per_slice(function: Callable, column: str = "text", most: int = SLICE_BYTES) -> Callable:
     """Turns a function of one record batch into one over an iterator, fed in slices of bounded size."""
 
     def run(batches):
-        for part in slices(batches, column):
+        for part in slices(batches, column, most):
             yield from function(part)
 
     return run

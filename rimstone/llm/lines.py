@@ -9,7 +9,7 @@ their words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimstone.llm.common import keyed_texts, materialize
@@ -98,7 +98,7 @@ def lines_to_remove(docs: DataFrame, percent: int = 75) -> DataFrame:
         F.min("place").alias("first"), F.count("*").alias("copies"), F.first("bits").alias("bits"),
         F.first("more_bits").alias("more_bits"), F.first("prefix").alias("prefix"),
     )
-    one = materialize(one.withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
+    one = materialize(one.orderBy("first").withColumn("id", F.monotonically_increasing_id()), "distinct-lines")
     near = similar_sets(one, texts, classes, percent)
     earliest = near.groupBy("set_id", "check").agg(F.min("first").alias("neighbour"))
     many = one.where(F.col("copies") > 1).select("set_id", "check", F.col("first").alias("neighbour"))
@@ -130,38 +130,67 @@ def remove_similar_lines(docs: DataFrame, percent: int = 75) -> DataFrame:
     return whole.drop("__id", "__hash", "__gone", "__h")
 
 
-def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
-    """set_id, check, and `first` place of a similar set, in both directions, for all pairs of similar sets."""
-    # Size and place share a number, to keep the rows that are shuffled short.
-    packed = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("packed")
-    words = one.where(F.col("n") > 2).select("id", "n", "bits", F.posexplode("prefix").alias("at", "key"))
-    words = words.select("key", "id", "bits", packed)
-    # Both sides are the same rows, so that they are shuffled once.
-    a, b = words.alias("a"), words.alias("b")
+def differing(bits: str, bits_to: str) -> Column:
+    """Each word that only one line has changes the parity of one bit, so at least so many words differ."""
+    return F.bit_count(F.col(bits).bitwiseXOR(F.col(bits_to)))
+
+
+def may_be_similar(one: str, other: str, percent: int) -> Column:
+    """The length, positional and parity filters for two rows of prefix words; a negative size of `other` never passes."""
     n, at, m, to = (
         (F.shiftright(c, 32) if upper else F.col(c).bitwiseAND(0xFFFFFFFF)).cast("int")
-        for c in ("a.packed", "b.packed") for upper in (True, False)
+        for c in (f"{one}.packed", f"{other}.packed") for upper in (True, False)
     )
-    smaller = (n < m) | ((n == m) & (F.col("a.id") < F.col("b.id")))
+    n = F.abs(n)
     needed = overlap_needed(n, m, percent)
+    return (
+        (n * 100 >= m * percent) & (m * 100 >= n * percent) & (at <= n - needed) & (to <= m - needed)
+        & (
+            differing(f"{one}.bits", f"{other}.bits") + differing(f"{one}.more_bits", f"{other}.more_bits")
+            <= n + m - needed * 2
+        )
+    )
 
-    def differing(bits: str, bits_to: str) -> Column:
-        """Each word that only one line has changes the parity of one bit, so at least so many words differ."""
-        return F.bit_count(F.col(bits).bitwiseXOR(F.col(bits_to)))
 
-    meet = (
-        smaller & (n * 100 >= m * percent) & (at <= n - needed) & (to <= m - needed)
-        & (differing("a.bits", "b.bits") <= n + m - needed * 2)
-    )
-    met = a.join(b, (F.col("a.key") == F.col("b.key")) & meet)
+def prefix_words(one: DataFrame) -> DataFrame:
+    """One row for each word of a set's prefix; size and place share a number, to keep the rows short."""
+    packed = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("packed")
+    words = one.where(F.abs("n") > 2).select("id", "n", "bits", "more_bits", F.posexplode("prefix").alias("at", "key"))
+    return words.select("key", "id", "bits", "more_bits", packed)
+
+
+def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
+    """set_id, check, and `first` place of an earlier similar set, for every set that has one.
+
+    `id` follows the first places. One earlier similar set is enough, so each set is first compared with the earliest
+    of its size that shares a prefix word; in a large group of near copies that decides nearly all. Only sets still
+    open are compared with all earlier sets that share a prefix word.
+    """
+    words = prefix_words(one)
+    size = F.floor(2 * F.log2(F.shiftright("packed", 32))).alias("size")
+    lead = F.min(F.struct("id", "bits", "more_bits", "packed")).over(Window.partitionBy("key", "size"))
+    led = words.select("*", size).withColumn("lead", lead).where(F.col("lead.id") < F.col("id"))
+    led = led.select("lead", F.struct("id", "bits", "more_bits", "packed").alias("own")).where(may_be_similar("lead", "own", percent))
+    led = led.select(F.col("lead.id").alias("id"), F.col("own.id").alias("id_to")).distinct()
+    found = verified(led, one, texts, classes, percent)
+    # Decided sets are marked by a negative size. Both sides are then the same rows, which are shuffled once.
+    done = found.select(F.col("id_to").alias("done")).distinct()
+    sizes = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
+    marked = one.join(done, F.col("id") == F.col("done"), "left").select("id", sizes, "bits", "more_bits", "prefix")
+    words = prefix_words(marked)
+    a, b = words.alias("a"), words.alias("b")
+    earlier = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
+    met = a.join(b, earlier & may_be_similar("a", "b", percent))
     pairs = met.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_to")).distinct()
-    pairs = materialize(pairs, "line-candidates")
-    known = one.select("id", "n", "bits", "more_bits")
-    known_to = known.select(*[F.col(c).alias(f"{c}_to") for c in known.columns])
-    pairs = pairs.join(known, "id").join(known_to, "id_to")
-    all_differ = differing("bits", "bits_to") + differing("more_bits", "more_bits_to")
-    left = F.col("n") + F.col("n_to") - overlap_needed(F.col("n"), F.col("n_to"), percent) * 2
-    pairs = materialize(pairs.where(all_differ <= left).select("id", "id_to"), "line-pairs")
+    links = found.union(verified(pairs, one, texts, classes, percent))
+    lowest = links.groupBy("id_to").agg(F.min("id").alias("id"))
+    sets = one.select(F.col("id").alias("id_to"), "set_id", "check")
+    return lowest.join(one.select("id", "first"), "id").join(sets, "id_to").select("set_id", "check", "first")
+
+
+def verified(pairs: DataFrame, one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
+    """The pairs `id`, `id_to` whose similarity, on all words of both lines, is high enough."""
+    pairs = materialize(pairs, "line-pairs")
     # All words of the lines that are in a pair, from the first place of each.
     wanted = pairs.select("id").union(pairs.select("id_to")).distinct()
     places = one.join(wanted, "id").select("id", "first")
@@ -177,8 +206,5 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     full = materialize(full, "line-keys")
     both = pairs.join(full, "id").join(full.select(F.col("id").alias("id_to"), F.col("keys").alias("keys_to")), "id_to")
     common = F.size(F.array_intersect("keys", "keys_to"))
-    linked = both.where(common * 100 >= percent * (F.size("keys") + F.size("keys_to") - common)).select("id", "id_to")
-    ends = linked.union(linked.select("id_to", "id")).distinct()
-    sets = one.select("id", "set_id", "check")
-    first = one.select(F.col("id").alias("id_to"), "first")
-    return ends.join(first, "id_to").join(sets, "id").select("set_id", "check", "first")
+    similar = common * 100 >= percent * (F.size("keys") + F.size("keys_to") - common)
+    return materialize(both.where(similar).select("id", "id_to").distinct(), "line-links")
