@@ -149,11 +149,14 @@ def budget_report(
 
 
 def enforce_budget(report: DataFrame, source: str = "source_name") -> None:
-    """Raise for sources whose verdict is not `passed`, naming a few of them."""
-    bad = report.where("verdict <> 'passed'").limit(20).collect()
-    if not bad:
+    """Raise for sources whose verdict is not `passed`: by a count over all of them, naming a few in the message."""
+    bad = report.where("verdict <> 'passed'")
+    n_bad, n_aborted = bad.agg(F.count("*"), F.count_if(F.col("verdict") == "aborted")).first()
+    if not n_bad:
         return
-    text = "; ".join(f"{r[source]}: {r['n_failed']} failed {r['failed_keys']}" for r in bad)
-    if any(r["verdict"] == "aborted" for r in bad):
+    named = bad.orderBy("verdict", source).limit(20).collect()
+    text = "; ".join(f"{r[source]}: {r['n_failed']} failed {r['failed_keys']}" for r in named)
+    text += f" ({n_bad} sources, {n_aborted} of them aborted)"
+    if n_aborted:
         raise BudgetExceeded(text)
     raise EmptyDataset(f"no key succeeded for {text}")

@@ -152,3 +152,10 @@ def test_adaptive_execution_splits_a_hot_key(spark):
         for name in settings:
             spark.conf.unset(name)
     assert "skew=true" in plan
+
+
+def test_one_aborted_source_among_many_empty_ones(spark):
+    rows = [(f"s{i:02}", i, "gone") for i in range(40)] + [("z", k, "gone") for k in range(12)]
+    outcomes = spark.createDataFrame(rows, "source_name string, game long, error string")
+    with pytest.raises(BudgetExceeded, match="41 sources, 1 of them aborted"):
+        kd.enforce_budget(kd.budget_report(outcomes, "game"))
