@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# Copies of the smaller side. Two already give each side its own exchange, which lets adaptive execution
-# split hot keys further; a side that is tiny next to the other can afford more.
-DEFAULT_SPREAD = 2
+# Copies of the smaller side. One gives each side its own exchange without doubling anything, which lets adaptive
+# execution split hot keys; a side that is tiny next to the other can afford more.
+DEFAULT_SPREAD = 1
 TINY_SIDE_SPREAD = 8
 
 
