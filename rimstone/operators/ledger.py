@@ -117,7 +117,7 @@ class Ledger:
         return run_state(self.events())
 
     def _append(self, rows: DataFrame) -> None:
-        rows.select(*EVENT_SCHEMA.names).coalesce(1).write.mode("append").parquet(self.path)
+        rows.select(*EVENT_SCHEMA.names).repartition(1).write.mode("append").parquet(self.path)
 
     def open_runs(self, s3_keys: Sequence[str], started_at: datetime | None = None) -> list[OpenRun]:
         """Append one pending event per key, all at once."""
