@@ -6,7 +6,7 @@ expressions are plain SQL that both engines read; faults are planted by column v
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.gallery.base import split_up, table
@@ -127,19 +127,44 @@ def bronze_game_logs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _project(_project(sides.withColumn("ver", F.explode(ingests)), VERSION), BRONZE)
 
 
-# Decoded pages: a document is a report file with 240 words to a page, in seven columns of 100 points.
+# Decoded pages: a document is a report file with 240 words to a page, in columns of 100 points.
 PAGE_WORDS = 240
 # Words of the header band on the first page: text and column number; a second word lies 50 points further.
 BAND = [
     ("Game", 0, 0), ("Date", 0, 1), ("Game", 1, 0), ("Time", 1, 1), ("Matchup", 2, 0), ("Team", 3, 0),
     ("Player", 4, 0), ("Name", 4, 1), ("Current", 5, 0), ("Status", 5, 1), ("Reason", 6, 0),
-]
-HEADER_CELLS = [
-    "Game Date", "Game Time", "Matchup", None, "Team", "Home/Away", "Player Name", "Current Status", "Reason",
-]
+]
+HEADERS = ["Game Date", "Game Time", "Matchup", "Team", "Player Name", "Current Status", "Reason"]
+SPELLED = [h.replace(" ", "") for h in HEADERS]
+WIDE = [f"C{i:02d}" for i in range(7, 70)]
+NO_TABLE_SOURCE = "src3"
+# Header words, headers and columns by source: without spaces, with an eighth column, with seventy columns, and with
+# a header that is nowhere on the page; the rest have the seven.
+USUAL = (BAND, HEADERS, 7)
+SHAPES = {
+    "src1": ([(h, i, 0) for i, h in enumerate(SPELLED)], SPELLED, 7),
+    "src2": ([*BAND, ("League", 7, 0)], [*HEADERS, "League"], 8),
+    "src4": (BAND, [*HEADERS, "Return Date"], 7),
+    "src5": ([*BAND, *[(h, i, 0) for i, h in enumerate(WIDE, start=7)]], [*HEADERS, *WIDE], 70),
+}
+
+
+def _band_x0(band: list[tuple[str, int, int]]) -> list[int]:
+    return [21 + 100 * c + 50 * s for _, c, s in band]
+
+
+def _shape_sql(part) -> str:
+    cases = " ".join(f"when '{source}' then {part(shape)}" for source, shape in SHAPES.items())
+    return f"case source {cases} else {part(USUAL)} end"
+
 
 PAGES_SQL = f"""
-tokens as (select doc_id, source, lang, [x for x in string_split_regex(text, '[ \n]') if x <> ''] as ws from documents),
+tokens as (
+  select doc_id, source, lang, [x for x in string_split_regex(text, '[ \n]') if x <> ''] as ws,
+    {_shape_sql(lambda shape: [w for w, _, _ in shape[0]])} as band, {_shape_sql(lambda shape: _band_x0(shape[0]))} as band_x0,
+    {_shape_sql(lambda shape: shape[2])} as n_cols
+  from documents
+),
 sheets as (
   select doc_id, source, lang, ws, unnest(range(1, greatest((len(ws) + {PAGE_WORDS - 1}) // {PAGE_WORDS}, 1) + 1)) as page
   from tokens
@@ -149,40 +174,46 @@ title as (
   from sheets
 ),
 band as (
-  select doc_id, cast(1 as bigint) as page, unnest({[w for w, _, _ in BAND]}) as text, unnest(range(5, 16)) as idx,
-    unnest({[20 + 100 * c + 50 * s + 1 for _, c, s in BAND]}) + doc_id % 7 as x0
+  select doc_id, cast(1 as bigint) as page, unnest(band) as text, unnest(range(5, 5 + len(band))) as idx,
+    unnest(band_x0) + doc_id % 7 as x0
   from tokens
 ),
 body as (
-  select doc_id, n // {PAGE_WORDS} + 1 as page, text, n % {PAGE_WORDS} as k
-  from (select doc_id, unnest(ws) as text, unnest(range(0, len(ws))) as n from tokens)
+  select doc_id, n // {PAGE_WORDS} + 1 as page, text, n % {PAGE_WORDS} as k, n_band, n_cols
+  from (select doc_id, unnest(ws) as text, unnest(range(0, len(ws))) as n, len(band) as n_band, n_cols from tokens)
 ),
 words as (
   select doc_id as file, page, idx, text, 0.0::double as x0, 1.0::double as x1, 20.0::double as bottom from title
   union all
   select doc_id, page, idx, text, x0::double, (x0 + 40)::double, 50.0::double from band
   union all
-  select doc_id, page, case when page = 1 then 16 else 5 end + k, text,
-    (20 + 100 * (k % 7) + doc_id % 7 + (k * 13) % 60)::double,
-    (20 + 100 * (k % 7) + doc_id % 7 + (k * 13) % 60 + 5 * length(text))::double,
-    (60 + 12 * (k // 7))::double
+  select doc_id, page, case when page = 1 then 5 + n_band else 5 end + k, text,
+    (20 + 100 * (k % n_cols) + doc_id % 7 + (k * 13) % 60)::double,
+    (20 + 100 * (k % n_cols) + doc_id % 7 + (k * 13) % 60 + 5 * length(text))::double,
+    (60 + 12 * (k // n_cols))::double
   from body
 ),
 lines as (select doc_id as file, page, (60 + 36 * unnest(range(0, 12)))::double as bottom from sheets),
 heads as (
-  select doc_id as file, unnest(range(0, 7)) as pos,
-    unnest(['Game Date', 'Game Time', 'Matchup', 'Team', 'Player Name', 'Current Status', 'Reason']) as name
-  from documents where source <> 'src3'
-  union all
-  select doc_id, 7, 'Return Date' from documents where source = 'src4'
+  select doc_id as file, unnest(range(0, len(names))) as pos, unnest(names) as name
+  from (select doc_id, {_shape_sql(lambda shape: shape[1])} as names from documents where source <> '{NO_TABLE_SOURCE}')
 )
 """
 
 
+def _by_source(part) -> Column:
+    """The value that `part` gives for the shape of the row's source."""
+    chosen = None
+    for source, shape in SHAPES.items():
+        case = (F.col("source") == source, F.lit(part(shape)))
+        chosen = F.when(*case) if chosen is None else chosen.when(*case)
+    return chosen.otherwise(F.lit(part(USUAL)))
+
+
 def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
     """Words, lines and header cells of the documents laid out as report pages.
 
-    Documents of one source have no table, and those of another a header that is nowhere on the page.
+    Documents of one source have no table; those of some others have headers of their own, see `SHAPES`.
     """
     docs = split_up(table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"), "doc_id")
     tokens = docs.select(
@@ -202,18 +233,20 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
     sheets = tokens.select("file", "source", "lang", F.inline(pages))
 
     title = F.array(F.lit("Injury"), F.lit("Report:"), "source", "lang", F.col("file").cast("string"))
-    band = F.when(F.col("page") == 1, F.array(*[F.lit(t) for t, _, _ in BAND])).otherwise(F.array())
-    placed = sheets.select("file", "page", F.posexplode(F.concat(title, band, "body")).alias("idx", "text"))
+    band = _by_source(lambda shape: [w for w, _, _ in shape[0]])
+    shown = F.when(F.col("page") == 1, band).otherwise(F.array().cast("array<string>"))
+    placed = sheets.select("file", "source", "page", F.posexplode(F.concat(title, shown, "body")).alias("idx", "text"))
 
     shift = F.col("file") % 7
-    n_before = F.when(F.col("page") == 1, 5 + len(BAND)).otherwise(5)
+    n_cols = _by_source(lambda shape: shape[2])
+    n_before = F.when(F.col("page") == 1, _by_source(lambda shape: 5 + len(shape[0]))).otherwise(5)
     is_title, is_band = F.col("idx") < 5, F.col("idx") < n_before
     k = F.col("idx") - n_before
-    band_x0 = F.element_at(F.array(*[F.lit(21 + 100 * c + 50 * s) for _, c, s in BAND]), F.col("idx") - 4) + shift
-    body_x0 = 20 + 100 * (k % 7) + shift + (k * 13) % 60
+    band_x0 = F.element_at(_by_source(lambda shape: _band_x0(shape[0])), F.col("idx") - 4) + shift
+    body_x0 = 20 + 100 * (k % n_cols) + shift + (k * 13) % 60
     x0 = F.when(is_title, 0).when(is_band, band_x0).otherwise(body_x0)
     x1 = F.when(is_title, 1).when(is_band, band_x0 + 40).otherwise(body_x0 + 5 * F.length("text"))
-    bottom = F.when(is_title, 20).when(is_band, 50).otherwise(60 + 12 * F.floor(k / 7))
+    bottom = F.when(is_title, 20).when(is_band, 50).otherwise(60 + 12 * F.floor(k / n_cols))
     words = placed.select(
         "file",
         "page",
@@ -226,16 +259,16 @@ def decoded_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
     rules = F.array(*[F.lit(60.0 + 36 * j) for j in range(12) for _ in range(2)])
     page_list = tokens.select("file", F.explode(F.sequence(F.lit(1).cast("bigint"), n_pages)).alias("page"))
     lines = page_list.select("file", "page", F.explode(rules).alias("bottom"))
-    names = F.array(*[F.lit(c).cast("string") for c in HEADER_CELLS])
-    listed = F.when(F.col("source") == "src4", F.array_append(names, F.lit("Return Date"))).otherwise(names)
-    cells = (
-        docs.where("source <> 'src3'")
-        .select(F.col("doc_id").alias("file"), F.posexplode(listed).alias("pos", "name"))
+    names = _by_source(lambda shape: shape[1])
+    unusable = F.array(F.lit(None).cast("string"), F.lit("Home/Away"))
+    listed = F.concat(F.slice(names, 1, 3), unusable, F.slice(names, 4, F.size(names)))
+    cells = docs.where(F.col("source") != NO_TABLE_SOURCE).select(
+        F.col("doc_id").alias("file"), F.posexplode(listed).alias("pos", "name")
     )
     return DecodedReports(words, lines, cells)
 
 
 def landed_reports(spark: SparkSession, sf_dir: str) -> DecodedReports:
-    """The same with the words written to a table, as a decoder would leave them for the jobs after it."""
+    """The same with words and lines written to tables, as a decoder would leave them for the jobs after it."""
     decoded = decoded_reports(spark, sf_dir)
-    return DecodedReports(materialize(decoded.words, "words"), decoded.lines, decoded.cells)
+    return DecodedReports(materialize(decoded.words, "words"), materialize(decoded.lines, "lines"), decoded.cells)

@@ -8,16 +8,15 @@ from pyspark.sql import functions as F
 from rimstone.gallery.base import Registered
 from rimstone.gallery.derived import PAGES_SQL, decoded_reports, landed_reports
 from rimstone.operators import layout as lay
-from rimstone.plans.injury_reports import REPORT_COLUMNS
+from rimstone.plans.injury_reports import REPORT_COLUMNS, parse_reports
 
 
 def words_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    words = decoded_reports(spark, sf_dir).words
-    counted = lay.data_words(words).groupBy("file").agg(
-        F.count(F.lit(1)).alias("n_words"), F.sum(F.length("text")).alias("n_chars")
+    in_body = F.col("idx") >= lay.DATA_FROM
+    n_chars = F.coalesce(F.sum(F.when(in_body, F.length("text"))), F.lit(0).cast("long"))
+    return decoded_reports(spark, sf_dir).words.groupBy("file").agg(
+        lay.report_stamp().alias("reported_at"), F.count_if(in_body).alias("n_words"), n_chars.alias("n_chars")
     )
-    stamps = lay.report_stamps(words)
-    return stamps.join(counted, "file", "left").na.fill(0, ["n_words", "n_chars"])
 
 
 WORDS_INDEX = f"""with {PAGES_SQL}
@@ -28,7 +27,7 @@ from words group by 1
 
 
 def _edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = landed_reports(spark, sf_dir)
+    reports = decoded_reports(spark, sf_dir)
     return lay.header_edges(reports.words, lay.header_lists(reports.cells))
 
 
@@ -36,7 +35,7 @@ def header_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _edges(spark, sf_dir).withColumn("pos", F.col("pos").cast("bigint"))
 
 
-EDGES_SQL = f"""{PAGES_SQL},
+EDGES_SQL = """
 pairs as (
   select file, idx, text, x0, lead(text) over (partition by file order by idx) as next_text from words where page = 1
 ),
@@ -58,6 +57,13 @@ ranges as (
 )"""
 
 
+def row_boundaries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lay.row_boundaries(decoded_reports(spark, sf_dir).lines)
+
+
+ROW_BOUNDARIES = f"with {PAGES_SQL} select distinct file, page, bottom from lines"
+
+
 def word_to_line(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = landed_reports(spark, sf_dir)
     placed = lay.words_to_lines(lay.data_words(reports.words), reports.lines)
@@ -85,7 +91,7 @@ def word_to_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-WORD_TO_COLUMN = f"""with {RANGES_SQL}
+WORD_TO_COLUMN = f"""with {PAGES_SQL}, {RANGES_SQL}
 select w.file, r.name as "column", count(*) as n_words, cast(sum(length(w.text)) as bigint) as n_chars
 from words w join ranges r on w.file = r.file and w.x0 >= r.left_edge and w.x1 <= r.right_edge
 where w.idx >= 5 group by 1, 2
@@ -93,13 +99,13 @@ where w.idx >= 5 group by 1, 2
 
 
 def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    reports = landed_reports(spark, sf_dir)
-    rows = lay.table_rows(reports.words, reports.lines, reports.cells, REPORT_COLUMNS)
-    return rows.withColumn("row_order", F.col("row_order").cast("bigint"))
+    rows = parse_reports(landed_reports(spark, sf_dir), strict=False)
+    further = F.transform(F.array_sort(F.map_entries("more")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
+    return rows.withColumns({"row_order": F.col("row_order").cast("bigint"), "more": F.array_join(further, ";")})
 
 
 _CELLS = ", ".join(
-    f"""nullif(trim(coalesce(string_agg(text, ' ' order by idx) filter (name = '{name}'), ''), ' '), '') as {name.lower().replace(' ', '_')}"""
+    f"""nullif(trim(coalesce(string_agg(text, ' ' order by idx) filter (name in ('{name}', '{name.replace(' ', '')}')), ''), ' '), '') as {name.lower().replace(' ', '_')}"""
     for name in REPORT_COLUMNS
 )
 PLACED_SQL = f"""{RANGES_SQL},
@@ -120,11 +126,18 @@ placed as (
   select d.file, d.page, d.idx, d.text, d.is_header, d.line, r.name from lined d left join ranges r
     on d.file = r.file and d.x0 >= r.left_edge and d.x1 <= r.right_edge
 )"""
-LAYOUT_ROWS = f"""with {PLACED_SQL},
-stamps as (select file, string_agg(text, ' ' order by idx) as reported_at from words where page = 1 and idx between 2 and 4 group by 1)
-select p.file, page, line, min(idx) as row_order, {_CELLS}, min(reported_at) as reported_at
-from placed p join stamps s on p.file = s.file
-where not is_header and line is not null group by 1, 2, 3
+_LISTED = ", ".join(f"'{name}', '{name.replace(' ', '')}'" for name in REPORT_COLUMNS)
+LAYOUT_ROWS = f"""with {PAGES_SQL}, {PLACED_SQL},
+stamps as (select file, string_agg(text, ' ' order by idx) as reported_at from words where page = 1 and idx between 2 and 4 group by 1),
+listed as (select * from placed where not is_header and line is not null),
+further as (
+  select file, page, line, lower(name) || '=' || string_agg(text, ' ' order by idx) as entry
+  from listed where name not in ({_LISTED}) group by file, page, line, name
+),
+more as (select file, page, line, string_agg(entry, ';' order by entry) as more from further group by 1, 2, 3)
+select p.file, p.page, p.line, min(idx) as row_order, {_CELLS}, min(reported_at) as reported_at, coalesce(min(more), '') as more
+from listed p join stamps s on p.file = s.file left join more m on p.file = m.file and p.page = m.page and p.line = m.line
+group by 1, 2, 3
 """
 
 
@@ -133,7 +146,7 @@ def layout_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lay.dropped_words(reports.words, reports.lines, reports.cells)
 
 
-LAYOUT_DROPS = f"""with {PLACED_SQL}
+LAYOUT_DROPS = f"""with {PAGES_SQL}, {PLACED_SQL}
 select file, 'title' as reason, count(*) as n_words from words where idx < 5 group by 1
 union all
 select file, case when is_header then 'header' when line is null then 'below_last_line' else 'outside_columns' end as reason,
@@ -147,7 +160,7 @@ def layout_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lay.layout_faults(reports.words, reports.lines, reports.cells)
 
 
-LAYOUT_FAULTS = f"""with {PLACED_SQL},
+LAYOUT_FAULTS = f"""with {PAGES_SQL}, {PLACED_SQL},
 good as (select distinct file from placed where not is_header and line is not null),
 faults as (
   select doc_id as file, case when doc_id not in (select file from heads) then 'no_table'
@@ -160,8 +173,9 @@ select * from faults where fault is not null
 
 QUERIES: Registered = {
     "words_index": (words_index, WORDS_INDEX),
-    "header_edges": (header_edges, f"with {EDGES_SQL} select * from edges"),
-    "column_ranges": (column_ranges, f"with {RANGES_SQL} select * from ranges"),
+    "header_edges": (header_edges, f"with {PAGES_SQL}, {EDGES_SQL} select * from edges"),
+    "column_ranges": (column_ranges, f"with {PAGES_SQL}, {RANGES_SQL} select * from ranges"),
+    "row_boundaries": (row_boundaries, ROW_BOUNDARIES),
     "word_to_line": (word_to_line, WORD_TO_LINE),
     "word_to_column": (word_to_column, WORD_TO_COLUMN),
     "layout_rows": (layout_rows, LAYOUT_ROWS),

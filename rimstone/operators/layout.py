@@ -4,9 +4,9 @@ Inputs are tables: `words(file, page, idx, text, x0, x1, bottom)` with `idx` cou
 order on each page, `lines(file, page, bottom)`, and `cells(file, pos, name)`, the first row of the table
 found on a file's first page. Pages are numbered from 1.
 
-Work is always keyed by file and page. What a word needs to know of its page (the line below it, the column
-edges) is first worked out on the few distinct heights of the page and on one row per file, then joined to
-the words in a single spread join, so a page or file with very many words is shared out over tasks.
+What the words of a file have in common (its time, headers and column edges) is worked out from its first page, and
+what those at one height have in common from the distinct heights of a page: both are bounded by what fits on one
+page. It then meets the words, of which a file or a height may have very many, in one join. Tables may have any width.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimstone.errors import LayoutFault
-from rimstone.functions import snake_name
+from rimstone.functions import snake, snake_name
 from rimstone.operators.skew import TINY_SIDE_SPREAD, spread_join
 
 # Words 0-1 of a page are its title, 2-4 its time, data starts at 5; the last column is 500
@@ -28,29 +28,22 @@ LAST_COLUMN_WIDTH = 500.0
 LEFT_OFFSET = 1.0
 FIRST_PAGE = 1
 
-# A table with more columns than this is reported as a fault instead of being searched.
-MAX_COLUMNS = 64
 # Stands between headers in one text; no word and no header contains it.
 SEPARATOR = "\u001f"
-# Height of the bands a page is cut into while lines are looked up.
-BAND_HEIGHT = 72.0
+# Files named in an error message; the whole list is in the fault table.
+NAMED_FAULTS = 20
 
 NO_TABLE = "no_table"
-TOO_MANY_COLUMNS = "too_many_columns"
 HEADER_NOT_PLACED = "header_not_placed"
 NO_ROWS = "no_rows"
 
 
 def header_lists(cells: DataFrame) -> DataFrame:
-    """Column headers per file in table order; empty cells and names with a slash are left out.
-
-    One header past `MAX_COLUMNS` is kept, by which a table with too many columns is told.
-    """
+    """Column headers per file in table order; empty cells and names with a slash are left out."""
     named = cells.where(F.col("name").isNotNull() & ~F.contains("name", F.lit("/")))
-    place = F.row_number().over(Window.partitionBy("file").orderBy("pos"))
-    numbered = named.select("file", "name", place.alias("place")).where(F.col("place") <= MAX_COLUMNS + 1)
-    entry = F.struct((F.col("place") - 1).alias("pos"), "name")
-    return numbered.groupBy("file").agg(F.array_sort(F.collect_list(entry)).alias("headers"))
+    listed = named.groupBy("file").agg(F.array_sort(F.collect_list(F.struct("pos", "name"))).alias("headers"))
+    numbered = F.transform("headers", lambda h, i: F.struct(i.alias("pos"), h["name"].alias("name")))
+    return listed.withColumn("headers", numbered)
 
 
 def data_words(words: DataFrame) -> DataFrame:
@@ -58,93 +51,79 @@ def data_words(words: DataFrame) -> DataFrame:
     return words.where(F.col("idx") >= DATA_FROM)
 
 
-def report_stamps(words: DataFrame) -> DataFrame:
-    """Report time of each file: words 2 to 4 of its first page, in order."""
-    stamp = words.where((F.col("page") == FIRST_PAGE) & F.col("idx").between(STAMP_FROM, DATA_FROM - 1))
-    return stamp.groupBy("file").agg(_joined(F.collect_list(F.struct("idx", "text"))).alias("reported_at"))
-
-
-def _joined(collected: Column) -> Column:
-    """Texts of collected (idx, text) pairs, in order, with single spaces between."""
-    return F.array_join(F.transform(F.array_sort(collected), lambda w: w["text"]), " ")
+def report_stamp() -> Column:
+    """Report time of a group of words: those numbered 2 to 4 on the first page, in order."""
+    in_stamp = (F.col("page") == FIRST_PAGE) & F.col("idx").between(STAMP_FROM, DATA_FROM - 1)
+    found = F.array_sort(F.collect_list(F.when(in_stamp, F.struct("idx", "text"))))
+    return F.array_join(F.transform(found, lambda w: w["text"]), " ")
 
 
-def _positions(matches) -> Column:
-    return F.transform(F.filter("headers", matches), lambda h: h["pos"])
-
-
-def header_edges(words: DataFrame, headers: DataFrame) -> DataFrame:
-    """Left edge of every header that is found on the first page: `(file, pos, name, left_edge)`.
+def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
+    """One row per file that has a first page: `(file, reported_at, headers, ranges)`.
 
-    A word opens a header when it is the header, or when it begins it and the next word ends it. Going
-    through the page in order, a word opens only the first unplaced header it matches, and a header is
-    placed once; the last word of the page cannot open one.
+    `ranges` holds position, name, left and right edge of every header found on that page. A word opens a header
+    when it is the header, or when it begins it and the next word ends it. Going through the page in order, a word
+    opens only the first unplaced header it matches, and a header is placed once; the last word of the page
+    cannot open one.
     """
-    first_page = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", "x0")
-    last_word = first_page.groupBy("file").agg(F.max("idx").alias("last_idx"))
-    joined_names = header_line(F.transform("headers", lambda h: h["name"]))
-    usable = headers.where(F.size("headers") <= MAX_COLUMNS).join(last_word, "file").withColumn("joined", joined_names)
-    marked = spread_join(first_page, usable, ["file"], by=["idx"], spread=TINY_SIDE_SPREAD)
-
-    text, joined = F.col("text"), F.col("joined")
-    matches = marked.where(begins_header(text, joined) | ends_header(text, joined)).select(
-        "file",
-        "idx",
-        "x0",
-        _positions(lambda h: (h["name"] == text) & (F.col("idx") < F.col("last_idx"))).alias("whole"),
-        _positions(lambda h: F.startswith(h["name"], text)).alias("begins"),
-        _positions(lambda h: F.endswith(h["name"], text)).alias("ends"),
-    )
-    # A word speaks for its own place and, as the ending of a pair, for the place before it.
-    own = F.struct(F.col("idx").alias("at"), "x0", "whole", "begins", F.lit(None).cast("array<int>").alias("ends"))
-    nothing = F.lit(None).cast("array<int>")
-    before = F.struct(
-        (F.col("idx") - 1).cast(words.schema["idx"].dataType).alias("at"),
-        F.lit(None).cast("double").alias("x0"),
-        nothing.alias("whole"),
-        nothing.alias("begins"),
-        "ends",
+    following = F.lead("text").over(Window.partitionBy("file").orderBy("idx"))
+    first_page = words.where(F.col("page") == FIRST_PAGE).select("file", "page", "idx", "text", "x0")
+    paired = first_page.withColumn("next_text", following)
+    listed = headers.withColumn("joined", header_line(F.transform("headers", lambda h: h["name"])))
+    text, next_text = F.col("text"), F.col("next_text")
+    matching = F.filter(
+        "headers",
+        lambda h: (h["name"] == text) | (F.startswith(h["name"], text) & F.endswith(h["name"], next_text)),
     )
-    places = matches.select("file", F.inline(F.array(own, before))).groupBy("file", "at").agg(
-        F.max("x0").alias("x0"), F.max("whole").alias("whole"), F.max("begins").alias("begins"), F.max("ends").alias("ends")
+    opened = F.when(
+        next_text.isNotNull() & begins_header(text, F.col("joined")), F.transform(matching, lambda h: h["pos"])
     )
-    opened = F.array_union("whole", F.array_intersect("begins", F.coalesce("ends", F.array().cast("array<int>"))))
-    found = places.where(F.col("x0").isNotNull()).select(
-        "file", F.col("at").alias("idx"), "x0", F.explode(opened).alias("pos")
+    match = F.when(F.size(opened) > 0, F.struct("idx", "x0", opened.alias("opened")))
+    per_file = paired.join(listed, "file", "left").groupBy("file").agg(
+        report_stamp().alias("reported_at"),
+        F.any_value("headers").alias("headers"),
+        F.array_sort(F.collect_list(match)).alias("matches"),
     )
 
-    # A header is placed at the latest at its MAX_COLUMNS-th match, since each earlier match that passed it
-    # by placed another header; so this keeps every match that can matter.
-    nth = F.row_number().over(Window.partitionBy("file", "pos").orderBy("idx"))
-    able = found.withColumn("_n", nth).where(F.col("_n") <= MAX_COLUMNS)
-    in_order = F.array_sort(F.collect_list(F.struct("idx", "pos", (F.col("x0") - LEFT_OFFSET).alias("left_edge"))))
-
-    def place(state: Column, match: Column) -> Column:
-        taken = (state["at"] == match["idx"]) | F.exists(state["placed"], lambda p: p["pos"] == match["pos"])
-        entry = F.struct(match["pos"].alias("pos"), match["left_edge"].alias("left_edge"))
-        moved = F.struct(match["idx"].alias("at"), F.array_append(state["placed"], entry).alias("placed"))
-        return F.when(taken, state).otherwise(moved)
-
-    idx_type = words.schema["idx"].dataType.simpleString()
-    start = F.struct(
-        F.lit(-1).cast(idx_type).alias("at"),
-        F.array().cast("array<struct<pos:int,left_edge:double>>").alias("placed"),
+    def place(placed: Column, match: Column) -> Column:
+        free = F.filter(match["opened"], lambda pos: ~F.exists(placed, lambda p: p["pos"] == pos))
+        entry = F.struct(F.get(free, F.lit(0)).alias("pos"), (match["x0"] - LEFT_OFFSET).alias("left_edge"))
+        return F.when(F.size(free) > 0, F.array_append(placed, entry)).otherwise(placed)
+
+    nothing = F.array().cast("array<struct<pos:int,left_edge:double>>")
+    placed = per_file.withColumn("placed", F.array_sort(F.aggregate("matches", nothing, place)))
+    edges = F.transform(
+        "placed",
+        lambda p: F.struct(p["pos"].alias("pos"), F.get("headers", p["pos"])["name"].alias("name"), p["left_edge"].alias("left_edge")),
     )
-    placed = able.groupBy("file").agg(F.aggregate(in_order, start, place)["placed"].alias("placed"))
-    names = headers.select("file", F.inline("headers"))
-    return names.join(placed.select("file", F.inline("placed")), ["file", "pos"]).select(
-        "file", "pos", "name", "left_edge"
+    return placed.withColumn("edges", edges).select(
+        "file", "reported_at", "headers", with_right_edges(F.col("edges")).alias("ranges")
     )
 
 
-def column_ranges(edges: DataFrame) -> DataFrame:
-    """Left and right edge of each column: it ends where the next begins, the last one 500 points on.
+def with_right_edges(edges: Column) -> Column:
+    """Headers in table order with the right edge of their column: the next left edge, or 500 points on for the last."""
+    return F.transform(
+        edges,
+        lambda e, i: F.struct(
+            e["pos"].alias("pos"),
+            e["name"].alias("name"),
+            e["left_edge"].alias("left_edge"),
+            F.coalesce(F.get(edges, i + 1)["left_edge"], e["left_edge"] + LAST_COLUMN_WIDTH).alias("right_edge"),
+        ),
+    )
 
-    The window holds the headers of one file's table, a handful of rows.
-    """
-    following = F.lead("left_edge").over(Window.partitionBy("file").orderBy("pos"))
-    right = F.coalesce(following, F.col("left_edge") + LAST_COLUMN_WIDTH)
-    return edges.withColumn("right_edge", right)
+
+def header_edges(words: DataFrame, headers: DataFrame) -> DataFrame:
+    """Left edge of every header that is found on the first page: `(file, pos, name, left_edge)`."""
+    return file_layouts(words, headers).select("file", F.inline("ranges")).drop("right_edge")
+
+
+def column_ranges(edges: DataFrame) -> DataFrame:
+    """Left and right edge of each column from the edges of `header_edges`."""
+    entry = F.struct("pos", "name", "left_edge")
+    listed = edges.groupBy("file").agg(F.array_sort(F.collect_list(entry)).alias("edges"))
+    return listed.select("file", F.inline(with_right_edges(F.col("edges"))))
 
 
 def row_boundaries(lines: DataFrame) -> DataFrame:
@@ -155,9 +134,8 @@ def row_boundaries(lines: DataFrame) -> DataFrame:
 def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
     """For every height at which a page has words, the first ruled line at or below it: `(file, page, bottom, line)`.
 
-    The line is NULL for heights below the last line. Pages are cut into bands: inside a band the nearest line is a
-    running minimum from the bottom up, and a band without a line further down takes the first line of the
-    bands below it. Nothing here grows with the number of words at one height.
+    The line is NULL for heights below the last line: it is a running minimum over the distinct heights of the page,
+    from the bottom up. Nothing here grows with the number of words at one height.
     """
     at_words = words.select("file", "page", "bottom", F.lit(None).cast("double").alias("line"))
     at_lines = lines.select("file", "page", "bottom").withColumn("line", F.col("bottom"))
@@ -166,27 +144,12 @@ def lines_below(words: DataFrame, lines: DataFrame) -> DataFrame:
         .unionByName(at_lines.withColumn("has_word", F.lit(False)))
         .groupBy("file", "page", "bottom")
         .agg(F.max("line").alias("line"), F.max("has_word").alias("has_word"))
-        .withColumn("band", F.floor(F.col("bottom") / BAND_HEIGHT))
     )
     up_to_here = (
-        Window.partitionBy("file", "page", "band").orderBy(F.col("bottom").desc())
+        Window.partitionBy("file", "page").orderBy(F.col("bottom").desc())
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    in_band = heights.withColumn("line", F.min("line").over(up_to_here)).where("has_word").drop("has_word")
-
-    # Both uses of `heights` read the same columns, so that Spark computes and shuffles it once.
-    bands = heights.groupBy("file", "page", "band").agg(
-        F.min("line").alias("first_line"), F.max("has_word").alias("has_word")
-    )
-    bands_below = (
-        Window.partitionBy("file", "page").orderBy(F.col("band").desc())
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    below = bands.withColumn("next_line", F.min("first_line").over(bands_below)).where("has_word")
-    below = below.select("file", "page", "band", "next_line")
-    return in_band.join(below, ["file", "page", "band"]).select(
-        "file", "page", "bottom", F.coalesce("line", "next_line").alias("line")
-    )
+    return heights.withColumn("line", F.min("line").over(up_to_here)).where("has_word").drop("has_word")
 
 
 def words_to_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
@@ -225,32 +188,33 @@ def ends_header(text: Column, joined: Column) -> Column:
     return F.contains(joined, F.concat(text, F.lit(SEPARATOR)))
 
 
-def _placements(
-    words: DataFrame, lines: DataFrame, headers: DataFrame, edges: DataFrame, columns: Sequence[str] = ()
-) -> DataFrame:
+def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """Every data word of the files whose headers are all placed, with its line and its columns.
 
-    `line` is NULL below the last line. `slots` has, for each column that contains the word, its place in
-    `columns` counted from 1, or 0 if it is not listed there; it is empty for a word outside all columns.
+    `line` is NULL below the last line. Headers are known by their snake-case name. `slots` has, for each column that
+    contains the word, the place of its name in `columns` followed by the file's `others`, counted from 1; it is empty
+    for a word outside all columns.
     """
-    known = F.array(*[F.lit(c) for c in columns]).cast("array<string>")
-    listed = range_lists(column_ranges(edges)).select(
-        "file",
-        F.size("ranges").alias("n_ranges"),
-        header_line(F.transform("ranges", lambda r: r["name"])).alias("joined"),
-        F.transform(
-            "ranges",
-            lambda r: F.struct(
-                r["left_edge"].alias("left_edge"),
-                r["right_edge"].alias("right_edge"),
-                F.array_position(known, r["name"]).cast("int").alias("slot"),
-            ),
-        ).alias("ranges"),
-    )
+    known = F.array(*[F.lit(snake_name(c)) for c in columns]).cast("array<string>")
+    names = F.transform("headers", lambda h: h["name"])
     complete = (
-        headers.join(listed, "file")
-        .where((F.size("headers") > 0) & (F.size("headers") == F.col("n_ranges")))
-        .select("file", "ranges", "joined")
+        layouts.where((F.size("headers") > 0) & (F.size("headers") == F.size("ranges")))
+        .withColumn("others", F.array_except(F.transform(names, snake), known))
+        .withColumn("slots", F.concat(known, "others"))
+        .select(
+            "file",
+            "reported_at",
+            "others",
+            header_line(names).alias("joined"),
+            F.transform(
+                "ranges",
+                lambda r: F.struct(
+                    r["left_edge"].alias("left_edge"),
+                    r["right_edge"].alias("right_edge"),
+                    F.array_position("slots", snake(r["name"])).cast("int").alias("slot"),
+                ),
+            ).alias("ranges"),
+        )
     )
     body = data_words(words)
     targets = spread_join(lines_below(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
@@ -262,44 +226,54 @@ def _placements(
         "idx",
         "text",
         "line",
+        "reported_at",
+        "others",
         (begins_header(F.col("text"), F.col("joined")) | ends_header(F.col("text"), F.col("joined"))).alias("is_header"),
         F.transform(_containing(F.col("ranges")), lambda r: r["slot"]).alias("slots"),
     )
 
 
+def rows_of(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """`table_rows` of files whose layouts are known."""
+    kept = placed_words(words, lines, layouts, columns).where(F.col("line").isNotNull() & ~F.col("is_header"))
+    entries = kept.select(
+        "file", "page", "line", "reported_at", "others", "idx", "text", F.explode_outer("slots").alias("slot")
+    )
+    in_cell = F.when(F.col("slot").isNotNull(), F.struct("idx", "text", "slot"))
+    grouped = entries.groupBy("file", "page", "line").agg(
+        F.min("idx").alias("row_order"),
+        F.array_sort(F.collect_list(in_cell)).alias("entries"),
+        F.any_value("reported_at").alias("reported_at"),
+        F.any_value("others").alias("others"),
+    )
+
+    def cell(slot: Column) -> Column:
+        mine = F.filter("entries", lambda e: e["slot"] == slot)
+        text = F.array_join(F.transform(mine, lambda e: e["text"]), " ")
+        return F.nullif(F.trim(text), F.lit(""))
+
+    cells = [cell(F.lit(i)).alias(snake_name(name)) for i, name in enumerate(columns, start=1)]
+    values = F.transform("others", lambda _, i: cell(i + len(columns) + 1))
+    more = F.map_from_arrays("others", values).alias("more")
+    return grouped.select("file", "page", "line", "row_order", *cells, more, "reported_at")
+
+
 def table_rows(
     words: DataFrame, lines: DataFrame, cells: DataFrame, columns: Sequence[str]
 ) -> DataFrame:
     """Rows of all reports with the given table columns, named in snake case; absent or empty cells are NULL.
 
-    `row_order` is the index of a row's first word, the order in which rows come on their page. A row whose
-    words all lie outside the columns is kept with NULL cells.
+    A header belongs to the column of the same snake-case name, however it is spelled; two headers of a file with one
+    such name share a cell. Columns of a file that are not listed are kept in the map `more`. `row_order` is the
+    index of a row's first word, the order in which rows come on their page. A row whose words all lie outside the
+    columns is kept with NULL cells.
     """
-    headers = header_lists(cells)
-    placed = _placements(words, lines, headers, header_edges(words, headers), columns)
-    kept = placed.where(F.col("line").isNotNull() & ~F.col("is_header"))
-    entries = kept.select("file", "page", "line", "idx", "text", F.explode_outer("slots").alias("slot"))
-    in_cell = F.when(F.col("slot") > 0, F.struct("idx", "text", "slot"))
-    grouped = entries.groupBy("file", "page", "line").agg(
-        F.min("idx").alias("row_order"), F.array_sort(F.collect_list(in_cell)).alias("entries")
-    )
-
-    def cell(place: int, name: str) -> Column:
-        mine = F.filter("entries", lambda e: e["slot"] == place)
-        text = F.array_join(F.transform(mine, lambda e: e["text"]), " ")
-        return F.nullif(F.trim(text), F.lit("")).alias(snake_name(name))
-
-    rows = grouped.select(
-        "file", "page", "line", "row_order", *[cell(i, name) for i, name in enumerate(columns, start=1)]
-    )
-    stamped = spread_join(rows, report_stamps(words), ["file"], "left", spread=TINY_SIDE_SPREAD)
-    return stamped.withColumn("reported_at", F.coalesce("reported_at", F.lit("")))
+    return rows_of(words, lines, file_layouts(words, header_lists(cells)), columns)
 
 
 def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
     """Number of words per file and reason for which they are not in any cell."""
-    headers = header_lists(cells)
-    placed = _placements(words, lines, headers, header_edges(words, headers))
+    placed = placed_words(words, lines, file_layouts(words, header_lists(cells)))
     reason = (
         F.when(F.col("is_header"), "header")
         .when(F.col("line").isNull(), "below_last_line")
@@ -310,36 +284,47 @@ def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataF
     return in_title.unionByName(in_body).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_words"))
 
 
-def layout_faults(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
-    """Files that cannot be laid out, with the reason."""
-    headers = header_lists(cells)
-    edges = header_edges(words, headers)
-    placed = edges.groupBy("file").agg(F.count(F.lit(1)).cast("int").alias("n_placed"))
-    rows = (
-        _placements(words, lines, headers, edges)
-        .where(F.col("line").isNotNull() & ~F.col("is_header"))
-        .select("file")
-        .distinct()
-        .withColumn("has_rows", F.lit(True))
-    )
+def faults_of(words: DataFrame, headers: DataFrame, layouts: DataFrame, rows: DataFrame) -> DataFrame:
+    """Files of `words` and `headers` that cannot be laid out, with the reason; `rows` has the files with rows.
+
+    All four are brought to one row per file and one of their facts, which are then put together in one shuffle.
+    """
+    absent = F.lit(None).cast("int")
+    facts = [
+        (words, absent, absent, absent),
+        (headers, F.size("headers"), absent, absent),
+        (layouts, absent, F.size("ranges"), absent),
+        (rows, absent, absent, F.lit(1)),
+    ]
+    known = None
+    for frame, n_headers, n_placed, has_rows in facts:
+        each = frame.select("file", n_headers.alias("n_headers"), n_placed.alias("n_placed"), has_rows.alias("has_rows"))
+        known = each if known is None else known.unionByName(each)
+    per_file = known.groupBy("file").agg(*[F.max(c).alias(c) for c in ("n_headers", "n_placed", "has_rows")])
     fault = (
-        F.when(F.coalesce(F.size("headers"), F.lit(0)) <= 0, NO_TABLE)
-        .when(F.size("headers") > MAX_COLUMNS, TOO_MANY_COLUMNS)
-        .when(F.coalesce("n_placed", F.lit(0)) < F.size("headers"), HEADER_NOT_PLACED)
+        F.when(F.coalesce("n_headers", F.lit(0)) == 0, NO_TABLE)
+        .when(F.coalesce("n_placed", F.lit(0)) < F.col("n_headers"), HEADER_NOT_PLACED)
         .when(F.col("has_rows").isNull(), NO_ROWS)
     )
-    files = words.select("file").union(cells.select("file")).distinct()
-    return (
-        files.join(headers, "file", "left")
-        .join(placed, "file", "left")
-        .join(rows, "file", "left")
-        .select("file", fault.alias("fault"))
-        .where(F.col("fault").isNotNull())
-    )
+    return per_file.select("file", fault.alias("fault")).where(F.col("fault").isNotNull())
 
 
-def enforce_layout(faults: DataFrame) -> None:
-    """Raise if any file has a fault, naming a few of them."""
-    some = faults.limit(20).collect()
+def layout_faults(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
+    """Files that cannot be laid out, with the reason."""
+    headers = header_lists(cells)
+    layouts = file_layouts(words, headers)
+    with_rows = placed_words(words, lines, layouts).where(F.col("line").isNotNull() & ~F.col("is_header"))
+    files = words.select("file").unionByName(cells.select("file"))
+    return faults_of(files, headers, layouts, with_rows)
+
+
+def enforce_layout(faults: DataFrame, store: str | None = None) -> None:
+    """Raise if any file has a fault: with their number, a few names, and where all of them are written, if anywhere."""
+    if store is not None:
+        faults.write.mode("overwrite").option("compression", "zstd").parquet(store)
+        faults = faults.sparkSession.read.schema(faults.schema).parquet(store)
+    some = faults.orderBy("file").limit(NAMED_FAULTS).collect()
     if some:
-        raise LayoutFault("; ".join(f"{r['file']}: {r['fault']}" for r in some))
+        named = "; ".join(f"{r['file']}: {r['fault']}" for r in some)
+        n_faults = len(some) if len(some) < NAMED_FAULTS else faults.count()
+        raise LayoutFault(f"{n_faults} files cannot be laid out: {named}" + (f"; all in {store}" if store else ""))

@@ -5,15 +5,17 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
-from rimstone.functions import snake, snake_name
-from rimstone.operators.layout import enforce_layout, layout_faults, table_rows
+from rimstone.operators.layout import enforce_layout, faults_of, file_layouts, header_lists, rows_of
+from rimstone.session import materialize
 from rimstone.sources.datasets import INJURY_COLUMNS
 
 # Columns of the report table.
 REPORT_COLUMNS = ["Game Date", "Game Time", "Matchup", "Team", "Player Name", "Current Status", "Reason"]
 
+# Where a row comes from; `row_order` gives the order of a page's rows.
+PLACE_COLUMNS = ("file", "page", "line", "row_order")
+
 
 @dataclass(frozen=True)
 class DecodedReports:
@@ -24,21 +26,19 @@ class DecodedReports:
     cells: DataFrame
 
 
-def parse_reports(reports: DecodedReports, *, strict: bool = True) -> DataFrame:
-    """Rows of all reports. With `strict` any file that cannot be laid out stops the job by name."""
-    if strict:
-        enforce_layout(layout_faults(reports.words, reports.lines, reports.cells))
-    rows = table_rows(reports.words, reports.lines, reports.cells, header_names(reports.cells))
-    found = {c for c in rows.columns if c in INJURY_COLUMNS}
-    absent = {c: F.lit(None).cast("string") for c in INJURY_COLUMNS if c not in found}
-    return rows.withColumns(absent).select(*INJURY_COLUMNS) if absent else rows.select(*INJURY_COLUMNS)
-
+def parse_reports(reports: DecodedReports, *, strict: bool = True, fault_store: str | None = None) -> DataFrame:
+    """Rows of all reports: the report's columns, all other columns of a file in the map `more`, and the row's place.
 
-def header_names(cells: DataFrame) -> list[str]:
-    """Spelling of the report columns used in these files, matched by snake-case name.
-
-    Reports write a header with or without a space; the distinct spellings of seven names are few.
+    Headers are matched by their snake-case name, so files that spell them differently can be read together. With
+    `strict` any file that cannot be laid out stops the job: the error names some of these files, and
+    `fault_store` is where all of them are written. The rows are worked out once.
     """
-    wanted = {snake_name(c) for c in REPORT_COLUMNS}
-    spellings = cells.select("name").where(snake(F.col("name")).isin(*wanted)).distinct()
-    return [r["name"] for r in spellings.collect()]
+    headers = header_lists(reports.cells)
+    layouts = file_layouts(reports.words, headers)
+    rows = rows_of(reports.words, reports.lines, layouts, REPORT_COLUMNS)
+    rows = rows.select(*INJURY_COLUMNS, "more", *PLACE_COLUMNS)
+    if strict:
+        layouts, rows = materialize(layouts, "report-layouts"), materialize(rows, "report-rows")
+        files = reports.words.select("file").unionByName(reports.cells.select("file"))
+        enforce_layout(faults_of(files, headers, layouts, rows), fault_store)
+    return rows

@@ -1,13 +1,16 @@
-"""The layout job: step literals, golden rows, and random pages against a word-by-word reading."""
+"""The layout job: step literals, golden rows, and random pages against SQL."""
 
 import random
 
+import duckdb
+import pandas as pd
 import pytest
 from conftest import rows
 
 from rimstone.errors import LayoutFault
+from rimstone.gallery.layout import PLACED_SQL
 from rimstone.operators import layout as lay
-from rimstone.plans.injury_reports import REPORT_COLUMNS, DecodedReports, parse_reports
+from rimstone.plans.injury_reports import PLACE_COLUMNS, REPORT_COLUMNS, DecodedReports, parse_reports
 from rimstone.sources.datasets import INJURY_COLUMNS
 
 WORDS = "file string, page int, idx int, text string, x0 double, x1 double, bottom double"
@@ -78,7 +81,7 @@ def test_word_goes_to_the_first_line_at_or_below_it(spark):
 
 
 def test_lines_found_across_empty_bands(spark):
-    far = lay.BAND_HEIGHT * 9
+    far = 648.0
     words, lines, _ = frames(spark, page([("w", 0, 1, 3)]), [(1, far), (1, far + 1)], [])
     assert rows(lay.words_to_lines(words, lines).select("line")) == [(far,)]
 
@@ -103,9 +106,9 @@ def golden(spark, cells=SPELLED):
 
 def test_golden_report(spark):
     table = parse_reports(golden(spark))
-    assert tuple(table.columns) == INJURY_COLUMNS
+    assert tuple(table.columns) == (*INJURY_COLUMNS, "more", *PLACE_COLUMNS)
     reported = "06/13/26 12:45 PM"
-    assert rows(table) == sorted(
+    assert rows(table.select(*INJURY_COLUMNS)) == sorted(
         [
             ("06/13/2026", "08:30(ET)", "NYK@SAS", "NewYorkKnicks", "Robinson,Mitchell", "Available",
              "Injury/Illness-RightHand;Fractured Right5thMetacarpal", reported),
@@ -121,7 +124,6 @@ def test_golden_report(spark):
         ([None, "Home/Away"], HEADER + GOLDEN_ROWS, lay.NO_TABLE),
         ([*SPELLED, "Return"], HEADER + GOLDEN_ROWS, lay.HEADER_NOT_PLACED),
         (SPELLED, [*HEADER, ("Team", 0, 1, 60)], lay.NO_ROWS),
-        ([f"H{i}" for i in range(lay.MAX_COLUMNS + 1)], HEADER, lay.TOO_MANY_COLUMNS),
     ],
 )
 def test_faults_are_named(spark, cells, words, fault):
@@ -132,43 +134,13 @@ def test_faults_are_named(spark, cells, words, fault):
     assert parse_reports(made, strict=False).count() == 0
 
 
-def read_word_by_word(words, lines, names):
-    """Rows and dropped words of one file, by looking at each word in turn."""
-    pages = {}
-    for _, number, _, text, x0, x1, bottom in sorted(words, key=lambda w: (w[1], w[2])):
-        pages.setdefault(number, []).append((text, x0, x1, bottom))
-    first, edges = pages[1], {}
-    for here, following in zip(first, first[1:]):
-        for name in names:
-            opens = here[0] == name or (name.startswith(here[0]) and name.endswith(following[0]))
-            if opens and name not in edges:
-                edges[name] = here[1] - 1
-                break
-    if set(edges) != set(names):
-        return None
-    stops = [edges[n] for n in names[1:]] + [edges[names[-1]] + 500]
-    made = {}
-    for number, on_page in pages.items():
-        heights = sorted({b for p, b in lines if p == number})
-        for idx, (text, x0, x1, bottom) in enumerate(on_page):
-            below = [h for h in heights if h >= bottom]
-            if idx < 5 or not below or any(n.startswith(text) or n.endswith(text) for n in names):
-                continue
-            row = made.setdefault((number, below[0]), {"order": idx, **{n: [] for n in names}})
-            for name, stop in zip(names, stops):
-                if edges[name] <= x0 and x1 <= stop:
-                    row[name].append(text)
-    return {
-        (number, line, row["order"], *[" ".join(row[n]) or None for n in names])
-        for (number, line), row in made.items()
-    }
-
-
 @pytest.mark.parametrize("seed", range(6))
-def test_random_pages_against_reading_word_by_word(spark, seed):
+def test_random_pages_against_sql(spark, seed):
+    duck = duckdb.connect()
     dice = random.Random(seed)
     names = ["Team", "Game Date", "Game Time", "Status"]
-    vocabulary = ["Game", "Date", "Time", "Team", "Status", "T", "e", "us", "NYK", "out", "x", "G", "Dat"]
+    # No word of these begins two headers at once, which the SQL does not tell apart.
+    vocabulary = ["Game", "Date", "Time", "Team", "Status", "T", "us", "NYK", "out", "x", "Dat", "me"]
     words, lines = [], []
     for number in (1, 2, 3):
         band = [("Status", 310, 330, 9), ("Game", 110, 120, 9), ("Date", 121, 130, 9)] if number == 1 else []
@@ -181,8 +153,16 @@ def test_random_pages_against_reading_word_by_word(spark, seed):
         lines += [(number, dice.randrange(10, 280)) for _ in range(8)] * 2
     w, ln, c = frames(spark, words, lines, names)
     table = lay.table_rows(w, ln, c, names)
+    duck.register("words", w.toPandas())
+    duck.register("lines", ln.toPandas())
+    duck.register("heads", pd.DataFrame({"file": "a", "pos": range(len(names)), "name": names}))
+    cell = "nullif(coalesce(string_agg(text, ' ' order by idx) filter (name = '{}'), ''), '')"
+    wanted = duck.sql(
+        f"with {PLACED_SQL} select page, line, min(idx), {', '.join(map(cell.format, names))} from placed "
+        "where not is_header and line is not null group by 1, 2"
+    )
     got = {tuple(r) for r in table.select("page", "line", "row_order", "team", "game_date", "game_time", "status").collect()}
-    assert got == read_word_by_word(words, lines, names)
+    assert got == set(wanted.fetchall()) and got
     counted = lay.dropped_words(w, ln, c).groupBy().sum("n_words").first()[0]
     assert 0 < counted < len(words)
 
@@ -197,3 +177,28 @@ def test_hot_page_is_laid_out_whole(spark):
 
 def test_report_column_names_are_the_seven():
     assert [c.replace(" ", "") for c in REPORT_COLUMNS] == SPELLED
+
+
+def test_spellings_mix_and_all_columns_stay(spark):
+    """Files with and without spaces in their headers, with an eighth column, and with eighty."""
+    lines = [(1, 55), (1, 80), (1, 110)]
+    spaced = [("Game", 21, 50, 50), ("Date", 51, 60, 50), ("League", 701, 740, 50), *HEADER[1:]]
+    wide = [(f"C{i:02d}", 1000 + 100 * i, 1040 + 100 * i, 50) for i in range(80)]
+    cells = {"a": SPELLED, "b": ["Game Date", *SPELLED[1:], "League"], "c": [*SPELLED, *[w[0] for w in wide]]}
+    data = {"a": HEADER, "b": spaced, "c": HEADER + wide}
+    extra = {"a": [], "b": [("summer", 702, 760, 60)], "c": [("far", 8902, 8930, 60)]}
+    made = [frames(spark, page(TITLE + data[f] + GOLDEN_ROWS + extra[f], file=f), lines, cells[f], f) for f in cells]
+    w, ln, c = (a.union(b).union(c) for a, b, c in zip(*made))
+    table = parse_reports(DecodedReports(w, ln, c)).where("matchup is not null")
+    got = {r["file"]: (r["game_date"], {k: v for k, v in r["more"].items() if v}) for r in table.collect()}
+    day = "06/13/2026"
+    assert got == {"a": (day, {}), "b": (day, {"league": "summer"}), "c": (day, {"c79": "far"})}
+
+
+def test_all_faults_are_stored(spark, tmp_path):
+    words = [w for i in range(30) for w in page([*TITLE, *HEADER, ("low", 22, 30, 60)], file=f"f{i:02d}")]
+    w, ln, c = frames(spark, words, [(1, 55)], SPELLED, "f00")
+    store = str(tmp_path / "faults")
+    with pytest.raises(LayoutFault, match="30 files cannot be laid out: f00: no_rows; f01: no_table.*all in"):
+        parse_reports(DecodedReports(w, ln, c), fault_store=store)
+    assert spark.read.parquet(store).count() == 30
