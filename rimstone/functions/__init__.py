@@ -2,10 +2,8 @@
 
 from rimstone.functions.seasons import (
     latest_completed_season,
-    season_label,
     season_of_year,
     season_table,
-    seasons_between,
 )
 from rimstone.functions.text import (
     file_stem,
@@ -25,10 +23,8 @@ __all__ = [
     "last_part",
     "latest_completed_season",
     "path_tail",
-    "season_label",
     "season_of_year",
     "season_table",
-    "seasons_between",
     "snake",
     "snake_name",
     "trimmed",

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from rimstone.gallery.base import Registered, table
 from rimstone.operators.keyed import (
+    failed_keys,
     apply_per_key,
     budget_report,
     covered_by,
@@ -101,6 +102,17 @@ from outcome group by 1
 """
 
 
+def budget_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return failed_keys(outcomes_of(_applied(spark, sf_dir)))
+
+
+BUDGET_FAILURES = """
+select event_type as source_name, event_id || '#' || props as request,
+  'ValueError: odd k ' || cast(json_extract(props, '$.k') as bigint) as error
+from events where cast(json_extract(props, '$.k') as bigint) % 2 = 1
+"""
+
+
 def per_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_of(_applied(spark, sf_dir))
 
@@ -119,5 +131,6 @@ QUERIES: Registered = {
     "key_lookup": (key_lookup, KEY_LOOKUP),
     "key_uncovered": (key_uncovered, KEY_UNCOVERED),
     "error_budget": (error_budget, ERROR_BUDGET),
+    "budget_failures": (budget_failures, BUDGET_FAILURES),
     "per_key_rows": (per_key_rows, PER_KEY_ROWS),
 }

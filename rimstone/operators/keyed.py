@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +19,7 @@ from rimstone.operators.skew import spread_join
 # Fixed value: failures one source may have; the next one aborts it.
 FAILURE_BUDGET = 10
 ALL_SOURCES = "(all)"
+NO_KEYS = "the key list is empty: no source names a game"
 
 # Lines a per-key function gathers before they are handed to Spark.
 LINES_PER_BATCH = 10_000
@@ -47,7 +50,7 @@ def key_counts(keys: DataFrame, source: str = "source_name") -> DataFrame:
 def require_keys(keys: DataFrame) -> DataFrame:
     """`keys` itself, or an error when no source has any."""
     if keys.isEmpty():
-        raise EmptyDataset("There are no game IDs for the source")
+        raise EmptyDataset(NO_KEYS)
     return keys
 
 
@@ -68,6 +71,7 @@ def apply_per_key(
     function: Callable[[object], Records | Mapping[str, Records]],
     payload: Mapping[str, T.StructType] | T.StructType,
     source: str = "source_name",
+    partitions: int | None = None,
 ) -> DataFrame:
     """Run a user function once per row of `keys(source, key)` and keep what it raised instead of stopping.
 
@@ -75,7 +79,14 @@ def apply_per_key(
     gives their schemas in the same shape. Each key yields one line with `dataset` NULL that carries its `error` (NULL when it went
     well), and one line per returned row with the row in the struct column named after its dataset. Read it
     twice only from a written table, or the function runs twice.
+
+    Keys are shared out over `partitions` tasks (by default the number of shuffle partitions): a key list is short,
+    its calls are long. The function and its module travel to the executors by value, so they need not be installed
+    there. The records of one key are held until the function has returned, since an error discards them.
     """
+    if function.__module__ in sys.modules and function.__module__ != "__main__":
+        cloudpickle.register_pickle_by_value(sys.modules[function.__module__])
+    n_tasks = partitions or int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     shapes = {"rows": payload} if isinstance(payload, T.StructType) else dict(payload)
     schema = T.StructType(
         [
@@ -110,7 +121,7 @@ def apply_per_key(
             if waiting:
                 yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
 
-    return keys.select(source, key).mapInArrow(run, schema)
+    return keys.select(source, key).repartition(n_tasks, source, key).mapInArrow(run, schema)
 
 
 def results_of(applied: DataFrame, dataset: str = "rows") -> DataFrame:
@@ -123,10 +134,17 @@ def outcomes_of(applied: DataFrame) -> DataFrame:
     return applied.where(F.col("dataset").isNull()).drop("dataset").select(*applied.columns[:2], "error")
 
 
+def failed_keys(outcomes: DataFrame) -> DataFrame:
+    """Every failed key with its source and error."""
+    return outcomes.where(F.col("error").isNotNull())
+
+
 def budget_report(
     outcomes: DataFrame, key: str, source: str = "source_name", budget: int = FAILURE_BUDGET
 ) -> DataFrame:
-    """Keys done and failed per source, the failed keys up to one past the budget, and the verdict.
+    """Keys done and failed per source, the first failed keys up to one past the budget, and the verdict.
+
+    All failed keys are in `failed_keys`; those here are for messages.
 
     `aborted`: more than `budget` keys failed. `empty`: none succeeded. `passed`: the rest.
     """

@@ -16,7 +16,7 @@ from rimstone.operators.ledger import Ledger
 from rimstone.operators.skew import spread_join
 from rimstone.plans.injury_reports import DecodedReports, parse_reports
 from rimstone.plans.publish import ingest, ingest_many, publish, publish_raw, reconcile
-from rimstone.sinks.naming import Target, object_key, report_folder
+from rimstone.sinks.naming import Target, report_folder
 from rimstone.sources.datasets import (
     BOX_SCORE_DATASETS,
     GAME_LOGS,
@@ -27,8 +27,8 @@ from rimstone.sources.datasets import (
 )
 
 
-def _target(dataset: LandedDataset, parts: int = 2) -> Target:
-    return Target(dataset.source_name, dataset.path, object_key(dataset.path, parts))
+def _target(dataset: LandedDataset) -> Target:
+    return Target(dataset.source_name, dataset.path, dataset.s3_key)
 
 
 def rows_per_source(rows: DataFrame, keys: DataFrame, key: str, key_in_list: str) -> DataFrame:
@@ -83,12 +83,12 @@ def ingest_player_details(ledger: Ledger, landing: Landed, bronze: Landed, playe
     def build(spark: SparkSession) -> DataFrame:
         return covered_by(landing.player_detail_dataset().read(spark), players, "PERSON_ID")
 
-    return ingest(ledger, bronze.root, _target(bronze.player_detail_dataset(), 3), build, skip_done=False)
+    return ingest(ledger, bronze.root, _target(bronze.player_detail_dataset()), build, skip_done=False)
 
 
 def ingest_rosters(ledger: Ledger, landing: Landed, bronze: Landed, players: DataFrame) -> dict[str, int]:
     """Rosters and coaches of the teams in a player list; made anew on every run."""
-    targets = {n: _target(d, 3) for n, d in bronze.roster_datasets().items()}
+    targets = {n: _target(d) for n, d in bronze.roster_datasets().items()}
 
     def build(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame]:
         teams = distinct_keys(players, "TEAM_ID")
@@ -103,12 +103,12 @@ def ingest_injury_reports(
 ) -> int | None:
     """Record the year's raw files, then publish their rows."""
     dataset = bronze.injury_dataset(year)
-    target = _target(dataset, 4)
+    target = _target(dataset)
     raw = report_folder(bronze.root, INJURIES, year, "raw")
     try:
         if not ledger.should_ingest(target.s3_key):
             return None
-        publish_raw(ledger, raw, object_key(raw, 3))
+        publish_raw(ledger, raw, f"{INJURIES}/{year}/raw")
         return publish(ledger, target, lambda spark: parse_reports(decoded))
     finally:
         reconcile(ledger, bronze.root)

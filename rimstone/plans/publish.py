@@ -6,7 +6,6 @@ from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
-from rimstone.functions import seasons_between
 from rimstone.operators.ledger import FAILURE, SUCCESS, Ledger, OpenRun
 from rimstone.sinks.naming import Target
 from rimstone.sinks.parquet import publish_parquet
@@ -110,12 +109,12 @@ def ingest_many(
         reconcile(ledger, root)
 
 
-def for_each_season(step: Callable[[str], object], start_year: int, end_year: int) -> list[object]:
-    """Run one publish per season in order; the first error stops the rest.
+def for_each_season(step: Callable[[str], object], seasons: DataFrame) -> list[object]:
+    """Run one publish per season of a season table, in order; the first error stops the rest.
 
     Only the publishing is looped; a build that spans seasons should be one job partitioned by season.
     """
-    return [step(season) for season in seasons_between(start_year, end_year)]
+    return [step(row["season"]) for row in seasons.orderBy("start_year").collect()]
 
 
 def for_each_year(step: Callable[..., object], years: Mapping[int, Mapping[str, object]]) -> list[object]:

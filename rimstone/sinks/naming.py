@@ -1,10 +1,9 @@
-"""Names, paths and keys of datasets; driver-side helpers, one call per dataset."""
+"""Names, paths and keys of datasets, worked out as columns from a table of declarations."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,44 +14,13 @@ from rimstone.functions import kebab
 DEFAULT_SCHEMA = "default"
 
 
-def kebab_name(prefix: str, suffixes: Sequence[object]) -> str:
-    """Source name: the prefix and the suffixes in lower case, hyphens for spaces."""
-    if not suffixes:
-        raise MissingSuffix(f"{prefix!r} needs at least one suffix")
-    tail = "-".join(map(str, suffixes))
-    return prefix + "-" + tail.lower().replace(" ", "-")
-
-
-def today() -> str:
-    return datetime.now(tz=timezone.utc).date().isoformat()
-
-
-def dataset_path(
-    root: str, source_name: str, *, season: str | None = None, folder: str | None = None, run_date: str = ""
-) -> str:
-    """`root/<season>/<name>.parquet`, or `root/<folder>/<date>/<name>.parquet` when a folder is given."""
-    if folder is not None:
-        scope = f"{folder}/{run_date or today()}"
-    elif season:
-        scope = season
-    else:
-        raise ValueError("a dataset path needs a season or a folder")
-    return f"{root.rstrip('/')}/{scope}/{source_name}.parquet"
-
-
-def report_folder(root: str, folder: str, year: int, tier: str) -> str:
-    """`root/<folder>/<year>/<tier>`; the tier is `raw` or `parsed`."""
-    return f"{root.rstrip('/')}/{folder}/{year}/{tier}"
-
-
-def raw_file_path(root: str, folder: str, year: int, url: str) -> str:
-    """Where the raw report behind a URL lies."""
-    return f"{report_folder(root, folder, year, 'raw')}/{url.rpartition('/')[2]}"
-
+@dataclass(frozen=True)
+class Declared:
+    """A dataset by its parts: the words of its source name and the folders it lies in, below the lake's root."""
 
-def object_key(path: str, n: int = 2) -> str:
-    """Last `n` parts of a path."""
-    return "/".join([part for part in path.split("/") if part][-n:])
+    prefix: str
+    suffixes: tuple[object, ...]
+    folders: tuple[object, ...]
 
 
 @dataclass(frozen=True)
@@ -64,34 +32,53 @@ class Target:
     s3_key: str
 
 
-def target(
-    root: str,
-    prefix: str,
-    suffixes: Sequence[object],
-    *,
-    season: str | None = None,
-    folder: str | None = None,
-    run_date: str = "",
-) -> Target:
-    """Naming of a season-scoped (two-part key) or dated (three-part key) dataset."""
-    name = kebab_name(prefix, suffixes)
-    path = dataset_path(root, name, season=season, folder=folder, run_date=run_date)
-    return Target(name, path, object_key(path, 3 if folder is not None else 2))
+def named(declared: DataFrame) -> DataFrame:
+    """`declared(prefix, suffixes, folders)` with `source_name` and `s3_key`, the place below the lake's root."""
+    with_name = declared.withColumn("source_name", kebab("prefix", F.array_join("suffixes", "-")))
+    file = F.concat("source_name", F.lit(".parquet"))
+    return with_name.withColumn("s3_key", F.concat_ws("/", "folders", file))
+
+
+def targets(spark: SparkSession, root: str, declared: Sequence[Declared]) -> list[Target]:
+    """Naming of declared datasets, in their order. An empty folder stands for one that is filled in on the day: today."""
+    for d in declared:
+        if not d.suffixes:
+            raise MissingSuffix(f"a dataset of {d.prefix!r} is told from others by its suffixes; it has none")
+        if not d.folders:
+            raise ValueError(f"dataset {d.prefix!r} is in no folder")
+    rows = [(i, d.prefix, [str(x) for x in d.suffixes], [str(x) for x in d.folders]) for i, d in enumerate(declared)]
+    table = spark.createDataFrame(rows, "n int, prefix string, suffixes array<string>, folders array<string>")
+    today = F.date_format(F.to_utc_timestamp(F.current_timestamp(), F.current_timezone()), "yyyy-MM-dd")
+    filled = table.withColumn("folders", F.transform("folders", lambda f: F.when(f == "", today).otherwise(f)))
+    path = F.concat_ws("/", F.rtrim(F.lit(root), F.lit("/")), "s3_key").alias("path")
+    made = named(filled).orderBy("n").select("source_name", path, "s3_key")
+    return [Target(*row) for row in made.collect()]
+
+
+def report_folder(root: str, folder: str, year: int, tier: str) -> str:
+    """`root/<folder>/<year>/<tier>`; the tier is `raw` or `parsed`."""
+    return f"{root.rstrip('/')}/{folder}/{year}/{tier}"
 
 
 def wanted_targets(
-    spark: SparkSession, prefix: str, variants: dict[str, Sequence[str]], seasons: DataFrame, periods: Sequence[str]
+    prefix: str, variants: dict[str, Sequence[str]], seasons: DataFrame, periods: Sequence[str]
 ) -> DataFrame:
     """Every (season, variant, dataset) with its source name and key, to be compared with the ledger.
 
     One row per season and declared dataset, so it stays small.
     """
     listed = [(v, d) for v, names in variants.items() for d in names]
-    declared = F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(d).alias("dataset")) for v, d in listed])
-    rows = seasons.select("season", F.inline(declared))
-    suffix = F.replace(F.col("dataset"), F.lit("_"), F.lit("-"))
-    named = rows.withColumn("source_name", kebab(F.lit(prefix), *[F.lit(p) for p in periods], "variant", suffix))
-    return named.withColumn("s3_key", F.concat("season", F.lit("/"), "source_name", F.lit(".parquet")))
+    pairs = F.array(*[F.struct(F.lit(v).alias("variant"), F.lit(d).alias("dataset")) for v, d in listed])
+    rows = seasons.select("season", F.inline(pairs)).withColumns(
+        {
+            "prefix": F.lit(prefix),
+            "suffixes": F.array(
+                *[F.lit(p) for p in periods], F.col("variant"), F.replace("dataset", F.lit("_"), F.lit("-"))
+            ),
+            "folders": F.array("season"),
+        }
+    )
+    return named(rows).select("season", "variant", "dataset", "source_name", "s3_key")
 
 
 def qualified(table: str, schema: str | None = None, catalog: str | None = None) -> str:

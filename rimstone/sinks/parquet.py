@@ -5,7 +5,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -19,11 +19,45 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def former_path(path: str) -> str:
+    """Where the former dataset waits while a new one takes its place."""
+    parent, _, name = path.rstrip("/").rpartition("/")
+    return f"{parent}/_former-{name}"
+
+
+def move(fs, source, to) -> None:
+    if not fs.rename(source, to):
+        raise OSError(f"cannot move {source} to {to}")
+
+
+def restore_former(spark: SparkSession, path: str) -> bool:
+    """Put the former dataset back where a publish was cut short; tells whether it was."""
+    fs, former = filesystem(spark, former_path(path))
+    _, final = filesystem(spark, path)
+    if not fs.exists(former) or fs.exists(final):
+        return False
+    move(fs, former, final)
+    return True
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """A published dataset, or a glob of several; the former one where the driver stopped before the new one was moved."""
+    if "*" not in path:
+        fs, final = filesystem(spark, path)
+        _, former = filesystem(spark, former_path(path))
+        if not fs.exists(final) and fs.exists(former):
+            path = former_path(path)
+    # A folder whose name begins with an underscore is read only when it is named itself.
+    return spark.read.parquet(path)
+
+
 def publish_parquet(df: DataFrame, path: str) -> int:
     """Write a dataset beside its place, refuse it if it is empty, then move it there; returns the row count.
 
-    The rows are computed once: the count is observed during the write. Until the move the former dataset
-    stays readable, and an empty or failed write leaves it as it was.
+    The rows are computed once: the count is observed during the write. The former dataset is moved aside and
+    deleted last: an empty, failed or unfinished write leaves it as it was, and a failed move puts it back. If the
+    driver stops between the two moves, `read_published` and the next publish find it beside its place. A move is
+    one step on HDFS and local disks; an object store copies.
     """
     spark = df.sparkSession
     parent, _, name = path.rstrip("/").rpartition("/")
@@ -36,10 +70,18 @@ def publish_parquet(df: DataFrame, path: str) -> int:
         rows_in = seen.get["rows_in"]
         if rows_in == 0:
             raise EmptyDataset(f"no rows for {path}")
-        final = spark._jvm.org.apache.hadoop.fs.Path(path)
-        fs.delete(final, True)
-        if not fs.rename(staged_path, final):
-            raise OSError(f"cannot move {staged} to {path}")
+        restore_former(spark, path)
+        _, former = filesystem(spark, former_path(path))
+        _, final = filesystem(spark, path)
+        if fs.exists(final):
+            fs.delete(former, True)
+            move(fs, final, former)
+        try:
+            move(fs, staged_path, final)
+        except Exception:
+            restore_former(spark, path)
+            raise
+        fs.delete(former, True)
     finally:
         fs.delete(staged_path, True)
     return rows_in

@@ -9,8 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from rimstone.errors import EmptyDataset
 from rimstone.operators.cleaning import require_columns
-from rimstone.operators.keyed import covered_by, keys_by_source, require_keys
-from rimstone.sinks.naming import dataset_path, kebab_name
+from rimstone.operators.keyed import NO_KEYS, covered_by, keys_by_source, require_keys
+from rimstone.sinks.naming import Declared, targets
+from rimstone.sinks.parquet import read_published
 from rimstone.sources.files import scan_prefix, with_source_name
 
 # Codes used in source names.
@@ -60,9 +61,9 @@ INJURY_COLUMNS = (
 )
 
 
-def name_frames(names: Sequence[str], frames: Sequence[DataFrame]) -> dict[str, DataFrame]:
-    """Frames of one response by dataset name; their number must match."""
-    return dict(zip(names, frames, strict=True))
+def name_parts(names: Sequence[str], parts: Sequence[object]) -> dict:
+    """Parts of one response by dataset name; their number must match."""
+    return dict(zip(names, parts, strict=True))
 
 
 @dataclass(frozen=True)
@@ -71,14 +72,15 @@ class LandedDataset:
 
     source_name: str
     path: str
+    s3_key: str
     required: tuple[str, ...] = field(default=())
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return require_columns(spark.read.parquet(self.path), self.required)
+        return require_columns(read_published(spark, self.path), self.required)
 
 
 class Landed:
-    """Typed readers over a lake root; implements the four source protocols by reading landed files."""
+    """Typed readers over a lake root: what fetchers have landed, or what has been published from it."""
 
     def __init__(self, spark: SparkSession, root: str, *, league: str = LEAGUES["NBA"], run_date: str = "") -> None:
         self.spark = spark
@@ -86,49 +88,41 @@ class Landed:
         self.league = league
         self.run_date = run_date
 
-    def dataset(
-        self,
-        prefix: str,
-        suffixes: Sequence[object],
-        required: Sequence[str] = (),
-        *,
-        season: str | None = None,
-        folder: str | None = None,
-    ) -> LandedDataset:
-        name = kebab_name(prefix, suffixes)
-        path = dataset_path(self.root, name, season=season, folder=folder, run_date=self.run_date)
-        return LandedDataset(name, path, tuple(required))
+    def _named(self, declared: Sequence[tuple[Declared, Sequence[str]]]) -> list[LandedDataset]:
+        made = targets(self.spark, self.root, [d for d, _ in declared])
+        return [LandedDataset(t.source_name, t.path, t.s3_key, tuple(r)) for t, (_, r) in zip(made, declared)]
 
     def game_log_dataset(self, season: str, kind: str = "T", season_type: str = SEASON_TYPES[0]) -> LandedDataset:
-        return self.dataset(GAME_LOGS, [self.league, kind, season_type], GAME_LOG_COLUMNS, season=season)
+        declared = Declared(GAME_LOGS, (self.league, kind, season_type), (season,))
+        return self._named([(declared, GAME_LOG_COLUMNS)])[0]
 
     def play_by_play_dataset(self, season: str) -> LandedDataset:
-        return self.dataset(PLAY_BY_PLAY, [ALL_PERIODS, ALL_PERIODS], PLAY_BY_PLAY_COLUMNS, season=season)
+        declared = Declared(PLAY_BY_PLAY, (ALL_PERIODS, ALL_PERIODS), (season,))
+        return self._named([(declared, PLAY_BY_PLAY_COLUMNS)])[0]
 
     def box_score_datasets(self, season: str, variant: str) -> dict[str, LandedDataset]:
-        return {
-            name: self.dataset(
-                BOX_SCORES,
-                [ALL_PERIODS, ALL_PERIODS, variant, name.replace("_", "-")],
-                ("gameId", "source_name"),
-                season=season,
-            )
-            for name in BOX_SCORE_DATASETS[variant]
-        }
+        names = BOX_SCORE_DATASETS[variant]
+        declared = [
+            Declared(BOX_SCORES, (ALL_PERIODS, ALL_PERIODS, variant, n.replace("_", "-")), (season,)) for n in names
+        ]
+        return name_parts(names, self._named([(d, ("gameId", "source_name")) for d in declared]))
 
     def player_list_dataset(self, season: str, flag: int = CURRENT_SEASON_ONLY) -> LandedDataset:
-        return self.dataset(PLAYERS, [flag, self.league], ("PERSON_ID",), season=season)
+        return self._named([(Declared(PLAYERS, (flag, self.league), (season,)), ("PERSON_ID",))])[0]
 
     def player_detail_dataset(self, flag: int = CURRENT_SEASON_ONLY) -> LandedDataset:
-        return self.dataset(PLAYERS, [flag, self.league], ("PERSON_ID",), folder=PLAYER_FOLDER)
+        folders = (PLAYER_FOLDER, self.run_date)
+        return self._named([(Declared(PLAYERS, (flag, self.league), folders), ("PERSON_ID",))])[0]
 
     def roster_datasets(self) -> dict[str, LandedDataset]:
         keys = {"roster": ("TEAM_ID", "PLAYER_ID"), "coaches": ("TEAM_ID", "COACH_ID")}
-        return {n: self.dataset(TEAMS, [self.league, n], keys[n], folder=ROSTER_FOLDER) for n in ROSTER_DATASETS}
+        folders = (ROSTER_FOLDER, self.run_date)
+        declared = [(Declared(TEAMS, (self.league, n), folders), keys[n]) for n in ROSTER_DATASETS]
+        return name_parts(ROSTER_DATASETS, self._named(declared))
 
     def injury_dataset(self, year: int) -> LandedDataset:
-        path = f"{self.root}/{INJURIES}/{year}/parsed/{INJURIES}.parquet"
-        return LandedDataset(INJURIES, path, INJURY_COLUMNS)
+        key = f"{INJURIES}/{year}/parsed/{INJURIES}.parquet"
+        return LandedDataset(INJURIES, f"{self.root}/{key}", key, INJURY_COLUMNS)
 
     def get_game_logs(self, season: str) -> DataFrame:
         return self.game_log_dataset(season).read(self.spark)
@@ -141,7 +135,7 @@ class Landed:
         frames = [
             covered_by(d.read(self.spark), keys, "gameId") for d in self.box_score_datasets(season, variant).values()
         ]
-        return name_frames(BOX_SCORE_DATASETS[variant], frames)
+        return name_parts(BOX_SCORE_DATASETS[variant], frames)
 
     def get_all_players_info(self, season: str) -> DataFrame:
         return self.player_list_dataset(season).read(self.spark)
@@ -151,12 +145,12 @@ class Landed:
 
     def get_team_roster_info(self, keys: DataFrame, season: str | None = None) -> dict[str, DataFrame]:
         frames = [covered_by(d.read(self.spark), keys, "TEAM_ID") for d in self.roster_datasets().values()]
-        return name_frames(ROSTER_DATASETS, frames)
+        return name_parts(ROSTER_DATASETS, frames)
 
     def game_ids_by_source(self, season: str, prefix: str = GAME_LOGS, key: str = "GAME_ID") -> DataFrame:
         """Distinct game ids of every landed source of a season: `(source_name, id)`; an error if there is none."""
         rows = scan_prefix(self.spark, f"{self.root}/{season}", prefix)
         if rows is None:
-            raise EmptyDataset("There are no game IDs for the source")
+            raise EmptyDataset(NO_KEYS)
         named = rows if "source_name" not in rows.columns else rows.drop("source_name")
         return require_keys(keys_by_source(with_source_name(named), key))

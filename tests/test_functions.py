@@ -36,8 +36,7 @@ def test_trim_and_hash_of_ids(spark):
         ("a.parquet", 2, "a.parquet"),
     ],
 )
-def test_object_key(spark, path, n, tail):
-    assert naming.object_key(path, n) == tail
+def test_path_tail(spark, path, n, tail):
     assert spark.range(1).select(fn.path_tail(F.lit(path), n)).first()[0] == tail
 
 
@@ -48,33 +47,35 @@ def test_stem_and_last_part(spark):
 
 def test_kebab(spark):
     wanted = "league-game-logs-00-t-regular-season"
-    assert naming.kebab_name("league-game-logs", ["00", "T", "Regular Season"]) == wanted
     column = fn.kebab(F.lit("league-game-logs"), F.lit("00"), F.lit("T"), F.lit("Regular Season"))
     assert spark.range(1).select(column).first()[0] == wanted
     with pytest.raises(MissingSuffix):
-        naming.kebab_name("league-game-logs", [])
+        naming.targets(spark, "/d", [naming.Declared("league-game-logs", (), ("2025-26",))])
 
 
 def test_seasons(spark):
-    assert fn.seasons_between(1999, 2001) == ["1999-00", "2000-01"]
-    assert fn.seasons_between(2001, 2001) == []
     assert rows(fn.season_table(spark, 1999, 2001), "start_year") == [(1999, "1999-00"), (2000, "2000-01")]
     assert fn.season_table(spark, 2002, 2001).count() == 0
-    assert fn.latest_completed_season(date(2026, 3, 1)) == "2025-26"
-
-
-def test_paths():
-    assert naming.dataset_path("/d", "x", season="2025-26") == "/d/2025-26/x.parquet"
-    assert naming.dataset_path("/d", "x", season="2025-26", folder="rosters", run_date="2026-01-02") == (
-        "/d/rosters/2026-01-02/x.parquet"
-    )
-    with pytest.raises(ValueError):
-        naming.dataset_path("/d", "x")
-    assert naming.raw_file_path("/d", "injuries", 2025, "https://h/p/Injury-Report_1.pdf") == (
-        "/d/injuries/2025/raw/Injury-Report_1.pdf"
+    assert spark.range(1).select(fn.latest_completed_season(F.lit(date(2026, 3, 1)))).first()[0] == "2025-26"
+
+
+def test_targets(spark):
+    made = naming.targets(
+        spark,
+        "/d/",
+        [
+            naming.Declared("league-game-logs", ("00", "T", "All Star"), ("2025-26",)),
+            naming.Declared("players-info", (1, "00"), ("player-bios", "2026-01-02")),
+            naming.Declared("players-info", (1, "00"), ("player-bios", "")),
+        ],
     )
-    made = naming.target("/d", "players-info", [1, "00"], folder="player-bios", run_date="2026-01-02")
-    assert made.s3_key == "player-bios/2026-01-02/players-info-1-00.parquet"
+    assert [t.s3_key for t in made[:2]] == [
+        "2025-26/league-game-logs-00-t-all-star.parquet", "player-bios/2026-01-02/players-info-1-00.parquet"
+    ]
+    assert made[1] == naming.Target("players-info-1-00", "/d/" + made[1].s3_key, made[1].s3_key)
+    assert abs((date.fromisoformat(made[2].s3_key.split("/")[1]) - date.today()).days) <= 1
+    with pytest.raises(ValueError, match="no folder"):
+        naming.targets(spark, "/d", [naming.Declared("x", (1,), ())])
     assert naming.qualified("t", " silver ", "dev") == "dev.silver.t"
     assert naming.qualified("t") == "default.t"
 
@@ -82,7 +83,7 @@ def test_paths():
 def test_wanted_targets(spark):
     seasons = spark.createDataFrame([("2024-25",)], "season string")
     made = naming.wanted_targets(
-        spark, "box-score-logs", {"traditional": ("team_stats",), "summary": ("game_info",)}, seasons, ["0", "0"]
+        "box-score-logs", {"traditional": ("team_stats",), "summary": ("game_info",)}, seasons, ["0", "0"]
     )
     assert {r["s3_key"] for r in made.collect()} == {
         "2024-25/box-score-logs-0-0-traditional-team-stats.parquet",

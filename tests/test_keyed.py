@@ -26,7 +26,7 @@ def test_distinct_keys(spark):
     assert rows(kd.key_counts(by_source)) == [("(all)", 2), ("a", 1), ("b", 1)]
     with pytest.raises(MissingColumn, match="gameId"):
         kd.distinct_keys(df, "gameId")
-    with pytest.raises(EmptyDataset, match="There are no game IDs"):
+    with pytest.raises(EmptyDataset, match="key list is empty"):
         kd.require_keys(by_source.where("false"))
 
 

@@ -7,11 +7,14 @@ from conftest import rows
 from test_layout import golden
 
 from rimstone.errors import EmptyDataset
+from rimstone.functions import season_table
 from rimstone.operators.ledger import FAILURE, PENDING, SUCCESS, Ledger
 from rimstone.plans import ingest as ing
 from rimstone.plans import publish as pub
 from rimstone.sinks.naming import Target
-from rimstone.sinks.parquet import publish_parquet, write_parquet
+from rimstone.session import filesystem
+from rimstone.sinks import parquet as sink
+from rimstone.sinks.parquet import publish_parquet, read_published, write_parquet
 from rimstone.sources.datasets import BOX_SCORE_DATASETS, Landed
 
 SEASON = "2024-25"
@@ -59,6 +62,36 @@ def test_failed_write_keeps_the_old_dataset(spark, tmp_path):
     assert spark.read.parquet(path).count() == 3
 
 
+def test_failed_move_puts_the_old_dataset_back(spark, tmp_path, monkeypatch):
+    path = target(tmp_path).path
+    publish_parquet(spark.range(2), path)
+    real = sink.move
+
+    def failing(fs, source, to):
+        if "_staged" in str(source):
+            raise OSError("no move")
+        real(fs, source, to)
+
+    monkeypatch.setattr(sink, "move", failing)
+    with pytest.raises(OSError, match="no move"):
+        publish_parquet(spark.range(3), path)
+    assert spark.read.parquet(path).count() == 2
+    assert [p.name for p in (tmp_path / "lake" / SEASON).iterdir()] == ["log.parquet"]
+
+
+def test_old_dataset_is_found_after_a_stop_between_the_moves(spark, tmp_path):
+    path = target(tmp_path).path
+    publish_parquet(spark.range(2), path)
+    fs, final = filesystem(spark, path)
+    fs.rename(final, filesystem(spark, sink.former_path(path))[1])
+    assert read_published(spark, path).count() == 2
+    with pytest.raises(EmptyDataset):
+        publish_parquet(spark.range(0), path)
+    assert read_published(spark, path).count() == 2
+    assert publish_parquet(spark.range(3), path) == 3
+    assert [p.name for p in (tmp_path / "lake" / SEASON).iterdir()] == ["log.parquet"]
+
+
 def test_failed_build_is_recorded_and_raised(tmp_path, ledger):
     def build(spark):
         raise RuntimeError("no answer")
@@ -130,7 +163,7 @@ def test_raw_run_has_no_rows_and_a_stale_one_fails(spark, tmp_path, ledger):
     assert outcomes(ledger)["injuries/2024/raw"] == (FAILURE, None)
 
 
-def test_loops_stop_at_the_first_error():
+def test_loops_stop_at_the_first_error(spark):
     seen = []
 
     def step(season):
@@ -139,7 +172,7 @@ def test_loops_stop_at_the_first_error():
             raise RuntimeError
 
     with pytest.raises(RuntimeError):
-        pub.for_each_season(step, 2018, 2022)
+        pub.for_each_season(step, season_table(spark, 2018, 2022))
     assert seen == ["2018-19", "2019-20"]
     assert pub.for_each_year(lambda year, step: (year, step), {2018: {"step": 60}}) == [(2018, 60)]
 

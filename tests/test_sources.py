@@ -60,7 +60,7 @@ def test_game_ids_by_source(spark, tmp_path, season):
         ("league-game-logs-a", "2"),
         ("league-game-logs-b", "2"),
     ]
-    with pytest.raises(EmptyDataset, match="There are no game IDs"):
+    with pytest.raises(EmptyDataset, match="key list is empty"):
         lake.game_ids_by_source("2024-25", "box-score")
     with pytest.raises(MissingColumn, match="GAME_ID"):
         lake.game_ids_by_source("2024-25", "play-by-play")
@@ -84,10 +84,10 @@ def test_dataset_names(spark):
 
 
 def test_frames_are_named_by_position(spark):
-    named = ds.name_frames(["a", "b"], [spark.range(1), spark.range(2)])
+    named = ds.name_parts(["a", "b"], [spark.range(1), spark.range(2)])
     assert named["b"].count() == 2
     with pytest.raises(ValueError):
-        ds.name_frames(["a"], [])
+        ds.name_parts(["a"], [])
 
 
 def test_types_that_drift_between_seasons(spark, tmp_path):
