@@ -16,6 +16,7 @@ from pyspark.sql import types as T
 
 from rimstone.operators.dedup import latest_per_key
 from rimstone.operators.skew import spread_join
+from rimstone.session import materialize
 
 # Run states, and the age in minutes after which a pending run is stale.
 PENDING = "Pending"
@@ -159,9 +160,11 @@ class Ledger:
         """
         if changes.isEmpty():
             return
-        at = F.lit(as_of or utc_now()).cast("timestamp")
-        moved = self.state().join(changes.select("run_id", "outcome"), "run_id")
-        self._append(moved.withColumn("status", F.col("outcome")).withColumn("event_time", at))
+        self._append_status(self.state().join(changes.select("run_id", "outcome"), "run_id"), as_of or utc_now())
+
+    def _append_status(self, runs: DataFrame, at: datetime) -> None:
+        """Append each run's state with `outcome` as its status."""
+        self._append(runs.withColumn("status", F.col("outcome")).withColumn("event_time", F.lit(at).cast("timestamp")))
 
     def missing(self, wanted: DataFrame) -> DataFrame:
         return missing(wanted, self.state())
@@ -179,10 +182,10 @@ class Ledger:
         not called.
         """
         at = as_of or utc_now()
-        stale = stale_runs(self.state(), F.lit(at).cast("timestamp"))
+        stale = materialize(stale_runs(self.state(), F.lit(at).cast("timestamp")), "stale-runs")
         counts = {}
         if not stale.isEmpty():
-            routed = route_stale(stale, stored(stale))
+            routed = materialize(route_stale(stale, stored(stale)), "routed-runs")
             counts = {r["outcome"]: r["n_runs"] for r in outcome_counts(routed).collect()}
-            self.set_status(routed, at)
+            self._append_status(routed, at)
         return {SUCCESS: counts.get(SUCCESS, 0), FAILURE: counts.get(FAILURE, 0)}

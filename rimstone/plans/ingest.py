@@ -6,12 +6,12 @@ landed rows of the keys that an earlier bronze dataset asks for.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.operators.keyed import covered_by, distinct_keys
+from rimstone.operators.keyed import budget_report, covered_by, distinct_keys, enforce_budget
 from rimstone.operators.ledger import Ledger
 from rimstone.operators.skew import spread_join
 from rimstone.plans.injury_reports import DecodedReports, parse_reports
@@ -21,7 +21,9 @@ from rimstone.sources.datasets import (
     BOX_SCORE_DATASETS,
     GAME_LOGS,
     INJURIES,
+    PLAYERS,
     PLAY_BY_PLAY,
+    TEAMS,
     Landed,
     LandedDataset,
 )
@@ -39,6 +41,22 @@ def rows_per_source(rows: DataFrame, keys: DataFrame, key: str, key_in_list: str
     return found.select(*landed.columns, F.explode("_sources").alias("source_name"))
 
 
+def require_covered(keys: DataFrame, landed: Iterable[DataFrame], key: str, key_in_list: str) -> None:
+    """Raise for a source that lost more keys than its budget allows, or all of them.
+
+    `keys(source_name, ...)` are the keys asked for. A key has failed if no frame of the response has a row for it;
+    one frame alone may lack it.
+    """
+    found = None
+    for frame in landed:
+        each = frame.select(key)
+        found = each if found is None else found.unionByName(each)
+    wanted = keys.select("source_name", F.col(key_in_list).alias(key)).where(F.col(key).isNotNull()).distinct()
+    marked = spread_join(wanted, found.distinct().withColumn("_found", F.lit(True)), [key], "left")
+    error = F.when(F.col("_found").isNull(), "nothing landed")
+    enforce_budget(budget_report(marked.select("source_name", key, error.alias("error")), key))
+
+
 def ingest_league_game_logs(
     ledger: Ledger, landing: Landed, bronze: Landed, season: str, kind: str = "T", season_type: str = "Regular Season"
 ) -> int | None:
@@ -50,7 +68,9 @@ def ingest_league_game_logs(
 def ingest_play_by_play(ledger: Ledger, landing: Landed, bronze: Landed, season: str) -> int | None:
     def build(spark: SparkSession) -> DataFrame:
         keys = bronze.game_ids_by_source(season, GAME_LOGS, "GAME_ID")
-        return rows_per_source(landing.get_play_by_play_logs(season), keys, "gameId", "GAME_ID")
+        rows = landing.get_play_by_play_logs(season)
+        require_covered(keys, [rows], "gameId", "GAME_ID")
+        return rows_per_source(rows, keys, "gameId", "GAME_ID")
 
     return ingest(ledger, bronze.root, _target(bronze.play_by_play_dataset(season)), build)
 
@@ -63,8 +83,9 @@ def ingest_box_scores(ledger: Ledger, landing: Landed, bronze: Landed, season: s
 
         def build(spark: SparkSession, names: Sequence[str], variant: str = variant) -> dict[str, DataFrame]:
             keys = bronze.game_ids_by_source(season, PLAY_BY_PLAY, "gameId")
-            landed = landing.box_score_datasets(season, variant)
-            return {n: rows_per_source(landed[n].read(spark), keys, "gameId", "gameId") for n in names}
+            landed = {n: d.read(spark) for n, d in landing.box_score_datasets(season, variant).items()}
+            require_covered(keys, landed.values(), "gameId", "gameId")
+            return {n: rows_per_source(landed[n], keys, "gameId", "gameId") for n in names}
 
         made = ingest_many(ledger, bronze.root, targets, build)
         counts.update({f"{variant}/{name}": n for name, n in made.items()})
@@ -81,7 +102,9 @@ def ingest_player_details(ledger: Ledger, landing: Landed, bronze: Landed, playe
     """Details of the players in a list; made anew on every run."""
 
     def build(spark: SparkSession) -> DataFrame:
-        return covered_by(landing.player_detail_dataset().read(spark), players, "PERSON_ID")
+        details = landing.player_detail_dataset().read(spark)
+        require_covered(players.withColumn("source_name", F.lit(PLAYERS)), [details], "PERSON_ID", "PERSON_ID")
+        return covered_by(details, players, "PERSON_ID")
 
     return ingest(ledger, bronze.root, _target(bronze.player_detail_dataset()), build, skip_done=False)
 
@@ -92,8 +115,9 @@ def ingest_rosters(ledger: Ledger, landing: Landed, bronze: Landed, players: Dat
 
     def build(spark: SparkSession, names: Sequence[str]) -> dict[str, DataFrame]:
         teams = distinct_keys(players, "TEAM_ID")
-        landed = landing.roster_datasets()
-        return {n: covered_by(landed[n].read(spark), teams, "TEAM_ID") for n in names}
+        landed = {n: d.read(spark) for n, d in landing.roster_datasets().items()}
+        require_covered(teams.withColumn("source_name", F.lit(TEAMS)), landed.values(), "TEAM_ID", "TEAM_ID")
+        return {n: covered_by(landed[n], teams, "TEAM_ID") for n in names}
 
     return ingest_many(ledger, bronze.root, targets, build, skip_done=False)
 

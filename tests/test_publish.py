@@ -6,7 +6,7 @@ import pytest
 from conftest import rows
 from test_layout import golden
 
-from rimstone.errors import EmptyDataset
+from rimstone.errors import BudgetExceeded, EmptyDataset
 from rimstone.functions import season_table
 from rimstone.operators.ledger import FAILURE, PENDING, SUCCESS, Ledger
 from rimstone.plans import ingest as ing
@@ -236,3 +236,17 @@ def test_injury_reports_are_published_after_their_raw_files(spark, tmp_path, led
         "injuries/2026/raw": (SUCCESS, None),
         "injuries/2026/parsed/injuries.parquet": (SUCCESS, 2),
     }
+
+
+def test_a_source_with_too_many_uncovered_keys_fails(spark, tmp_path, ledger):
+    """Ten games of which nothing has landed are let pass; the eleventh stops the run, which stays to be done."""
+    landing, bronze = Landed(spark, f"{tmp_path}/landing"), Landed(spark, f"{tmp_path}/lake")
+    games = spark.range(20).selectExpr("'2' as SEASON_ID", "1L as TEAM_ID", "concat('g', id) as GAME_ID")
+    write_parquet(games, bronze.game_log_dataset(SEASON).path)
+    actions = spark.range(20).selectExpr("concat('g', id) as gameId", "1L as actionNumber", "1L as actionId", "id")
+    write_parquet(actions.where("id >= 11").drop("id"), landing.play_by_play_dataset(SEASON).path)
+    with pytest.raises(BudgetExceeded, match="11 failed"):
+        ing.ingest_play_by_play(ledger, landing, bronze, SEASON)
+    assert {s for s, _ in outcomes(ledger).values()} == {FAILURE}
+    write_parquet(actions.where("id >= 10").drop("id"), landing.play_by_play_dataset(SEASON).path)
+    assert ing.ingest_play_by_play(ledger, landing, bronze, SEASON) == 10
