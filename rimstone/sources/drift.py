@@ -1,44 +1,34 @@
-"""Bronze load of files whose physical types differ from season to season."""
+"""Bronze load of datasets whose physical types differ from season to season."""
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Mapping
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.sources.files import list_files, union_by_name, with_lineage
-
-_FOOTER = "path string, signature string"
-
-
-def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.parquet as pq
-    from pyarrow import fs
-
-    for batch in batches:
-        found = []
-        for path in batch["path"]:
-            store, inner = fs.FileSystem.from_uri(path.replace("file:/", "file:///", 1) if "://" not in path else path)
-            fields = pq.read_schema(inner, filesystem=store)
-            found.append({"path": path, "signature": ",".join(f"{f.name}:{f.type}" for f in fields)})
-        yield pd.DataFrame(found, columns=["path", "signature"])
+from rimstone.sources.files import dataset_path, list_files, union_by_name, with_lineage
 
 
 def file_groups(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
-    """Files below a folder with the physical schema in their footer; footers are read in tasks."""
-    files = list_files(spark, folder, glob).select("path")
-    return files.repartition(spark.sparkContext.defaultParallelism).mapInPandas(_footers, _FOOTER)
+    """Datasets below a folder with their physical schema: `(path, signature)`.
+
+    A dataset is a Parquet file or a folder named like one, written at once and so of one schema; Spark's reader takes
+    it from a footer, at any address that it reads. There are as many datasets as seasons and sources, not as files.
+    """
+    dataset = F.coalesce(F.nullif(dataset_path(F.col("path")), F.lit("")), F.col("path"))
+    paths = list_files(spark, folder, glob).select(dataset.alias("path")).distinct().collect()
+    found = [(r["path"], spark.read.parquet(r["path"]).schema.simpleString()) for r in paths]
+    return spark.createDataFrame(found, "path string, signature string")
 
 
 def read_with_drift(
     spark: SparkSession, folder: str, types: Mapping[str, str], glob: str = "*.parquet"
 ) -> DataFrame:
-    """Rows of all files below a folder with lineage, the named columns brought to one type.
+    """Rows of all datasets below a folder with lineage, the named columns brought to one type.
 
-    Files with the same physical schema are read together, cast, and the groups united by name. Only file
-    paths, which Spark lists on the driver anyway, are collected; columns not named keep their type.
+    Datasets with the same physical schema are read together, cast, and the groups united by name; columns not named
+    keep their type.
     """
     grouped = file_groups(spark, folder, glob).groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     frames = []
