@@ -5,7 +5,9 @@ H = (largest size of f) // 3 at similarity 0.75. The shingles are hashed into se
 e_i = 0 (the two subsets must be equal) or 1 (they may differ by one shingle: each set also gives its subset with one
 shingle left out). Segments that differ by more use up e_i + 1 of H, so if the counts sum to H + 1 + slack, segments of
 count slack + 1 at least match. Allocation by cost: a set leaves out its subsets with the longest lists, as far as
-their counts do not exceed slack; of two similar sets, the one that leaves out more still shares a list with the other.
+their counts do not exceed slack: first all empty ones (if they do exceed it, the set leaves out nothing), then all
+lists down to a length. Of two similar sets, the one that goes down further still shares lists with the other, since
+what it keeps the other keeps as well: its rest of the slack tells how many, and only its.
 Sets that share a list are candidates; clusters of candidates are verified exactly on all their shingles.
 """
 
@@ -25,6 +27,7 @@ from rimstone.llm.hashing import Prefixes, mixed
 WORDS = 5
 SHORT = 24  # lists up to this length are never left out
 LADDER = 4  # each level of longer lists is so many times longer
+WHOLE = 127  # above all levels
 BLOCK = 256  # sets of a cluster that are compared with each other at a time
 SLICE = 1 << 20
 SPACES = np.isin(np.arange(256), [0x20, 9, 10, 11, 12, 13])
@@ -110,9 +113,11 @@ def frames(n: int) -> list[int]:
 
 
 def signatures(shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Keys and tags of one set. Tag: segment, count (1 or 2), frame, and what is left of the slack.
+    """Keys and tags of one set. Tag: segment, count (1 or 2), frame, whether the set is whole, what is left of the slack.
 
-    Empty segments, the longest lists of all, are left out where the slack allows it.
+    Empty subsets, the longest lists of all, are left out where the slack allows it; else the set is whole and leaves
+    out nothing. A subset that is empty without its only shingle costs one of the slack: another set with an empty
+    segment there has used up one of the difference.
     """
     spread, value = mixed(shingles, 21) >> np.uint64(16), mixed(shingles, 22)
     for frame in frames(len(shingles)):
@@ -121,18 +126,19 @@ def signatures(shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         with np.errstate(over="ignore"):
             sums = np.zeros(n, np.uint64)
             np.add.at(sums, segment, value)
-            filled = np.bincount(segment, minlength=n) > 0
+            counts = np.bincount(segment, minlength=n)
             weights = np.where(np.arange(n) < wide, 2, 1)
-            unused = int(weights[~filled].sum())
-            at, keys = np.arange(n), sums
-            if unused <= slack:
-                at, keys, slack = at[filled], sums[filled], slack - unused
+            unused = int(weights[counts == 0].sum()) + int((counts[:wide] == 1).sum())
+            whole = unused > slack
+            at, keys, loose = np.arange(n), sums, segment < wide
+            if not whole:
+                at, keys, slack = at[counts > 0], sums[counts > 0], slack - unused
+                loose &= counts[segment] > 1
             if wide:
-                loose = segment < wide
                 at = np.concatenate([at, segment[loose]])
                 keys = np.concatenate([keys, sums[segment[loose]] - value[loose]])
             keys = mixed(keys + at.astype(np.uint64) * np.uint64(0xA0761D6478BD642F) + np.uint64(frame), 23)
-        tags = (at << 34) | (weights[at] << 32) | (frame << 24) | min(slack, (1 << 24) - 1)
+        tags = (at << 34) | (weights[at] << 32) | (frame << 24) | (int(whole) << 23) | min(slack, (1 << 23) - 1)
         yield keys.view(np.int64), tags
 
 
@@ -212,30 +218,39 @@ def candidate_edges(texts: DataFrame) -> DataFrame:
     lists = materialize(lists.withColumn("level", level), "list-lengths")
     frame = F.shiftright("tag", 24).bitwiseAND(0xFF).alias("frame")
     segment, weight = F.shiftright("tag", 34).alias("segment"), F.shiftright("tag", 32).bitwiseAND(3).alias("weight")
-    slack = F.col("tag").bitwiseAND(0xFFFFFF).alias("slack")
-    used = shared.select("key", "node", frame, segment, weight, slack)
+    slack = F.col("tag").bitwiseAND(0x7FFFFF).alias("slack")
+    whole = (F.col("tag").bitwiseAND(1 << 23) > 0).alias("whole")
+    used = shared.select("key", "node", frame, segment, weight, whole, slack)
     # What each set would leave out: by segment the level of its longest list, then counts from the top down.
     long_ones = used.join(lists.where("level > 0").select("key", "level"), "key")
+    spare = F.when(F.col("whole"), -1).otherwise(F.col("slack"))
     by_segment = long_ones.groupBy("node", "frame", "segment").agg(
-        F.max("level").alias("level"), F.first("weight").alias("weight"), F.max("slack").alias("slack")
+        F.max("level").alias("level"), F.first("weight").alias("weight"), F.max(spare).alias("slack")
     )
     by_level = by_segment.groupBy("node", "frame", "level").agg(F.sum("weight").alias("w"), F.max("slack").alias("slack"))
     down = Window.partitionBy("node", "frame").orderBy(F.desc("level"))
     by_level = materialize(by_level.withColumn("above", F.sum("w").over(down)), "long-lists")
-    kept_to = by_level.where("above > slack").groupBy("node", "frame").agg(F.max("level").alias("top"))
-    out = by_level.where("above <= slack").groupBy("node", "frame").agg(F.max("above").alias("left_out"))
+    bounds = by_level.groupBy("node", "frame").agg(
+        F.max(F.when(F.col("above") > F.col("slack"), F.col("level"))).alias("top"),
+        F.max(F.when(F.col("above") <= F.col("slack"), F.col("above"))).alias("left_out"),
+    )
+    kept_to = bounds.where("top is not null").select("node", "frame", "top")
     stay = long_ones.join(kept_to, ["node", "frame"]).where(F.col("level") <= F.col("top")).select("key", "node")
     # The smallest set of a long list may have left it: the list is led by the smallest that stays.
     lead = stay.groupBy("key").agg(F.min("node").alias("low"))
     long_edges = stay.join(lead, "key").select(F.col("low").alias("a"), F.col("node").alias("b")).where("a <> b")
-    # Of short lists, similar sets share as many as must match and have not been left out as long ones.
-    short = used.join(lists.where("level = 0").select("key"), "key").join(out, ["node", "frame"], "left")
-    must = (F.col("slack") + 1 - F.coalesce("left_out", F.lit(0))).alias("must")
-    short = short.select("key", "node", "frame", "weight", must)
-    other = short.select("key", F.col("node").alias("b"), F.col("must").alias("must_b"))
+    # Of short lists, similar sets share as many as must match and have not been left out as long ones by the set that
+    # has gone down further: the low half of `bound`. The high half is larger the further a set has gone down.
+    short = used.join(lists.where("level = 0").select("key"), "key").join(bounds, ["node", "frame"], "left")
+    must = F.col("slack") + 1 - F.coalesce("left_out", F.lit(0))
+    top = F.when(F.col("whole"), WHOLE).otherwise(F.coalesce("top", F.lit(0)))
+    bound = (F.shiftleft((WHOLE - top).cast("long"), 32) + must).alias("bound")
+    short = short.select("key", "node", "frame", "weight", bound)
+    other = short.select("key", F.col("node").alias("b"), F.col("bound").alias("bound_b"))
     met = short.join(other, "key").where(F.col("node") < F.col("b"))
     counted = met.groupBy(F.col("node").alias("a"), "b", "frame").agg(
-        F.sum("weight").alias("shared"), F.greatest(F.max("must"), F.max("must_b")).alias("must")
+        F.sum("weight").alias("shared"),
+        F.greatest(F.max("bound"), F.max("bound_b")).bitwiseAND(0xFFFFFFFF).alias("must"),
     )
     return counted.where("shared >= must").select("a", "b").unionByName(long_edges).distinct()
 

@@ -212,6 +212,40 @@ def test_jaccard_components(spark, docs, awkward, monkeypatch):
     assert jaccard.jaccard_components(given.limit(0)).count() == 0
 
 
+def test_similar_texts_with_a_common_passage(spark):
+    """Pairs at 0.75 to 0.80 that share most of their shingles with a hundred other texts as well."""
+    draw = random.Random(3)
+    rows, want, at = [], {}, 0
+    for family in range(60):
+        n = draw.choice([8, 9, 10, 11, 12, 14, 20, 30]) if family % 2 else draw.choice([45, 60, 75, 90, 110, 130])
+        passage = [f"p{family}x{i}" for i in range(n)]
+        own = []
+        for i in range(90):
+            fresh = iter([f"q{family}x{i}x{j}" for j in range(3 * n)])
+            head = passage[: round(n * draw.uniform(0.6, 0.8))]
+            if i % 3:
+                own.append([*head, *(next(fresh) for _ in range(n + 4 - len(head)))])
+                continue
+            apart = draw.randint(max(1, n // 5), max(2, n // 3))
+            tail = [next(fresh) for _ in range(n - apart // 2 + 4 - len(head))]
+            cut = draw.randint(0, apart)
+            own += [[*head, *tail, *(next(fresh) for _ in range(k))] for k in (cut, apart - cut)]
+        sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in own]
+        group = list(range(at, at + len(own)))
+        for i, s in enumerate(sets):
+            for j, t in enumerate(sets[:i]):
+                if 4 * len(s & t) >= 3 * len(s | t) and group[i] != group[j]:
+                    low, high = sorted((group[i], group[j]))
+                    group = [low if g == high else g for g in group]
+        want |= {at + i: g for i, g in enumerate(group)}
+        rows += [(at + i, " ".join(w)) for i, w in enumerate(own)]
+        at += len(own)
+    given = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = {r.doc_id: r.component_id for r in jaccard.jaccard_components(given).collect()}
+    assert sum(d != c for d, c in want.items()) > 500
+    assert {d: (c, found[d]) for d, c in want.items() if found[d] != c} == {}
+
+
 def test_allocation_covers_the_difference():
     for frame in range(2, 30):
         segments, wide, slack = jaccard.allocation(frame)
