@@ -9,7 +9,7 @@ their words.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rimstone.llm.common import keyed_texts, materialize
@@ -159,6 +159,18 @@ def prefix_words(one: DataFrame) -> DataFrame:
     return words.select("key", "id", "bits", "more_bits", packed)
 
 
+def with_lead(words: DataFrame) -> DataFrame:
+    """Prefix words with the `lead` of their key and size class, the row of the earliest set, where that is another one.
+
+    Leads are combined before they are shuffled, and written, so that both sides of the join have an exchange of their
+    own and a word of very many lines can be split.
+    """
+    sized = words.select("*", F.floor(2 * F.log2(F.shiftright("packed", 32))).alias("size"))
+    lead = F.min(F.struct("id", "bits", "more_bits", "packed")).alias("lead")
+    leads = sized.groupBy("key", "size").agg(lead, F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    return sized.join(materialize(leads, "line-leads"), ["key", "size"]).where(F.col("lead.id") < F.col("id"))
+
+
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
     """set_id, check, and `first` place of an earlier similar set, for every set that has one.
 
@@ -167,9 +179,7 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     open are compared with all earlier sets that share a prefix word.
     """
     words = prefix_words(one)
-    size = F.floor(2 * F.log2(F.shiftright("packed", 32))).alias("size")
-    lead = F.min(F.struct("id", "bits", "more_bits", "packed")).over(Window.partitionBy("key", "size"))
-    led = words.select("*", size).withColumn("lead", lead).where(F.col("lead.id") < F.col("id"))
+    led = with_lead(words)
     led = led.select("lead", F.struct("id", "bits", "more_bits", "packed").alias("own")).where(may_be_similar("lead", "own", percent))
     led = led.select(F.col("lead.id").alias("id"), F.col("own.id").alias("id_to")).distinct()
     found = verified(led, one, texts, classes, percent)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -294,6 +295,26 @@ def test_similar_lines(spark, awkward):
     assert lines.remove_similar_lines(awkward[1].limit(0)).count() == 0
 
 
+def test_earliest_line_of_a_word_is_joined(spark):
+    """A word of very many lines is not gathered in one task: no window, and both sides of the join can be split."""
+    rows = [(k, i, i % 7, 0, (4 + i % 3) << 32) for k in (1, 2) for i in range(50)] + [(3, 99, 0, 0, 5 << 32)]
+    words = spark.createDataFrame(rows, "key int, id long, bits long, more_bits long, packed long").repartition(4)
+    led = lines.with_lead(words)
+    size = lambda packed: int(2 * math.log2(packed >> 32))
+    want = set()
+    for key, i, *_, packed in rows:
+        first = min(r[1] for r in rows if r[0] == key and size(r[4]) == size(packed))
+        want |= {(key, i, first)} if first < i else set()
+    got = [(r.key, r.id, r.lead.id) for r in led.collect()]
+    assert set(got) == want and len(got) == len(want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = lines.with_lead(words)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Window" not in plan and "Aggregate" not in plan and plan.count("ENSURE_REQUIREMENTS") == 2
+
+
 def without_repeats(rows, length):
     coded = [(d, (t or "").encode()) for d, t in rows]
     seen = defaultdict(int)
