@@ -50,6 +50,11 @@ def at_least(n: Column, percent: int) -> Column:
     return F.floor((n * percent + 99) / 100).cast("int")
 
 
+def smallest_paired(percent: int) -> int:
+    """Words of the smallest line that a different line can be similar to: n with n / (n + 1) >= percent / 100."""
+    return -(-percent // (100 - percent)) if percent < 100 else 1 << 31
+
+
 def overlap_needed(n: Column, m: Column, percent: int) -> Column:
     """Smallest overlap of sets of sizes n and m with the similarity: ceil(percent (n + m) / (100 + percent))."""
     return F.ceil((n + m) * percent / (100 + percent)).cast("int")
@@ -61,8 +66,10 @@ def lines_to_remove(docs: DataFrame, percent: int = 75) -> DataFrame:
     Lines end at a line feed; their words stand between blanks, as a set. A line goes if a line that stands before it
     (smaller doc_id, nulls first; then smaller text hash; then smaller line number) has a Jaccard similarity of at
     least `percent` / 100 with it, whether or not that earlier line stays. So the first of equal lines stays. Lines
-    without words always stay.
+    without words always stay. `percent` is from 1 to 100.
     """
+    if not 1 <= percent <= 100:
+        raise ValueError("percent must be from 1 to 100")
     texts = keyed_texts(docs)
     classes = rarity_classes(texts)
     keys = word_keys(F.col("line"), classes)
@@ -152,10 +159,14 @@ def may_be_similar(one: str, other: str, percent: int) -> Column:
     )
 
 
-def prefix_words(one: DataFrame) -> DataFrame:
-    """One row for each word of a set's prefix; size and place share a number, to keep the rows short."""
+def prefix_words(one: DataFrame, percent: int) -> DataFrame:
+    """One row for each word of a set's prefix; size and place share a number, to keep the rows short.
+
+    Sets too small to be similar to a different set have none.
+    """
     packed = (F.shiftleft(F.col("n").cast("long"), 32) + F.col("at")).alias("packed")
-    words = one.where(F.abs("n") > 2).select("id", "n", "bits", "more_bits", F.posexplode("prefix").alias("at", "key"))
+    paired = one.where(F.abs("n") >= smallest_paired(percent))
+    words = paired.select("id", "n", "bits", "more_bits", F.posexplode("prefix").alias("at", "key"))
     return words.select("key", "id", "bits", "more_bits", packed)
 
 
@@ -178,7 +189,7 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     of its size that shares a prefix word; in a large group of near copies that decides nearly all. Only sets still
     open are compared with all earlier sets that share a prefix word.
     """
-    words = prefix_words(one)
+    words = prefix_words(one, percent)
     led = with_lead(words)
     led = led.select("lead", F.struct("id", "bits", "more_bits", "packed").alias("own")).where(may_be_similar("lead", "own", percent))
     led = led.select(F.col("lead.id").alias("id"), F.col("own.id").alias("id_to")).distinct()
@@ -187,7 +198,7 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     done = found.select(F.col("id_to").alias("done")).distinct()
     sizes = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
     marked = one.join(done, F.col("id") == F.col("done"), "left").select("id", sizes, "bits", "more_bits", "prefix")
-    words = prefix_words(marked)
+    words = prefix_words(marked, percent)
     a, b = words.alias("a"), words.alias("b")
     earlier = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
     met = a.join(b, earlier & may_be_similar("a", "b", percent))

@@ -295,6 +295,22 @@ def test_similar_lines(spark, awkward):
     assert lines.remove_similar_lines(awkward[1].limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("percent", [34, 50, 60, 66, 67, 75, 100])
+def test_similar_lines_at_any_percent(spark, percent):
+    draw = random.Random(percent)
+    rows = [(i, " ".join(draw.sample("abcde", draw.randint(1, 4)))) for i in range(40)]
+    rows += [(100, "x y"), (101, "x y z"), (102, "v"), (103, "v w"), (104, "w v")]
+    sets = [(d, frozenset(t.split())) for d, t in rows]
+    want = {
+        d: any(100 * len(s & o) >= percent * len(s | o) for _, o in sets[:i]) for i, (d, s) in enumerate(sets)
+    }
+    got = lines.remove_similar_lines(spark.createDataFrame(rows, "doc_id long, text string"), percent=percent)
+    assert {r.doc_id: r.n_removed == 1 for r in got.collect()} == want
+    for wrong in (0, 101):
+        with pytest.raises(ValueError):
+            lines.remove_similar_lines(got, percent=wrong)
+
+
 def test_earliest_line_of_a_word_is_joined(spark):
     """A word of very many lines is not gathered in one task: no window, and both sides of the join can be split."""
     rows = [(k, i, i % 7, 0, (4 + i % 3) << 32) for k in (1, 2) for i in range(50)] + [(3, 99, 0, 0, 5 << 32)]
