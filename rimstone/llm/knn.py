@@ -13,6 +13,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,16 +25,17 @@ BLOCK_ROWS = 4096  # about as many vectors of a cell are searched by one task at
 CHUNK_QUERIES = 8192
 
 
-def whole_vectors(vectors: DataFrame, scale: int = 1024) -> DataFrame:
+def whole_vectors(vectors: DataFrame, scale: int = 1024, each: bool = False) -> DataFrame:
     """vec_id and `x` = floor(scale * component). Rows with a null or non-finite component, or without id, go.
 
-    A vec_id counts once, with the smallest of its vectors.
+    A vec_id counts once, with the smallest of its vectors; with `each`, every row counts.
     """
     value = F.col("embedding").cast("array<double>")
     finite = F.forall(value, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     ints = F.transform(value, lambda v: F.floor(v * scale).cast("long"))
     usable = vectors.where(F.col("vec_id").isNotNull() & value.isNotNull() & (F.size(value) > 0) & finite)
-    return usable.select("vec_id", ints.alias("x")).groupBy("vec_id").agg(F.min("x").alias("x"))
+    rows = usable.select("vec_id", ints.alias("x"))
+    return rows if each else rows.groupBy("vec_id").agg(F.min("x").alias("x"))
 
 
 def matrix(column, width: int) -> np.ndarray:
@@ -72,7 +74,8 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     """query_id, rank, vec_id, score: for each vector for which `is_query` holds, its k largest inner products.
 
     Ties go to the smaller vec_id; a query with fewer than k other vectors gets all. `vectors` has vec_id and `x`
-    (see `whole_vectors`). Empty input gives no rows. On the driver: the pivots and, for each, k + 1 distances and two
+    (see `whole_vectors`). Rows that share a vec_id are candidates each, but not of queries of that id, and those are
+    one query, with the best of all its rows' products. Empty input gives no rows. On the driver: the pivots and, for each, k + 1 distances and two
     numbers.
     """
     spark = vectors.sparkSession
@@ -84,20 +87,25 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     pivots = np.unique(matrix([r["x"] for r in chosen], width), axis=0)
 
     def into_cells(batches) -> Iterator[pa.RecordBatch]:
+        row = TaskContext.get().partitionId() << 33  # a number for each row, so that those of one id can be dealt out
         for batch in batches:
             gaps = distances(matrix(batch["x"].to_pylist(), width), pivots)
             cells = gaps.argmin(axis=1)
             named = {"vec_id": batch["vec_id"], "x": batch["x"], "cell": pa.array(cells.astype(np.int32))}
+            named["row"] = pa.array(np.arange(row, row + len(cells)))
+            row += len(cells)
             yield pa.RecordBatch.from_pydict(named | {"gap": pa.array(gaps[np.arange(len(cells)), cells])})
 
-    placed = materialize(vectors.mapInArrow(into_cells, "vec_id long, x array<long>, cell int, gap double"), "cells")
+    schema_of_cells = "vec_id long, x array<long>, cell int, row long, gap double"
+    placed = materialize(vectors.mapInArrow(into_cells, schema_of_cells), "cells")
     sizes = {r["cell"]: (r["n"], r["far"]) for r in placed.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("gap").alias("far")).collect()}
     nearest = Window.partitionBy("cell").orderBy("gap")
-    ranked = placed.select("cell", "gap").withColumn("rn", F.row_number().over(nearest)).where(F.col("rn") <= k + 1)
-    near: dict[int, list[float]] = {}
+    by_id = placed.groupBy("cell", "vec_id").agg(F.min("gap").alias("gap"))
+    ranked = by_id.withColumn("rn", F.row_number().over(nearest)).where(F.col("rn") <= k + 1)
+    near: dict[int, list[tuple[float, int]]] = {}
     for r in ranked.collect():  # at most k + 1 of each cell
-        near.setdefault(r["cell"], []).append(r["gap"])
+        near.setdefault(r["cell"], []).append((r["gap"], r["vec_id"]))
 
     queries = placed.where(is_query)
     n_chunks = max(1, -(-queries.count() // CHUNK_QUERIES))
@@ -107,15 +115,17 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
         """Each query, once for each block of each cell that may hold one of its k best."""
         cells = np.array(sorted(sizes))
         far = np.array([sizes[c][1] for c in cells])
-        gaps = np.array([g for c in cells for g in near[c]])
+        gaps = np.array([g for c in cells for g, _ in near[c]])
+        named = np.array([i for c in cells for _, i in near[c]])
         owner = np.array([i for i, c in enumerate(cells) for _ in near[c]])
         for batch in batches:
             x = matrix(batch["x"].to_pylist(), width)
             to_pivot = products(x, pivots[cells]).astype(float)
             norm = np.sqrt((x.astype(float) ** 2).sum(1))[:, None]
             sure = to_pivot[:, owner] - norm * gaps  # scores that a vector of the summaries reaches at least
-            # The query's own vector may be among them: the k-th best other one reaches the (k+1)-th of them.
-            reach = np.sort(sure, axis=1)[:, -(k + 1)] if sure.shape[1] > k else np.full(len(x), -np.inf)
+            # The query's own vectors do not count; of each cell k other ids are left, if it has them.
+            sure[np.array(batch["vec_id"].to_pylist())[:, None] == named] = -np.inf
+            reach = np.sort(sure, axis=1)[:, -k] if sure.shape[1] >= k else np.full(len(x), -np.inf)
             slack = 1e-6 * (1 + np.abs(to_pivot) + norm * far)  # for rounding
             needed = to_pivot + norm * far + slack >= reach[:, None]
             for i, vec_id in enumerate(batch["vec_id"].to_pylist()):
@@ -130,7 +140,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 10) -> DataFrame:
     sent = queries.select("vec_id", "x").mapInArrow(send, "query_id long, q array<long>, cell int, block int")
     sent = sent.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)).cast("int"))
     n_blocks = F.element_at(F.create_map(*[F.lit(int(v)) for item in blocks.items() for v in item]), F.col("cell"))
-    block = F.pmod(F.xxhash64("vec_id"), n_blocks).cast("int")
+    block = F.pmod(F.xxhash64("row"), n_blocks).cast("int")
     data = placed.select("vec_id", "x", "cell", block.alias("block"))
     data = data.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
 

@@ -37,7 +37,7 @@ def op4_factorisation_machine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_voronoi_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors = knn.whole_vectors(table(spark, sf_dir, "embeddings"))
+    vectors = knn.whole_vectors(table(spark, sf_dir, "embeddings"), each=True)
     return knn.top_k(vectors, F.col("vec_id") % 100 == 0, 10)
 
 

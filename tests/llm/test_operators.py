@@ -172,6 +172,20 @@ def test_top_k(spark, monkeypatch):
     assert knn.top_k(few.limit(0), F.lit(True), 5).count() == 0
 
 
+def test_top_k_of_repeated_ids(spark, tmp_path):
+    draw = random.Random(6)
+    rows = [(draw.choice([0, 100, *range(1, 25)]), [draw.choice([-0.5, 0.25, 0.5]) for _ in range(4)]) for _ in range(90)]
+    rows += [(100, [0.5, 0.5, 0.5, 0.5])] * 30
+    spark.createDataFrame(rows, "vec_id long, embedding array<float>").write.parquet(str(tmp_path / "embeddings.parquet"))
+    ints = [(i, [int(1024 * x // 1) for x in v]) for i, v in rows]
+    want = []
+    for q in (0, 100):
+        scores = [(-sum(a * b for a, b in zip(x, y, strict=True)), j) for i, x in ints if i == q for j, y in ints if j != q]
+        want += [(q, n + 1, i, -s) for n, (s, i) in enumerate(sorted(scores)[:10])]
+    got = QUERIES["op5_voronoi_topk"][0](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == want
+
+
 def linked(rows):
     """doc_id -> (set sizes, component) by comparing all pairs."""
     sets = []
