@@ -13,12 +13,14 @@ from rimstone.sources.files import dataset_path, list_files, union_by_name, with
 def file_groups(spark: SparkSession, folder: str, glob: str = "*.parquet") -> DataFrame:
     """Datasets below a folder with their physical schema: `(path, signature)`.
 
-    A dataset is a Parquet file or a folder named like one, written at once and so of one schema; Spark's reader takes
-    it from a footer, at any address that it reads. There are as many datasets as seasons and sources, not as files.
+    A dataset is a Parquet file or a folder named like one; Spark merges the schemas of all its footers, in a job of its
+    own, at any address that it reads. A folder whose parts have one column in types that cannot be merged is refused
+    with Spark's error. There are as many datasets as seasons and sources, not as files.
     """
     dataset = F.coalesce(F.nullif(dataset_path(F.col("path")), F.lit("")), F.col("path"))
     paths = list_files(spark, folder, glob).select(dataset.alias("path")).distinct().collect()
-    found = [(r["path"], spark.read.parquet(r["path"]).schema.simpleString()) for r in paths]
+    merged = spark.read.option("mergeSchema", "true")
+    found = [(r["path"], merged.parquet(r["path"]).schema.simpleString()) for r in paths]
     return spark.createDataFrame(found, "path string, signature string")
 
 
@@ -33,7 +35,7 @@ def read_with_drift(
     grouped = file_groups(spark, folder, glob).groupBy("signature").agg(F.sort_array(F.collect_list("path")).alias("paths"))
     frames = []
     for group in grouped.orderBy("signature").collect():
-        rows = with_lineage(spark.read.parquet(*group["paths"]))
+        rows = with_lineage(spark.read.option("mergeSchema", "true").parquet(*group["paths"]))
         casts = {c: F.col(f"`{c}`").cast(t) for c, t in types.items() if c in rows.columns}
         frames.append(rows.withColumns(casts))
     if not frames:

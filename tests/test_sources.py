@@ -144,3 +144,15 @@ def test_materialized_table_lies_in_the_shared_folder(spark):
     made = materialize(spark.range(3).withColumn("at", F.lit(datetime(2025, 1, 1))), "probe")
     assert made.count() == 3
     assert all(shared_folder(spark) in f for f in made.inputFiles())
+
+
+def test_parts_of_a_folder_that_differ_keep_all_columns(spark, tmp_path):
+    folder = tmp_path / "logs.parquet"
+    folder.mkdir()
+    pd.DataFrame({"GAME_ID": ["1"], "PTS": [1]}).to_parquet(folder / "part-0.parquet")
+    pd.DataFrame({"GAME_ID": ["2"], "AST": [5]}).to_parquet(folder / "part-1.parquet")
+    loaded = read_with_drift(spark, str(tmp_path), {"PTS": "smallint", "AST": "smallint"})
+    assert rows(loaded.select("GAME_ID", "PTS", "AST")) == [("1", 1, None), ("2", None, 5)]
+    pd.DataFrame({"GAME_ID": [3.5]}).to_parquet(folder / "part-2.parquet")
+    with pytest.raises(Exception, match="(?i)merge"):
+        read_with_drift(spark, str(tmp_path), {"PTS": "smallint"})
