@@ -43,7 +43,7 @@ NAMES = set(
     "pagination pager toolbar widget copyright".split()
 )
 OWN = set("content article main post entry story body".split())
-OUTSIDE, ARTICLE, SITE = 0, 1, 2  # where a line stands
+OUTSIDE, ARTICLE, SITE, MAIN = 0, 1, 2, 3  # where a line stands; MAIN: in the main element, but in no article
 
 
 def names_chrome(tag: str, attrs: str, in_article: bool) -> bool:
@@ -94,9 +94,11 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 where = stack.pop()[1]
             stack.append((tag, where))
             if where != SITE:
-                inside = SITE if names_chrome(tag, m["attrs"], where == ARTICLE) else where
-                if inside == OUTSIDE and (tag in ("article", "main") or 'role="main"' in m["attrs"]):
+                inside = SITE if names_chrome(tag, m["attrs"], where in (ARTICLE, MAIN)) else where
+                if inside in (OUTSIDE, MAIN) and tag == "article":
                     inside = ARTICLE
+                elif inside == OUTSIDE and (tag == "main" or 'role="main"' in m["attrs"]):
+                    inside = MAIN
                 if inside != where:
                     flush()
                 where = inside
@@ -131,13 +133,13 @@ def shared_lines(mine: list, other: list) -> set[int]:
     return shared
 
 
-def main_lines(lines: list[str], at: list[int], own: bool, marks: list[int], other: list[int]) -> tuple[list[str], int]:
+def main_lines(lines: list[str], at: list[int], own: list[bool], marks: list[int], other: list[int]) -> tuple[list[str], int]:
     """Lines of the main text, and how many lines the neighbour shares.
 
-    `lines` may be main text, `at` are their places on the page and `own` tells that they are the page's own article.
+    `lines` may be main text, `at` are their places on the page and `own` tells which are of the page's own article.
     """
     shared = shared_lines(marks, other)
-    kept = [line for line, i in zip(lines, at, strict=True) if own or i not in shared]
+    kept = [line for line, i, mine in zip(lines, at, own, strict=True) if mine or i not in shared]
     return kept or lines, len(shared)  # two equal pages have no difference to tell by
 
 
@@ -157,19 +159,19 @@ def parsed(pages: DataFrame) -> DataFrame:
         lines, at, own, marks = [], [], [], []
         for page in batch["html"].to_pylist():
             found = page_lines(page or "")
-            best = ARTICLE if any(where == ARTICLE for _, where in found) else OUTSIDE
-            at.append([i for i, (_, where) in enumerate(found) if where == best])
+            best = (ARTICLE, MAIN) if any(where in (ARTICLE, MAIN) for _, where in found) else (OUTSIDE,)
+            at.append([i for i, (_, where) in enumerate(found) if where in best])
             lines.append([found[i][0] for i in at[-1]])
-            own.append(best == ARTICLE)
+            own.append([found[i][1] == ARTICLE for i in at[-1]])
             marks.append([int.from_bytes(blake2b(x.encode(), digest_size=8).digest(), "big", signed=True) for x, _ in found])
         named = {c: batch[c] for c in ("page_id", "url", "host", "path")}
         named |= {"lines": pa.array(lines, pa.list_(pa.string())), "at": pa.array(at, pa.list_(pa.int32()))}
-        named |= {"own": pa.array(own, pa.bool_()), "marks": pa.array(marks, pa.list_(pa.int64()))}
+        named |= {"own": pa.array(own, pa.list_(pa.bool_())), "marks": pa.array(marks, pa.list_(pa.int64()))}
         yield pa.RecordBatch.from_pydict(named)
 
     read = pages.select("page_id", "url", host_of(F.col("url")).alias("host"), path_of(F.col("url")).alias("path"), "html")
     schema = (
-        "page_id long, url string, host string, path string, lines array<string>, at array<int>, own boolean, "
+        "page_id long, url string, host string, path string, lines array<string>, at array<int>, own array<boolean>, "
         "marks array<long>"
     )
     return read.mapInArrow(per_slice(run, "html"), schema)

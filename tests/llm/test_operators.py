@@ -94,6 +94,15 @@ def test_main_text(spark):
     assert html.extract_main_text(frame.limit(0)).count() == 0
 
 
+def test_lines_of_main_outside_an_article_are_differenced(spark):
+    page = "<body><p>Top</p><main><p>Read more here</p>{0}<p>Of page {1}</p></main><p>End</p></body>"
+    article = "<article><p>Said twice</p></article>"
+    rows = [(i, f"http://{h}.example/a/{i}", page.format(a, i)) for h, a in (("m", ""), ("n", article)) for i in (1, 2)]
+    frame = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.url, r.text) for r in html.extract_main_text(frame).collect())
+    assert [t for _, t in got] == ["Of page 1", "Of page 2", "Said twice\nOf page 1", "Said twice\nOf page 2"]
+
+
 def test_shared_lines_are_a_longest_common_subsequence():
     draw = random.Random(3)
     for _ in range(200):
