@@ -6,7 +6,22 @@ import corpus_pipeline
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rimstone.llm import bpe, decontam, html, jaccard, knn, licenses, lines, oracles, quality, sharding, suffix
+from rimstone.llm import (
+    bpe,
+    content_sort,
+    decontam,
+    html,
+    jaccard,
+    knn,
+    licenses,
+    lines,
+    oracles,
+    phrases,
+    quality,
+    ranking,
+    sharding,
+    suffix,
+)
 from rimstone.llm.common import table
 
 
@@ -67,6 +82,18 @@ def op10_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_documents(table(spark, sf_dir, "documents"), digest=True)
 
 
+def op11_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op12_hybrid_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_trie_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "pipeline": (corpus_pipeline.run, corpus_pipeline.ORACLE_SQL),
     "op1_byte_prefix_shards": (op1_byte_prefix_shards, None),
@@ -79,4 +106,7 @@ QUERIES = {
     "op8_line_set_join": (op8_line_set_join, oracles.OP8),
     "op9_suffix_sort": (op9_suffix_sort, None),
     "op10_bpe_transducer": (op10_bpe_transducer, None),
+    "op11_content_sort": (op11_content_sort, oracles.OP11),
+    "op12_hybrid_ranking": (op12_hybrid_ranking, oracles.OP12),
+    "op13_trie_collocations": (op13_trie_collocations, oracles.OP13),
 }
