@@ -12,7 +12,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -26,7 +25,8 @@ GAPS, BREAKS = b" \t", b".,;:!?\x0a\x0b\x0c\x0d"
 NO_LANG = "und"
 
 SLICE_BYTES = 8 << 20
-TRIE_PHRASES = 1 << 20  # phrases in one trie, about: what is broadcast at once
+TRIE_PHRASES = 1 << 19  # phrases in one trie, about: what is broadcast at once
+MOST_KEYS = 1 << 22  # that a task holds before it hands them on
 RARE, STOP = -1, -2  # in a run: a word that is not frequent, the end of a piece
 
 
@@ -68,50 +68,56 @@ def numbered_run(runs: pa.Table, words: pa.Table) -> pa.Table:
     return pa.table({"ids": [numbers[codes].tobytes()]})
 
 
+def first_fit(owner: np.ndarray, symbols: np.ndarray, start: int) -> int:
+    """The first free slot from `start` on for the first of these symbols, such that the slots of the others are free too.
+
+    Whole windows of slots are tried at once, symbol by symbol, until none is left; slots past the end are free.
+    """
+    rest = symbols[1:] - symbols[0]
+    width = 64
+    while start < len(owner):
+        slots = start + np.flatnonzero(owner[start : start + width] < 0)
+        for step in rest:
+            if not len(slots):
+                break
+            at = slots + step
+            slots = slots[(at >= len(owner)) | (owner[np.minimum(at, len(owner) - 1)] < 0)]
+        if len(slots):
+            return int(slots[0])
+        start += width
+        width = min(width * 4, 1 << 14)
+    return start
+
+
 def placed(children: list[np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
     """Bases for the states with these child symbols, and for all slots the state each belongs to (-1: none).
 
-    States with most children come first, each at the first base at which its children fall on free slots; what has one
-    child takes the free slots left in order, all at once.
+    States with most children come first. Those of about one size are looked for from the place of the last one on;
+    what has one child takes the free slots left in order, all at once.
     """
-    n_slots = 2 * sum(map(len, children)) + size + 1
-    owner = np.full(n_slots, -1, np.int32)
-    bases = np.zeros(len(children), np.int64)
     counts = np.array([len(c) for c in children])
+    owner = np.full(counts.sum() + counts.sum() // 4 + size + 1, -1, np.int32)
+    bases = np.zeros(len(children), np.int64)
     order = np.argsort(-counts, kind="stable")
-    free_from = 0
-    for state in order[: int((counts > 1).sum())]:
+    several = order[: int((counts > 1).sum())]
+    start = 0
+    for i, state in enumerate(several):
         symbols = children[state]
-        at = free_from
-        while True:
-            free = at + np.flatnonzero(owner[at : at + 256] < 0)
-            if len(free):
-                starts = free - symbols[0]
-                slots = starts[:, None] + symbols
-                fits = np.flatnonzero((slots[:, -1] >= n_slots) | (owner[np.minimum(slots, n_slots - 1)] < 0).all(axis=1))
-                if len(fits):
-                    break
-            at += 256
-            if at >= n_slots:
-                owner = np.concatenate([owner, np.full(n_slots, -1, np.int32)])
-                n_slots *= 2
-        bases[state] = starts[fits[0]]
-        last = bases[state] + symbols[-1]
-        while last >= n_slots:
-            owner = np.concatenate([owner, np.full(n_slots, -1, np.int32)])
-            n_slots *= 2
-        owner[bases[state] + symbols] = state
-        while free_from < n_slots and (owner[free_from : free_from + 256] >= 0).all():
-            free_from += 256
-    single = order[int((counts > 1).sum()) :]
-    single = single[counts[single] == 1]
+        if i and int(counts[state]).bit_length() != int(counts[several[i - 1]]).bit_length():
+            start = 0  # smaller states may fit where larger ones did not
+        start = first_fit(owner, symbols, start)
+        slots = start + symbols - symbols[0]
+        if slots[-1] >= len(owner):
+            owner = np.concatenate([owner, np.full(max(len(owner) // 2, slots[-1] + 1 - len(owner)), -1, np.int32)])
+        bases[state] = start - symbols[0]
+        owner[slots] = state
+    single = order[len(several) :]
     free = np.flatnonzero(owner < 0)
     if len(free) < len(single):
         owner = np.concatenate([owner, np.full(len(single), -1, np.int32)])
         free = np.flatnonzero(owner < 0)
     slots = free[: len(single)]
-    symbols = np.array([children[s][0] for s in single], np.int64)
-    bases[single] = slots - symbols
+    bases[single] = slots - np.array([children[s][0] for s in single], np.int64)
     owner[slots] = single
     return bases, owner
 
@@ -175,15 +181,16 @@ class Trie:
         return found
 
 
-def packed_trie(block: pd.DataFrame) -> pd.DataFrame:
+def packed_trie(block: pa.Table) -> pa.Table:
     """One trie of the phrases of a block, and the phrases in its order."""
-    phrases = np.stack(block["words"].to_list()).astype(np.int64)
+    words = block["words"].combine_chunks()
+    phrases = words.flatten().to_numpy().reshape(len(words), -1)
     phrases = phrases[np.lexsort(phrases.T[::-1])]
     trie = Trie(phrases)
     arrays = {n: getattr(trie, n).astype(np.int32).tobytes() for n in ("symbols", "base", "check", "to")}
     arrays["sizes"] = np.array([trie.depth, trie.n, *trie.level_sizes], np.int32).tobytes()
     arrays["phrases"] = phrases.astype(np.int32).tobytes()
-    return pd.DataFrame({"block": [block["block"].iloc[0]], **{n: [a] for n, a in arrays.items()}})
+    return pa.table({"block": block["block"][:1], **{n: [a] for n, a in arrays.items()}})
 
 
 def unpacked_trie(row) -> Trie:
@@ -212,20 +219,47 @@ def unpacked_phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 COUNTS = "no long, next int, n long"
 
 
-def beside(found: np.ndarray, next_words: np.ndarray) -> pa.RecordBatch:
-    """How often each phrase stood before each frequent word: one row for each such pair."""
-    seen = (found >= 0) & (next_words >= 0)
-    keys, n = np.unique((found[seen] << 32) | next_words[seen], return_counts=True)
-    columns = [pa.array(keys >> 32), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(n)]
-    return pa.RecordBatch.from_arrays(columns, ["no", "next", "n"])
+class Beside:
+    """How often each phrase stood before each frequent word, summed over runs until there are `MOST_KEYS`."""
+
+    def __init__(self):
+        self.keys: list[np.ndarray] = []
+        self.counts: list[np.ndarray] = []
+
+    def add(self, found: np.ndarray, next_words: np.ndarray) -> None:
+        seen = (found >= 0) & (next_words >= 0)
+        keys, counts = np.unique((found[seen] << 32) | next_words[seen], return_counts=True)
+        self.keys.append(keys)
+        self.counts.append(counts)
+
+    def full(self) -> bool:
+        return sum(map(len, self.keys)) >= MOST_KEYS
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """The sums so far, which are then forgotten."""
+        if not self.keys:
+            return
+        keys, counts = np.concatenate(self.keys), np.concatenate(self.counts)
+        order = np.argsort(keys, kind="stable")
+        keys = keys[order]
+        heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+        sums = np.add.reduceat(counts[order], heads) if len(keys) else counts
+        keys = keys[heads]
+        columns = [pa.array(keys >> 32), pa.array((keys & 0xFFFFFFFF).astype(np.int32)), pa.array(sums)]
+        self.keys, self.counts = [], []
+        yield pa.RecordBatch.from_arrays(columns, ["no", "next", "n"])
 
 
 def pairs_seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Frequent words (as phrases of one word) beside frequent words."""
+    pairs = Beside()
     for batch in batches:
         for run in batch["ids"]:
             ids = np.frombuffer(run.as_py(), np.int32)
-            yield beside(ids[:-1].astype(np.int64), ids[1:])
+            pairs.add(ids[:-1].astype(np.int64), ids[1:])
+            if pairs.full():
+                yield from pairs.rows()
+    yield from pairs.rows()
 
 
 def count_block(runs: DataFrame, packed, look_on: bool) -> DataFrame:
@@ -235,13 +269,17 @@ def count_block(runs: DataFrame, packed, look_on: bool) -> DataFrame:
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie = unpacked_trie(sent.value)
         totals = np.zeros(trie.n, np.int64)
+        after = Beside()
         for batch in batches:
             for run in batch["ids"]:
                 ids = np.frombuffer(run.as_py(), np.int32)
                 found = trie.accept(ids)
                 totals += np.bincount(found[found >= 0], minlength=trie.n)
                 if look_on and len(ids) > trie.depth:
-                    yield beside(found[: -trie.depth], ids[trie.depth :])
+                    after.add(found[: -trie.depth], ids[trie.depth :])
+                if after.full():
+                    yield from after.rows()
+        yield from after.rows()
         no = np.flatnonzero(totals)
         columns = [pa.array(no), pa.array(np.full(len(no), -1, np.int32)), pa.array(totals[no])]
         yield pa.RecordBatch.from_arrays(columns, ["no", "next", "n"])
@@ -255,7 +293,7 @@ def count_phrases(runs: DataFrame, candidates: DataFrame, look_on: bool, least:
     n_blocks = max(-(-candidates.count() // most), 1)
     dealt = candidates.select("words", F.pmod(F.xxhash64("words"), F.lit(n_blocks)).alias("block"))
     arrays = "symbols binary, base binary, check binary, to binary, sizes binary, phrases binary"
-    tries = materialize(dealt.groupBy("block").applyInPandas(packed_trie, f"block long, {arrays}"), "tries")
+    tries = materialize(dealt.groupBy("block").applyInArrow(packed_trie, f"block long, {arrays}"), "tries")
     phrases = materialize(tries.mapInArrow(unpacked_phrases, "block long, no long, words array<int>"), "phrases")
     counted = []
     for packed in tries.drop("phrases").toLocalIterator():  # one trie at a time
