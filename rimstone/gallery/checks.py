@@ -47,7 +47,16 @@ COLUMN_RULES = {
 }
 
 
-def _contract_sql() -> str:
+def failing_check_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every failing row of the 77 checks, once for each check, from the written table."""
+    bronze = bronze_game_logs(spark, sf_dir)
+    built = materialize(game_logs.silver(bronze, F.lit(PROCESSED_AT).cast("timestamp")), "silver")
+    keys = ["check", "kind", "severity", "season_id", "team_id", "game_id"]
+    return game_logs.failing_rows_of(built, bronze).select(*keys)
+
+
+def _row_rules() -> list[tuple[str, str, str, str]]:
+    """Name, kind, severity and rule of the checks of one row."""
     lines = [
         ("made_within_tried", "expression_is_true", "error", "fgm <= fga and fg3m <= fg3a and ftm <= fta and fg3m <= fgm and fg3a <= fga"),
         ("played_in_season", "expression_is_true", "error", "year(game_date) - cast(left(season, 4) as int) in (0, 1)"),
@@ -64,15 +73,24 @@ def _contract_sql() -> str:
             lines.append((f"range_{name}", "accepted_range", "warn", f"{name} >= {low} and {name} <= {high}"))
         if name in COLUMN_RULES:
             lines.append((f"rule_{name}", "expression_is_true", "error", COLUMN_RULES[name]))
-    row_part = " union all ".join(
-        f"""select '{n}' as "check", '{kind}' as kind, '{sev}' as severity, count(*) filter (not ({rule})) as failures from silver"""
-        for n, kind, sev, rule in lines
-    )
-    return f"""with {SILVER_SQL},
+    return lines
+
+
+# Keys that are double, rows that are not the latest, and games that are not two rows adding up to nothing.
+BROKEN_GROUPS = """
 doubles as (select season_sk, team_sk, game_sk from silver group by 1, 2, 3 having count(*) > 1),
 tops as (select trim(SEASON_ID, ' ') as s, cast(TEAM_ID as varchar) as t, GAME_ID as g, max(_ingested_at) as top from bronze group by 1, 2, 3),
-old as (select 1 from silver join tops on season_id = s and team_id = t and game_id = g where top <> _ingested_at),
+old as (select silver.* from silver join tops on season_id = s and team_id = t and game_id = g where top <> _ingested_at),
 games as (select season_sk, game_sk from silver group by 1, 2 having count(*) <> 2 or sum(plus_minus) <> 0)
+"""
+
+
+def _contract_sql() -> str:
+    row_part = " union all ".join(
+        f"""select '{n}' as "check", '{kind}' as kind, '{sev}' as severity, count(*) filter (not ({rule})) as failures from silver"""
+        for n, kind, sev, rule in _row_rules()
+    )
+    return f"""with {SILVER_SQL}, {BROKEN_GROUPS}
 {row_part}
 union all select 'unique_team_game', 'unique_combination_of_columns', 'error', count(*) from doubles
 union all select 'not_latest_bronze', 'singular', 'error', count(*) from old
@@ -80,6 +98,21 @@ union all select 'not_two_zero_sum_rows', 'singular', 'error', count(*) from gam
 """
 
 
+def _failing_sql() -> str:
+    listed = ", ".join(f"case when not ({rule}) then ['{n}', '{kind}', '{sev}'] end" for n, kind, sev, rule in _row_rules())
+    return f"""with {SILVER_SQL}, {BROKEN_GROUPS},
+lines as (
+  select unnest([x for x in [{listed}] if x is not null]) as c, season_id, team_id, game_id from silver
+  union all select ['unique_team_game', 'unique_combination_of_columns', 'error'], season_id, team_id, game_id
+  from silver semi join doubles using (season_sk, team_sk, game_sk)
+  union all select ['not_latest_bronze', 'singular', 'error'], season_id, team_id, game_id from old
+  union all select ['not_two_zero_sum_rows', 'singular', 'error'], season_id, team_id, game_id
+  from silver semi join games using (season_sk, game_sk)
+)
+select c[1] as "check", c[2] as kind, c[3] as severity, season_id, team_id, game_id from lines
+"""
+
+
 def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = {
         "part": [
@@ -197,6 +230,7 @@ def check_like_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: Registered = {
     "contract_checks": (contract_checks, _contract_sql()),
+    "failing_check_rows": (failing_check_rows, _failing_sql()),
     "check_summary": (check_summary, _summary_sql()),
     "group_rule": (group_rule, GROUP_RULE),
     "two_row_games": (two_row_games, TWO_ROW_GAMES),

@@ -8,6 +8,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -97,6 +98,39 @@ def failing_rows(df: DataFrame, check: RowCheck) -> DataFrame:
     return df.where(check.fails())
 
 
+@dataclass(frozen=True)
+class GroupCheck:
+    """A check that finds groups: `groups` holds the `keys` of those that break it."""
+
+    name: str
+    kind: str
+    keys: tuple[str, ...]
+    groups: DataFrame
+    severity: str = ERROR
+
+
+def failing_check_rows(df: DataFrame, checks: Sequence[RowCheck], groups: Sequence[GroupCheck] = ()) -> DataFrame:
+    """One line per row and check that it fails: `check`, `kind`, `severity` and the row's columns.
+
+    All row checks are decided in one pass over `df`. The groups that break a group check, few in a sound table, are
+    joined to it (NULL keys match NULL keys), and all their rows fail the check.
+    """
+    marked, failed = df, [check.fails() for check in checks]
+    for i, group in enumerate(groups):
+        broken = group.groups.select(*[F.col(k).alias(f"_key{i}_{j}") for j, k in enumerate(group.keys)]).distinct()
+        same = [F.col(f"`{k}`").eqNullSafe(F.col(f"_key{i}_{j}")) for j, k in enumerate(group.keys)]
+        marked = marked.join(broken.withColumn(f"_broken{i}", F.lit(True)), reduce(Column.__and__, same), "left")
+        failed.append(F.coalesce(F.col(f"_broken{i}"), F.lit(False)))
+    listed = [*checks, *groups]
+    numbers = F.array_compact(F.array(*[F.when(f, F.lit(i + 1)) for i, f in enumerate(failed)]))
+    lines = marked.select(F.explode(numbers).alias("_check"), *df.columns)
+    about = {
+        part: F.element_at(F.lit([getattr(check, part) for check in listed]), F.col("_check"))
+        for part in ("name", "kind", "severity")
+    }
+    return lines.select(about["name"].alias("check"), about["kind"].alias("kind"), about["severity"].alias("severity"), *df.columns)
+
+
 def value_counts_outside(df: DataFrame, column: str, allowed: Sequence[str]) -> DataFrame:
     """How often each value outside the allowed list occurs."""
     return df.where(~F.col(column).isin(*allowed)).groupBy(column).agg(F.count(F.lit(1)).alias("n_records"))

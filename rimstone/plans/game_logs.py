@@ -11,8 +11,10 @@ from pyspark.sql import types as T
 
 from rimstone.operators.checks import (
     WARN,
+    GroupCheck,
     RowCheck,
     duplicate_keys,
+    failing_check_rows,
     groups_breaking,
     holds,
     in_range,
@@ -26,6 +28,7 @@ from rimstone.operators.checks import (
 from rimstone.operators.cleaning import clean
 from rimstone.operators.dedup import latest_per_key
 from rimstone.functions import hash_key
+from rimstone.plans.silver_build import Built, write_audit_publish
 
 TABLE = "league_game_logs_00_t_regular_season"
 TABLE_COMMENT = "Regular-season box-score totals, one row per team and game."
@@ -146,3 +149,31 @@ def check_table(table: DataFrame, bronze: DataFrame) -> DataFrame:
         summarize_failing("not_two_zero_sum_rows", games_without_two_zero_sum_rows(table), "singular"),
     ]
     return reduce(DataFrame.unionByName, parts)
+
+
+def failing_rows_of(table: DataFrame, bronze: DataFrame) -> DataFrame:
+    """Every row that fails one of the 77 checks, once for each check it fails."""
+    ids = tuple(KEY_COLUMNS.values())
+    groups = [
+        GroupCheck(
+            "unique_team_game", "unique_combination_of_columns", tuple(KEY_COLUMNS), duplicate_keys(table, list(KEY_COLUMNS))
+        ),
+        GroupCheck("not_latest_bronze", "singular", (*ids, "_ingested_at"), rows_not_latest(table, bronze)),
+        GroupCheck(
+            "not_two_zero_sum_rows", "singular", ("season_sk", "game_sk"), games_without_two_zero_sum_rows(table)
+        ),
+    ]
+    return failing_check_rows(table, row_checks(), groups)
+
+
+def build(bronze: DataFrame, processed_at: Column | datetime | None = None, *, schema: str = "silver") -> Built:
+    """Build the silver table, check it, and publish it if no error check failed; see `write_audit_publish`."""
+    return write_audit_publish(
+        silver(bronze, processed_at),
+        TABLE,
+        silver_schema(),
+        lambda table: check_table(table, bronze),
+        lambda table: failing_rows_of(table, bronze),
+        schema=schema,
+        description=TABLE_COMMENT,
+    )
