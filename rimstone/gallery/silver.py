@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,7 +14,10 @@ from rimstone.operators.checks import not_latest
 from rimstone.operators.cleaning import clean, snake_columns, tag_source, with_hash_keys
 from rimstone.operators.dedup import latest_per_key
 from rimstone.plans import game_logs
-from rimstone.sources.files import scan_prefix, union_by_name, with_source_name
+from rimstone.session import shared_folder
+from rimstone.sinks.parquet import write_folders
+from rimstone.sources.drift import read_with_drift
+from rimstone.sources.files import dataset_path, scan_prefix, union_by_name, with_source_name
 
 PROCESSED_AT = "2024-01-01 00:00:00"
 
@@ -191,6 +196,58 @@ select s_acctbal as balance, s_suppkey as id from supplier
 """
 
 
+# Types in which the orders of a season land: by the remainder of its year.
+DRIFTING = [
+    {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"},
+    {"o_orderkey": "string", "o_custkey": "int", "o_totalprice": "decimal(12,2)"},
+    {"o_orderkey": "bigint", "o_custkey": "string", "o_totalprice": "string"},
+]
+SOURCE = "orders-feed"
+
+
+def _landed_by_season(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The orders landed in a folder of each season, in types that differ, and loaded again by the declared ones."""
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice", F.year("o_orderdate").alias("year"))
+    root = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    for kind, types in enumerate(DRIFTING):
+        rows = orders.where(F.col("year") % len(DRIFTING) == kind).withColumns({c: F.col(c).cast(t) for c, t in types.items()})
+        if kind:  # a column that other seasons lack
+            rows = rows.withColumn("note", F.lit(f"kind {kind}"))
+        folder = F.concat(season_of_year(F.col("year")), F.lit(f"/{SOURCE}-{kind}.parquet"))
+        write_folders(rows.withColumn("folder", folder).drop("year"), "folder", root)
+    return read_with_drift(spark, root, {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"}, prefix=SOURCE)
+
+
+def drift_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = _landed_by_season(spark, sf_dir)
+    return loaded.select("o_orderkey", "o_custkey", "o_totalprice", "note", "season")
+
+
+_SEASON = "cast(year(o_orderdate) as varchar) || '-' || lpad(cast((year(o_orderdate) + 1) % 100 as varchar), 2, '0')"
+DRIFT_LOAD = f"""
+select o_orderkey, o_custkey, cast(cast(o_totalprice as decimal(12,2)) as double) as o_totalprice,
+  case when year(o_orderdate) % 3 > 0 then 'kind ' || (year(o_orderdate) % 3) end as note, {_SEASON} as season
+from orders
+"""
+
+
+def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
+    loaded = _landed_by_season(spark, sf_dir)
+    inside = path_tail(dataset_path(F.col("_bronze_path")), 2)
+    dated = F.count_if(F.col("_ingested_at") > F.lit("2020-01-01").cast("timestamp"))
+    return loaded.groupBy("season", "_source_name", inside.alias("dataset")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.max("o_orderkey").alias("last_key"), dated.alias("n_dated")
+    )
+
+
+BRONZE_LINEAGE = f"""
+select season, source as _source_name, season || '/' || source || '.parquet' as dataset, count(*) as n_rows,
+  max(o_orderkey) as last_key, count(*) as n_dated
+from (select o_orderkey, {_SEASON} as season, '{SOURCE}-' || (year(o_orderdate) % 3) as source from orders)
+group by 1, 2, 3
+"""
+
+
 def latest_max_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate"]
     lines = table(spark, sf_dir, "lineitem").select(*columns)
@@ -240,6 +297,8 @@ QUERIES: Registered = {
     "glob_lineage": (glob_lineage, GLOB_LINEAGE),
     "path_keys": (path_keys, PATH_KEYS),
     "union_drift": (union_drift, UNION_DRIFT),
+    "drift_load": (drift_load, DRIFT_LOAD),
+    "bronze_lineage": (bronze_lineage, BRONZE_LINEAGE),
     "latest_max_join": (latest_max_join, LATEST_MAX_JOIN),
     "season_list": (season_list, SEASON_LIST),
     "dataset_counts": (dataset_counts, DATASET_COUNTS),

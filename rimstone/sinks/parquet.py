@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,35 @@ def write_parquet(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("compression", "zstd").parquet(path)
 
 
+def write_folders(df: DataFrame, column: str, root: str) -> dict[str, int]:
+    """Write the rows of each value of `column`, a path below `root`, to that folder, all in one job.
+
+    The rows go to `<column>=<value>` folders of a staging folder, whose names are escaped, and are moved to their places
+    afterwards. The column itself is not written. Returns the number of rows of each folder, counted from the footers.
+    Folders that are there already are replaced; the column must not be NULL.
+    """
+    spark = df.sparkSession
+    staged = f"{root.rstrip('/')}/_staged-{uuid.uuid4().hex}"
+    numbered = df.withColumn("_folder", F.col(column))
+    numbered.drop(column).write.option("compression", "zstd").partitionBy("_folder").parquet(staged)
+    store, staged_path = filesystem(spark, staged)
+    try:
+        place = F.regexp_extract("_metadata.file_path", "/_folder=([^/]*)/", 1).alias("place")
+        counts = {}
+        for row in spark.read.parquet(staged).groupBy(place).count().collect():  # one row per folder
+            name = unquote(row["place"])  # of the folder on disk; its own escapes are Spark's
+            folder = unquote(name)
+            _, source = filesystem(spark, f"{staged}/_folder={name}")
+            _, final = filesystem(spark, f"{root.rstrip('/')}/{folder}")
+            store.mkdirs(final.getParent())
+            store.delete(final, True)
+            move(store, source, final)
+            counts[folder] = row["count"]
+    finally:
+        store.delete(staged_path, True)
+    return counts
+
+
 def former_path(path: str) -> str:
     """Where the former dataset waits while a new one takes its place."""
     parent, _, name = path.rstrip("/").rpartition("/")

@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from rimstone.errors import EmptyDataset
 from rimstone.operators.cleaning import require_columns
 from rimstone.operators.keyed import NO_KEYS, covered_by, keys_by_source, require_keys
 from rimstone.sinks.naming import Declared, targets
 from rimstone.sinks.parquet import read_published
-from rimstone.sources.files import scan_prefix, with_source_name
+from rimstone.sources.drift import expand, load_datasets
+from rimstone.sources.files import with_source_name
 
 # Codes used in source names.
 LEAGUES = {"NBA": "00", "ABA": "01", "WNBA": "10", "G_LEAGUE": "20"}
@@ -60,6 +62,18 @@ INJURY_COLUMNS = (
     "reported_at",
 )
 
+# Types of the columns that fetchers have landed in different ones over the seasons, by dataset.
+_COUNTS = "MIN FGM FGA FG3M FG3A FTM FTA OREB DREB REB AST STL BLK TOV PF PTS PLUS_MINUS VIDEO_AVAILABLE".split()
+GAME_LOG_TYPES = {
+    **dict.fromkeys(("SEASON_ID", "GAME_ID", "GAME_DATE"), "string"),
+    "TEAM_ID": "bigint",
+    **dict.fromkeys(_COUNTS, "bigint"),
+    **dict.fromkeys(("FG_PCT", "FG3_PCT", "FT_PCT"), "double"),
+}
+GAME_TYPES = {"gameId": "string"}
+PERSON_TYPES = {"PERSON_ID": "bigint", "TEAM_ID": "bigint"}
+ROSTER_TYPES = {"TEAM_ID": "bigint", "PLAYER_ID": "bigint", "COACH_ID": "bigint"}
+
 
 def name_parts(names: Sequence[str], parts: Sequence[object]) -> dict:
     """Parts of one response by dataset name; their number must match."""
@@ -68,15 +82,20 @@ def name_parts(names: Sequence[str], parts: Sequence[object]) -> dict:
 
 @dataclass(frozen=True)
 class LandedDataset:
-    """Where a dataset lies and which columns it must have."""
+    """Where a dataset lies, which columns it must have, and the types of those whose type has drifted."""
 
     source_name: str
     path: str
     s3_key: str
     required: tuple[str, ...] = field(default=())
+    types: Mapping[str, str] = field(default_factory=dict)
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return require_columns(read_published(spark, self.path), self.required)
+        """Its rows in the declared types; a path with a star names the same dataset of several seasons."""
+        several = expand(spark, self.path) if "*" in self.path else []
+        rows = load_datasets(spark, several, self.types, lambda r: r) if several else read_published(spark, self.path)
+        casts = {c: F.col(f"`{c}`").cast(t) for c, t in self.types.items() if c in rows.columns}
+        return require_columns(rows.withColumns(casts), self.required)
 
 
 class Landed:
@@ -88,37 +107,39 @@ class Landed:
         self.league = league
         self.run_date = run_date
 
-    def _named(self, declared: Sequence[tuple[Declared, Sequence[str]]]) -> list[LandedDataset]:
+    def _named(
+        self, declared: Sequence[tuple[Declared, Sequence[str]]], types: Mapping[str, str]
+    ) -> list[LandedDataset]:
         made = targets(self.spark, self.root, [d for d, _ in declared])
-        return [LandedDataset(t.source_name, t.path, t.s3_key, tuple(r)) for t, (_, r) in zip(made, declared)]
+        return [LandedDataset(t.source_name, t.path, t.s3_key, tuple(r), types) for t, (_, r) in zip(made, declared)]
 
     def game_log_dataset(self, season: str, kind: str = "T", season_type: str = SEASON_TYPES[0]) -> LandedDataset:
         declared = Declared(GAME_LOGS, (self.league, kind, season_type), (season,))
-        return self._named([(declared, GAME_LOG_COLUMNS)])[0]
+        return self._named([(declared, GAME_LOG_COLUMNS)], GAME_LOG_TYPES)[0]
 
     def play_by_play_dataset(self, season: str) -> LandedDataset:
         declared = Declared(PLAY_BY_PLAY, (ALL_PERIODS, ALL_PERIODS), (season,))
-        return self._named([(declared, PLAY_BY_PLAY_COLUMNS)])[0]
+        return self._named([(declared, PLAY_BY_PLAY_COLUMNS)], GAME_TYPES)[0]
 
     def box_score_datasets(self, season: str, variant: str) -> dict[str, LandedDataset]:
         names = BOX_SCORE_DATASETS[variant]
         declared = [
             Declared(BOX_SCORES, (ALL_PERIODS, ALL_PERIODS, variant, n.replace("_", "-")), (season,)) for n in names
         ]
-        return name_parts(names, self._named([(d, ("gameId", "source_name")) for d in declared]))
+        return name_parts(names, self._named([(d, ("gameId", "source_name")) for d in declared], GAME_TYPES))
 
     def player_list_dataset(self, season: str, flag: int = CURRENT_SEASON_ONLY) -> LandedDataset:
-        return self._named([(Declared(PLAYERS, (flag, self.league), (season,)), ("PERSON_ID",))])[0]
+        return self._named([(Declared(PLAYERS, (flag, self.league), (season,)), ("PERSON_ID",))], PERSON_TYPES)[0]
 
     def player_detail_dataset(self, flag: int = CURRENT_SEASON_ONLY) -> LandedDataset:
         folders = (PLAYER_FOLDER, self.run_date)
-        return self._named([(Declared(PLAYERS, (flag, self.league), folders), ("PERSON_ID",))])[0]
+        return self._named([(Declared(PLAYERS, (flag, self.league), folders), ("PERSON_ID",))], PERSON_TYPES)[0]
 
     def roster_datasets(self) -> dict[str, LandedDataset]:
         keys = {"roster": ("TEAM_ID", "PLAYER_ID"), "coaches": ("TEAM_ID", "COACH_ID")}
         folders = (ROSTER_FOLDER, self.run_date)
         declared = [(Declared(TEAMS, (self.league, n), folders), keys[n]) for n in ROSTER_DATASETS]
-        return name_parts(ROSTER_DATASETS, self._named(declared))
+        return name_parts(ROSTER_DATASETS, self._named(declared, ROSTER_TYPES))
 
     def injury_dataset(self, year: int) -> LandedDataset:
         key = f"{INJURIES}/{year}/parsed/{INJURIES}.parquet"
@@ -148,9 +169,15 @@ class Landed:
         return name_parts(ROSTER_DATASETS, frames)
 
     def game_ids_by_source(self, season: str, prefix: str = GAME_LOGS, key: str = "GAME_ID") -> DataFrame:
-        """Distinct game ids of every landed source of a season: `(source_name, id)`; an error if there is none."""
-        rows = scan_prefix(self.spark, f"{self.root}/{season}", prefix)
-        if rows is None:
+        """Distinct game ids of every landed source of a season: `(source_name, id)`; an error if there is none.
+
+        `season` may be a pattern such as `*` for several seasons, whose ids may have landed in different types.
+        """
+        paths = expand(self.spark, f"{self.root}/{season}/{prefix}*.parquet")
+        if not paths:
             raise EmptyDataset(NO_KEYS)
-        named = rows if "source_name" not in rows.columns else rows.drop("source_name")
-        return require_keys(keys_by_source(with_source_name(named), key))
+
+        def named(rows: DataFrame) -> DataFrame:
+            return with_source_name(require_columns(rows, [key]).drop("source_name")).select("source_name", key)
+
+        return require_keys(keys_by_source(load_datasets(self.spark, paths, {key: "string"}, named), key))

@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from rimstone.errors import EmptyDataset, MissingColumn
 from rimstone.session import materialize, shared_folder
-from rimstone.sinks.parquet import write_parquet
+from rimstone.sinks.parquet import write_folders, write_parquet
 from rimstone.sources import datasets as ds
-from rimstone.sources import files
+from rimstone.sources import drift, files
 from rimstone.sources.drift import file_groups, read_with_drift
 
 
@@ -156,3 +156,42 @@ def test_parts_of_a_folder_that_differ_keep_all_columns(spark, tmp_path):
     pd.DataFrame({"GAME_ID": [3.5]}).to_parquet(folder / "part-2.parquet")
     with pytest.raises(Exception, match="(?i)merge"):
         read_with_drift(spark, str(tmp_path), {"PTS": "smallint"})
+
+
+def test_seasons_of_one_era_are_merged_in_one_job_and_others_halved(spark, tmp_path, monkeypatch):
+    for year in range(8):
+        kind = "long" if year < 4 or year == 7 else "string"
+        made = spark.range(3).select(F.col("id").cast(kind).alias("GAME_ID"), F.lit(year).alias(f"only_{year}"))
+        write_parquet(made, str(tmp_path / f"20{year:02d}-{year + 1:02d}" / "league-game-logs-x.parquet"))
+    paths = drift.dataset_paths(spark, str(tmp_path), prefix="league-game-logs")
+    tried = []
+    whole = drift.schema_groups
+    monkeypatch.setattr(drift, "schema_groups", lambda s, p: tried.append(len(p)) or whole(s, p))
+    groups = drift.schema_groups(spark, paths)
+    assert [len(g) for g, _ in groups] == [4, 3, 1] or sorted(len(g) for g, _ in groups) == [1, 1, 2, 4]
+    assert tried.count(1) <= 2 and tried[0] == 8
+    assert drift.dataset_paths(spark, str(tmp_path), prefix="other") == []
+    lake = ds.Landed(spark, str(tmp_path))
+    ids = lake.game_ids_by_source("*")
+    assert rows(ids) == [("league-game-logs-x", str(i)) for i in range(3)]
+    with pytest.raises(EmptyDataset):
+        lake.game_ids_by_source("19*")
+
+
+def test_datasets_are_read_in_declared_types(spark, tmp_path):
+    lake = ds.Landed(spark, str(tmp_path))
+    for season, kind in (("2023-24", "string"), ("2024-25", "int")):
+        made = spark.sql(f"select '2' SEASON_ID, cast(7 as {kind}) TEAM_ID, '001' GAME_ID, cast(101 as {kind}) PTS")
+        write_parquet(made, lake.game_log_dataset(season).path)
+    assert dict(lake.get_game_logs("2024-25").dtypes)["PTS"] == "bigint"
+    both = lake.get_game_logs("*")
+    assert dict(both.dtypes)["TEAM_ID"] == "bigint" and rows(both.select("TEAM_ID", "PTS")) == [(7, 101)] * 2
+
+
+def test_folders_are_written_in_one_job(spark, tmp_path):
+    made = spark.range(10).select("id", F.concat(F.lit("20%:"), F.col("id") % 3, F.lit("/a b.parquet")).alias("to"))
+    counts = write_folders(made, "to", str(tmp_path))
+    assert counts == {"20%:0/a b.parquet": 4, "20%:1/a b.parquet": 3, "20%:2/a b.parquet": 3}
+    assert rows(spark.read.parquet(str(tmp_path / "20%:1" / "a b.parquet"))) == [(1,), (4,), (7,)]
+    assert write_folders(made.where("id < 1"), "to", str(tmp_path)) == {"20%:0/a b.parquet": 1}
+    assert sorted(p.name for p in tmp_path.iterdir()) == ["20%:0", "20%:1", "20%:2"]
