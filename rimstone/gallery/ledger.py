@@ -5,14 +5,19 @@ A run is a user's day: `view` opens it, `purchase` closes it well with rows, `er
 
 from __future__ import annotations
 
-from datetime import datetime
+import uuid
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rimstone.errors import EmptyDataset
 from rimstone.gallery.base import Registered, table
 from rimstone.operators.calendar import missing_slots, report_urls, slot_calendar, slot_text
-from rimstone.operators.ledger import latest_good, missing, outcome_counts, route_stale, run_state, stale_runs
+from rimstone.operators.ledger import Ledger, latest_good, missing, outcome_counts, route_stale, run_state, stale_runs
+from rimstone.plans.publish import publish_targets
+from rimstone.session import materialize, shared_folder
+from rimstone.sinks.naming import Target
 
 AS_OF = "2024-01-20 00:00:00"
 CALENDAR_AS_OF = datetime(2001, 5, 20, 12)
@@ -110,6 +115,62 @@ routes as (
 )"""
 
 
+def _written_ledger(spark: SparkSession) -> Ledger:
+    ledger = Ledger(spark, f"{shared_folder(spark)}/ledger-{uuid.uuid4().hex}")
+    ledger.create()
+    return ledger
+
+
+def ledger_after_update(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The state of a written ledger: early events in a snapshot, later ones in its tail, stale runs resolved."""
+    events = _ledger(spark, sf_dir).withColumn("error_message", F.lit(None).cast("string"))
+    events = events.withColumns({c: F.col(c).cast("timestamp") for c in ("event_time", "started_at", "ended_at")})
+    early = F.col("event_time") < F.lit("2024-01-15").cast("timestamp")
+    ledger = _written_ledger(spark)
+    ledger.append(events.where(early))
+    ledger.compact()
+    ledger.append(events.where(~early))
+    stale = stale_runs(ledger.state(), F.lit(AS_OF).cast("timestamp"))
+    stored = _runs(spark, sf_dir).where("event_type = 'click'")
+    ledger.set_status(materialize(route_stale(stale, stored, "run_id"), "routed"), datetime(2025, 1, 1, tzinfo=timezone.utc))
+    started = F.col("started_at").cast("timestamp_ntz").alias("started_at")
+    return ledger.state().select("run_id", "s3_key", "status", F.coalesce("rows_in", F.lit(-1)).alias("rows_in"), started)
+
+
+LEDGER_AFTER_UPDATE = """
+select run_id, s3_key, coalesce(outcome, status) as status, coalesce(rows_in, -1) as rows_in, started_at
+from state left join routes using (run_id, s3_key)
+"""
+
+
+def season_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcomes of the orders of all years published in one job; after the last year two are declared without orders."""
+    orders = table(spark, sf_dir, "orders").withColumn("year", F.year("o_orderdate"))
+    first, last = orders.agg(F.min("year"), F.max("year")).first()
+    ledger = _written_ledger(spark)
+    root = f"{shared_folder(spark)}/lake-{uuid.uuid4().hex}"
+    keys = {str(year): f"{year}/orders.parquet" for year in range(first, last + 3)}
+    targets = {year: Target("orders", f"{root}/{key}", key) for year, key in keys.items()}
+    try:
+        publish_targets(ledger, targets, orders, "year")
+    except EmptyDataset:
+        pass  # the first year without orders; its run and those after it are what is asked for
+    outcome = F.coalesce("rows_in", F.lit(-1)).alias("rows_in")
+    return ledger.state().select("s3_key", "status", outcome, F.col("ended_at").isNotNull().alias("ended"))
+
+
+SEASON_OUTCOMES = """
+with counted as (select year(o_orderdate) as y, count(*) as n from orders group by 1),
+declared as (select unnest(generate_series(min(y), max(y) + 2)) as y from counted),
+joined as (select y, n from declared left join counted using (y)),
+gap as (select min(y) as y from joined where n is null)
+select j.y || '/orders.parquet' as s3_key,
+  case when j.y < gap.y then 'Success' when j.y = gap.y then 'Failure' else 'Pending' end as status,
+  case when j.y < gap.y then n else -1 end as rows_in, j.y <= gap.y as ended
+from joined j, gap
+"""
+
+
 def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct()
     calendar = report_urls(slot_calendar(years, CALENDAR_AS_OF, quarter_from=1999))
@@ -174,6 +235,8 @@ QUERIES: Registered = {
         reconcile_outcomes,
         f"with {STALE_SQL} select outcome, count(*) as n_runs from routes group by 1",
     ),
+    "ledger_after_update": (ledger_after_update, f"with {STALE_SQL} {LEDGER_AFTER_UPDATE}"),
+    "season_outcomes": (season_outcomes, SEASON_OUTCOMES),
     "slot_calendar": (slots, SLOT_CALENDAR),
     "slot_coverage": (slot_coverage, SLOT_COVERAGE),
 }

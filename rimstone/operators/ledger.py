@@ -1,7 +1,11 @@
-"""Run ledger as an append-only event table; the state of a run is its latest event.
+"""Run ledger as an append-only event table with snapshots; the state of a run is its latest event.
 
 Every event carries the whole state of its run, so an update is one more row. Events are ordered by time,
 and at equal time an outcome beats `Pending`. One writer at a time is assumed.
+
+Events go to the tail that follows the newest snapshot. Compaction writes the state of all runs as the next snapshot;
+from the moment it is complete, events go to a new tail, and a lookup reads one snapshot and one tail, however old the
+ledger is.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import types as T
 
 from rimstone.operators.dedup import latest_per_key
 from rimstone.operators.skew import spread_join
-from rimstone.session import materialize
+from rimstone.session import filesystem, materialize
 
 # Run states, and the age in minutes after which a pending run is stale.
 PENDING = "Pending"
@@ -101,24 +105,88 @@ class OpenRun:
 
 
 class Ledger:
-    """The ledger table at `path`; holds no state of its own."""
+    """The ledger table at `path`; holds no state of its own.
+
+    `path/tail-<n>` holds events, `path/snapshot-<n>` the state of all runs at the end of tail n - 1. The newest complete
+    snapshot (Spark's `_SUCCESS` file tells) decides which tail is written and read.
+    """
 
     def __init__(self, spark: SparkSession, path: str) -> None:
         self.spark = spark
-        self.path = path
+        self.path = path.rstrip("/")
 
     def create(self) -> None:
         """Make an empty ledger unless there is one."""
-        self.spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(self.path)
+        self.spark.createDataFrame([], EVENT_SCHEMA).write.mode("ignore").parquet(self._tail(0))
+
+    def _tail(self, number: int) -> str:
+        return f"{self.path}/tail-{number:06d}"
+
+    def _snapshot(self, number: int) -> str:
+        return f"{self.path}/snapshot-{number:06d}"
+
+    def _parts(self, kind: str) -> list[int]:
+        """Numbers of the tails or complete snapshots there are."""
+        mark = "/_SUCCESS" if kind == "snapshot" else ""
+        store, pattern = filesystem(self.spark, f"{self.path}/{kind}-*{mark}")
+        found = store.globStatus(pattern) or []
+        names = [f.getPath().getParent().getName() if mark else f.getPath().getName() for f in found]
+        return sorted(int(name.rpartition("-")[2]) for name in names)
+
+    def generation(self) -> int:
+        """Number of the snapshot in force; 0 before the first."""
+        return max(self._parts("snapshot"), default=0)
+
+    def _read(self, *paths: str) -> DataFrame:
+        return self.spark.read.schema(EVENT_SCHEMA).parquet(*paths)
 
     def events(self) -> DataFrame:
-        return self.spark.read.schema(EVENT_SCHEMA).parquet(self.path)
+        """All events ever appended."""
+        return self._read(*[self._tail(n) for n in self._parts("tail")])
+
+    def recent(self) -> DataFrame:
+        """The snapshot in force and the events after it."""
+        now = self.generation()
+        places = [self._snapshot(now)] if now else []
+        if now in self._parts("tail"):
+            places.append(self._tail(now))
+        return self._read(*places)
 
     def state(self) -> DataFrame:
-        return run_state(self.events())
+        return run_state(self.recent())
+
+    def compact(self) -> int:
+        """Write the state of all runs as the next snapshot; returns its number.
 
-    def _append(self, rows: DataFrame) -> None:
-        rows.select(*EVENT_SCHEMA.names).repartition(1).write.mode("append").parquet(self.path)
+        Rows lie by key, so that a lookup of one key reads few of them. A compaction that fails leaves an incomplete
+        snapshot that nobody reads and that the next one replaces.
+        """
+        number = self.generation() + 1
+        by_key = self.state().repartitionByRange("s3_key").sortWithinPartitions("s3_key")
+        by_key.write.mode("overwrite").option("compression", "zstd").parquet(self._snapshot(number))
+        return number
+
+    def compact_if(self, files: int = 200) -> bool:
+        """Compact when the tail has come to at least so many files; tells whether it did."""
+        store, pattern = filesystem(self.spark, f"{self._tail(self.generation())}/*.parquet")
+        if len(store.globStatus(pattern) or []) < files:
+            return False
+        self.compact()
+        return True
+
+    def forget(self, keep: int = 2) -> None:
+        """Delete all snapshots but the `keep` newest; events stay."""
+        for number in self._parts("snapshot")[: -max(keep, 1)]:
+            store, path = filesystem(self.spark, self._snapshot(number))
+            store.delete(path, True)
+
+    def append(self, rows: DataFrame) -> None:
+        """Append events, in as many tasks as the rows come in."""
+        rows.select(*EVENT_SCHEMA.names).write.mode("append").parquet(self._tail(self.generation()))
+
+    def _append_few(self, rows: DataFrame) -> None:
+        """Append rows that the driver has made, as one file."""
+        self.append(rows.coalesce(1))
 
     def open_runs(self, s3_keys: Sequence[str], started_at: datetime | None = None) -> list[OpenRun]:
         """Append one pending event per key, all at once."""
@@ -136,7 +204,7 @@ class Ledger:
             F.lit(None).cast("string").alias("error_message"),
         )
         made = {r["s3_key"]: r["run_id"] for r in rows.select("s3_key", "run_id").collect()}
-        self._append(rows)
+        self._append_few(rows)
         return [OpenRun(made[k], k, at) for k in s3_keys]
 
     def close(
@@ -149,9 +217,16 @@ class Ledger:
         ended_at: datetime | None = None,
     ) -> None:
         """Append the outcome of one run."""
+        self.close_all([(run, status, rows_in, error)], ended_at)
+
+    def close_all(
+        self, outcomes: Sequence[tuple[OpenRun, str, int | None, str | None]], ended_at: datetime | None = None
+    ) -> None:
+        """Append the outcomes of several runs at once: run, status, rows and error of each."""
         at = ended_at or utc_now()
-        row = (run.run_id, run.s3_key, at, status, run.started_at, at, rows_in, error)
-        self._append(self.spark.createDataFrame([row], EVENT_SCHEMA))
+        made = [(r.run_id, r.s3_key, at, status, r.started_at, at, n, error) for r, status, n, error in outcomes]
+        if made:
+            self._append_few(self.spark.createDataFrame(made, EVENT_SCHEMA))
 
     def set_status(self, changes: DataFrame, as_of: datetime | None = None) -> None:
         """Append a status change for each row of `changes(run_id, outcome)`; other fields stay as they were.
@@ -164,7 +239,7 @@ class Ledger:
 
     def _append_status(self, runs: DataFrame, at: datetime) -> None:
         """Append each run's state with `outcome` as its status."""
-        self._append(runs.withColumn("status", F.col("outcome")).withColumn("event_time", F.lit(at).cast("timestamp")))
+        self.append(runs.withColumn("status", F.col("outcome")).withColumn("event_time", F.lit(at).cast("timestamp")))
 
     def missing(self, wanted: DataFrame) -> DataFrame:
         return missing(wanted, self.state())

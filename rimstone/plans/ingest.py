@@ -11,14 +11,16 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from rimstone.errors import EmptyDataset
 from rimstone.operators.keyed import budget_report, covered_by, distinct_keys, enforce_budget
 from rimstone.operators.ledger import Ledger
 from rimstone.operators.skew import spread_join
 from rimstone.plans.injury_reports import DecodedReports, parse_reports
-from rimstone.plans.publish import ingest, ingest_many, publish, publish_raw, reconcile
+from rimstone.plans.publish import ingest, ingest_many, ingest_targets, publish, publish_raw, reconcile
 from rimstone.sinks.naming import Target, report_folder
 from rimstone.sources.datasets import (
     BOX_SCORE_DATASETS,
+    GAME_LOG_TYPES,
     GAME_LOGS,
     INJURIES,
     PLAYERS,
@@ -27,6 +29,8 @@ from rimstone.sources.datasets import (
     Landed,
     LandedDataset,
 )
+from rimstone.sources.drift import expand, load_datasets
+from rimstone.sources.files import file_path, season_of
 
 
 def _target(dataset: LandedDataset) -> Target:
@@ -65,6 +69,27 @@ def ingest_league_game_logs(
     return ingest(ledger, bronze.root, target, source.read)
 
 
+def ingest_game_log_seasons(
+    ledger: Ledger, landing: Landed, bronze: Landed, seasons: Sequence[str], kind: str = "T", season_type: str = "Regular Season"
+) -> dict[str, int]:
+    """Game logs of many seasons, which may have landed in different types, in one job; the result is keyed by season.
+
+    Seasons are published in the given order. The first that has not landed fails, and those after it stay pending.
+    """
+    targets = {s: _target(bronze.game_log_dataset(s, kind, season_type)) for s in seasons}
+
+    def build(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+        landed = [landing.game_log_dataset(s, kind, season_type).path for s in names]
+        there = [path for pattern in landed for path in expand(spark, pattern)]
+        if not there:
+            raise EmptyDataset(f"none of {len(names)} seasons has landed")
+        return load_datasets(
+            spark, there, GAME_LOG_TYPES, lambda rows: rows.withColumn("_season", season_of(file_path()))
+        )
+
+    return ingest_targets(ledger, bronze.root, targets, build, "_season")
+
+
 def ingest_play_by_play(ledger: Ledger, landing: Landed, bronze: Landed, season: str) -> int | None:
     def build(spark: SparkSession) -> DataFrame:
         keys = bronze.game_ids_by_source(season, GAME_LOGS, "GAME_ID")

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from rimstone.errors import EmptyDataset
 from rimstone.operators.ledger import FAILURE, SUCCESS, Ledger, OpenRun
 from rimstone.sinks.naming import Target
-from rimstone.sinks.parquet import publish_parquet
+from rimstone.session import filesystem
+from rimstone.sinks.parquet import publish_parquet, take_place, write_folders
 from rimstone.sources.files import list_files, stored_among
 
 Build = Callable[[SparkSession], DataFrame]
@@ -52,6 +56,49 @@ def publish_many(ledger: Ledger, targets: Mapping[str, Target], build: BuildMany
     return counts
 
 
+def publish_targets(ledger: Ledger, targets: Mapping[str, Target], rows: DataFrame, column: str) -> dict[str, int]:
+    """Publish the rows of many targets, told apart by the names in `column`, with one write for all of them.
+
+    One pending run per target is opened first. Then all rows are computed and written beside their places in one job,
+    with their number per target; if that fails, every run fails. Then the targets take their places in the declared
+    order, which moves folders only. A target without rows, or one whose move fails, fails its run, and the runs of the
+    targets after it stay pending until they are reconciled. All outcomes are appended together.
+    """
+    if not targets:
+        return {}
+    spark = ledger.spark
+    runs = dict(zip(targets, ledger.open_runs([t.s3_key for t in targets.values()]), strict=True))
+    # Beside the first target, so that moves stay within one store.
+    first = next(iter(targets.values())).path
+    staged = f"{first.rstrip('/').rpartition('/')[0]}/_staged-{uuid.uuid4().hex}"
+    store, staged_path = filesystem(spark, staged)
+    # Folders have the targets' numbers, whatever their names; rows of no target are left out.
+    names = spark.createDataFrame([(n, str(i)) for i, n in enumerate(targets)], "_name string, _place string")
+    placed = rows.join(F.broadcast(names), F.col(column).cast("string") == F.col("_name")).drop("_name", column)  # one row each
+    outcomes = []
+    counts: dict[str, int] = {}
+    try:
+        try:
+            made = write_folders(placed, "_place", staged)
+        except Exception as exc:
+            outcomes = [(run, FAILURE, None, str(exc)) for run in runs.values()]
+            raise
+        for i, (name, target) in enumerate(targets.items()):
+            try:
+                if str(i) not in made:
+                    raise EmptyDataset(f"no rows for {target.path}")
+                take_place(spark, f"{staged}/{i}", target.path)
+            except Exception as exc:
+                outcomes.append((runs[name], FAILURE, None, str(exc)))
+                raise
+            counts[name] = made[str(i)]
+            outcomes.append((runs[name], SUCCESS, made[str(i)], None))
+    finally:
+        ledger.close_all(outcomes)
+        store.delete(staged_path, True)
+    return counts
+
+
 def publish_raw(ledger: Ledger, folder: str, s3_key: str, land: Callable[[], None] | None = None) -> DataFrame:
     """Record that raw files have landed in a folder; returns their listing. No row count is kept.
 
@@ -109,6 +156,33 @@ def ingest_many(
         reconcile(ledger, root)
 
 
+def ingest_targets(
+    ledger: Ledger,
+    root: str,
+    targets: Mapping[str, Target],
+    build: Callable[[SparkSession, Sequence[str]], DataFrame],
+    column: str,
+    *,
+    skip_done: bool = True,
+) -> dict[str, int]:
+    """Publish those of many targets, such as the seasons of a dataset, that no good run has produced, in one job.
+
+    `build` gets the names still to be made and returns the rows of all of them, told apart by `column`. Stale runs are
+    reconciled whatever happened.
+    """
+    try:
+        left = dict(targets)
+        if skip_done:
+            wanted = ledger.spark.createDataFrame([(n, t.s3_key) for n, t in targets.items()], "name string, s3_key string")
+            names = {r["name"] for r in ledger.missing(wanted).select("name").collect()}
+            left = {n: t for n, t in targets.items() if n in names}
+        if not left:
+            return {}
+        return publish_targets(ledger, left, build(ledger.spark, list(left)), column)
+    finally:
+        reconcile(ledger, root)
+
+
 def for_each_season(step: Callable[[str], object], seasons: DataFrame) -> list[object]:
     """Run one publish per season of a season table, in order; the first error stops the rest.
 

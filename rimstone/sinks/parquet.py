@@ -81,6 +81,27 @@ def read_published(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def take_place(spark: SparkSession, staged: str, path: str) -> None:
+    """Move a written dataset to its place; the former one is moved aside before and deleted after.
+
+    A failed move puts the former one back. A move is one step on HDFS and local disks; an object store copies.
+    """
+    restore_former(spark, path)
+    fs, staged_path = filesystem(spark, staged)
+    _, former = filesystem(spark, former_path(path))
+    _, final = filesystem(spark, path)
+    if fs.exists(final):
+        fs.delete(former, True)
+        move(fs, final, former)
+    try:
+        fs.mkdirs(final.getParent())
+        move(fs, staged_path, final)
+    except Exception:
+        restore_former(spark, path)
+        raise
+    fs.delete(former, True)
+
+
 def publish_parquet(df: DataFrame, path: str) -> int:
     """Write a dataset beside its place, refuse it if it is empty, then move it there; returns the row count.
 
@@ -100,18 +121,7 @@ def publish_parquet(df: DataFrame, path: str) -> int:
         rows_in = seen.get["rows_in"]
         if rows_in == 0:
             raise EmptyDataset(f"no rows for {path}")
-        restore_former(spark, path)
-        _, former = filesystem(spark, former_path(path))
-        _, final = filesystem(spark, path)
-        if fs.exists(final):
-            fs.delete(former, True)
-            move(fs, final, former)
-        try:
-            move(fs, staged_path, final)
-        except Exception:
-            restore_former(spark, path)
-            raise
-        fs.delete(former, True)
+        take_place(spark, staged, path)
     finally:
         fs.delete(staged_path, True)
     return rows_in

@@ -130,3 +130,44 @@ def test_missing_slots(spark):
     assert [r["slot"] for r in left.orderBy("slot_time").collect()] == [
         "2024-01-01_12AM", "2024-01-01_02AM", "2024-01-01_03AM",
     ]
+
+
+def test_a_state_read_touches_the_snapshot_and_the_tail_only(spark, ledger):
+    runs = ledger.open_runs(["a", "b"], LONG_AGO)
+    ledger.close(runs[0], SUCCESS, rows_in=3, ended_at=LONG_AGO)
+    before = rows(ledger.state())
+    assert ledger.compact() == 1 and ledger.generation() == 1
+    assert rows(ledger.state()) == before
+    assert all("/snapshot-000001/" in f for f in ledger.recent().inputFiles())
+    ledger.open_runs(["c"], LONG_AGO)
+    read = ledger.recent().inputFiles()
+    assert any("/tail-000001/" in f for f in read) and not any("/tail-000000/" in f for f in read)
+    changes = ledger.state().where("s3_key = 'b'").select("run_id", F.lit(FAILURE).alias("outcome"))
+    ledger.set_status(changes, NOW)
+    assert statuses(ledger) == {"a": SUCCESS, "b": FAILURE, "c": PENDING}
+    assert ledger.compact() == 2
+    assert statuses(ledger) == {"a": SUCCESS, "b": FAILURE, "c": PENDING}
+    assert ledger.events().count() == 5
+    assert ledger.should_ingest("b") and not ledger.should_ingest("a")
+
+
+def test_an_unfinished_snapshot_is_not_read(spark, ledger, tmp_path):
+    ledger.open_runs(["a"], LONG_AGO)
+    ledger.compact()
+    unfinished = tmp_path / "ledger" / "snapshot-000002"
+    unfinished.mkdir()
+    (unfinished / "part-0.parquet").write_bytes(b"half")
+    assert ledger.generation() == 1 and statuses(ledger) == {"a": PENDING}
+    assert ledger.compact() == 2 and statuses(ledger) == {"a": PENDING}
+    assert not ledger.compact_if(files=1)
+    ledger.open_runs(["b"], LONG_AGO)
+    assert ledger.compact_if(files=1)
+    ledger.forget(keep=1)
+    assert statuses(ledger) == {"a": PENDING, "b": PENDING} and ledger.generation() == 3
+
+
+def test_status_updates_keep_their_tasks(spark, ledger):
+    ledger.open_runs([f"k{i}" for i in range(40)], LONG_AGO)
+    states = ledger.state().select("run_id", F.lit(FAILURE).alias("outcome"))
+    ledger.set_status(states.repartition(4), NOW)
+    assert set(statuses(ledger).values()) == {FAILURE}

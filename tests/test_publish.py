@@ -250,3 +250,46 @@ def test_a_source_with_too_many_uncovered_keys_fails(spark, tmp_path, ledger):
     assert {s for s, _ in outcomes(ledger).values()} == {FAILURE}
     write_parquet(actions.where("id >= 10").drop("id"), landing.play_by_play_dataset(SEASON).path)
     assert ing.ingest_play_by_play(ledger, landing, bronze, SEASON) == 10
+
+
+def test_many_targets_in_one_job_and_the_first_failure_leaves_the_rest_pending(spark, tmp_path, ledger):
+    targets = {s: target(tmp_path, s) for s in ("a", "b c", "d", "e")}
+    made = spark.range(10).selectExpr("id", "case when id < 2 then 'a' when id < 7 then 'b c' when id = 7 then 'e' else 'other' end as season")
+    with pytest.raises(EmptyDataset):
+        pub.publish_targets(ledger, targets, made, "season")
+    assert {k.partition("/")[2]: v for k, v in outcomes(ledger).items()} == {
+        "a.parquet": (SUCCESS, 2), "b c.parquet": (SUCCESS, 5), "d.parquet": (FAILURE, None), "e.parquet": (PENDING, None),
+    }
+    assert rows(spark.read.parquet(targets["a"].path)) == [(0,), (1,)]
+    left = sorted(p.name for p in (tmp_path / "lake" / SEASON).iterdir())
+    assert left == ["a.parquet", "b c.parquet"]
+    calls = []
+
+    def build(s, names):
+        calls.append(names)
+        return s.range(4).selectExpr("id", "if(id < 3, 'd', 'e') as season")
+
+    assert pub.ingest_targets(ledger, str(tmp_path / "lake"), targets, build, "season") == {"d": 3, "e": 1}
+    assert pub.ingest_targets(ledger, str(tmp_path / "lake"), targets, build, "season") == {} and calls == [["d", "e"]]
+
+
+def test_a_failed_computation_fails_every_target(spark, tmp_path, ledger):
+    targets = {s: target(tmp_path, s) for s in ("a", "b")}
+    broken = spark.range(3).selectExpr("cast(concat('x', id) as int) as n", "'a' as season")
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        pub.publish_targets(ledger, targets, broken, "season")
+    assert {v for v, _ in outcomes(ledger).values()} == {FAILURE}
+    assert pub.publish_targets(ledger, {}, broken, "season") == {}
+
+
+def test_seasons_of_different_types_are_published_in_one_job(spark, tmp_path, ledger):
+    landing, bronze = Landed(spark, str(tmp_path / "landing")), Landed(spark, str(tmp_path / "lake"))
+    for season, kind, n in (("2022-23", "string", 2), ("2023-24", "int", 3)):
+        made = spark.range(n).selectExpr("'2' SEASON_ID", f"cast(id as {kind}) TEAM_ID", "'001' GAME_ID", f"cast(99 as {kind}) PTS")
+        write_parquet(made, landing.game_log_dataset(season).path)
+    seasons = ["2022-23", "2023-24", "2024-25", "2025-26"]
+    with pytest.raises(EmptyDataset):
+        ing.ingest_game_log_seasons(ledger, landing, bronze, seasons)
+    assert sorted(outcomes(ledger).values(), key=str) == [(FAILURE, None), (PENDING, None), (SUCCESS, 2), (SUCCESS, 3)]
+    both = bronze.get_game_logs("*")
+    assert both.count() == 5 and dict(both.dtypes)["PTS"] == "bigint" and "_season" not in both.columns
