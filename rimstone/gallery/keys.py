@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rimstone.gallery.base import Registered, table
+from rimstone.operators.asof import asof_join
+from rimstone.operators.intervals import interval_join
 from rimstone.operators.keyed import (
     failed_keys,
     apply_per_key,
@@ -114,7 +116,7 @@ from events where cast(json_extract(props, '$.k') as bigint) % 2 = 1
 
 
 def per_key_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return results_of(_applied(spark, sf_dir))
+    return results_of(materialize(_applied(spark, sf_dir), "per-key"))
 
 
 PER_KEY_ROWS = """
@@ -122,7 +124,57 @@ select event_id, cast(json_extract(props, '$.k') as bigint) as k from events
 where cast(json_extract(props, '$.k') as bigint) % 2 = 0
 """
 
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a time among those of the events: user, time placed, hours open."""
+    return table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("user_id"),
+        F.expr(
+            "timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(o_orderkey * 7 % 30 as int), 0, cast(o_orderkey * 11 % 1440 as int), 0)"
+        ).alias("placed_at"),
+        "o_orderkey",
+    )
+
+
+_PLACED_SQL = """
+placed as (
+  select o_custkey as user_id, timestamp '2024-01-01' + to_days(cast(o_orderkey * 7 % 30 as int))
+    + to_minutes(o_orderkey * 11 % 1440) as placed_at, o_orderkey
+  from orders
+)"""
+
+
+def event_asof_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    return asof_join(events, _placed(spark, sf_dir), ["user_id"], "ts", "placed_at")
+
+
+EVENT_ASOF_ORDER = f"""with {_PLACED_SQL},
+matched as (
+  select event_id, placed_at, o_orderkey from events e join placed p on p.user_id = e.user_id and p.placed_at <= e.ts
+  qualify row_number() over (partition by event_id order by placed_at desc, o_orderkey desc) = 1
+)
+select event_id, user_id, ts, placed_at, o_orderkey from events left join matched using (event_id)
+"""
+
+
+def event_in_interval(spark: SparkSession, sf_dir: str) -> DataFrame:
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    hours = F.make_dt_interval(hours=F.when(F.col("o_orderkey") % 50 == 0, 700).otherwise(F.col("o_orderkey") % 36).cast("int"))
+    opened = _placed(spark, sf_dir).withColumn("closed_at", F.col("placed_at") + hours)
+    return interval_join(events, opened, ["user_id"], "ts", "placed_at", "closed_at")
+
+
+EVENT_IN_INTERVAL = f"""with {_PLACED_SQL},
+opened as (
+  select *, placed_at + to_hours(case when o_orderkey % 50 = 0 then 700 else o_orderkey % 36 end) as closed_at from placed
+)
+select event_id, e.user_id, ts, placed_at, o_orderkey, closed_at
+from events e join opened o on o.user_id = e.user_id and ts between placed_at and closed_at
+"""
+
 QUERIES: Registered = {
+    "event_asof_order": (event_asof_order, EVENT_ASOF_ORDER),
+    "event_in_interval": (event_in_interval, EVENT_IN_INTERVAL),
     "distinct_ids_by_source": (
         distinct_ids_by_source,
         "select distinct event_type as source_name, user_id from events",

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from itertools import islice
 
 import pyarrow as pa
 from pyspark import cloudpickle
@@ -82,7 +83,8 @@ def apply_per_key(
 
     Keys are shared out over `partitions` tasks (by default the number of shuffle partitions): a key list is short,
     its calls are long. The function and its module travel to the executors by value, so they need not be installed
-    there. The records of one key are held until the function has returned, since an error discards them.
+    there. Records are handed on while the function runs, at most `LINES_PER_BATCH` at a time, so a function that yields
+    them never holds them all. If it fails midway, the lines it had made are there already: `results_of` withdraws them.
     """
     if function.__module__ in sys.modules and function.__module__ != "__main__":
         cloudpickle.register_pickle_by_value(sys.modules[function.__module__])
@@ -98,35 +100,39 @@ def apply_per_key(
         ]
     )
 
-    def lines_of(source_name: object, value: object) -> list[dict]:
+    def lines_of(source_name: object, value: object) -> Iterator[dict]:
+        error = None
         try:
             made = function(value)
-            named = made if isinstance(made, Mapping) else {"rows": made}
-            lines: list[dict] = [{"error": None}]
-            lines += [{"dataset": name, name: dict(r)} for name, records in named.items() for r in records]
+            for name, records in (made if isinstance(made, Mapping) else {"rows": made}).items():
+                for record in records:
+                    yield {source: source_name, key: value, "dataset": name, name: dict(record)}
         except Exception as exc:  # what the user's function raises is data here
-            lines = [{"error": f"{type(exc).__name__}: {exc}"}]
-        return [{source: source_name, key: value, **line} for line in lines]
+            error = f"{type(exc).__name__}: {exc}"
+        yield {source: source_name, key: value, "error": error}
 
     arrow_schema = to_arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            waiting: list[dict] = []
-            for s, k in zip(batch[source].to_pylist(), batch[key].to_pylist(), strict=True):
-                waiting += lines_of(s, k)
-                if len(waiting) >= LINES_PER_BATCH:
-                    yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
-                    waiting = []
-            if waiting:
+            pairs = zip(batch[source].to_pylist(), batch[key].to_pylist(), strict=True)
+            lines = (line for s, k in pairs for line in lines_of(s, k))
+            while waiting := list(islice(lines, LINES_PER_BATCH)):
                 yield pa.RecordBatch.from_pylist(waiting, schema=arrow_schema)
 
     return keys.select(source, key).repartition(n_tasks, source, key).mapInArrow(run, schema)
 
 
 def results_of(applied: DataFrame, dataset: str = "rows") -> DataFrame:
-    """Rows of one dataset returned by the per-key function."""
-    return applied.where(F.col("dataset") == dataset).select(f"{dataset}.*")
+    """Rows of one dataset returned by the per-key function; those of keys on which it failed are withdrawn.
+
+    `applied` is read twice: give a written table, or the function runs twice.
+    """
+    source, key = applied.columns[:2]
+    failed = failed_keys(outcomes_of(applied)).select(F.col(source).alias("_source"), F.col(key).alias("_key"))
+    made = applied.where(F.col("dataset") == dataset)
+    same = made[source].eqNullSafe(F.col("_source")) & made[key].eqNullSafe(F.col("_key"))
+    return made.join(failed, same, "left_anti").select(f"{dataset}.*")
 
 
 def outcomes_of(applied: DataFrame) -> DataFrame:

@@ -159,3 +159,27 @@ def test_one_aborted_source_among_many_empty_ones(spark):
     outcomes = spark.createDataFrame(rows, "source_name string, game long, error string")
     with pytest.raises(BudgetExceeded, match="41 sources, 1 of them aborted"):
         kd.enforce_budget(kd.budget_report(outcomes, "game"))
+
+
+def test_records_of_a_key_are_handed_on_and_withdrawn_when_it_fails(spark):
+    """A key of a million records is never held; what a failed key had made does not stay."""
+
+    def function(key):
+        import resource
+
+        before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+        for i in range(1_000_000 if key == 0 else 30_000):
+            if key == 1 and i == 29_999:
+                raise RuntimeError("late")
+            yield {"v": i}
+        if key == 0 and resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before > 150_000:  # kilobytes
+            raise MemoryError("records were held")
+
+    from rimstone.session import materialize
+
+    keys = games(spark, 3).union(spark.createDataFrame([("b", None)], "source_name string, game int"))
+    applied = materialize(kd.apply_per_key(keys, "game", function, SHAPE), "applied")
+    errors = {(r[0], r["game"]): r["error"] for r in kd.outcomes_of(applied).collect()}
+    assert errors == {("a", 0): None, ("a", 1): "RuntimeError: late", ("a", 2): None, ("b", None): None}
+    assert applied.where("game = 1 and dataset is not null").count() > 0
+    assert kd.results_of(applied).count() == 1_060_000
