@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rimstone.gallery.base import Registered, flat, table
 from rimstone.gallery.derived import BRONZE_SQL, bronze_game_logs
@@ -22,8 +24,12 @@ from rimstone.operators.checks import (
     summarize,
     value_counts_outside,
 )
+from rimstone.operators.checks import failing_check_rows as all_failing_rows
+from rimstone.operators.cleaning import clean
 from rimstone.plans import game_logs
-from rimstone.session import materialize
+from rimstone.plans.silver_build import write_audit_publish
+from rimstone.session import materialize, shared_folder
+from rimstone.sources.files import read_table
 
 
 def contract_checks(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -113,6 +119,32 @@ select c[1] as "check", c[2] as kind, c[3] as severity, season_id, team_id, game
 """
 
 
+def silver_published(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers built as a version, checked, published under a name and read by it; a range check only warns."""
+    location = f"{shared_folder(spark)}/gallery-{uuid.uuid4().hex}"
+    schema = f"gallery_{uuid.uuid4().hex}"
+    spark.sql(f"create database {schema} location '{location}'")
+    cleaned = clean(
+        table(spark, sf_dir, "customer"), trims=["c_name", "c_mktsegment"], casts={"c_acctbal": "decimal(12,2)"}, keep=["c_custkey"]
+    )
+    declared = T.StructType([T.StructField(f.name, f.dataType, True, {"comment": f.name}) for f in cleaned.schema])
+    checks = [not_null("c_custkey"), in_range("c_acctbal", 0, 9000)]
+    write_audit_publish(
+        cleaned, "customers", declared, lambda t: summarize(t, checks), lambda t: all_failing_rows(t, checks),
+        schema=schema, audit_schema=schema,
+    )
+    warned = read_table(spark, "customers_failures", schema=schema).select("c_custkey", "check")
+    return flat(read_table(spark, "customers", schema=schema).join(warned, "c_custkey", "left"))
+
+
+SILVER_PUBLISHED = """
+select trim(c_name, ' ') as c_name, trim(c_mktsegment, ' ') as c_mktsegment, c_custkey,
+  cast(cast(c_acctbal as decimal(12,2)) as double) as c_acctbal,
+  case when cast(c_acctbal as decimal(12,2)) not between 0 and 9000 then 'range_c_acctbal' end as "check"
+from customer
+"""
+
+
 def check_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan = {
         "part": [
@@ -230,6 +262,7 @@ def check_like_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: Registered = {
     "contract_checks": (contract_checks, _contract_sql()),
+    "silver_published": (silver_published, SILVER_PUBLISHED),
     "failing_check_rows": (failing_check_rows, _failing_sql()),
     "check_summary": (check_summary, _summary_sql()),
     "group_rule": (group_rule, GROUP_RULE),

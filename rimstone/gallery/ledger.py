@@ -12,12 +12,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rimstone.errors import EmptyDataset
+from rimstone.functions import latest_completed_season, season_table
 from rimstone.gallery.base import Registered, table
 from rimstone.operators.calendar import missing_slots, report_urls, slot_calendar, slot_text
-from rimstone.operators.ledger import Ledger, latest_good, missing, outcome_counts, route_stale, run_state, stale_runs
+from rimstone.operators.ledger import Ledger, latest_good, latest_good_of, missing, outcome_counts, route_stale, run_state, stale_runs
 from rimstone.plans.publish import publish_targets
 from rimstone.session import materialize, shared_folder
 from rimstone.sinks.naming import Target
+from rimstone.sinks.parquet import write_folders
+from rimstone.sources.listing import StoreListing
 
 AS_OF = "2024-01-20 00:00:00"
 CALENDAR_AS_OF = datetime(2001, 5, 20, 12)
@@ -171,6 +174,52 @@ from joined j, gap
 """
 
 
+def ledger_top_run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return latest_good_of(run_state(_ledger(spark, sf_dir)), "users/7").select("s3_key", "run_id", "ended_at", "rows_in")
+
+
+def stored_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which orders of the wanted years are stored: the years of finished orders are, two are never."""
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year"), "o_orderkey", "o_orderstatus")
+    years = orders.select("year").distinct()
+    wanted = years.union(years.select(F.col("year") + 2)).distinct()
+    wanted = wanted.select(F.concat(F.col("year"), F.lit("/orders.parquet")).alias("s3_key"))
+    root = f"{shared_folder(spark)}/store-{uuid.uuid4().hex}"
+    placed = orders.where("o_orderstatus = 'F'").withColumn("folder", F.concat(F.col("year"), F.lit("/orders.parquet")))
+    write_folders(placed.drop("year"), "folder", root)
+    stored = StoreListing(spark, root, f"{root}-listing").stored_among(wanted).withColumn("stored", F.lit(True))
+    marked = wanted.join(stored, "s3_key", "left")
+    return marked.select("s3_key", F.coalesce("stored", F.lit(False)).alias("stored"))
+
+
+STORED_KEYS = """
+with years as (select distinct year(o_orderdate) as y from orders),
+wanted as (select y from years union select y + 2 from years)
+select y || '/orders.parquet' as s3_key,
+  y in (select year(o_orderdate) from orders where o_orderstatus = 'F') as stored
+from wanted
+"""
+
+
+def seasons_played(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every season between the first order and two years past the last, with its orders, and the last completed one."""
+    orders = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("start_year"), "o_orderdate")
+    first, last, newest = orders.agg(F.min("start_year"), F.max("start_year"), F.max("o_orderdate")).first()
+    played = orders.groupBy("start_year").agg(F.count(F.lit(1)).alias("n_games"))
+    seasons = season_table(spark, first, last + 3).join(played, "start_year", "left")
+    completed = F.col("season") == latest_completed_season(F.lit(newest))
+    return seasons.select("season", "start_year", F.coalesce("n_games", F.lit(0)).alias("n_games"), completed.alias("completed_last"))
+
+
+SEASONS_PLAYED = """
+with counted as (select year(o_orderdate) as y, count(*) as n from orders group by 1),
+listed as (select unnest(generate_series(min(y), max(y) + 2)) as y, max(y) as top from counted)
+select cast(listed.y as varchar) || '-' || lpad(cast((listed.y + 1) % 100 as varchar), 2, '0') as season,
+  cast(listed.y as integer) as start_year, coalesce(n, 0) as n_games, listed.y = top - 1 as completed_last
+from listed left join counted on counted.y = listed.y
+"""
+
+
 def slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = table(spark, sf_dir, "orders").select(F.year("o_orderdate").alias("year")).distinct()
     calendar = report_urls(slot_calendar(years, CALENDAR_AS_OF, quarter_from=1999))
@@ -237,6 +286,14 @@ QUERIES: Registered = {
     ),
     "ledger_after_update": (ledger_after_update, f"with {STALE_SQL} {LEDGER_AFTER_UPDATE}"),
     "season_outcomes": (season_outcomes, SEASON_OUTCOMES),
+    "ledger_top_run": (
+        ledger_top_run,
+        f"""with {LEDGER_SQL} select s3_key, run_id, ended_at, rows_in from state
+        where s3_key = 'users/7' and status = 'Success' and rows_in > 0 and ended_at is not null
+        order by ended_at desc limit 1""",
+    ),
+    "stored_keys": (stored_keys, STORED_KEYS),
+    "seasons_played": (seasons_played, SEASONS_PLAYED),
     "slot_calendar": (slots, SLOT_CALENDAR),
     "slot_coverage": (slot_coverage, SLOT_COVERAGE),
 }

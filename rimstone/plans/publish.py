@@ -14,6 +14,7 @@ from rimstone.sinks.naming import Target
 from rimstone.session import filesystem
 from rimstone.sinks.parquet import publish_parquet, take_place, write_folders
 from rimstone.sources.files import list_files, stored_among
+from rimstone.sources.listing import StoreListing
 
 Build = Callable[[SparkSession], DataFrame]
 BuildMany = Callable[[SparkSession], Mapping[str, DataFrame]]
@@ -116,9 +117,9 @@ def publish_raw(ledger: Ledger, folder: str, s3_key: str, land: Callable[[], Non
     return files
 
 
-def reconcile(ledger: Ledger, root: str) -> dict[str, int]:
-    """Resolve stale runs by what is stored below the lake's root."""
-    return ledger.reconcile(lambda stale: stored_among(stale, root))
+def reconcile(ledger: Ledger, root: str, listing: StoreListing | None = None) -> dict[str, int]:
+    """Resolve stale runs by what is stored below the lake's root; with a kept listing only changed folders are listed."""
+    return ledger.reconcile(listing.stored_among if listing else lambda stale: stored_among(stale, root))
 
 
 def ingest(ledger: Ledger, root: str, target: Target, build: Build, *, skip_done: bool = True) -> int | None:

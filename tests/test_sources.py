@@ -13,7 +13,10 @@ from rimstone.session import materialize, shared_folder
 from rimstone.sinks.parquet import write_folders, write_parquet
 from rimstone.sources import datasets as ds
 from rimstone.sources import drift, files
+from rimstone.operators.ledger import Ledger
+from rimstone.plans.publish import reconcile
 from rimstone.sources.drift import file_groups, read_with_drift
+from rimstone.sources.listing import StoreListing
 
 
 @pytest.fixture
@@ -195,3 +198,35 @@ def test_folders_are_written_in_one_job(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "20%:1" / "a b.parquet"))) == [(1,), (4,), (7,)]
     assert write_folders(made.where("id < 1"), "to", str(tmp_path)) == {"20%:0/a b.parquet": 1}
     assert sorted(p.name for p in tmp_path.iterdir()) == ["20%:0", "20%:1", "20%:2"]
+
+
+def test_only_changed_folders_are_listed_again(spark, tmp_path):
+    import os
+    import time
+
+    root = tmp_path / "lake"
+    for key in ("2022-23/a.parquet", "2023-24/a.parquet", "injuries/2024/raw/deep/x.pdf"):
+        (root / key).parent.mkdir(parents=True, exist_ok=True)
+        (root / key).write_bytes(b"x")
+    (root / "2022-23" / "b.parquet").mkdir()
+    (root / "2022-23" / "b.parquet" / "part-0.parquet").write_bytes(b"x")
+    (root / "2022-23" / "_staged-c.parquet").mkdir()
+    old = time.time() - 100
+    for folder, _, _ in os.walk(root):
+        os.utime(folder, (old, old))
+    listing = StoreListing(spark, str(root), str(tmp_path / "kept"))
+    assert listing.refresh() == 7
+    want = ["2022-23/a.parquet", "2022-23/b.parquet", "2023-24/a.parquet", "injuries/2024/raw/deep/x.pdf"]
+    assert rows(listing.keys()) == [(k,) for k in want]
+    assert listing.refresh() == 0
+    (root / "2023-24" / "new.parquet").write_bytes(b"x")
+    assert listing.refresh() == 1 and rows(listing.keys()) == sorted([*[(k,) for k in want], ("2023-24/new.parquet",)])
+    assert listing.refresh() == 1  # its stamp is too young to be trusted
+    (root / "injuries/2024/raw/deep/x.pdf").unlink()
+    (root / "injuries/2024/raw/deep").rmdir()
+    asked = spark.createDataFrame([(k,) for k in [*want, "nowhere"]], "s3_key string")
+    assert rows(listing.stored_among(asked)) == [(k,) for k in want[:3]]
+    ledger = Ledger(spark, str(tmp_path / "ledger"))
+    ledger.open_runs([want[0], want[3]], datetime(2020, 1, 1))
+    assert reconcile(ledger, str(root), listing) == {"Success": 1, "Failure": 1}
+    assert StoreListing(spark, str(tmp_path / "none"), str(tmp_path / "kept2")).refresh() == 0
