@@ -12,7 +12,7 @@ from rimstone.functions.text import (
     last_part,
     path_tail,
     snake,
-    snake_name,
+    snake_names,
     trimmed,
 )
 
@@ -26,6 +26,6 @@ __all__ = [
     "season_of_year",
     "season_table",
     "snake",
-    "snake_name",
+    "snake_names",
     "trimmed",
 ]

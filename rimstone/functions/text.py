@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import re
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 # Fixed value: a capital that follows a word character starts a new word.
@@ -31,9 +31,12 @@ def snake(c: Column | str) -> Column:
     return F.lower(F.regexp_replace(broken, r"(?U)\s", "_"))
 
 
-def snake_name(name: str) -> str:
-    """Snake case of one column name; same rule as `snake`."""
-    return re.sub(r"\s", "_", re.sub(WORD_BREAK, r"\1 \2", name)).lower()
+def snake_names(names: Sequence[str]) -> list[str]:
+    """The names as `snake` gives them; Spark folds the expression, so no task runs."""
+    if not names:
+        return []
+    given = F.array(*[F.lit(n) for n in names])
+    return SparkSession.active().sql("select 1").select(F.transform(given, snake)).first()[0]
 
 
 def kebab(prefix: Column | str, *suffixes: Column | str) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rimstone.errors import MissingColumn
-from rimstone.functions import hash_key, snake_name, trimmed
+from rimstone.functions import hash_key, snake_names, trimmed
 
 
 def require_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -47,4 +47,4 @@ def tag_source(df: DataFrame, name: str, column: str = "source_name") -> DataFra
 
 def snake_columns(df: DataFrame) -> DataFrame:
     """Rename every column to snake case."""
-    return df.toDF(*[snake_name(c) for c in df.columns])
+    return df.toDF(*snake_names(df.columns))

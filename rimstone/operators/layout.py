@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rimstone.errors import LayoutFault
-from rimstone.functions import snake, snake_name
+from rimstone.functions import snake, snake_names
 from rimstone.operators.skew import TINY_SIDE_SPREAD, spread_join
 
 # Words 0-1 of a page are its title, 2-4 its time, data starts at 5; the last column is 500
@@ -195,7 +195,7 @@ def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns
     contains the word, the place of its name in `columns` followed by the file's `others`, counted from 1; it is empty
     for a word outside all columns.
     """
-    known = F.array(*[F.lit(snake_name(c)) for c in columns]).cast("array<string>")
+    known = F.array(*[F.lit(c) for c in snake_names(columns)]).cast("array<string>")
     names = F.transform("headers", lambda h: h["name"])
     complete = (
         layouts.where((F.size("headers") > 0) & (F.size("headers") == F.size("ranges")))
@@ -252,7 +252,7 @@ def rows_of(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Seq
         text = F.array_join(F.transform(mine, lambda e: e["text"]), " ")
         return F.nullif(F.trim(text), F.lit(""))
 
-    cells = [cell(F.lit(i)).alias(snake_name(name)) for i, name in enumerate(columns, start=1)]
+    cells = [cell(F.lit(i)).alias(name) for i, name in enumerate(snake_names(columns), start=1)]
     values = F.transform("others", lambda _, i: cell(i + len(columns) + 1))
     more = F.map_from_arrays("others", values).alias("more")
     return grouped.select("file", "page", "line", "row_order", *cells, more, "reported_at")

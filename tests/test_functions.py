@@ -12,8 +12,8 @@ NAMES = ["CurrentStatus", "Game Date", "TEAM_ID", "team", "GameDate Time"]
 SNAKES = ["current_status", "game_date", "t_ea_m__id", "team", "game_date_time"]
 
 
-def test_snake_name():
-    assert [fn.snake_name(n) for n in NAMES] == SNAKES
+def test_snake_names(spark):
+    assert fn.snake_names(NAMES) == SNAKES and fn.snake_names([]) == []
 
 
 def test_snake_column_agrees(spark):
