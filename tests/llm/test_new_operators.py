@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from rimstone.llm import content_sort, phrases, ranking
+from rimstone.llm import components, content_sort, phrases, ranking
 
 SCHEMA = "doc_id long, text string, lang string, n long, slot int, word string"
 
@@ -194,3 +194,24 @@ def test_empty_tables(spark):
     assert phrases.collocations(docs).count() == 0
     assert phrases.collocations(spark.createDataFrame([(1, None, None, 1, 2, "w")], SCHEMA)).count() == 0
 
+
+@pytest.mark.parametrize("shape", ["in order", "at random", "stars"])
+def test_components_of_long_chains_take_few_rounds(spark, monkeypatch, shape):
+    n = 2000
+    ids = list(range(n))
+    if shape == "at random":
+        random.Random(2).shuffle(ids)
+    edges = list(zip(ids, ids[1:], strict=False))
+    if shape == "stars":
+        edges = [(0, i) for i in range(1, 900)] + [(1500, i) for i in range(901, 1499)] + [(899, 1600), (1600, 1600)]
+    written = []
+    whole = components.materialize
+    monkeypatch.setattr(components, "materialize", lambda df, label: written.append(label) or whole(df, label))
+    got = dict(tuple(r) for r in components.components(spark.createDataFrame(edges, "a long, b long")).collect())
+    if shape == "stars":
+        want = {i: 0 for i in [*range(900), 1600]} | {i: 901 for i in [*range(901, 1499), 1500]}
+    else:
+        want = dict.fromkeys(range(n), 0)
+    assert got == want
+    assert written.count("pointers") <= 15
+    assert components.components(spark.createDataFrame([(1, 1)], "a long, b long")).isEmpty()
