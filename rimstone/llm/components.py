@@ -11,7 +11,7 @@ from rimstone.llm.common import materialize
 def components(edges: DataFrame) -> DataFrame:
     """`node`, `component` (its smallest reachable node) for every node of the edges `a`, `b` (longs).
 
-    Each round orders the nodes anew by a hash. Every node points to the first of itself and its neighbours, pointers are
+    Each round but the first orders the nodes anew by a hash. Every node points to the first of itself and its neighbours, pointers are
     followed once more, and the edges between different targets make the next graph. In a fresh random order a node is
     seldom first among its neighbours, so a graph loses most of its nodes each round whatever its shape, chains too, and
     rounds grow with the logarithm of the number of nodes. Rounds are written tables, so no lineage grows, and a node
@@ -23,7 +23,9 @@ def components(edges: DataFrame) -> DataFrame:
     while not left.isEmpty():
 
         def order(node: str, number: int = len(rounds)) -> Column:
-            return F.struct(F.xxhash64(F.col(node), F.lit(number)).alias("h"), F.col(node).alias("id"))
+            # First by number, which settles stars around their smallest node at once, then by hashes.
+            h = F.xxhash64(F.col(node), F.lit(number)) if number else F.lit(0).cast("long")
+            return F.struct(h.alias("h"), F.col(node).alias("id"))
 
         both = left.unionByName(left.select(F.col("b").alias("a"), F.col("a").alias("b")))
         first = both.groupBy(F.col("a").alias("node")).agg(F.min(order("b")).alias("low"))
