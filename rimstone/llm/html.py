@@ -1,9 +1,13 @@
 """Main text of web pages by differencing each page with its nearest neighbour.
 
-Pages of a host are put in the order of their URL paths; a page's neighbour is the adjoining path that shares more
-leading segments. The text lines of both are aligned by a longest common subsequence. Shared lines are what the site
-puts on every page and go, as do lines whose markup says that they are menus, adverts and the like. Lines inside the
-page's own article element are checked against that element and stay: two addresses may show one article.
+Pages of a host are put in the order of their URL paths and queries; a page's neighbour is the adjoining one that shares
+more leading segments. The text lines of both are aligned by a longest common subsequence. Shared lines are what the
+site puts on every page and go, as do lines whose markup says that they are menus, adverts and the like. Lines inside
+the page's own article element are checked against that element and stay: two addresses may show one article.
+
+Markup is judged by tags, roles and the class names of an element. A form, or an element whose classes name both the
+content and something else, may also be a frame around the whole page; whether it is one shows only in what it holds,
+so its lines are marked as doubtful first and decided when the page has been read.
 """
 
 from __future__ import annotations
@@ -34,7 +38,7 @@ BLOCK = set(
     "form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary table tbody tfoot "
     "thead tr ul".split()
 )
-CHROME = set("nav footer aside form button menu dialog object canvas head".split())
+CHROME = set("nav footer aside button menu dialog object canvas head".split())
 ROLES = set("navigation banner contentinfo complementary search dialog alertdialog alert form menu menubar".split())
 NAMES = set(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner nav navbar "
@@ -43,20 +47,65 @@ NAMES = set(
     "pagination pager toolbar widget copyright".split()
 )
 OWN = set("content article main post entry story body".split())
+STATES = set("has with no without is not enabled disabled open closed on off".split())  # sidebar-off names no sidebar
 OUTSIDE, ARTICLE, SITE, MAIN = 0, 1, 2, 3  # where a line stands; MAIN: in the main element, but in no article
+DOUBTFUL = 4  # this and larger numbers: in an element that is either part of the site or a frame around the page
 
 
-def names_chrome(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether an element's markup says that it holds no part of the article."""
-    if tag in CHROME or tag == "header" and not in_article:
-        return True
+def judged(tag: str, attrs: str, where: int) -> str:
+    """What an element's markup says: "site", "form" or "mixed" where it may be a frame, and "" where it says nothing.
+
+    Within an article a class that names a sidebar, comments and so on decides, whatever else it names. Outside, an
+    element that names the content too may be what surrounds article and sidebar, and an article is its own root.
+    """
+    in_article = where == ARTICLE
+    if tag in CHROME or tag == "header" and where not in (ARTICLE, MAIN) or tag == "form" and in_article:
+        return "site"
+    doubt = "form" if tag == "form" else ""
     if not attrs or tag in ("html", "body", "main"):
-        return False
+        return doubt
     found = {k.lower(): v.strip("\"'").lower() for k, v in ATTRIBUTE.findall(attrs)}
-    if found.get("role") in ROLES or found.get("aria-hidden") == "true":
-        return True
-    words = set(re.findall(r"[a-z]+", f"{found.get('class', '')} {found.get('id', '')}"))
-    return bool(words & NAMES) and not words & OWN or "header" in words and not in_article and not words & OWN
+    if found.get("role") in ROLES - {"form"} or found.get("aria-hidden") == "true":
+        return "site"
+    if found.get("role") == "form":
+        doubt = "site" if in_article else "form"
+    names = [set(re.findall(r"[a-z]+", name)) for name in f"{found.get('class', '')} {found.get('id', '')}".split()]
+    own = any(words & OWN for words in names)
+    if any(words & NAMES and not words & STATES for words in names):
+        if not own or in_article:
+            return "site"
+        return doubt if tag == "article" else doubt or "mixed"
+    if any("header" in words for words in names) and where not in (ARTICLE, MAIN) and not own:
+        return "site"
+    return doubt
+
+
+def decided(lines: list[tuple[str, int]], doubts: list[tuple[int, str, set[str]]]) -> list[tuple[str, int]]:
+    """`lines` with what each doubtful element is: its surroundings' place where it is a frame, else part of the site.
+
+    A form is a frame if it holds an article, a main element, a menu or a top heading. A mixed element is one if it
+    holds an article, a main element or a top heading, and the page has no article or main element elsewhere. If
+    nothing is left of a page otherwise, forms with paragraphs are frames.
+    """
+    if not doubts:
+        return lines
+
+    def resolve(frames: dict[str, set[str]]) -> list[tuple[str, int]]:
+        place: list[int] = []
+        for parent, kind, signs in doubts:  # parents come before what they hold
+            above = place[parent - DOUBTFUL] if parent >= DOUBTFUL else parent
+            held = ARTICLE if kind == "article" and above != SITE else above
+            place.append(held if signs & frames[kind] else SITE)
+        return [(line, place[at - DOUBTFUL] if at >= DOUBTFUL else at) for line, at in lines]
+
+    held = {"article", "main", "h1"}
+    frames: dict[str, set[str]] = {"form": held | {"nav"}, "mixed": set(), "article": {"article"}}
+    made = resolve(frames)
+    if not any(at in (ARTICLE, MAIN) for _, at in made):
+        made = resolve(frames := frames | {"mixed": held})
+    if all(at == SITE for _, at in made):
+        made = resolve(frames | {"form": held | {"nav", "p"}})
+    return made
 
 
 def page_lines(page: str) -> list[tuple[str, int]]:
@@ -64,6 +113,7 @@ def page_lines(page: str) -> list[tuple[str, int]]:
     stack: list[tuple[str, int]] = []
     lines: list[tuple[str, int]] = []
     text: list[str] = []
+    doubts: list[tuple[int, str, set[str]]] = []  # place around, kind, and telling elements inside
     where = OUTSIDE
 
     def flush() -> None:
@@ -71,6 +121,10 @@ def page_lines(page: str) -> list[tuple[str, int]]:
             lines.append((line, where))
         text.clear()
 
+    def doubtful(kind: str, signs: set[str]) -> int:
+        doubts.append((where, kind, signs))
+        return DOUBTFUL + len(doubts) - 1
+
     for m in TOKEN.finditer(page):
         if (plain := m["text"]) is not None:
             text.append(html.unescape(plain) if "&" in plain else plain)
@@ -94,24 +148,42 @@ def page_lines(page: str) -> list[tuple[str, int]]:
                 where = stack.pop()[1]
             stack.append((tag, where))
             if where != SITE:
-                inside = SITE if names_chrome(tag, m["attrs"], where in (ARTICLE, MAIN)) else where
-                if inside in (OUTSIDE, MAIN) and tag == "article":
-                    inside = ARTICLE
-                elif inside == OUTSIDE and (tag == "main" or 'role="main"' in m["attrs"]):
+                # Inside a doubtful element the nearest place that is known counts.
+                known, above = where, False
+                while known >= DOUBTFUL:
+                    above |= doubts[known - DOUBTFUL][1] == "article"
+                    known = doubts[known - DOUBTFUL][0]
+                known = ARTICLE if above else known
+                says = judged(tag, m["attrs"], known)
+                if tag in ("article", "main", "h1", "p") and not says or tag == "nav":
+                    around = where
+                    while around >= DOUBTFUL:
+                        doubts[around - DOUBTFUL][2].add(tag)
+                        around = doubts[around - DOUBTFUL][0]
+                inside = where
+                if says:
+                    inside = SITE if says == "site" else doubtful(says, set())
+                elif tag == "article" and known in (OUTSIDE, MAIN):
+                    inside = doubtful("article", {"article"}) if where >= DOUBTFUL else ARTICLE
+                elif where == OUTSIDE and (tag == "main" or 'role="main"' in m["attrs"]):
                     inside = MAIN
                 if inside != where:
                     flush()
                 where = inside
     flush()
-    return lines
+    return decided(lines, doubts)
 
 
 def shared_lines(mine: list, other: list) -> set[int]:
     """Places of `mine` in a longest common subsequence with `other`.
 
     Bit-parallel: row i is an integer whose clear bits mark the places of `other` where the length grows, so a page
-    of thousands of lines costs a few wide integer operations for each line.
+    of thousands of lines costs a few wide integer operations for each line. Lines that only one side has are left out
+    first, so memory grows with what both have.
     """
+    both = set(mine) & set(other)
+    places = [i for i, line in enumerate(mine) if line in both]
+    mine, other = [mine[i] for i in places], [line for line in other if line in both]
     where: dict = {}
     for j, line in enumerate(other):
         where[line] = where.get(line, 0) | 1 << j
@@ -128,7 +200,7 @@ def shared_lines(mine: list, other: list) -> set[int]:
         elif not rows[i - 1] >> (j - 1) & 1:
             i -= 1  # it grew there without line i as well
         else:
-            shared.add(i - 1)
+            shared.add(places[i - 1])
             i, j = i - 1, j - 1
     return shared
 
@@ -148,8 +220,13 @@ def host_of(url: Column) -> Column:
 
 
 def path_of(url: Column) -> Column:
-    path = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^?#]*)", 1)
-    return F.regexp_replace(path, "/+$", "")
+    """Path and query of an address; a query without what only says where a visitor comes from."""
+    rest = F.regexp_extract(F.coalesce(url, F.lit("")), r"^[a-zA-Z][a-zA-Z0-9+.-]*://[^/?#]*([^#]*)", 1)
+    query = F.regexp_extract(rest, r"\?(.*)$", 1)
+    query = F.regexp_replace(query, r"(?i)(^|&)(utm_[^=&]*|ref|fbclid|gclid)(=[^&]*)?(?=&|$)", "")
+    query = F.regexp_replace(query, "^&", "")
+    path = F.regexp_replace(F.regexp_replace(rest, r"\?.*$", ""), "/+$", "")
+    return F.when(query == "", path).otherwise(F.concat(path, F.lit("?"), query))
 
 
 def parsed(pages: DataFrame) -> DataFrame:
@@ -189,7 +266,7 @@ def neighbours(paths: DataFrame) -> DataFrame:
 
     def common(i: int) -> Column:
         """One more than the number of leading segments in common; null for a page of another host."""
-        equal = F.zip_with(F.split("path", "/"), F.split(f"path{i}", "/"), lambda a, b: F.coalesce(a == b, F.lit(False)))
+        equal = F.zip_with(F.split("path", "[/?&]"), F.split(f"path{i}", "[/?&]"), lambda a, b: F.coalesce(a == b, F.lit(False)))
         return F.when(F.col(f"host{i}") == F.col("host"), F.array_position(equal, False))
 
     best = F.when(common(1).isNull() | (common(0) >= common(1)), F.when(common(0).isNotNull(), F.col("path0")))
@@ -199,7 +276,7 @@ def neighbours(paths: DataFrame) -> DataFrame:
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_shared (lines shared with the neighbour) for every row of `pages`.
 
-    A null page is empty and has the empty text. Pages of one path share their neighbour; the page with the smallest
+    A null page is empty and has the empty text, as has one that holds nothing but parts of the site. Pages of one path share their neighbour; the page with the smallest
     id stands for a path. Addresses without host form a host of their own. Other columns are ignored, repeated rows
     are extracted each. Only paths are sorted globally; no host is gathered in one task.
     """
