@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from rimstone.llm.common import keyed_texts, materialize
 
 BUCKETS = 1 << 17  # of words; the number of word counts that are known, whatever the corpus
+SIZES = 8  # size classes of lines that are told apart when leads are chosen
 SHIFT = 56  # a word's key: its rarity class, then 56 bits of its hash
 
 
@@ -170,29 +171,47 @@ def prefix_words(one: DataFrame, percent: int) -> DataFrame:
     return words.select("key", "id", "bits", "more_bits", packed)
 
 
-def with_lead(words: DataFrame) -> DataFrame:
-    """Prefix words with the `lead` of their key and size class, the row of the earliest set, where that is another one.
+def lead_names() -> list[str]:
+    return [f"lead{i}" for i in range(2 * SIZES)]
 
-    Leads are combined before they are shuffled, and written, so that both sides of the join have an exchange of their
-    own and a word of very many lines can be split.
+
+def with_leads(words: DataFrame) -> DataFrame:
+    """Prefix words with the leads of their key, where one of these is an earlier set.
+
+    A lead is the row of the earliest set of its kind. Kinds are SIZES size classes, half a power of two each and then
+    again from the first, and two halves by a hash. So a set sees leads of the classes next to its own too. Leads are
+    combined before they are shuffled, and written, so that both sides of the join have an exchange of their own and a
+    word of very many lines can be split.
     """
-    sized = words.select("*", F.floor(2 * F.log2(F.shiftright("packed", 32))).alias("size"))
-    lead = F.min(F.struct("id", "bits", "more_bits", "packed")).alias("lead")
-    leads = sized.groupBy("key", "size").agg(lead, F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    return sized.join(materialize(leads, "line-leads"), ["key", "size"]).where(F.col("lead.id") < F.col("id"))
+    kind = F.pmod(F.floor(2 * F.log2(F.shiftright("packed", 32))), F.lit(SIZES)) * 2 + F.xxhash64("id").bitwiseAND(1)
+    row = F.struct("id", "bits", "more_bits", "packed")
+    mins = [F.min(F.when(kind == i, row)).alias(name) for i, name in enumerate(lead_names())]
+    leads = words.groupBy("key").agg(*mins, F.count("*").alias("rows")).where("rows > 1").drop("rows")
+    earliest = F.least(*(F.col(f"{name}.id") for name in lead_names()))
+    return words.join(materialize(leads, "line-leads"), "key").where(earliest < F.col("id"))
+
+
+def likeliest_lead(percent: int) -> Column:
+    """`differ` and `id` of the earlier lead that passes the filters and seems to differ least from `own`; null if none."""
+
+    def judged(lead: str) -> Column:
+        differ = differing(f"{lead}.bits", "own.bits") + differing(f"{lead}.more_bits", "own.more_bits")
+        passes = (F.col(f"{lead}.id") < F.col("own.id")) & may_be_similar(lead, "own", percent)
+        return F.when(passes, F.struct(differ.alias("differ"), F.col(f"{lead}.id").alias("id")))
+
+    return F.least(*map(judged, lead_names()))
 
 
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
     """set_id, check, and `first` place of an earlier similar set, for every set that has one.
 
-    `id` follows the first places. One earlier similar set is enough, so each set is first compared with the earliest
-    of its size that shares a prefix word; in a large group of near copies that decides nearly all. Only sets still
-    open are compared with all earlier sets that share a prefix word.
+    `id` follows the first places. One earlier similar set is enough, so each set is first compared, for each of its
+    prefix words, with the likeliest of a few early sets of its size that have the word; in a large group of near
+    copies that decides nearly all. Only sets still open are compared with all earlier sets that share a prefix word.
     """
     words = prefix_words(one, percent)
-    led = with_lead(words)
-    led = led.select("lead", F.struct("id", "bits", "more_bits", "packed").alias("own")).where(may_be_similar("lead", "own", percent))
-    led = led.select(F.col("lead.id").alias("id"), F.col("own.id").alias("id_to")).distinct()
+    led = with_leads(words).select(*lead_names(), F.struct("id", "bits", "more_bits", "packed").alias("own"))
+    led = led.select(likeliest_lead(percent)["id"].alias("id"), F.col("own.id").alias("id_to")).where("id is not null").distinct()
     found = verified(led, one, texts, classes, percent)
     # Decided sets are marked by a negative size. Both sides are then the same rows, which are shuffled once.
     done = found.select(F.col("id_to").alias("done")).distinct()
