@@ -14,6 +14,7 @@ import json
 import re
 import unicodedata
 from collections.abc import Iterable, Iterator
+from itertools import batched, chain
 from pathlib import Path
 
 import numpy as np
@@ -29,6 +30,9 @@ PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Spa
 ODD_SPACE = re.compile("[\x1c-\x1f]")
 SPACE = regex.compile(r"\p{White_Space}+")
 SLICE = 1 << 20
+SHORT = 40  # characters of a piece that may be remembered
+WINDOW = 1 << 16  # characters that are split at a time
+RUN = 4096  # ids that a long word hands on at a time
 CACHE_ROWS = 120_000  # words remembered by a task, those that it meets first; others are encoded each time
 
 
@@ -62,6 +66,7 @@ class Merges:
         self.spelled = {i: self._spell(i) for i in self.text if i not in self.special.values()}
         self.by_spelling = {s: i for i, s in self.spelled.items()}
         self.lookahead = max(map(len, self.spelled.values()))
+        self.made: dict[int, bool] = {}
         self.fits: dict[tuple[int, int], bool] = {}
 
     def _spell(self, token: int) -> tuple[int, ...]:
@@ -74,10 +79,11 @@ class Merges:
                 out.append(t)
         return tuple(out)
 
-    def symbols(self, word: bytes) -> list[int]:
-        return [self.inner[b] for b in word[:-1]] + [self.last[word[-1]]]
+    def symbols(self, word: bytes) -> Iterator[int]:
+        inner, end = self.inner, len(word) - 1
+        return (inner[b] if i < end else self.last[b] for i, b in enumerate(word))
 
-    def merge(self, symbols: list[int]) -> list[int]:
+    def merge(self, symbols: Iterable[int]) -> list[int]:
         """Plain encoding of a few symbols: the earliest rule first, its leftmost place first."""
         out, rank, never = list(symbols), self.rank, len(self.whole)
         orders = [rank.get(pair, never) for pair in zip(out, out[1:], strict=False)]
@@ -94,6 +100,13 @@ class Merges:
                 orders[i] = rank.get((out[i], out[i + 1]), never)
         return out
 
+    def is_made(self, token: int) -> bool:
+        """Whether the token is the encoding of its own spelling."""
+        known = self.made.get(token)
+        if known is None:
+            known = self.made[token] = self.merge(self.spelled[token]) == [token]
+        return known
+
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the two tokens stand side by side in an encoding: whether their joint text is encoded so."""
         known = self.fits.get((left, right))
@@ -117,7 +130,7 @@ class Merges:
             here = len(spelled)
             for start in range(max(0, here - self.lookahead), here):  # the longest token that fits
                 token = self.by_spelling.get(tuple(spelled[start:here]))
-                if token is None or self.merge(list(self.spelled[token])) != [token]:
+                if token is None or not self.is_made(token):
                     continue
                 left = before if start == 0 else ending[start][0]
                 if left is None or self.may_follow(left, token):
@@ -145,14 +158,25 @@ class Merges:
             place = start
         return out[::-1]
 
-    def encode_word(self, word: bytes) -> list[int]:
-        """A word that fits in the lookahead is merged at once, since its end is in sight; a longer one streams."""
-        symbols = self.symbols(word)
-        return self.merge(symbols) if len(symbols) <= self.lookahead else list(self.stream(symbols))
+    def encode_word(self, word: bytes) -> Iterator[int]:
+        """Tokens of one word, each as soon as it is stable."""
+        return self.stream(self.symbols(word))
+
+
+def windows(text: str, most: int = WINDOW) -> Iterator[str]:
+    """A text in stretches of about `most` characters that end before a blank; a longer word is not cut."""
+    done = 0
+    while len(text) - done > most:
+        cut = text.find(" ", done + most)
+        if cut < 0:
+            break
+        yield text[done:cut]
+        done = cut
+    yield text[done:]
 
 
 class Encoder:
-    """Encodes texts piece by piece and remembers the pieces it has met."""
+    """Encodes texts piece by piece and remembers what the transducer gave for the short pieces it has met."""
 
     def __init__(self, file: str):
         self.merges = Merges(file)
@@ -161,47 +185,65 @@ class Encoder:
         special = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
 
+    def piece(self, piece: str) -> list[int]:
+        found = self.pieces.get(piece)
+        if found is None:
+            found = list(self.merges.encode_word(piece.encode()))
+            if len(self.pieces) < CACHE_ROWS:
+                self.pieces[piece] = found
+        return found
+
     def chunk(self, chunk: str) -> list[int]:
-        """Ids of a stretch without white space."""
-        ids = []
-        for piece in PIECES.findall(chunk):
-            found = self.pieces.get(piece)
-            if found is None:
-                found = self.merges.encode_word(piece.encode())
-                if len(self.pieces) < CACHE_ROWS and len(piece) <= 40:
-                    self.pieces[piece] = found
-            ids += found
-        if len(self.known) < CACHE_ROWS and len(chunk) <= 40:
+        """Ids of a short stretch without white space."""
+        ids = [i for piece in PIECES.findall(chunk) for i in self.piece(piece)]
+        if len(self.known) < CACHE_ROWS:
             self.known[chunk] = ids
         return ids
 
-    def plain(self, text: str) -> list[int]:
+    def long_chunk(self, chunk: str) -> Iterator[list[int]]:
+        """The same of a long stretch, in lists of bounded length."""
+        for m in PIECES.finditer(chunk):
+            if m.end() - m.start() <= SHORT:
+                yield self.piece(m.group())
+            else:
+                yield from map(list, batched(self.merges.encode_word(m.group().encode()), RUN))
+
+    def plain(self, text: str) -> Iterator[list[int]]:
         """Ids of a text without special tokens: composed form, lower case letter by letter, pieces, merges."""
-        text = unicodedata.normalize("NFC", text).replace("Σ", "σ").lower()
-        # Unless a text has characters that only Python takes for white space, its own splitting is right.
-        chunks = SPACE.split(text) if ODD_SPACE.search(text) else text.split()
-        out: list[int] = []
         known = self.known.get
-        for chunk in chunks:
-            out += known(chunk) or self.chunk(chunk)
-        return out
+        for window in windows(text):
+            window = unicodedata.normalize("NFC", window).replace("Σ", "σ").lower()
+            # Unless a text has characters that only Python takes for white space, its own splitting is right.
+            chunks = SPACE.split(window) if ODD_SPACE.search(window) else window.split()
+            out: list[int] = []
+            for chunk in chunks:
+                if len(chunk) <= SHORT:
+                    out += known(chunk) or self.chunk(chunk)
+                else:
+                    yield out
+                    yield from self.long_chunk(chunk)
+                    out = []
+            yield out
 
-    def encode(self, text: str) -> list[int]:
-        if "<|" not in text and not self.special.search(text):
-            return self.plain(text)
-        out, done = [], 0
-        for m in self.special.finditer(text):
-            out += [*self.plain(text[done : m.start()]), self.merges.special[m.group()]]
-            done = m.end()
-        return out + self.plain(text[done:])
+    def encode(self, text: str) -> Iterator[list[int]]:
+        """Ids of a text in lists of bounded length, in order."""
+        done = 0
+        if "<|" in text or self.special.search(text):
+            for m in self.special.finditer(text):
+                yield from self.plain(text[done : m.start()])
+                yield [self.merges.special[m.group()]]
+                done = m.end()
+        yield from self.plain(text[done:] if done else text)
 
 
-def decode_bytes(ids: Iterable[int], text: dict[int, bytes]) -> Iterator[bytes]:
-    """Bytes of each token, with the blank that the vocabulary's own decoding puts between tokens."""
+def decode_bytes(runs: Iterable[list[int]], text: dict[int, bytes]) -> Iterator[bytes]:
+    """Bytes of each run of tokens, with the blank that the vocabulary's own decoding puts between tokens."""
     first = True
-    for i in ids:
-        yield text[i] if first else b" " + text[i]
-        first = False
+    for ids in runs:
+        if ids:
+            part = b" ".join([text[i] for i in ids])
+            yield part if first else b" " + part
+            first = False
 
 
 def to_text(parts: Iterable[bytes]) -> Iterator[str]:
@@ -214,6 +256,9 @@ def to_text(parts: Iterable[bytes]) -> Iterator[str]:
         yield out
 
 
+KINDS = (pa.int64(), pa.string(), pa.string())
+
+
 def read_vocabulary(spark: SparkSession, path: str | None = None) -> str:
     """Content of a tokenizers file; by default the public 49k word vocabulary."""
     if path is None:
@@ -228,7 +273,8 @@ def encode_documents(docs: DataFrame, path: str | None = None, digest: bool = Fa
 
     Columns doc_id, text, ids, decoded; with `digest`, doc_id, n_tokens, ids_sha256 (ids as little-endian unsigned
     32-bit integers) and decoded_sha256 instead. A null or empty text has no ids and decodes to the empty text; other
-    columns are ignored. The vocabulary (a file of fixed size) is sent to the executors once.
+    columns are ignored. The vocabulary (a file of fixed size) is sent to the executors once. With `digest` a text's ids
+    are counted, digested and decoded as they become stable, so memory does not grow with a word's or text's ids.
     """
     spark = docs.sparkSession
     file = spark.sparkContext.broadcast(read_vocabulary(spark, path))
@@ -239,19 +285,16 @@ def encode_documents(docs: DataFrame, path: str | None = None, digest: bool = Fa
 
         def convert(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             doc_ids, texts = batch.column(0), batch.column(1)
-            ids = [encoder.encode(t or "") for t in texts.to_pylist()]
             if not digest:
-                decoded = ["".join(to_text(decode_bytes(i, spelled))) for i in ids]
+                ids = [list(chain.from_iterable(encoder.encode(t or ""))) for t in texts.to_pylist()]
+                decoded = ["".join(to_text(decode_bytes([i], spelled))) for i in ids]
                 yield pa.RecordBatch.from_arrays(
                     [doc_ids, texts, pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())],
                     ["doc_id", "text", "ids", "decoded"],
                 )
                 return
-            columns = [
-                pa.array([len(i) for i in ids], pa.int64()),
-                pa.array([hashlib.sha256(np.array(i, "<u4").tobytes()).hexdigest() for i in ids]),
-                pa.array([decoded_sha256(i, spelled) for i in ids]),
-            ]
+            columns = zip(*(digests(encoder.encode(t or ""), spelled) for t in texts.to_pylist()), strict=True)
+            columns = [pa.array(c, kind) for c, kind in zip(columns, KINDS, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [doc_ids, *columns], ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             )
@@ -263,5 +306,17 @@ def encode_documents(docs: DataFrame, path: str | None = None, digest: bool = Fa
     return docs.select("doc_id", F.col("text")).mapInArrow(run, short if digest else whole)
 
 
-def decoded_sha256(ids: list[int], text: dict[int, bytes]) -> str:
-    return hashlib.sha256(b" ".join([text[i] for i in ids])).hexdigest()
+def digests(runs: Iterable[list[int]], text: dict[int, bytes]) -> tuple[int, str, str]:
+    """Number of ids, digest of the ids and digest of their text, run by run."""
+    n, of_ids, of_text = 0, hashlib.sha256(), hashlib.sha256()
+
+    def counted() -> Iterator[list[int]]:
+        nonlocal n
+        for ids in runs:
+            n += len(ids)
+            of_ids.update(np.array(ids, "<u4").tobytes())
+            yield ids
+
+    for part in to_text(decode_bytes(counted(), text)):
+        of_text.update(part.encode())
+    return n, of_ids.hexdigest(), of_text.hexdigest()

@@ -9,6 +9,7 @@ import re
 import zlib
 from collections import defaultdict
 
+import numpy as np
 import pytest
 from compare import compare
 from conftest import SF_DIR
@@ -152,7 +153,6 @@ def test_quality_on_held_out_rows(spark, awkward):
 
 
 def test_pair_terms_in_linear_time():
-    import numpy as np
 
     draw = np.random.default_rng(1)
     size = quality.BUCKETS + len(quality.STATS)
@@ -390,7 +390,6 @@ def test_repeated_passages(spark, awkward, monkeypatch, hot):
 
 
 def test_suffix_sort_is_verified(monkeypatch):
-    import numpy as np
 
     draw = random.Random(2)
     rows = [bytes(draw.choice(b"ab") for _ in range(draw.randint(0, 9))) for _ in range(60)]
@@ -426,11 +425,48 @@ def test_streamed_encoding_needs_its_lookahead_only():
     draw = random.Random(4)
     for letters in ("a", "ab", "etaoinshr", "abcdefghijklmnopqrstuvwxyz"):
         for n in (1, 40, 200, 900):
-            symbols = merges.symbols("".join(draw.choice(letters) for _ in range(n)).encode())
+            symbols = list(merges.symbols("".join(draw.choice(letters) for _ in range(n)).encode()))
             assert list(merges.stream(iter(symbols))) == merges.merge(symbols)
     assert "".join(bpe.to_text([b"\xed\x95", b"\x9c a", b"\xf0\x9f"])) == "한 a�"
 
 
+def test_one_very_long_word_is_encoded_while_it_is_read():
+    """What the transducer has read and not yet sent is a few lookaheads at any time, however long the word."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    encoder = bpe.Encoder(bpe.read_vocabulary(None, path))
+    merges, draw = encoder.merges, random.Random(8)
+    word = "".join(draw.choice("etaoinshr") for _ in range(60_000))
+    n_read = n_sent = most = 0
+
+    def reading():
+        nonlocal n_read
+        for symbol in merges.symbols(word.encode()):
+            n_read += 1
+            yield symbol
+
+    for token in merges.stream(reading()):
+        most = max(most, n_read - n_sent)
+        n_sent += len(merges.spelled[token])
+    assert n_sent == len(word) and most <= 8 * merges.lookahead
+    spelled = {i: s.encode() for i, s in merges.text.items()}
+    library = Tokenizer.from_file(path)
+    ids = library.encode(word, add_special_tokens=False).ids
+    text = library.decode(ids, skip_special_tokens=False)
+    want = len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(text.encode()).hexdigest()
+    assert bpe.digests(encoder.encode(word), spelled) == want
+
+
+def test_windows_end_at_blanks():
+    draw = random.Random(3)
+    for _ in range(200):
+        text = "".join(draw.choice("ab  \u0301\n") for _ in range(draw.randint(0, 60)))
+        parts = list(bpe.windows(text, 7))
+        assert "".join(parts) == text and all(p.startswith(" ") for p in parts[1:])
+
+
 def test_one_line_with_very_many_near_copies(spark):
     """Near copies of several sizes are decided by their leads, so few pairs remain and all but the first go."""
     base = [f"word{i}" for i in range(24)]
