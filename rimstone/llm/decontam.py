@@ -1,108 +1,131 @@
-"""Benchmark decontamination with positional postings.
+"""Benchmark decontamination with a stored positional inverted index.
 
-The index is partitioned by document, as text search engines do: each task stores the sorted positions at which every
-test term stands in its slice of the corpus, and answers all test windows from these lists. A window's lists are
-intersected from the rarest term on, each shifted by the term's offset, so that a window whose rarest term is absent
-costs nothing. Postings never cross the network, and a frequent term is never gathered in one place.
+The index is a table of posting lists (term, segment, positions): a segment is a run of documents of about 4 MB of text,
+so that a frequent term has many lists of bounded length and no list is gathered for a whole corpus. Windows of test
+items are answered by joins with this table, in the order of the terms' global counts: the lists of a window's two
+rarest terms meet first, each shifted by the term's offset, once for all windows that have the two at that distance;
+only places where both stand are then looked up in the lists of the other terms.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from rimstone.llm.common import keyed_texts, per_slice, same_doc
+from rimstone.llm.common import keyed_texts, materialize, per_slice, slices
 from rimstone.llm.licenses import words_of
 
-BLOCK_ITEMS = 20_000  # test items that are broadcast at a time; a larger test set takes several passes
-BLOCK_BYTES = 16 << 20
-
-
-class Windows:
-    """Windows of `width` words of test items as rows of term numbers; items shorter than that are one window."""
-
-    def __init__(self, items: list[tuple], width: int):
-        self.terms: dict[bytes, int] = {}
-        self.items: list[str] = []
-        by_length: dict[int, list[tuple[list[int], int]]] = {}
-        for item_id, text in items:
-            numbers = [self.terms.setdefault(w, len(self.terms)) for w in words_of(text or "")]
-            if not numbers:
-                continue
-            at = len(self.items)
-            self.items.append(str(item_id))
-            n = min(width, len(numbers))
-            by_length.setdefault(n, []).extend((numbers[i : i + n], at) for i in range(len(numbers) - n + 1))
-        self.by_length = {
-            n: (np.array([w for w, _ in rows], np.int64).reshape(-1, n), np.array([i for _, i in rows], np.int64))
-            for n, rows in by_length.items()
-        }
-
-
-class Postings:
-    """Positions of each test term in a run of documents; documents are set apart by `gap` empty places."""
-
-    def __init__(self, texts: list[str | None], terms: dict[bytes, int], gap: int):
-        numbers, self.starts, self.counts = [], [], []
-        at = gap
-        for text in texts:
-            own = [terms.get(w, -1) for w in words_of(text or "")]
-            self.starts.append(at)
-            self.counts.append(len(own))
-            numbers += [np.full(gap, -1, np.int32), np.array(own, np.int32)]
-            at += len(own) + gap
-        self.at = np.concatenate([*numbers, np.full(gap, -1, np.int32)])
-        places = np.flatnonzero(self.at >= 0)
-        order = np.argsort(self.at[places], kind="stable")
-        self.places = places[order]
-        self.first = np.searchsorted(self.at[places][order], np.arange(len(terms) + 1))
-        self.lengths = np.diff(self.first)
-
-    def of(self, term: int) -> np.ndarray:
-        return self.places[self.first[term] : self.first[term + 1]]
-
-    def phrase(self, window: np.ndarray) -> np.ndarray:
-        """Starts at which the window's terms stand one after the other."""
-        order = np.argsort(self.lengths[window], kind="stable")
-        starts = self.of(window[order[0]]) - order[0]
-        for k in order[1:]:
-            if not len(starts):
-                break
-            starts = starts[self.at[starts + k] == window[k]]
-        return starts
-
-    def near(self, window: np.ndarray, slack: int) -> np.ndarray:
-        """Starts, as the rarest term tells, at which every term stands within `slack` words of its place."""
-        order = np.argsort(self.lengths[window], kind="stable")
-        starts = self.of(window[order[0]]) - order[0]
-        for k in order[1:]:
-            places = self.of(window[k])
-            if not len(starts) or not len(places):
-                return starts[:0]
-            after = np.searchsorted(places, starts + k - slack)
-            found = places[np.minimum(after, len(places) - 1)]
-            starts = starts[(after < len(places)) & (found <= starts + k + slack)]
-        return starts
-
-
-def matches_in(postings: Postings, windows: Windows, slack: int | None) -> Iterator[tuple[int, int, int, bool]]:
-    """(item, start, length, exact) of each match of a window."""
-    for n, (rows, items) in windows.by_length.items():
-        present = np.flatnonzero((postings.lengths[rows] > 0).all(axis=1))
-        seen: dict[bytes, tuple[np.ndarray, np.ndarray]] = {}
-        for row in present:
-            window = rows[row]
-            if (known := seen.get(window.tobytes())) is None:
-                exact = postings.phrase(window)
-                loose = postings.near(window, slack) if slack is not None else exact[:0]
-                known = seen[window.tobytes()] = exact, np.setdiff1d(loose, exact)
-            for places, is_exact in zip(known, (True, False), strict=True):
-                for start in places.tolist():
-                    yield int(items[row]), start, n, is_exact
+PLACE = 32  # bits of a position that tell the word's place in its document; those above tell the document
+LIST_WORDS = 1 << 22  # positions of one term that one key of a join may have; a more frequent term is salted
+
+INDEX = (
+    "segment long, term binary, n int, positions array<long>, doc_id long, text_hash long, row int, n_words long"
+)
+SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
+
+
+def build_index(texts: DataFrame) -> DataFrame:
+    """The stored index of keyed texts: a row for each term of each segment, and one without term for each document.
+
+    A position is the document's row in its segment and, in the lower bits, the word's place.
+    """
+
+    def run(batches) -> Iterator[pa.RecordBatch]:
+        first = TaskContext.get().partitionId() << 32
+        for segment, batch in enumerate(slices(batches, "text"), first):
+            numbers: dict[bytes, int] = defaultdict(count().__next__)
+            found = [[numbers[w] for w in words_of(text)] for text in batch["text"].to_pylist()]
+            sizes = np.array([len(f) for f in found], np.int64)
+            rows = np.arange(len(found))
+            at = (np.repeat(rows, sizes) << PLACE) + np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            own = np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))
+            counts = np.bincount(own, minlength=len(numbers))
+            ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+            positions = pa.ListArray.from_arrays(ends, at[np.argsort(own, kind="stable")])
+            n_terms, n_docs = len(numbers), len(found)
+            columns = {
+                "segment": pa.array([segment] * (n_terms + n_docs), pa.int64()),
+                "term": pa.array([*numbers, *[None] * n_docs], pa.binary()),
+                "n": pa.array([*counts.tolist(), *[None] * n_docs], pa.int32()),
+                "positions": pa.concat_arrays([positions, pa.nulls(n_docs, positions.type)]),
+                "doc_id": pa.concat_arrays([pa.nulls(n_terms, pa.int64()), batch["doc_id"].cast(pa.int64())]),
+                "text_hash": pa.concat_arrays([pa.nulls(n_terms, pa.int64()), batch["text_hash"]]),
+                "row": pa.concat_arrays([pa.nulls(n_terms, pa.int32()), pa.array(rows, pa.int32())]),
+                "n_words": pa.concat_arrays([pa.nulls(n_terms, pa.int64()), pa.array(sizes)]),
+            }
+            yield pa.RecordBatch.from_pydict(columns)
+
+    return materialize(texts.select("doc_id", "text", "text_hash").mapInArrow(run, INDEX), "postings")
+
+
+def item_windows(items: DataFrame, width: int) -> DataFrame:
+    """item_id and `terms` of each window: `width` consecutive words, or all of an item that has fewer."""
+
+    def run(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        for item_id, text in zip(batch["item_id"].to_pylist(), batch["text"].to_pylist(), strict=True):
+            own = words_of(text)
+            n = min(width, len(own))
+            for at in range(0, len(own) - n + 1 if n else 0, 1024):
+                rows = [own[i : i + n] for i in range(at, min(at + 1024, len(own) - n + 1))]
+                ids = pa.array([item_id] * len(rows), pa.string())
+                yield pa.RecordBatch.from_arrays([ids, pa.array(rows, pa.list_(pa.binary()))], ["item_id", "terms"])
+
+    return items.mapInArrow(per_slice(run), "item_id string, terms array<binary>")
+
+
+def shifted(positions: Column, distance: Column, slack: int) -> Column:
+    """Places at which another term must stand so that a listed one is within `slack` of `distance` behind it."""
+    if not slack:
+        return F.transform(positions, lambda p: p - distance)
+    near = F.transform(positions, lambda p: F.sequence(p - distance - slack, p - distance + slack))
+    return F.flatten(near)
+
+
+def matches(index: DataFrame, ordered: DataFrame, slack: int) -> DataFrame:
+    """window, segment and `p`: positions of a window's rarest term with every other term within `slack` of its place.
+
+    `ordered` has window and `by_count`: structs (term, offset, salts) from the rarest term on.
+    """
+    first, second = F.col("by_count")[0], F.get("by_count", F.lit(1))
+    windows = ordered.select(
+        "window", first["term"].alias("a"), first["salts"].alias("salts"), second["term"].alias("b"),
+        (second["offset"] - first["offset"]).cast("long").alias("d"),
+    )
+    lists = index.where("term is not null").select("term", "segment", "positions")
+    salted = lists.join(
+        ordered.select(F.explode("by_count").alias("t")).select("t.term", "t.salts").distinct(), "term"
+    ).withColumn("salt", F.pmod("segment", "salts"))
+    pairs = windows.select("a", "b", "d", "salts").distinct()
+    pairs = pairs.select("a", "b", "d", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
+    one = salted.select(F.col("term").alias("a"), "salt", "segment", F.col("positions").alias("of_a"))
+    other = salted.select(F.col("term").alias("b"), "segment", F.col("positions").alias("of_b"))
+    met = pairs.join(one, ["a", "salt"]).join(other, ["b", "segment"], "left")
+    alone = F.when(F.col("b").isNull(), F.col("of_a"))
+    both = F.array_intersect("of_a", shifted(F.col("of_b"), F.col("d"), slack))
+    met = met.select("a", "b", "d", "segment", F.coalesce(alone, both).alias("ps")).where(F.size("ps") > 0)
+    met = materialize(met, "places")
+    same = (windows["a"] == met["a"]) & windows["b"].eqNullSafe(met["b"]) & windows["d"].eqNullSafe(met["d"])
+    left = windows.join(met, same).select("window", met["segment"], "ps")
+    rest = ordered.select(
+        "window", F.size("by_count").alias("n"), first["offset"].alias("from"),
+        F.slice("by_count", 3, F.size("by_count")).alias("rest"),
+    )
+    left = left.join(rest, "window")
+    done = left.where("n <= 2").select("window", "segment", F.explode("ps").alias("p"))
+    asked = left.where("n > 2").select("window", "segment", "n", "ps", "from", F.explode("rest").alias("t"))
+    asked = asked.select("window", "segment", "n", "ps", "t.term", (F.col("t.offset") - F.col("from")).alias("d"))
+    there = F.array_intersect("ps", shifted(F.col("positions"), F.col("d").cast("long"), slack))
+    held = asked.join(salted.select("term", "segment", "positions"), ["term", "segment"])
+    held = held.select("window", "segment", "n", F.explode(there).alias("p"))
+    full = held.groupBy("window", "segment", "p").agg(F.count("*").alias("c"), F.first("n").alias("n"))
+    return done.unionByName(full.where("c = n - 2").select("window", "segment", "p"))
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -116,57 +139,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return [tuple(s) for s in out]
 
 
-SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-FOUND = pa.schema(
-    [
-        ("doc_id", pa.int64()), ("text_hash", pa.int64()), ("n_words", pa.int64()), ("hits", pa.list_(SPAN)),
-        ("near", pa.list_(SPAN)), ("items", pa.list_(pa.string())),
-    ]
-)
-FOUND_SQL = (
-    "doc_id long, text_hash long, n_words long, hits array<struct<start: long, end: long>>, "
-    "near array<struct<start: long, end: long>>, items array<string>"
-)
-
-
-def find_windows(docs: DataFrame, items: list[tuple], width: int, slack: int | None) -> DataFrame:
-    """Matches of one block of test items in each row of keyed texts: merged word spans, and the items found."""
-    shared = docs.sparkSession.sparkContext.broadcast((items, width))
-    gap = width + (slack or 0) + 1
-
-    def run(batches) -> Iterator[pa.RecordBatch]:
-        windows = Windows(*shared.value)
-        yield from per_slice(lambda batch: answer(batch, windows))(batches)
-
-    def answer(batch: pa.RecordBatch, windows: Windows) -> Iterator[pa.RecordBatch]:
-        doc_ids, texts, hashes = (c.to_pylist() for c in batch.columns)
-        postings = Postings(texts, windows.terms, gap)
-        starts = np.array(postings.starts)
-        hits: list[list] = [[] for _ in texts]
-        near: list[list] = [[] for _ in texts]
-        items_of: list[set] = [set() for _ in texts]
-        for item, start, n, exact in matches_in(postings, windows, slack):
-            row = int(np.searchsorted(starts, start, "right")) - 1
-            if not exact:  # a loose start may lie a little outside the text
-                row = max(row, 0)
-                if start + n > postings.starts[row] + postings.counts[row] + (slack or 0):
-                    row = min(row + 1, len(texts) - 1)
-            at = start - postings.starts[row]
-            span = (max(at, 0), min(at + n, postings.counts[row]))
-            (hits if exact else near)[row].append(span)
-            if exact:
-                items_of[row].add(windows.items[item])
-        spans = lambda found: [[{"start": a, "end": b} for a, b in merged(f)] for f in found]
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(doc_ids, pa.int64()), pa.array(hashes, pa.int64()), pa.array(postings.counts, pa.int64()),
-                pa.array(spans(hits), pa.list_(SPAN)), pa.array(spans(near), pa.list_(SPAN)),
-                pa.array([sorted(i) for i in items_of], pa.list_(pa.string())),
-            ],
-            schema=FOUND,
-        )
-
-    return docs.select("doc_id", "text", "text_hash").mapInArrow(run, FOUND_SQL)
+def merge_spans(batches) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        columns = {name: batch[name] for name in batch.schema.names}
+        for name in ("hits", "near"):
+            spans = [merged([(s["start"], s["end"]) for s in row]) for row in batch[name].to_pylist()]
+            rows = [[{"start": a, "end": b} for a, b in row] for row in spans]
+            columns[name] = pa.array(rows, pa.list_(SPAN))
+        yield pa.RecordBatch.from_pydict(columns)
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack: int | None = None) -> DataFrame:
@@ -174,59 +154,54 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack:
 
     A window is `width` consecutive words of an item, or a whole shorter item; an item without words has none. `hits`
     are the words inside exact occurrences. With `slack`, `near` has the places where all terms of a window stand
-    within that many words of their place but not exactly. Null texts and items have no words; items that share an id
-    count as one; repeated rows each get the same result; other columns are ignored. Without items all is empty.
-
-    Test items are broadcast in blocks of bounded number and size, one pass over the corpus for each block.
+    within that many words of their place, counted from its rarest term, but not exactly. Null texts and items have no
+    words; items that share an id count as one, and one without id hits but is not listed; repeated rows each get the same result; other columns are ignored.
+    Without items all is empty.
     """
+    index = build_index(keyed_texts(docs))
     items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where("text is not null")
-    texts = keyed_texts(docs)
-    n_items, n_bytes = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    n_blocks = max(1, -(-n_items // BLOCK_ITEMS), -(-n_bytes // BLOCK_BYTES))
-    block = F.pmod(F.xxhash64("item_id", "text"), F.lit(n_blocks))
-    # One block at a time is on the driver: about BLOCK_ITEMS items of about BLOCK_BYTES together.
-    found = [
-        find_windows(texts, [tuple(r) for r in items.where(block == b).collect()], width, slack)
-        for b in range(n_blocks)
-    ]
-    if n_blocks == 1:
-        return found[0]
-    whole = found[0]
-    for part in found[1:]:
-        whole = whole.unionByName(part)
-    return _per_row(whole, texts)
-
-
-def union_of(spans):
-    """Union of spans as a column: sorted, then joined where they touch."""
-    return F.aggregate(
-        F.array_sort(spans),
-        F.array().cast("array<struct<start: long, end: long>>"),
-        lambda done, s: F.when(
-            (F.size(done) > 0) & (F.element_at(done, -1)["end"] >= s["start"]),
-            F.concat(
-                F.slice(done, 1, F.size(done) - 1),
-                F.array(
-                    F.struct(
-                        F.element_at(done, -1)["start"].alias("start"),
-                        F.greatest(F.element_at(done, -1)["end"], s["end"]).alias("end"),
-                    )
-                ),
-            ),
-        ).otherwise(F.concat(done, F.array(s))),
-    )
-
-
-def _per_row(whole: DataFrame, texts: DataFrame) -> DataFrame:
-    """One row per document from its rows of all blocks, joined to every row of the texts."""
-    per_doc = whole.groupBy("doc_id", "text_hash").agg(
-        F.first("n_words").alias("n_words"),
-        union_of(F.flatten(F.collect_set("hits"))).alias("hits"),
-        union_of(F.flatten(F.collect_set("near"))).alias("near"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"),
-    )
-    rows = texts.select("doc_id", "text_hash")
-    return rows.join(per_doc, same_doc(rows, per_doc)).select(rows["*"], "n_words", "hits", "near", "items")
+    whole = materialize(item_windows(items, width), "windows")
+    windows = whole.select("terms").distinct().withColumn("window", F.monotonically_increasing_id())
+    windows = materialize(windows, "distinct-windows")
+    terms = windows.select("window", F.posexplode("terms").alias("offset", "term"))
+    # Global counts: how often each test term stands in all documents; a window with an absent term matches nowhere.
+    counts = index.where("term is not null").select("term", F.col("n").cast("long")).join(
+        terms.select("term").distinct(), "term", "left_semi"
+    ).groupBy("term").agg(F.sum("n").alias("n"))
+    salts = (1 + F.floor(F.col("n") / LIST_WORDS)).cast("int").alias("salts")
+    by_count = F.array_sort(F.collect_list(F.struct("n", "offset", "term", "salts")))
+    ordered = terms.join(counts.select("term", "n", salts), "term").groupBy("window").agg(by_count.alias("by_count"))
+    ordered = ordered.join(windows, "window").where(F.size("by_count") == F.size("terms"))
+    ordered = materialize(ordered.select("window", "by_count"), "ordered-windows")
+    found = matches(index, ordered, 0).withColumn("exact", F.lit(True))
+    if slack is not None:
+        loose = matches(index, ordered, slack).join(found, ["window", "segment", "p"], "left_anti")
+        found = found.unionByName(loose.withColumn("exact", F.lit(False)))
+    placed = found.join(
+        ordered.select("window", F.col("by_count")[0]["offset"].alias("from"), F.size("by_count").alias("len")), "window"
+    ).select(
+        "window", "segment", "exact", F.shiftright("p", PLACE).cast("int").alias("row"), "len",
+        (F.col("p").bitwiseAND(F.lit((1 << PLACE) - 1)) - F.col("from")).alias("start"),
+    )
+    placed = materialize(placed, "matches")
+    per_doc = index.where("term is null").select("segment", "row", "doc_id", "text_hash", "n_words")
+    names = whole.join(windows, "terms").select("item_id", "window").distinct()
+    named = placed.where("exact").select("segment", "row", "window").distinct().join(names, "window")
+    named = named.groupBy("segment", "row").agg(F.array_sort(F.collect_set("item_id")).alias("items"))
+    start = F.greatest("start", F.lit(0).cast("long")).alias("start")  # a loose match may reach beyond its text
+    span = F.struct(start, F.least(F.col("start") + F.col("len"), F.col("n_words")).alias("end"))
+    spans = placed.join(per_doc.select("segment", "row", "n_words"), ["segment", "row"]).groupBy("segment", "row").agg(
+        F.collect_set(F.when(F.col("exact"), span)).alias("hits"),
+        F.collect_set(F.when(~F.col("exact"), span)).alias("near"),
+    )
+    kind = "array<struct<start: long, end: long>>"
+    spans = spans.mapInArrow(merge_spans, f"segment long, row int, hits {kind}, near {kind}")
+    hit = per_doc.join(spans, ["segment", "row"], "left").join(named, ["segment", "row"], "left")
+    return hit.select(
+        "doc_id", "text_hash", "n_words",
+        *[F.coalesce(c, F.array().cast(kind)).alias(c) for c in ("hits", "near")],
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
+    )
 
 
 def remove_contaminated(docs: DataFrame, benchmark: DataFrame, width: int = 10) -> DataFrame:

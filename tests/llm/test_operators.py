@@ -292,16 +292,58 @@ def test_windows_of_test_items(spark, awkward, monkeypatch):
                         hit.update(range(at, at + n))
                         found.add(str(item))
         want.append((doc_id, len(own), len(hit), sorted(found)))
-    for blocks in (decontam.BLOCK_ITEMS, 2):
-        monkeypatch.setattr(decontam, "BLOCK_ITEMS", blocks)
+    for most in (decontam.LIST_WORDS, 2):
+        monkeypatch.setattr(decontam, "LIST_WORDS", most)
         rows = decontam.contamination(awkward[1], bench).collect()
         got = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.hits), r["items"]) for r in rows]
         assert sorted(got, key=repr) == sorted(want, key=repr)
-    near = spark.createDataFrame([(1, "a b x c d"), (2, "a b c d"), (3, "d c b a")], "doc_id long, text string")
-    loose = decontam.contamination(near, spark.createDataFrame([(1, "a b c d")], "item_id long, text string"), slack=1)
-    assert {r.doc_id: (len(r.hits), len(r.near)) for r in loose.collect()} == {1: (0, 1), 2: (1, 0), 3: (0, 0)}
     assert decontam.remove_contaminated(awkward[1], bench).columns == awkward[1].columns
-    assert {r.near == [] for r in decontam.contamination(near, bench.limit(0)).collect()} == {True}
+    none = decontam.contamination(awkward[1], bench.limit(0)).collect()
+    assert len(none) == len(awkward[0]) and {r.near == r.hits == r["items"] == [] for r in none} == {True}
+    assert decontam.contamination(awkward[1].limit(0), bench).count() == 0
+
+
+def test_proximity_against_plain_version(spark):
+    """Exact and near spans of windows of four words, the rarest term of each counted over all documents."""
+    draw = random.Random(12)
+    docs = [(i, " ".join(draw.choice("aabbcdefg") for _ in range(draw.randint(0, 40)))) for i in range(60)]
+    items = [("x", "a b c d e"), ("y", "g a"), ("z", "f"), ("w", "b b a a"), ("v", "a absent")]
+    counts = defaultdict(int)
+    for _, text in docs:
+        for w in words(text):
+            counts[w] += 1
+    want = {}
+    for doc_id, text in docs:
+        own, spans = words(text), {0: [], 1: []}
+        for _, item in items:
+            parts = words(item)
+            n = min(4, len(parts))
+            for window in {tuple(parts[i : i + n]) for i in range(len(parts) - n + 1)}:
+                rare = min(range(n), key=lambda k: (counts[window[k]], k))
+                for p in [i for i, w in enumerate(own) if w == window[rare]]:
+                    gaps = [
+                        min((abs(i - (p - rare + k)) for i, w in enumerate(own) if w == x), default=99)
+                        for k, x in enumerate(window) if k != rare
+                    ]
+                    if max(gaps, default=0) <= 1:
+                        span = (max(p - rare, 0), min(p - rare + n, len(own)))
+                        spans[max(gaps, default=0)].append(span)
+        want[doc_id] = tuple(decontam.merged(spans[i]) for i in (0, 1))
+    docs = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    found = decontam.contamination(docs, spark.createDataFrame(items, "item_id string, text string"), 4, slack=1)
+    assert {r.doc_id: tuple([tuple(s) for s in c] for c in (r.hits, r.near)) for r in found.collect()} == want
+    assert any(w[1] for w in want.values()) and any(w[0] for w in want.values())
+
+
+def test_hot_terms_and_shared_ids_of_the_index(spark):
+    """A word in every document, in lists by segment; every position is stored once."""
+    from rimstone.llm.common import keyed_texts
+
+    rows = [(i, "the " * 50 + f"w{i}") for i in range(200)]
+    index = decontam.build_index(keyed_texts(spark.createDataFrame(rows, "doc_id long, text string").repartition(8)))
+    lists = index.where(F.decode("term", "UTF-8") == "the").collect()
+    assert len(lists) == 8 and sum(r.n for r in lists) == 200 * 50 == sum(len(r.positions) for r in lists)
+    assert index.where("term is null").count() == 200
 
 
 def test_similar_lines(spark, awkward):
