@@ -1,29 +1,30 @@
 """Benchmark decontamination with a stored positional inverted index.
 
 The index is a table of posting lists (term, segment, positions): a segment is a run of documents of about 4 MB of text,
-so that a frequent term has many lists of bounded length and no list is gathered for a whole corpus. Windows of test
-items are answered by joins with this table, in the order of the terms' global counts: the lists of a window's two
-rarest terms meet first, each shifted by the term's offset, once for all windows that have the two at that distance;
-only places where both stand are then looked up in the lists of the other terms.
+so that a frequent term has many lists of bounded length and no list is gathered for a whole corpus. The lists of test
+terms are dealt by segment, and the windows of test items are answered there: from the globally rarest term of a window
+on, each next list is shifted by its term's offset and intersected with what is left.
 """
 
 from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
+from functools import reduce
 from itertools import chain, count
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rimstone.llm.common import keyed_texts, materialize, per_slice, slices
 from rimstone.llm.licenses import words_of
 
 PLACE = 32  # bits of a position that tell the word's place in its document; those above tell the document
-LIST_WORDS = 1 << 22  # positions of one term that one key of a join may have; a more frequent term is salted
+BLOCK_WINDOWS = 1 << 18  # windows of test items that are broadcast at a time
 
 INDEX = (
     "segment long, term binary, n int, positions array<long>, doc_id long, text_hash long, row int, n_words long"
@@ -80,52 +81,76 @@ def item_windows(items: DataFrame, width: int) -> DataFrame:
     return items.mapInArrow(per_slice(run), "item_id string, terms array<binary>")
 
 
-def shifted(positions: Column, distance: Column, slack: int) -> Column:
-    """Places at which another term must stand so that a listed one is within `slack` of `distance` behind it."""
-    if not slack:
-        return F.transform(positions, lambda p: p - distance)
-    near = F.transform(positions, lambda p: F.sequence(p - distance - slack, p - distance + slack))
-    return F.flatten(near)
-
-
-def matches(index: DataFrame, ordered: DataFrame, slack: int) -> DataFrame:
-    """window, segment and `p`: positions of a window's rarest term with every other term within `slack` of its place.
-
-    `ordered` has window and `by_count`: structs (term, offset, salts) from the rarest term on.
+class Lists:
+    """Posting lists of one segment."""
+
+    def __init__(self, terms: list[bytes], positions: list[np.ndarray]):
+        self.of = dict(zip(terms, positions, strict=True))
+        self.met: dict[tuple, np.ndarray | None] = {}  # what is left after two lists; windows that overlap share it
+
+    def step(self, places: np.ndarray, term: bytes, distance: int, slack: int) -> np.ndarray | None:
+        """Those of `places` (of a window's rarest term) with `term` within `slack` words of `distance` behind them."""
+        if (own := self.of.get(term)) is None:
+            return None
+        wanted = places + (distance - slack)
+        found = own[np.minimum(np.searchsorted(own, wanted), len(own) - 1)]
+        left = places[(found >= wanted) & (found <= wanted + 2 * slack)]
+        return left if len(left) else None
+
+    def match(self, terms: list[bytes], distances: list[int], slack: int) -> np.ndarray | None:
+        """Positions of the rarest term at which all terms, the rarest first, stand at their distances from it."""
+        if len(terms) == 1:
+            return self.of.get(terms[0])
+        key = terms[0], terms[1], distances[1], slack
+        if key not in self.met:
+            first = self.of.get(terms[0])
+            self.met[key] = None if first is None else self.step(first, terms[1], distances[1], slack)
+        left = self.met[key]
+        for term, distance in zip(terms[2:], distances[2:], strict=True):
+            if left is None:
+                return None
+            left = self.step(left, term, distance, slack)
+        return left
+
+
+def matches(index: DataFrame, ordered: DataFrame, slack: int | None) -> DataFrame:
+    """window, segment, `p` (positions of the window's rarest term) and exact, for all matches of windows.
+
+    `ordered` has window and `by_count`: structs (term, offset) from the rarest term on. Windows are broadcast in blocks
+    of at most about BLOCK_WINDOWS; all blocks share one shuffle of the test terms' lists.
     """
-    first, second = F.col("by_count")[0], F.get("by_count", F.lit(1))
-    windows = ordered.select(
-        "window", first["term"].alias("a"), first["salts"].alias("salts"), second["term"].alias("b"),
-        (second["offset"] - first["offset"]).cast("long").alias("d"),
-    )
-    lists = index.where("term is not null").select("term", "segment", "positions")
-    salted = lists.join(
-        ordered.select(F.explode("by_count").alias("t")).select("t.term", "t.salts").distinct(), "term"
-    ).withColumn("salt", F.pmod("segment", "salts"))
-    pairs = windows.select("a", "b", "d", "salts").distinct()
-    pairs = pairs.select("a", "b", "d", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt"))
-    one = salted.select(F.col("term").alias("a"), "salt", "segment", F.col("positions").alias("of_a"))
-    other = salted.select(F.col("term").alias("b"), "segment", F.col("positions").alias("of_b"))
-    met = pairs.join(one, ["a", "salt"]).join(other, ["b", "segment"], "left")
-    alone = F.when(F.col("b").isNull(), F.col("of_a"))
-    both = F.array_intersect("of_a", shifted(F.col("of_b"), F.col("d"), slack))
-    met = met.select("a", "b", "d", "segment", F.coalesce(alone, both).alias("ps")).where(F.size("ps") > 0)
-    met = materialize(met, "places")
-    same = (windows["a"] == met["a"]) & windows["b"].eqNullSafe(met["b"]) & windows["d"].eqNullSafe(met["d"])
-    left = windows.join(met, same).select("window", met["segment"], "ps")
-    rest = ordered.select(
-        "window", F.size("by_count").alias("n"), first["offset"].alias("from"),
-        F.slice("by_count", 3, F.size("by_count")).alias("rest"),
-    )
-    left = left.join(rest, "window")
-    done = left.where("n <= 2").select("window", "segment", F.explode("ps").alias("p"))
-    asked = left.where("n > 2").select("window", "segment", "n", "ps", "from", F.explode("rest").alias("t"))
-    asked = asked.select("window", "segment", "n", "ps", "t.term", (F.col("t.offset") - F.col("from")).alias("d"))
-    there = F.array_intersect("ps", shifted(F.col("positions"), F.col("d").cast("long"), slack))
-    held = asked.join(salted.select("term", "segment", "positions"), ["term", "segment"])
-    held = held.select("window", "segment", "n", F.explode(there).alias("p"))
-    full = held.groupBy("window", "segment", "p").agg(F.count("*").alias("c"), F.first("n").alias("n"))
-    return done.unionByName(full.where("c = n - 2").select("window", "segment", "p"))
+    lists = index.where("term is not null").select("segment", "term", "positions")
+    lists = lists.join(ordered.select(F.explode("by_count.term").alias("term")).distinct(), "term", "left_semi")
+    n_blocks = 1 + ordered.count() // BLOCK_WINDOWS
+    block = F.pmod(F.xxhash64("window"), F.lit(n_blocks))
+    asked = ordered.select("window", F.col("by_count.term").alias("terms"), F.col("by_count.offset").alias("offsets"))
+
+    def answers(part: DataFrame) -> DataFrame:
+        rows = [(w, [bytes(t) for t in terms], [o - at[0] for o in at]) for w, terms, at in part.collect()]
+        windows = index.sparkSession.sparkContext.broadcast(rows)
+
+        def answer(own: pd.DataFrame) -> pd.DataFrame:
+            here = Lists([bytes(t) for t in own["term"]], list(own["positions"]))
+            none = np.array([], np.int64)
+            numbers, places, exact = [none], [none], [none.astype(bool)]
+            for window, terms, distances in windows.value:
+                same = here.match(terms, distances, 0)
+                near = here.match(terms, distances, slack) if slack is not None else None
+                if near is not None and same is not None:
+                    near = np.setdiff1d(near, same)
+                for found, kind in ((same, True), (near, False)):
+                    if found is not None:
+                        numbers.append(np.full(len(found), window))
+                        places.append(found)
+                        exact.append(np.full(len(found), kind))
+            columns = {"window": numbers, "p": places, "exact": exact}
+            out = pd.DataFrame({name: np.concatenate(c) for name, c in columns.items()})
+            return out.assign(segment=own["segment"].iloc[0])[["window", "segment", "p", "exact"]]
+
+        return lists.groupBy("segment").applyInPandas(answer, "window long, segment long, p long, exact boolean")
+
+    found = [answers(asked.where(block == b)) for b in range(n_blocks)]
+    return reduce(DataFrame.unionByName, found)
 
 
 def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -168,15 +193,11 @@ def contamination(docs: DataFrame, benchmark: DataFrame, width: int = 10, slack:
     counts = index.where("term is not null").select("term", F.col("n").cast("long")).join(
         terms.select("term").distinct(), "term", "left_semi"
     ).groupBy("term").agg(F.sum("n").alias("n"))
-    salts = (1 + F.floor(F.col("n") / LIST_WORDS)).cast("int").alias("salts")
-    by_count = F.array_sort(F.collect_list(F.struct("n", "offset", "term", "salts")))
-    ordered = terms.join(counts.select("term", "n", salts), "term").groupBy("window").agg(by_count.alias("by_count"))
+    by_count = F.array_sort(F.collect_list(F.struct("n", "offset", "term")))
+    ordered = terms.join(counts, "term").groupBy("window").agg(by_count.alias("by_count"))
     ordered = ordered.join(windows, "window").where(F.size("by_count") == F.size("terms"))
     ordered = materialize(ordered.select("window", "by_count"), "ordered-windows")
-    found = matches(index, ordered, 0).withColumn("exact", F.lit(True))
-    if slack is not None:
-        loose = matches(index, ordered, slack).join(found, ["window", "segment", "p"], "left_anti")
-        found = found.unionByName(loose.withColumn("exact", F.lit(False)))
+    found = matches(index, ordered, slack)
     placed = found.join(
         ordered.select("window", F.col("by_count")[0]["offset"].alias("from"), F.size("by_count").alias("len")), "window"
     ).select(

@@ -292,8 +292,8 @@ def test_windows_of_test_items(spark, awkward, monkeypatch):
                         hit.update(range(at, at + n))
                         found.add(str(item))
         want.append((doc_id, len(own), len(hit), sorted(found)))
-    for most in (decontam.LIST_WORDS, 2):
-        monkeypatch.setattr(decontam, "LIST_WORDS", most)
+    for most in (decontam.BLOCK_WINDOWS, 2):
+        monkeypatch.setattr(decontam, "BLOCK_WINDOWS", most)
         rows = decontam.contamination(awkward[1], bench).collect()
         got = [(r.doc_id, r.n_words, sum(s.end - s.start for s in r.hits), r["items"]) for r in rows]
         assert sorted(got, key=repr) == sorted(want, key=repr)
