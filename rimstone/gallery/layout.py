@@ -12,11 +12,7 @@ from rimstone.plans.injury_reports import REPORT_COLUMNS, parse_reports
 
 
 def words_index(spark: SparkSession, sf_dir: str) -> DataFrame:
-    in_body = F.col("idx") >= lay.DATA_FROM
-    n_chars = F.coalesce(F.sum(F.when(in_body, F.length("text"))), F.lit(0).cast("long"))
-    return decoded_reports(spark, sf_dir).words.groupBy("file").agg(
-        lay.report_stamp().alias("reported_at"), F.count_if(in_body).alias("n_words"), n_chars.alias("n_chars")
-    )
+    return lay.words_per_file(decoded_reports(spark, sf_dir).words)
 
 
 WORDS_INDEX = f"""with {PAGES_SQL}
@@ -85,7 +81,7 @@ group by 1, 2, 3
 def word_to_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = landed_reports(spark, sf_dir)
     ranges = lay.column_ranges(lay.header_edges(reports.words, lay.header_lists(reports.cells)))
-    placed = lay.words_to_columns(lay.data_words(reports.words), ranges)
+    placed = lay.words_to_columns(lay.data_words(reports.words).select("file", "text", "x0", "x1"), ranges)
     return placed.groupBy("file", "column").agg(
         F.count(F.lit(1)).alias("n_words"), F.sum(F.length("text")).alias("n_chars")
     )

@@ -5,8 +5,9 @@ order on each page, `lines(file, page, bottom)`, and `cells(file, pos, name)`, t
 found on a file's first page. Pages are numbered from 1.
 
 What the words of a file have in common (its time, headers and column edges) is worked out from its first page, and
-what those at one height have in common from the distinct heights of a page: both are bounded by what fits on one
-page. It then meets the words, of which a file or a height may have very many, in one join. Tables may have any width.
+the ruled lines of a page are put in one list: both are bounded by what fits on one page. They meet the words in one
+join on file and page. Words are shuffled in lists, one for each stretch of a page that lies together in the input, so
+that a word costs its values and no row of its own. Tables may have any width.
 """
 
 from __future__ import annotations
@@ -15,6 +16,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from rimstone.errors import LayoutFault
 from rimstone.functions import snake, snake_names
@@ -46,16 +48,72 @@ def header_lists(cells: DataFrame) -> DataFrame:
     return listed.withColumn("headers", numbered)
 
 
+def packed(rows: DataFrame, keys: Sequence[str], counting: str | None = None) -> DataFrame:
+    """Rows of one key that follow each other in the input as one row: the keys, and a list of each other column.
+
+    A key has as many of these rows as there are stretches of it, so rows in any order are packed whole, only less.
+    `counting` names an integer column that mostly counts on by one from row to row: its list has each value less its
+    place in the list, counted from 0, which is nearly always the same number and shrinks to nothing in a shuffle.
+    """
+    others = [f for f in rows.schema.fields if f.name not in keys]
+    schema = T.StructType([rows.schema[k] for k in keys] + [T.StructField(f.name, T.ArrayType(f.dataType)) for f in others])
+    keys, listed = list(keys), [f.name for f in others]
+
+    def pack(batches):
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            starts = np.zeros(batch.num_rows, dtype=bool)
+            starts[0] = True
+            for k in keys:
+                column = batch.column(k)
+                differs = pc.fill_null(pc.not_equal(column.slice(1), column.slice(0, len(column) - 1)), True)
+                starts[1:] |= differs.to_numpy(zero_copy_only=False)
+            firsts = np.flatnonzero(starts)
+            ends = pa.array(np.append(firsts, batch.num_rows), pa.int32())
+            columns = [batch.column(k).take(pa.array(firsts)) for k in keys]
+            for c in listed:
+                column = batch.column(c)
+                if c == counting:
+                    places = np.arange(batch.num_rows) - firsts[np.cumsum(starts) - 1]
+                    column = pc.subtract(column, pa.array(places, column.type))
+                columns.append(pa.ListArray.from_arrays(ends, column))
+            yield pa.RecordBatch.from_arrays(columns, names=[*keys, *listed])
+
+    return rows.select(*keys, *listed).mapInArrow(pack, schema)
+
+
 def data_words(words: DataFrame) -> DataFrame:
     """Words after the title and time of their page."""
     return words.where(F.col("idx") >= DATA_FROM)
 
 
-def report_stamp() -> Column:
-    """Report time of a group of words: those numbered 2 to 4 on the first page, in order."""
+def words_per_file(words: DataFrame) -> DataFrame:
+    """Report time of each file, words 2 to 4 of its first page in order, and its number of data words and their characters.
+
+    Words are first counted apart from those of the time, in numbers only, so that no list or sort sees all of them.
+    """
     in_stamp = (F.col("page") == FIRST_PAGE) & F.col("idx").between(STAMP_FROM, DATA_FROM - 1)
-    found = F.array_sort(F.collect_list(F.when(in_stamp, F.struct("idx", "text"))))
-    return F.array_join(F.transform(found, lambda w: w["text"]), " ")
+    in_body = F.col("idx") >= DATA_FROM
+    counted = words.groupBy(
+        "file", F.when(in_stamp, F.col("idx")).alias("stamp_idx"), F.when(in_stamp, F.col("text")).alias("stamp_text")
+    ).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(in_body).alias("n_words"),
+        F.sum(F.when(in_body, F.length("text"))).alias("n_chars"),
+    )
+    stamp = F.struct("stamp_idx", "stamp_text", F.col("n_rows").cast("int").alias("n_rows"))
+    found = F.array_sort(F.collect_list(F.when(F.col("stamp_idx").isNotNull(), stamp)))
+    texts = F.flatten(F.transform(found, lambda w: F.array_repeat(w["stamp_text"], w["n_rows"])))
+    return counted.groupBy("file").agg(
+        F.array_join(texts, " ").alias("reported_at"),
+        F.sum("n_words").alias("n_words"),
+        F.coalesce(F.sum("n_chars"), F.lit(0).cast("long")).alias("n_chars"),
+    )
 
 
 def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
@@ -66,24 +124,41 @@ def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
     opens only the first unplaced header it matches, and a header is placed once; the last word of the page
     cannot open one.
     """
-    following = F.lead("text").over(Window.partitionBy("file").orderBy("idx"))
-    first_page = words.where(F.col("page") == FIRST_PAGE).select("file", "page", "idx", "text", "x0")
-    paired = first_page.withColumn("next_text", following)
+    shown = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", "x0")
+    parts = packed(shown, ["file"], counting="idx").groupBy("file").agg(
+        F.collect_list(F.arrays_zip("idx", "text", "x0")).alias("parts")
+    )
+
+    def numbered(part: Column) -> Column:
+        return F.transform(
+            part, lambda w, i: F.struct((w["idx"] + i).alias("idx"), w["text"].alias("text"), w["x0"].alias("x0"))
+        )
+
+    stretches = parts.select("file", F.flatten(F.transform("parts", numbered)).alias("words"))
     listed = headers.withColumn("joined", header_line(F.transform("headers", lambda h: h["name"])))
-    text, next_text = F.col("text"), F.col("next_text")
-    matching = F.filter(
+    in_order = stretches.withColumn("words", F.sort_array("words")).join(listed, "file", "left")
+
+    def opening(word: Column, i: Column) -> Column:
+        text, next_text = word["text"], F.get("words", i + 1)["text"]
+        matching = F.filter(
+            "headers",
+            lambda h: (h["name"] == text) | (F.startswith(h["name"], text) & F.endswith(h["name"], next_text)),
+        )
+        opened = F.when(
+            next_text.isNotNull() & begins_header(text, F.col("joined")), F.transform(matching, lambda h: h["pos"])
+        )
+        return F.struct(word["idx"].alias("idx"), word["x0"].alias("x0"), opened.alias("opened"))
+
+    in_stamp = F.filter("words", lambda w: w["idx"].between(STAMP_FROM, DATA_FROM - 1))
+    found = in_order.select(
+        "file",
+        F.array_join(F.transform(in_stamp, lambda w: w["text"]), " ").alias("reported_at"),
         "headers",
-        lambda h: (h["name"] == text) | (F.startswith(h["name"], text) & F.endswith(h["name"], next_text)),
-    )
-    opened = F.when(
-        next_text.isNotNull() & begins_header(text, F.col("joined")), F.transform(matching, lambda h: h["pos"])
-    )
-    match = F.when(F.size(opened) > 0, F.struct("idx", "x0", opened.alias("opened")))
-    per_file = paired.join(listed, "file", "left").groupBy("file").agg(
-        report_stamp().alias("reported_at"),
-        F.any_value("headers").alias("headers"),
-        F.array_sort(F.collect_list(match)).alias("matches"),
+        F.filter(F.transform("words", opening), lambda m: F.size(m["opened"]) > 0).alias("matches"),
     )
+    # There is one row for each file; grouping it keeps later conditions on columns from going through its words again.
+    one_each = [F.any_value(c).alias(c) for c in ("reported_at", "headers", "matches")]
+    per_file = found.groupBy("file").agg(*one_each).withColumn("matches", F.sort_array("matches"))
 
     def place(placed: Column, match: Column) -> Column:
         free = F.filter(match["opened"], lambda pos: ~F.exists(placed, lambda p: p["pos"] == pos))
@@ -158,8 +233,10 @@ def words_to_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
     return spread_join(words, found, ["file", "page", "bottom"], by=["idx"])
 
 
-def _containing(ranges: Column) -> Column:
-    return F.filter(ranges, lambda r: (F.col("x0") >= r["left_edge"]) & (F.col("x1") <= r["right_edge"]))
+def _containing(ranges: Column, word: Column | None = None) -> Column:
+    """Ranges that contain the word of this row, or `word`."""
+    x0, x1 = (F.col("x0"), F.col("x1")) if word is None else (word["x0"], word["x1"])
+    return F.filter(ranges, lambda r: (x0 >= r["left_edge"]) & (x1 <= r["right_edge"]))
 
 
 def range_lists(ranges: DataFrame) -> DataFrame:
@@ -170,8 +247,10 @@ def range_lists(ranges: DataFrame) -> DataFrame:
 
 def words_to_columns(words: DataFrame, ranges: DataFrame) -> DataFrame:
     """Each word once per column that contains it; words crossing an edge are left out."""
-    placed = spread_join(words, range_lists(ranges), ["file"], by=["page", "idx"], spread=TINY_SIDE_SPREAD)
-    named = placed.withColumn("column", F.explode(F.transform(_containing(F.col("ranges")), lambda r: r["name"])))
+    others = [c for c in words.columns if c != "file"]
+    placed = spread_join(packed(words, ["file"]), range_lists(ranges), ["file"], spread=TINY_SIDE_SPREAD)
+    each = placed.select("file", "ranges", F.inline(F.arrays_zip(*others)))
+    named = each.withColumn("column", F.explode(F.transform(_containing(F.col("ranges")), lambda r: r["name"])))
     return named.drop("ranges")
 
 
@@ -188,12 +267,19 @@ def ends_header(text: Column, joined: Column) -> Column:
     return F.contains(joined, F.concat(text, F.lit(SEPARATOR)))
 
 
+def line_lists(words: DataFrame, lines: DataFrame) -> DataFrame:
+    """Every page that has words, with its distinct line heights from the top down: `(file, page, stops)`."""
+    listed = lines.groupBy("file", "page").agg(F.array_sort(F.collect_set("bottom")).alias("stops"))
+    return words.select("file", "page").distinct().join(listed, ["file", "page"], "left")
+
+
 def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
-    """Every data word of the files whose headers are all placed, with its line and its columns.
+    """The data words of the files whose headers are all placed, with their lines and columns, in lists.
 
-    `line` is NULL below the last line. Headers are known by their snake-case name. `slots` has, for each column that
-    contains the word, the place of its name in `columns` followed by the file's `others`, counted from 1; it is empty
-    for a word outside all columns.
+    A row is a stretch of a page: `(file, page, reported_at, others, words)`; `words` has `idx`, `text`, `line`,
+    `is_header` and `slots` of each. `line` is NULL below the last line. Headers are known by their snake-case name.
+    `slots` has, for each column that contains the word, the place of its name in `columns` followed by the file's
+    `others`, counted from 1; it is empty for a word outside all columns.
     """
     known = F.array(*[F.lit(c) for c in snake_names(columns)]).cast("array<string>")
     names = F.transform("headers", lambda h: h["name"])
@@ -216,33 +302,51 @@ def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns
             ).alias("ranges"),
         )
     )
-    body = data_words(words)
-    targets = spread_join(lines_below(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
-    # Targets are keyed by file before this join, so both sides are exchanged right below it and adaptive
-    # execution splits a height with very many words.
-    return body.join(targets, ["file", "page", "bottom"]).select(
-        "file",
-        "page",
-        "idx",
-        "text",
-        "line",
-        "reported_at",
-        "others",
-        (begins_header(F.col("text"), F.col("joined")) | ends_header(F.col("text"), F.col("joined"))).alias("is_header"),
-        F.transform(_containing(F.col("ranges")), lambda r: r["slot"]).alias("slots"),
-    )
+    body = data_words(words).where(F.col("bottom").isNotNull())
+    targets = spread_join(line_lists(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
+
+    def placed(word: Column, i: Column) -> Column:
+        text, joined = word["text"], F.col("joined")
+        return F.struct(
+            (word["idx"] + i).alias("idx"),
+            text.alias("text"),
+            F.get(F.filter("stops", lambda s: s >= word["bottom"]), F.lit(0)).alias("line"),
+            (begins_header(text, joined) | ends_header(text, joined)).alias("is_header"),
+            F.transform(_containing(F.col("ranges"), word), lambda r: r["slot"]).alias("slots"),
+        )
+
+    values = ["idx", "text", "x0", "x1", "bottom"]
+    stretches = packed(body.select("file", "page", *values), ["file", "page"], counting="idx")
+    stretches = stretches.join(targets, ["file", "page"])
+    marked = F.transform(F.arrays_zip(*values), placed).alias("words")
+    return stretches.select("file", "page", "reported_at", "others", marked)
+
+
+def in_rows(words: Column) -> Column:
+    """Those of the words of `placed_words` that belong to a row of the table."""
+    return F.filter(words, lambda w: w["line"].isNotNull() & ~w["is_header"])
 
 
 def rows_of(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str]) -> DataFrame:
     """`table_rows` of files whose layouts are known."""
-    kept = placed_words(words, lines, layouts, columns).where(F.col("line").isNotNull() & ~F.col("is_header"))
-    entries = kept.select(
-        "file", "page", "line", "reported_at", "others", "idx", "text", F.explode_outer("slots").alias("slot")
-    )
-    in_cell = F.when(F.col("slot").isNotNull(), F.struct("idx", "text", "slot"))
-    grouped = entries.groupBy("file", "page", "line").agg(
-        F.min("idx").alias("row_order"),
-        F.array_sort(F.collect_list(in_cell)).alias("entries"),
+    kept = placed_words(words, lines, layouts, columns).withColumn("words", in_rows(F.col("words")))
+
+    def row_part(line: Column) -> Column:
+        mine = F.filter("words", lambda w: w["line"] == line)
+        entries = F.transform(
+            mine,
+            lambda w: F.transform(w["slots"], lambda s: F.struct(w["idx"].alias("idx"), w["text"].alias("text"), s.alias("slot"))),
+        )
+        row_order = F.array_min(F.transform(mine, lambda w: w["idx"]))
+        return F.struct(line.alias("line"), row_order.alias("row_order"), F.flatten(entries).alias("entries"))
+
+    parts = F.transform(F.array_distinct(F.transform("words", lambda w: w["line"])), row_part)
+    # Stretches are joined by file and page, so the parts of a row already lie in one partition.
+    # An outer generator, as a plain one would have the parts worked out once more in a filter on their number.
+    each = kept.select("file", "page", "reported_at", "others", F.inline_outer(parts)).where(F.col("line").isNotNull())
+    grouped = each.groupBy("file", "page", "line").agg(
+        F.min("row_order").alias("row_order"),
+        F.sort_array(F.flatten(F.collect_list("entries"))).alias("entries"),
         F.any_value("reported_at").alias("reported_at"),
         F.any_value("others").alias("others"),
     )
@@ -279,7 +383,7 @@ def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataF
         .when(F.col("line").isNull(), "below_last_line")
         .when(F.size("slots") == 0, "outside_columns")
     )
-    in_body = placed.select("file", reason.alias("reason")).where(F.col("reason").isNotNull())
+    in_body = placed.select("file", F.inline_outer("words")).select("file", reason.alias("reason")).where("reason is not null")
     in_title = words.where(F.col("idx") < DATA_FROM).select("file", F.lit("title").alias("reason"))
     return in_title.unionByName(in_body).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_words"))
 
@@ -313,7 +417,7 @@ def layout_faults(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataF
     """Files that cannot be laid out, with the reason."""
     headers = header_lists(cells)
     layouts = file_layouts(words, headers)
-    with_rows = placed_words(words, lines, layouts).where(F.col("line").isNotNull() & ~F.col("is_header"))
+    with_rows = placed_words(words, lines, layouts).where(F.size(in_rows(F.col("words"))) > 0)
     files = words.select("file").unionByName(cells.select("file"))
     return faults_of(files, headers, layouts, with_rows)
 

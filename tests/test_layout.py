@@ -202,3 +202,17 @@ def test_all_faults_are_stored(spark, tmp_path):
     with pytest.raises(LayoutFault, match="30 files cannot be laid out: f00: no_rows; f01: no_table.*all in"):
         parse_reports(DecodedReports(w, ln, c), fault_store=store)
     assert spark.read.parquet(store).count() == 30
+
+
+def test_stretches_hold_every_row_in_any_order(spark):
+    """Repeated, missing and scattered words come back as they were, and words in order share a row."""
+    made = [("a", 1, i, f"w{i}") for i in (0, 1, 2, 2, 5)] + [("b", 1, 0, None), (None, 1, 1, "n"), ("a", 1, 6, "late")]
+    df = spark.createDataFrame(made, "file string, page int, idx int, text string").coalesce(1)
+    stretches = lay.packed(df, ["file", "page"], counting="idx").collect()
+    back = [(r["file"], r["page"], n + i, t) for r in stretches for i, (n, t) in enumerate(zip(r["idx"], r["text"]))]
+    assert sorted(back, key=repr) == sorted(made, key=repr) and len(stretches) == 4
+
+
+def test_words_per_file_counts_repeated_words_of_the_time(spark):
+    w = spark.createDataFrame(page(TITLE + [("abc", 0, 1, 9)] * 2) * 2 + page(TITLE, 2), WORDS)
+    assert rows(lay.words_per_file(w)) == [("a", "06/13/26 06/13/26 12:45 12:45 PM PM", 4, 12)]
