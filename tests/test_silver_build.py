@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from test_silver import T0, T1, bronze_of, game_row, opponent
 
 from rimstone.errors import ChecksFailed, EmptyDataset, LakeError
+from rimstone.gallery.base import split_up
 from rimstone.operators import checks as ck
 from rimstone.plans import game_logs
 from rimstone.sinks import versions as vs
@@ -92,3 +93,20 @@ def test_failing_rows_agree_with_the_summary(spark):
     summary = {r["check"]: r["failures"] for r in game_logs.check_table(table, bronze).where("failures > 0").collect()}
     assert set(counted) == set(summary) and counted["not_latest_bronze"] == 1
     assert counted["not_two_zero_sum_rows"] == 3 and summary["not_two_zero_sum_rows"] == 2
+
+
+def test_few_broken_groups_leave_the_table_unshuffled(spark):
+    df = spark.range(2000).selectExpr("id", "cast(nullif(id % 1999, 5) as string) as k")
+    twice = ck.GroupCheck("unique_k", "unique", ("k",), ck.duplicate_keys(df, ["k"]))
+    found = ck.failing_check_rows(df, [ck.not_null("k")], [twice])
+    assert rows(found.select("check", "id")) == [("not_null_k", 5), ("unique_k", 0), ("unique_k", 1999)]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_partitions_of_orders_grow_with_their_rows(spark, tmp_path):
+    path = str(tmp_path / "t.parquet")
+    spark.range(1000).coalesce(1).write.parquet(path)
+    cut = split_up(spark.read.parquet(path), "id", 50)
+    assert cut.rdd.getNumPartitions() == 20 and cut.count() == 1000
+    assert split_up(spark.read.parquet(path), "id").rdd.getNumPartitions() == 8
