@@ -33,7 +33,7 @@ SLICE = 1 << 20
 SHORT = 40  # characters of a piece that may be remembered
 WINDOW = 1 << 16  # characters that are split at a time
 RUN = 4096  # ids that a long word hands on at a time
-CACHE_ROWS = 120_000  # words remembered by a task, those that it meets first; others are encoded each time
+CACHE_ROWS = 500_000  # words remembered by a worker, those that it meets first; others are encoded each time
 
 
 def byte_symbols() -> list[str]:
@@ -64,10 +64,10 @@ class Merges:
         self.last = [vocab[s + self.end] for s in symbols]
         self.text = {i: s for s, i in (vocab | self.special).items()}
         self.spelled = {i: self._spell(i) for i in self.text if i not in self.special.values()}
-        self.by_spelling = {s: i for i, s in self.spelled.items()}
         self.lookahead = max(map(len, self.spelled.values()))
-        self.made: dict[int, bool] = {}
-        self.fits: dict[tuple[int, int], bool] = {}
+        self.fits: dict[tuple[int | None, int], bool] = {}
+        # Tokens that an encoding can hold, by their symbols as characters: a slice of a string is quick to look up.
+        self.by_spelling = {"".join(map(chr, s)): i for i, s in self.spelled.items() if self.merge(s) == [i]}
 
     def _spell(self, token: int) -> tuple[int, ...]:
         out, todo = [], [token]
@@ -100,13 +100,6 @@ class Merges:
                 orders[i] = rank.get((out[i], out[i + 1]), never)
         return out
 
-    def is_made(self, token: int) -> bool:
-        """Whether the token is the encoding of its own spelling."""
-        known = self.made.get(token)
-        if known is None:
-            known = self.made[token] = self.merge(self.spelled[token]) == [token]
-        return known
-
     def may_follow(self, left: int, right: int) -> bool:
         """Whether the two tokens stand side by side in an encoding: whether their joint text is encoded so."""
         known = self.fits.get((left, right))
@@ -120,24 +113,27 @@ class Merges:
     def stream(self, symbols: Iterable[int]) -> Iterator[int]:
         """Encoding of any number of symbols of one word, in memory of the lookahead's order.
 
-        Keeps, for each place since the last stable one, the token that ends there.
+        Keeps, for each place since the last stable one, the token that ends there and the place where it starts.
         """
-        spelled: list[int] = []  # symbols since the last stable place
-        ending: list[tuple[int, int] | None] = [None]  # (token, its start) for each place; None at the stable place
-        before: int | None = None  # last token sent
-        for symbol in symbols:
-            spelled.append(symbol)
+        token_of, known, lookahead = self.by_spelling.get, self.fits.get, self.lookahead
+        spelled = ""  # symbols since the last stable place, as characters
+        ending: list[int | None] = [None]  # at the stable place the last token sent
+        starts = [0]
+        for symbol in map(chr, symbols):
+            spelled += symbol
             here = len(spelled)
-            for start in range(max(0, here - self.lookahead), here):  # the longest token that fits
-                token = self.by_spelling.get(tuple(spelled[start:here]))
-                if token is None or not self.is_made(token):
+            for start in range(here - lookahead if here > lookahead else 0, here):  # the longest token that fits
+                token = token_of(spelled[start:])
+                if token is None:
                     continue
-                left = before if start == 0 else ending[start][0]
-                if left is None or self.may_follow(left, token):
-                    ending.append((token, start))
+                left = ending[start]
+                fits = left is None or known((left, token))
+                if fits or (fits is None and self.may_follow(left, token)):
+                    ending.append(token)
+                    starts.append(start)
                     break
-            if here >= 2 * self.lookahead and here % self.lookahead == 0:
-                paths = [self._path(ending, place) for place in range(here - self.lookahead + 1, here + 1)]
+            if here >= 2 * lookahead and here % lookahead == 0:
+                paths = [self._path(ending, starts, place) for place in range(here - lookahead + 1, here + 1)]
                 agreed = 0
                 while all(len(p) > agreed and p[agreed] == paths[0][agreed] for p in paths):
                     agreed += 1
@@ -145,17 +141,18 @@ class Merges:
                     yield from (token for token, _ in paths[0][:agreed])
                     before, cut = paths[0][agreed - 1]
                     spelled = spelled[cut:]
-                    ending = [None] + [(t, s - cut) if s >= cut else None for t, s in ending[cut + 1 :]]
-        yield from (token for token, _ in self._path(ending, len(spelled)))
+                    # Places whose token starts before the cut lie too far back to be looked at again.
+                    ending = [before, *ending[cut + 1 :]]
+                    starts = [0, *(start - cut for start in starts[cut + 1 :])]
+        yield from (token for token, _ in self._path(ending, starts, len(spelled)))
 
     @staticmethod
-    def _path(ending: list, place: int) -> list[tuple[int, int]]:
+    def _path(ending: list, starts: list[int], place: int) -> list[tuple[int, int]]:
         """Tokens up to a place, each with the place where it ends."""
         out = []
-        while place and ending[place] is not None:
-            token, start = ending[place]
-            out.append((token, place))
-            place = start
+        while place > 0:
+            out.append((ending[place], place))
+            place = starts[place]
         return out[::-1]
 
     def encode_word(self, word: bytes) -> Iterator[int]:
@@ -184,6 +181,7 @@ class Encoder:
         self.pieces: dict[str, list[int]] = {}
         special = sorted(self.merges.special, key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
+        self.spelled = {i: s.encode() for i, s in self.merges.text.items()}
 
     def piece(self, piece: str) -> list[int]:
         found = self.pieces.get(piece)
@@ -195,7 +193,8 @@ class Encoder:
 
     def chunk(self, chunk: str) -> list[int]:
         """Ids of a short stretch without white space."""
-        ids = [i for piece in PIECES.findall(chunk) for i in self.piece(piece)]
+        pieces = PIECES.findall(chunk)
+        ids = self.piece(chunk) if pieces == [chunk] else [i for piece in pieces for i in self.piece(piece)]
         if len(self.known) < CACHE_ROWS:
             self.known[chunk] = ids
         return ids
@@ -275,13 +274,18 @@ def encode_documents(docs: DataFrame, path: str | None = None, digest: bool = Fa
     32-bit integers) and decoded_sha256 instead. A null or empty text has no ids and decodes to the empty text; other
     columns are ignored. The vocabulary (a file of fixed size) is sent to the executors once. With `digest` a text's ids
     are counted, digested and decoded as they become stable, so memory does not grow with a word's or text's ids.
+    A Python worker reads the vocabulary once and keeps the words it remembers from task to task.
     """
     spark = docs.sparkSession
-    file = spark.sparkContext.broadcast(read_vocabulary(spark, path))
+    # Spark hands every task of a worker the same object, so what the first one adds is there for the others.
+    held = spark.sparkContext.broadcast({"file": read_vocabulary(spark, path)})
 
     def run(batches):
-        encoder = Encoder(file.value)
-        spelled = {i: s.encode() for i, s in encoder.merges.text.items()}
+        kept = held.value
+        if "encoder" not in kept:
+            kept["encoder"] = Encoder(kept["file"])
+        encoder = kept["encoder"]
+        spelled = encoder.spelled
 
         def convert(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
             doc_ids, texts = batch.column(0), batch.column(1)

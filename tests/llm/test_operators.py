@@ -534,3 +534,21 @@ def test_one_line_with_very_many_near_copies(spark):
         lines.verified = plain
     assert got == want and len(want) > 500
     assert sum(made) < 20 * len(rows)  # of 180,000 pairs
+
+
+def test_a_worker_reads_the_vocabulary_once(spark, tmp_path, monkeypatch):
+    log, made = str(tmp_path / "made"), bpe.Encoder
+
+    def counted(file):
+        import os
+
+        with open(log, "a") as out:
+            out.write(f"{os.getpid()}\n")
+        return made(file)
+
+    monkeypatch.setattr(bpe, "Encoder", counted)
+    frame = spark.createDataFrame([(i, f"word {i}") for i in range(64)], "doc_id long, text string").repartition(32)
+    assert len(bpe.encode_documents(frame, digest=True).collect()) == 64
+    with open(log) as read:
+        workers = read.read().split()
+    assert workers and len(workers) == len(set(workers))
