@@ -81,10 +81,9 @@ group by 1, 2, 3
 def word_to_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = landed_reports(spark, sf_dir)
     ranges = lay.column_ranges(lay.header_edges(reports.words, lay.header_lists(reports.cells)))
-    placed = lay.words_to_columns(lay.data_words(reports.words).select("file", "text", "x0", "x1"), ranges)
-    return placed.groupBy("file", "column").agg(
-        F.count(F.lit(1)).alias("n_words"), F.sum(F.length("text")).alias("n_chars")
-    )
+    sized = lay.data_words(reports.words).select("file", F.length("text").alias("n_chars"), "x0", "x1")
+    placed = lay.words_to_columns(sized, ranges)
+    return placed.groupBy("file", "column").agg(F.count(F.lit(1)).alias("n_words"), F.sum("n_chars").alias("n_chars"))
 
 
 WORD_TO_COLUMN = f"""with {PAGES_SQL}, {RANGES_SQL}

@@ -32,6 +32,10 @@ FIRST_PAGE = 1
 
 # Stands between headers in one text; no word and no header contains it.
 SEPARATOR = "\u001f"
+# Stands for the text of a word that is no part of any header; no header contains it.
+PLAIN = SEPARATOR + "\u001e" + SEPARATOR
+# Kinds, by hash, of the texts that begin or end a header: which of them occur is all the driver learns of the headers.
+KINDS = 1 << 15
 # Files named in an error message; the whole list is in the fault table.
 NAMED_FAULTS = 20
 
@@ -116,6 +120,30 @@ def words_per_file(words: DataFrame) -> DataFrame:
     )
 
 
+def _kind(text: Column) -> Column:
+    return F.xxhash64(text).bitwiseAND(KINDS - 1).cast("int")
+
+
+def header_part(text: Column, headers: DataFrame) -> Column:
+    """Whether a text may begin or end a header of some file; false only if it does neither in any, null for null.
+
+    All beginnings and ends of headers are told apart by KINDS hashes, so what is known of them has a fixed size, and
+    with very many headers the answer is true for more texts.
+    """
+    names = headers.select(F.explode(F.transform("headers", lambda h: h["name"])).alias("name")).distinct()
+    lengths = F.sequence(F.lit(0), F.length("name"))
+    parts = F.concat(
+        F.transform(lengths, lambda n: F.left("name", n)), F.transform(lengths, lambda n: F.right("name", n))
+    )
+    present = [0] * (KINDS // 64)
+    for (kind,) in names.select(F.explode(F.transform(parts, _kind)).alias("kind")).distinct().collect():  # KINDS rows
+        present[kind // 64] |= 1 << kind % 64
+    bits = F.split(F.lit(",".join(str(b - (b >> 63 << 64)) for b in present)), ",").cast("array<long>")
+    found = F.getbit(F.element_at(bits, F.shiftright(_kind(text), 6) + 1), _kind(text).bitwiseAND(63)) == 1
+    listed = found | F.contains(text, F.lit(SEPARATOR))
+    return F.when(text.isNotNull(), listed)
+
+
 def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
     """One row per file that has a first page: `(file, reported_at, headers, ranges)`.
 
@@ -124,7 +152,9 @@ def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
     opens only the first unplaced header it matches, and a header is placed once; the last word of the page
     cannot open one.
     """
-    shown = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", "x0")
+    # Only the place of a word that may open a header is asked for; the texts all stay, as each may come next.
+    at = F.when(header_part(F.col("text"), headers), F.col("x0")).alias("x0")
+    shown = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", at)
     parts = packed(shown, ["file"], counting="idx").groupBy("file").agg(
         F.collect_list(F.arrays_zip("idx", "text", "x0")).alias("parts")
     )
@@ -273,6 +303,11 @@ def line_lists(words: DataFrame, lines: DataFrame) -> DataFrame:
     return words.select("file", "page").distinct().join(listed, ["file", "page"], "left")
 
 
+def with_plain_texts(words: DataFrame, headers: DataFrame) -> DataFrame:
+    """`words` with PLAIN for each text that is no part of any header, for jobs that only ask whether it is one."""
+    return words.withColumn("text", F.when(~header_part(F.col("text"), headers), PLAIN).otherwise(F.col("text")))
+
+
 def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
     """The data words of the files whose headers are all placed, with their lines and columns, in lists.
 
@@ -377,7 +412,8 @@ def table_rows(
 
 def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
     """Number of words per file and reason for which they are not in any cell."""
-    placed = placed_words(words, lines, file_layouts(words, header_lists(cells)))
+    headers = header_lists(cells)
+    placed = placed_words(with_plain_texts(words, headers), lines, file_layouts(words, headers))
     reason = (
         F.when(F.col("is_header"), "header")
         .when(F.col("line").isNull(), "below_last_line")
@@ -413,13 +449,25 @@ def faults_of(words: DataFrame, headers: DataFrame, layouts: DataFrame, rows: Da
     return per_file.select("file", fault.alias("fault")).where(F.col("fault").isNotNull())
 
 
+def files_with_rows(words: DataFrame, lines: DataFrame, headers: DataFrame) -> DataFrame:
+    """Files with headers that have a word of a row: a data word, no part of a header, at or above its page's last line.
+
+    Only the highest word of each text of a page is looked at, and all texts that are no part of a header count as one.
+    """
+    body = with_plain_texts(data_words(words).where(F.col("bottom").isNotNull()), headers)
+    highest = body.groupBy("file", "page", "text").agg(F.min("bottom").alias("bottom"))
+    last = lines.groupBy("file", "page").agg(F.max("bottom").alias("last"))
+    above = highest.join(last, ["file", "page"]).where(F.col("last") >= F.col("bottom"))
+    named = headers.select("file", header_line(F.transform("headers", lambda h: h["name"])).alias("joined"))
+    in_row = ~(begins_header(F.col("text"), F.col("joined")) | ends_header(F.col("text"), F.col("joined")))
+    return above.join(named, "file").where(in_row).select("file").distinct()
+
+
 def layout_faults(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
     """Files that cannot be laid out, with the reason."""
     headers = header_lists(cells)
-    layouts = file_layouts(words, headers)
-    with_rows = placed_words(words, lines, layouts).where(F.size(in_rows(F.col("words"))) > 0)
     files = words.select("file").unionByName(cells.select("file"))
-    return faults_of(files, headers, layouts, with_rows)
+    return faults_of(files, headers, file_layouts(words, headers), files_with_rows(words, lines, headers))
 
 
 def enforce_layout(faults: DataFrame, store: str | None = None) -> None:

@@ -216,3 +216,33 @@ def test_stretches_hold_every_row_in_any_order(spark):
 def test_words_per_file_counts_repeated_words_of_the_time(spark):
     w = spark.createDataFrame(page(TITLE + [("abc", 0, 1, 9)] * 2) * 2 + page(TITLE, 2), WORDS)
     assert rows(lay.words_per_file(w)) == [("a", "06/13/26 06/13/26 12:45 12:45 PM PM", 4, 12)]
+
+
+def test_texts_that_are_part_of_no_header_are_not_carried(spark):
+    texts = ["Pla", "Player", "me", "Team", "", None, "other", "a\u001fb"]
+    words = spark.createDataFrame([("a", 1, i, t, 0.0, 1.0, 9.0) for i, t in enumerate(texts)], WORDS)
+    cells = spark.createDataFrame([("a", 0, "Player Name"), ("b", 0, "Team")], CELLS)
+    got = rows(lay.with_plain_texts(words, lay.header_lists(cells)).select("idx", "text"), "idx")
+    assert [t for _, t in got] == ["Pla", "Player", "me", "Team", "", None, lay.PLAIN, "a\u001fb"]
+
+
+def test_faults_gather_words_of_the_first_page_only_and_once(spark):
+    """Lists of words are shuffled for the headers alone; which files have rows is found from one row for each text."""
+    body = [("Team", 100, 130, 20), ("x", 110, 120, 30), ("y", 110, 120, 90), ("z", 110, 120, 70)]
+    words, lines, cells = frames(spark, page(TITLE + body), [(1, 60)], ["Team"])
+    faults = lay.layout_faults(words, lines, cells)
+    assert rows(faults) == []
+    assert faults._jdf.queryExecution().optimizedPlan().toString().count("MapInArrow") == 1
+    with_rows = lay.files_with_rows(words, lines.where("bottom < 30"), lay.header_lists(cells))
+    assert rows(with_rows) == []
+    unread = spark.createDataFrame([("a", 1, 9, None, 110.0, 120.0, 10.0)], WORDS)
+    assert rows(lay.files_with_rows(unread, lines, lay.header_lists(cells))) == []
+
+
+def test_columns_are_counted_without_texts(spark):
+    from conftest import SF_DIR
+
+    from rimstone.gallery.layout import word_to_column
+
+    plan = word_to_column(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
+    assert [line for line in plan.splitlines() if "MapInArrow" in line and "n_chars" in line]
