@@ -14,6 +14,7 @@ Sets that share a list are candidates; clusters of candidates are verified exact
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,8 @@ from rimstone.llm.hashing import Prefixes, mixed
 WORDS = 5
 SHORT = 24  # lists up to this length are never left out
 LADDER = 4  # each level of longer lists is so many times longer
+LEVELS = 8  # the last level; it has all longer lists as well
+PASSES = 2  # over the texts, for the lists of some frames each, so that not all signatures are on disk at once
 WHOLE = 127  # above all levels
 BLOCK = 256  # sets of a cluster that are compared with each other at a time
 SLICE = 1 << 20
@@ -112,15 +115,20 @@ def frames(n: int) -> list[int]:
     return [band - 1, band] if reach else [band]
 
 
-def signatures(shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+def signatures(shingles: np.ndarray, turn: int | None = None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Keys and tags of one set. Tag: segment, count (1 or 2), frame, whether the set is whole, what is left of the slack.
 
+    With `turn` only those of the frames that have their turn in this pass.
+
     Empty subsets, the longest lists of all, are left out where the slack allows it; else the set is whole and leaves
     out nothing. A subset that is empty without its only shingle costs one of the slack: another set with an empty
     segment there has used up one of the difference.
     """
+    due = [f for f in frames(len(shingles)) if turn is None or f % PASSES == turn]
+    if not due:
+        return
     spread, value = mixed(shingles, 21) >> np.uint64(16), mixed(shingles, 22)
-    for frame in frames(len(shingles)):
+    for frame in due:
         n, wide, slack = allocation(frame)
         segment = (spread % np.uint64(n)).astype(np.int64)
         with np.errstate(over="ignore"):
@@ -142,30 +150,55 @@ def signatures(shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         yield keys.view(np.int64), tags
 
 
+def list_levels(lengths: np.ndarray) -> np.ndarray:
+    """0 for lists of up to SHORT sets, then one more for each LADDER times as many, LEVELS at most."""
+    return np.searchsorted(SHORT * LADDER ** np.arange(LEVELS), lengths)
+
+
 def shared_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """From rows sorted by key and set, those whose key has another set as well, once for each key and set.
+    """From rows sorted by key and set, those whose key has another set as well, once for each key and set, with `level`.
 
-    Between batches only the last row is held, and whether it has been sent.
+    Between batches the last key's rows are held, until there are so many that its level is known to be the last; of
+    longer lists only the last row.
     """
-    held, sent = None, False
+    enough = SHORT * LADDER ** (LEVELS - 1) + 1
+    names = ["key", "node", "tag", "level"]
+    held = [np.zeros(0, np.int64)] * 3
+    sent = False  # whether the held row is the last of a list of the last level that has been sent so far
+
+    def listed(columns: list[np.ndarray], levels: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(levels, pa.int32())], names)
+
+    def closed(columns: list[np.ndarray], sent: bool) -> pa.RecordBatch:
+        """Whole lists, the first of which has been sent up to its first row if `sent`."""
+        key = columns[0]
+        starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+        counts = np.diff(np.append(starts, len(key)))
+        levels = np.repeat(list_levels(counts), counts)
+        keep = np.repeat(counts > 1, counts)
+        if sent:
+            levels[: counts[0]] = LEVELS
+            keep[: counts[0]] = np.arange(counts[0]) > 0
+        return listed([c[keep] for c in columns], levels[keep])
+
     for batch in batches:
         columns = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(3)]
         if not len(columns[0]):
             continue
-        if held is not None:
-            columns = [np.concatenate([[h], c]) for h, c in zip(held, columns, strict=True)]
+        columns = [np.concatenate(c) for c in zip(held, columns, strict=True)]
         key, node, _ = columns
-        first = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])]))
-        twin = key[first][1:] == key[first][:-1]
-        shared = np.zeros(len(first), bool)
-        shared[1:] |= twin
-        shared[:-1] |= twin
-        out = first[shared]
-        if held is not None and sent:
-            out = out[out > 0]
-        yield pa.RecordBatch.from_arrays([pa.array(c[out]) for c in columns], ["key", "node", "tag"])
-        sent = bool(shared[-1]) or (held is not None and sent and len(first) == 1)
-        held = [c[first[-1]] for c in columns]
+        first = np.concatenate([[True], (key[1:] != key[:-1]) | (node[1:] != node[:-1])])
+        columns = [c[first] for c in columns]
+        last = int(np.searchsorted(columns[0], columns[0][-1]))  # the last key's first row
+        if last:
+            yield closed([c[:last] for c in columns], sent)
+            sent = False
+        held = [c[last:] for c in columns]
+        if sent or len(held[0]) >= enough:
+            yield listed([c[int(sent) :] for c in held], np.full(len(held[0]) - int(sent), LEVELS))
+            held, sent = [c[-1:] for c in held], True
+    if len(held[0]):
+        yield closed(held, sent)
 
 
 def set_rows(texts: DataFrame) -> DataFrame:
@@ -182,8 +215,8 @@ def set_rows(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "doc_id long, text_hash long, set_a long, set_b long, n long")
 
 
-def signature_rows(texts: DataFrame) -> DataFrame:
-    """key, node and tag of every set; sets that a task has met already are not sent again."""
+def signature_rows(texts: DataFrame, turn: int | None = None) -> DataFrame:
+    """key, node and tag of every set; sets that a task has met already are not sent again. `turn`: see `signatures`."""
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         seen: set[int] = set()
@@ -193,7 +226,7 @@ def signature_rows(texts: DataFrame) -> DataFrame:
             for shingles, node in zip(sets, identity(sets)[0].tolist(), strict=True):
                 if len(shingles) and node not in seen:
                     seen.add(node)
-                    for k, t in signatures(shingles):
+                    for k, t in signatures(shingles, turn):
                         keys.append(k)
                         tags.append(t)
                         nodes.append(np.full(len(k), node, np.int64))
@@ -211,18 +244,18 @@ def candidate_edges(texts: DataFrame) -> DataFrame:
     share as many as similar sets must.
     """
     n = shuffles(texts.sparkSession)
-    rows = signature_rows(texts).repartition(n, "key").sortWithinPartitions("key", "node")
-    shared = materialize(rows.mapInArrow(shared_lists, "key long, node long, tag long"), "lists")
-    lists = shared.groupBy("key").agg(F.count("*").alias("length"))
-    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("length") / SHORT) / np.log2(LADDER))).cast("int")
-    lists = materialize(lists.withColumn("level", level), "list-lengths")
+    passes = []
+    for turn in range(PASSES):
+        rows = signature_rows(texts, turn).repartition(n, "key").sortWithinPartitions("key", "node")
+        passes.append(materialize(rows.mapInArrow(shared_lists, "key long, node long, tag long, level int"), "lists"))
+    shared = reduce(DataFrame.unionByName, passes)  # a key belongs to one frame, so its list is in one of them
     frame = F.shiftright("tag", 24).bitwiseAND(0xFF).alias("frame")
     segment, weight = F.shiftright("tag", 34).alias("segment"), F.shiftright("tag", 32).bitwiseAND(3).alias("weight")
     slack = F.col("tag").bitwiseAND(0x7FFFFF).alias("slack")
     whole = (F.col("tag").bitwiseAND(1 << 23) > 0).alias("whole")
-    used = shared.select("key", "node", frame, segment, weight, whole, slack)
+    used = shared.select("key", "node", frame, segment, weight, whole, slack, "level")
     # What each set would leave out: by segment the level of its longest list, then counts from the top down.
-    long_ones = used.join(lists.where("level > 0").select("key", "level"), "key")
+    long_ones = used.where("level > 0")
     spare = F.when(F.col("whole"), -1).otherwise(F.col("slack"))
     by_segment = long_ones.groupBy("node", "frame", "segment").agg(
         F.max("level").alias("level"), F.first("weight").alias("weight"), F.max(spare).alias("slack")
@@ -241,16 +274,19 @@ def candidate_edges(texts: DataFrame) -> DataFrame:
     long_edges = stay.join(lead, "key").select(F.col("low").alias("a"), F.col("node").alias("b")).where("a <> b")
     # Of short lists, similar sets share as many as must match and have not been left out as long ones by the set that
     # has gone down further: the low half of `bound`. The high half is larger the further a set has gone down.
-    short = used.join(lists.where("level = 0").select("key"), "key").join(bounds, ["node", "frame"], "left")
+    short = used.where("level = 0").join(bounds, ["node", "frame"], "left")
     must = F.col("slack") + 1 - F.coalesce("left_out", F.lit(0))
     top = F.when(F.col("whole"), WHOLE).otherwise(F.coalesce("top", F.lit(0)))
-    bound = (F.shiftleft((WHOLE - top).cast("long"), 32) + must).alias("bound")
-    short = short.select("key", "node", "frame", "weight", bound)
-    other = short.select("key", F.col("node").alias("b"), F.col("bound").alias("bound_b"))
-    met = short.join(other, "key").where(F.col("node") < F.col("b"))
-    counted = met.groupBy(F.col("node").alias("a"), "b", "frame").agg(
-        F.sum("weight").alias("shared"),
-        F.greatest(F.max("bound"), F.max("bound_b")).bitwiseAND(0xFFFFFFFF).alias("must"),
+    bound = F.shiftleft((WHOLE - top).cast("long"), 32) + must
+    # In one number, so that both sides of the join are the same rows, which are shuffled once.
+    info = F.shiftleft(bound, 10) + F.shiftleft(F.col("frame"), 2) + F.col("weight")
+    short = short.select("key", "node", info.alias("info"))
+    one, other = short.alias("one"), short.alias("other")
+    met = one.join(other, (F.col("one.key") == F.col("other.key")) & (F.col("one.node") < F.col("other.node")))
+    frame = F.shiftright("one.info", 2).bitwiseAND(0xFF).alias("frame")
+    counted = met.groupBy(F.col("one.node").alias("a"), F.col("other.node").alias("b"), frame).agg(
+        F.sum(F.col("one.info").bitwiseAND(3)).alias("shared"),
+        F.shiftright(F.greatest(F.max("one.info"), F.max("other.info")), 10).bitwiseAND(0xFFFFFFFF).alias("must"),
     )
     return counted.where("shared >= must").select("a", "b").unionByName(long_edges).distinct()
 

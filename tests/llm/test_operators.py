@@ -236,6 +236,28 @@ def test_jaccard_components(spark, docs, awkward, monkeypatch):
     assert jaccard.jaccard_components(given.limit(0)).count() == 0
 
 
+def test_shared_lists_have_levels_and_come_in_passes(spark, monkeypatch):
+    """Lists get their level from batches of any size; the frames of all passes together are all frames."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(jaccard, "SHORT", 2)
+    monkeypatch.setattr(jaccard, "LEVELS", 2)
+    sizes = [1, 2, 1, 3, 8, 9, 40, 1, 33, 1]
+    rows = [(key, node, 10 * key) for key, n in enumerate(sizes) for node in range(n) for _ in range(1 + node % 3)]
+    level = {2: 0, 3: 1, 8: 1, 9: 2, 40: 2, 33: 2}
+    want = [(key, node, 10 * key, level[n]) for key, n in enumerate(sizes) if n > 1 for node in range(n)]
+    whole = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["key", "node", "tag"])
+    for step in (1, 2, 7, 20, len(rows)):
+        batches = [whole.slice(i, step) for i in range(0, len(rows), step)]
+        got = [tuple(r.values()) for b in jaccard.shared_lists(iter(batches)) for r in b.to_pylist()]
+        assert got == want
+    texts = [(i, " ".join(f"w{i}x{j}" for j in range(5 + 7 * i))) for i in range(20)]
+    frame = spark.createDataFrame(texts, "doc_id long, text string")
+    turns = [{tuple(r) for r in jaccard.signature_rows(frame, t).collect()} for t in range(jaccard.PASSES)]
+    assert all(turns) and sum(map(len, turns)) == len(set.union(*turns))
+    assert set.union(*turns) == {tuple(r) for r in jaccard.signature_rows(frame).collect()}
+
+
 def test_similar_texts_with_a_common_passage(spark):
     """Pairs at 0.75 to 0.80 that share most of their shingles with a hundred other texts as well."""
     draw = random.Random(3)
