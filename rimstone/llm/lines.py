@@ -9,6 +9,8 @@ their words.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,7 @@ from rimstone.llm.common import keyed_texts, materialize
 
 BUCKETS = 1 << 17  # of words; the number of word counts that are known, whatever the corpus
 SIZES = 8  # size classes of lines that are told apart when leads are chosen
+PASSES = 4  # over the prefix words, for the leads of some of them each, so that not all are on disk at once
 SHIFT = 56  # a word's key: its rarity class, then 56 bits of its hash
 
 
@@ -202,6 +205,13 @@ def likeliest_lead(percent: int) -> Column:
     return F.least(*map(judged, lead_names()))
 
 
+def led_by(words: DataFrame, percent: int) -> DataFrame:
+    """Each set, `id_to`, with the likeliest leads, `id`, of some prefix words; written."""
+    led = with_leads(words).select(*lead_names(), F.struct("id", "bits", "more_bits", "packed").alias("own"))
+    pairs = led.select(likeliest_lead(percent)["id"].alias("id"), F.col("own.id").alias("id_to"))
+    return materialize(pairs.where("id is not null").distinct(), "led-pairs")
+
+
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
     """set_id, check, and `first` place of an earlier similar set, for every set that has one.
 
@@ -210,9 +220,8 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     copies that decides nearly all. Only sets still open are compared with all earlier sets that share a prefix word.
     """
     words = prefix_words(one, percent)
-    led = with_leads(words).select(*lead_names(), F.struct("id", "bits", "more_bits", "packed").alias("own"))
-    led = led.select(likeliest_lead(percent)["id"].alias("id"), F.col("own.id").alias("id_to")).where("id is not null").distinct()
-    found = verified(led, one, texts, classes, percent)
+    led = [led_by(words.where(F.pmod("key", F.lit(PASSES)) == turn), percent) for turn in range(PASSES)]
+    found = verified(reduce(DataFrame.unionByName, led).distinct(), one, texts, classes, percent)
     # Decided sets are marked by a negative size. Both sides are then the same rows, which are shuffled once.
     done = found.select(F.col("id_to").alias("done")).distinct()
     sizes = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")

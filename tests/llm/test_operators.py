@@ -558,6 +558,24 @@ def test_one_line_with_very_many_near_copies(spark):
     assert sum(made) < 20 * len(rows)  # of 180,000 pairs
 
 
+def test_leads_are_found_for_some_words_at_a_time(spark, monkeypatch):
+    """No pass has all prefix words on disk, each word is in one, and the lines that go are those of a plain version."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.sample([f"w{j}" for j in range(9)], 6))) for i in range(60)]
+    sets = [(i, set(t.split())) for i, t in rows]
+    want = {i for i, s in sets if any(100 * len(s & o) >= 70 * len(s | o) for _, o in sets[:i])}
+    keys, plain = [], lines.with_leads
+
+    def seen(words):
+        keys.append({r.key for r in words.select("key").distinct().collect()})
+        return plain(words)
+
+    monkeypatch.setattr(lines, "with_leads", seen)
+    got = lines.lines_to_remove(spark.createDataFrame(rows, "doc_id long, text string"), percent=70)
+    assert {r["__id"] for r in got.collect()} == want and len(want) < len(rows)
+    assert len(keys) == lines.PASSES > 1 and sum(map(len, keys)) == len(set.union(*keys)) > max(map(len, keys))
+
+
 def test_a_worker_reads_the_vocabulary_once(spark, tmp_path, monkeypatch):
     log, made = str(tmp_path / "made"), bpe.Encoder
 
