@@ -15,10 +15,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from rimstone.llm.common import keyed_texts, materialize
+from rimstone.session import discard
 
 BUCKETS = 1 << 17  # of words; the number of word counts that are known, whatever the corpus
 SIZES = 8  # size classes of lines that are told apart when leads are chosen
-PASSES = 4  # over the prefix words, for the leads of some of them each, so that not all are on disk at once
+PASSES = 4  # over the prefix words, for the leads and pairs of some of them each, so that not all are on disk at once
 SHIFT = 56  # a word's key: its rarity class, then 56 bits of its hash
 
 
@@ -30,11 +31,13 @@ def rarity_classes(texts: DataFrame) -> Column:
     lines = texts.select(F.explode(F.split("text", "\n")).alias("line"))
     words = lines.select(F.explode(F.split("line", " ")).alias("word"))
     counted = words.groupBy(F.xxhash64("word").bitwiseAND(BUCKETS - 1).cast("int").alias("bucket")).count()
-    rows = counted.select("bucket", F.floor(2 * F.log2(F.col("count") + 1)).cast("int")).collect()  # BUCKETS rows
-    classes = [0] * BUCKETS
-    for bucket, rarity in rows:
-        classes[bucket] = rarity
-    return F.split(F.lit(",".join(map(str, classes))), ",").cast("array<int>")
+    found = counted.select("bucket", F.floor(2 * F.log2(F.col("count") + 1)).cast("int").alias("rarity"))
+    every = texts.sparkSession.range(BUCKETS).select(F.col("id").cast("int").alias("bucket"), F.lit(0).alias("rarity"))
+    highest = found.unionByName(every).groupBy("bucket").agg(F.max("rarity").alias("rarity"))
+    # One text and not BUCKETS rows comes to the driver, where each row would be an object.
+    in_order = F.array_sort(F.collect_list(F.struct("bucket", "rarity")))
+    (listed,) = highest.agg(F.array_join(F.transform(in_order, lambda b: b["rarity"].cast("string")), ",")).first()
+    return F.split(F.lit(listed), ",").cast("array<int>")
 
 
 def word_keys(line: Column, classes: Column) -> Column:
@@ -205,11 +208,30 @@ def likeliest_lead(percent: int) -> Column:
     return F.least(*map(judged, lead_names()))
 
 
+def in_turn(words: DataFrame, turn: int) -> DataFrame:
+    """The prefix words of one of PASSES passes.
+
+    Told apart by text, which code generated for a query refers to and does not contain: all passes run the same code.
+    """
+    return words.where(F.pmod("key", F.lit(PASSES)).cast("string") == str(turn))
+
+
 def led_by(words: DataFrame, percent: int) -> DataFrame:
-    """Each set, `id_to`, with the likeliest leads, `id`, of some prefix words; written."""
-    led = with_leads(words).select(*lead_names(), F.struct("id", "bits", "more_bits", "packed").alias("own"))
+    """Each set, `id_to`, with the likeliest leads, `id`, of some prefix words; written, and the leads removed."""
+    found = with_leads(words)
+    led = found.select(*lead_names(), F.struct("id", "bits", "more_bits", "packed").alias("own"))
     pairs = led.select(likeliest_lead(percent)["id"].alias("id"), F.col("own.id").alias("id_to"))
-    return materialize(pairs.where("id is not null").distinct(), "led-pairs")
+    pairs = materialize(pairs.where("id is not null").distinct(), "led-pairs")
+    discard(found, "line-leads")
+    return pairs
+
+
+def met_by(words: DataFrame, percent: int) -> DataFrame:
+    """Pairs of an open set, `id_to`, and an earlier set, `id`, that share some prefix word and pass the filters; written."""
+    a, b = words.alias("a"), words.alias("b")
+    earlier = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
+    met = a.join(b, earlier & may_be_similar("a", "b", percent))
+    return materialize(met.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_to")).distinct(), "met-pairs")
 
 
 def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int) -> DataFrame:
@@ -220,18 +242,16 @@ def similar_sets(one: DataFrame, texts: DataFrame, classes: Column, percent: int
     copies that decides nearly all. Only sets still open are compared with all earlier sets that share a prefix word.
     """
     words = prefix_words(one, percent)
-    led = [led_by(words.where(F.pmod("key", F.lit(PASSES)) == turn), percent) for turn in range(PASSES)]
+    led = [led_by(in_turn(words, turn), percent) for turn in range(PASSES)]
     found = verified(reduce(DataFrame.unionByName, led).distinct(), one, texts, classes, percent)
     # Decided sets are marked by a negative size. Both sides are then the same rows, which are shuffled once.
     done = found.select(F.col("id_to").alias("done")).distinct()
     sizes = F.when(F.col("done").isNull(), F.col("n")).otherwise(-F.col("n")).alias("n")
     marked = one.join(done, F.col("id") == F.col("done"), "left").select("id", sizes, "bits", "more_bits", "prefix")
-    words = prefix_words(marked, percent)
-    a, b = words.alias("a"), words.alias("b")
-    earlier = (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id"))
-    met = a.join(b, earlier & may_be_similar("a", "b", percent))
-    pairs = met.select(F.col("a.id").alias("id"), F.col("b.id").alias("id_to")).distinct()
-    links = found.union(verified(pairs, one, texts, classes, percent))
+    words = prefix_words(materialize(marked, "marked-lines"), percent)
+    met = [met_by(in_turn(words, turn), percent) for turn in range(PASSES)]
+    discard(words, "marked-lines")
+    links = found.union(verified(reduce(DataFrame.unionByName, met).distinct(), one, texts, classes, percent))
     lowest = links.groupBy("id_to").agg(F.min("id").alias("id"))
     sets = one.select(F.col("id").alias("id_to"), "set_id", "check")
     return lowest.join(one.select("id", "first"), "id").join(sets, "id_to").select("set_id", "check", "first")

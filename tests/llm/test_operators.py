@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -576,6 +577,43 @@ def test_leads_are_found_for_some_words_at_a_time(spark, monkeypatch):
     assert len(keys) == lines.PASSES > 1 and sum(map(len, keys)) == len(set.union(*keys)) > max(map(len, keys))
 
 
+def test_pairs_are_found_for_some_words_at_a_time_and_leads_go(spark, monkeypatch):
+    """No pass of the join has all prefix words on disk, and the leads and marks of finished passes are removed."""
+    rng = random.Random(9)
+    rows = [(i, " ".join(rng.sample([f"w{j}" for j in range(9)], 6))) for i in range(60)]
+    sets = [(i, set(t.split())) for i, t in rows]
+    want = {i for i, s in sets if any(100 * len(s & o) >= 70 * len(s | o) for _, o in sets[:i])}
+    keys, files, plain, discard = [], [], lines.met_by, lines.discard
+
+    def seen(words, percent):
+        keys.append({r.key for r in words.select("key").distinct().collect()})
+        return plain(words, percent)
+
+    def gone(df, label):
+        mine = [f.removeprefix("file:").rsplit("/", 1)[0] for f in df.inputFiles() if f"/{label}-" in f]
+        assert mine and all(map(os.path.isdir, mine))
+        discard(df, label)
+        files.extend(mine)
+
+    monkeypatch.setattr(lines, "met_by", seen)
+    monkeypatch.setattr(lines, "discard", gone)
+    got = lines.lines_to_remove(spark.createDataFrame(rows, "doc_id long, text string"), percent=70)
+    assert {r["__id"] for r in got.collect()} == want and len(want) < len(rows)
+    assert len(keys) == lines.PASSES > 1 and sum(map(len, keys)) == len(set.union(*keys)) > max(map(len, keys))
+    assert len(set(files)) == lines.PASSES + 1 and not any(map(os.path.exists, files))
+
+
+def test_rarity_classes_come_as_one_text(spark):
+    texts = spark.createDataFrame([("a b a",), ("a\n",)], "text string")
+    (classes,) = spark.range(1).select(lines.rarity_classes(texts)).first()
+    counts = {}
+    for word, n in (("a", 3), ("b", 1), ("", 1)):
+        (h,) = spark.range(1).select(F.xxhash64(F.lit(word)).bitwiseAND(lines.BUCKETS - 1)).first()
+        counts[h] = counts.get(h, 0) + n
+    assert len(classes) == lines.BUCKETS
+    assert {i: c for i, c in enumerate(classes) if c} == {h: int(2 * math.log2(n + 1)) for h, n in counts.items()}
+
+
 def test_a_worker_reads_the_vocabulary_once(spark, tmp_path, monkeypatch):
     log, made = str(tmp_path / "made"), bpe.Encoder
 
