@@ -138,7 +138,8 @@ group by 1, 2, 3
 
 def layout_drops(spark: SparkSession, sf_dir: str) -> DataFrame:
     reports = landed_reports(spark, sf_dir)
-    return lay.dropped_words(reports.words, reports.lines, reports.cells)
+    # The number of words comes from the footers of the landed table.
+    return lay.dropped_words(reports.words, reports.lines, reports.cells, reports.words.count())
 
 
 LAYOUT_DROPS = f"""with {PAGES_SQL}, {PLACED_SQL}

@@ -36,6 +36,8 @@ SEPARATOR = "\u001f"
 PLAIN = SEPARATOR + "\u001e" + SEPARATOR
 # Kinds, by hash, of the texts that begin or end a header: which of them occur is all the driver learns of the headers.
 KINDS = 1 << 15
+# Words for one partition where the number of words is known: what a task sorts does not grow with the table.
+PARTITION_WORDS = 2_000_000
 # Files named in an error message; the whole list is in the fault table.
 NAMED_FAULTS = 20
 
@@ -91,6 +93,14 @@ def packed(rows: DataFrame, keys: Sequence[str], counting: str | None = None) ->
     return rows.select(*keys, *listed).mapInArrow(pack, schema)
 
 
+def dealt(rows: DataFrame, keys: Sequence[str], n_words: int | None) -> DataFrame:
+    """`rows` by `keys`, with PARTITION_WORDS of `n_words` to a partition, where that takes more partitions than the session's."""
+    wanted = -(-(n_words or 0) // PARTITION_WORDS)
+    if wanted <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
+        return rows
+    return rows.repartition(wanted, *keys)
+
+
 def data_words(words: DataFrame) -> DataFrame:
     """Words after the title and time of their page."""
     return words.where(F.col("idx") >= DATA_FROM)
@@ -144,8 +154,8 @@ def header_part(text: Column, headers: DataFrame) -> Column:
     return F.when(text.isNotNull(), listed)
 
 
-def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
-    """One row per file that has a first page: `(file, reported_at, headers, ranges)`.
+def file_layouts(words: DataFrame, headers: DataFrame, n_words: int | None = None) -> DataFrame:
+    """One row per file that has a first page: `(file, reported_at, headers, ranges)`; for `n_words` see `dealt`.
 
     `ranges` holds position, name, left and right edge of every header found on that page. A word opens a header
     when it is the header, or when it begins it and the next word ends it. Going through the page in order, a word
@@ -155,7 +165,7 @@ def file_layouts(words: DataFrame, headers: DataFrame) -> DataFrame:
     # Only the place of a word that may open a header is asked for; the texts all stay, as each may come next.
     at = F.when(header_part(F.col("text"), headers), F.col("x0")).alias("x0")
     shown = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", at)
-    parts = packed(shown, ["file"], counting="idx").groupBy("file").agg(
+    parts = dealt(packed(shown, ["file"], counting="idx"), ["file"], n_words).groupBy("file").agg(
         F.collect_list(F.arrays_zip("idx", "text", "x0")).alias("parts")
     )
 
@@ -308,13 +318,15 @@ def with_plain_texts(words: DataFrame, headers: DataFrame) -> DataFrame:
     return words.withColumn("text", F.when(~header_part(F.col("text"), headers), PLAIN).otherwise(F.col("text")))
 
 
-def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = ()) -> DataFrame:
+def placed_words(
+    words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = (), n_words: int | None = None
+) -> DataFrame:
     """The data words of the files whose headers are all placed, with their lines and columns, in lists.
 
     A row is a stretch of a page: `(file, page, reported_at, others, words)`; `words` has `idx`, `text`, `line`,
     `is_header` and `slots` of each. `line` is NULL below the last line. Headers are known by their snake-case name.
     `slots` has, for each column that contains the word, the place of its name in `columns` followed by the file's
-    `others`, counted from 1; it is empty for a word outside all columns.
+    `others`, counted from 1; it is empty for a word outside all columns. For `n_words` see `dealt`.
     """
     known = F.array(*[F.lit(c) for c in snake_names(columns)]).cast("array<string>")
     names = F.transform("headers", lambda h: h["name"])
@@ -352,7 +364,7 @@ def placed_words(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns
 
     values = ["idx", "text", "x0", "x1", "bottom"]
     stretches = packed(body.select("file", "page", *values), ["file", "page"], counting="idx")
-    stretches = stretches.join(targets, ["file", "page"])
+    stretches = dealt(stretches, ["file", "page"], n_words).join(targets, ["file", "page"])
     marked = F.transform(F.arrays_zip(*values), placed).alias("words")
     return stretches.select("file", "page", "reported_at", "others", marked)
 
@@ -410,10 +422,14 @@ def table_rows(
     return rows_of(words, lines, file_layouts(words, header_lists(cells)), columns)
 
 
-def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame) -> DataFrame:
-    """Number of words per file and reason for which they are not in any cell."""
+def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame, n_words: int | None = None) -> DataFrame:
+    """Number of words per file and reason for which they are not in any cell; `n_words`, if known, sizes the tasks.
+
+    A text that is no part of any header need not be known: it goes without a value, like a word without text.
+    """
     headers = header_lists(cells)
-    placed = placed_words(with_plain_texts(words, headers), lines, file_layouts(words, headers))
+    parts_only = words.withColumn("text", F.when(header_part(F.col("text"), headers), F.col("text")))
+    placed = placed_words(parts_only, lines, file_layouts(words, headers, n_words), n_words=n_words)
     reason = (
         F.when(F.col("is_header"), "header")
         .when(F.col("line").isNull(), "below_last_line")

@@ -246,3 +246,23 @@ def test_columns_are_counted_without_texts(spark):
 
     plan = word_to_column(spark, SF_DIR)._jdf.queryExecution().optimizedPlan().toString()
     assert [line for line in plan.splitlines() if "MapInArrow" in line and "n_chars" in line]
+
+
+def test_drops_carry_texts_of_headers_only_and_deal_many_words_wider(spark, monkeypatch):
+    body = [("Team", 100, 130, 20), ("x", 110, 120, 30), ("y", 90, 120, 30), ("z", 110, 120, 70)]
+    words, lines, cells = frames(spark, page(TITLE + body), [(1, 60)], ["Team"])
+    carried, plain = [], lay.placed_words
+
+    def seen(given, *others, **named):
+        carried.extend(r["text"] for r in given.where("idx >= 5").orderBy("idx").collect())
+        return plain(given, *others, **named)
+
+    monkeypatch.setattr(lay, "placed_words", seen)
+    monkeypatch.setattr(lay, "PARTITION_WORDS", 1)
+    want = [("a", "below_last_line", 1), ("a", "header", 1), ("a", "outside_columns", 1), ("a", "title", 5)]
+    assert rows(lay.dropped_words(words, lines, cells)) == want
+    assert carried == ["Team", None, None, None]
+    sized = lay.dropped_words(words, lines, cells, 9)
+    assert rows(sized) == want
+    # Both shuffles of words, by file and by page, are as wide as their number asks for.
+    assert sized._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
