@@ -94,7 +94,9 @@ where w.idx >= 5 group by 1, 2
 
 
 def layout_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = parse_reports(landed_reports(spark, sf_dir), strict=False)
+    reports = landed_reports(spark, sf_dir)
+    # The number of words comes from the footers of the landed table.
+    rows = parse_reports(reports, strict=False, n_words=reports.words.count())
     further = F.transform(F.array_sort(F.map_entries("more")), lambda e: F.concat(e["key"], F.lit("="), e["value"]))
     return rows.withColumns({"row_order": F.col("row_order").cast("bigint"), "more": F.array_join(further, ";")})
 

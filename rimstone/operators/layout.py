@@ -6,8 +6,9 @@ found on a file's first page. Pages are numbered from 1.
 
 What the words of a file have in common (its time, headers and column edges) is worked out from its first page, and
 the ruled lines of a page are put in one list: both are bounded by what fits on one page. They meet the words in one
-join on file and page. Words are shuffled in lists, one for each stretch of a page that lies together in the input, so
-that a word costs its values and no row of its own. Tables may have any width.
+join on file and page. Words are shuffled in stretches, one for each part of a page that lies together in the input, and
+placed a batch of pages at a time (`placing`), so that a word costs its values and no row of its own. Tables may have any
+width.
 """
 
 from __future__ import annotations
@@ -17,21 +18,18 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from rimstone.errors import LayoutFault
 from rimstone.functions import snake, snake_names
+from rimstone.operators import placing
+from rimstone.operators.placing import BODY_PLACES, DATA_FROM, FIRST_PLACES, LAST_COLUMN_WIDTH, SEPARATOR, STAMP_FROM
 from rimstone.operators.skew import TINY_SIDE_SPREAD, spread_join
+from rimstone.operators.stretches import per_chunk, stretched
 
-# Words 0-1 of a page are its title, 2-4 its time, data starts at 5; the last column is 500
-# points wide; a column starts 1 point left of its header's first word.
-STAMP_FROM = 2
-DATA_FROM = 5
-LAST_COLUMN_WIDTH = 500.0
-LEFT_OFFSET = 1.0
+# Fixed value: the page with a file's time and headers.
 FIRST_PAGE = 1
 
-# Stands between headers in one text; no word and no header contains it.
-SEPARATOR = "\u001f"
 # Stands for the text of a word that is no part of any header; no header contains it.
 PLAIN = SEPARATOR + "\u001e" + SEPARATOR
 # Kinds, by hash, of the texts that begin or end a header: which of them occur is all the driver learns of the headers.
@@ -94,10 +92,13 @@ def packed(rows: DataFrame, keys: Sequence[str], counting: str | None = None) ->
 
 
 def dealt(rows: DataFrame, keys: Sequence[str], n_words: int | None) -> DataFrame:
-    """`rows` by `keys`, with PARTITION_WORDS of `n_words` to a partition, where that takes more partitions than the session's."""
+    """`rows` by `keys`, with PARTITION_WORDS of `n_words` to a partition, where that takes more partitions than the session's.
+
+    They are dealt before they are put together, as a task of the input has a key in one stretch, or few.
+    """
     wanted = -(-(n_words or 0) // PARTITION_WORDS)
     if wanted <= int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")):
-        return rows
+        return rows.repartition(*keys)
     return rows.repartition(wanted, *keys)
 
 
@@ -154,6 +155,11 @@ def header_part(text: Column, headers: DataFrame) -> Column:
     return F.when(text.isNotNull(), listed)
 
 
+def stretch_lists(words: DataFrame, keys: Sequence[str], places: Sequence[str], n_words: int | None) -> DataFrame:
+    """One row for each key, with the stretches of its words in `parts`; for `n_words` see `dealt`."""
+    return dealt(stretched(words, keys, places), keys, n_words).groupBy(*keys).agg(F.collect_list("stretch").alias("parts"))
+
+
 def file_layouts(words: DataFrame, headers: DataFrame, n_words: int | None = None) -> DataFrame:
     """One row per file that has a first page: `(file, reported_at, headers, ranges)`; for `n_words` see `dealt`.
 
@@ -162,58 +168,13 @@ def file_layouts(words: DataFrame, headers: DataFrame, n_words: int | None = Non
     opens only the first unplaced header it matches, and a header is placed once; the last word of the page
     cannot open one.
     """
-    # Only the place of a word that may open a header is asked for; the texts all stay, as each may come next.
-    at = F.when(header_part(F.col("text"), headers), F.col("x0")).alias("x0")
-    shown = words.where(F.col("page") == FIRST_PAGE).select("file", "idx", "text", at)
-    parts = dealt(packed(shown, ["file"], counting="idx"), ["file"], n_words).groupBy("file").agg(
-        F.collect_list(F.arrays_zip("idx", "text", "x0")).alias("parts")
-    )
-
-    def numbered(part: Column) -> Column:
-        return F.transform(
-            part, lambda w, i: F.struct((w["idx"] + i).alias("idx"), w["text"].alias("text"), w["x0"].alias("x0"))
-        )
-
-    stretches = parts.select("file", F.flatten(F.transform("parts", numbered)).alias("words"))
-    listed = headers.withColumn("joined", header_line(F.transform("headers", lambda h: h["name"])))
-    in_order = stretches.withColumn("words", F.sort_array("words")).join(listed, "file", "left")
-
-    def opening(word: Column, i: Column) -> Column:
-        text, next_text = word["text"], F.get("words", i + 1)["text"]
-        matching = F.filter(
-            "headers",
-            lambda h: (h["name"] == text) | (F.startswith(h["name"], text) & F.endswith(h["name"], next_text)),
-        )
-        opened = F.when(
-            next_text.isNotNull() & begins_header(text, F.col("joined")), F.transform(matching, lambda h: h["pos"])
-        )
-        return F.struct(word["idx"].alias("idx"), word["x0"].alias("x0"), opened.alias("opened"))
-
-    in_stamp = F.filter("words", lambda w: w["idx"].between(STAMP_FROM, DATA_FROM - 1))
-    found = in_order.select(
-        "file",
-        F.array_join(F.transform(in_stamp, lambda w: w["text"]), " ").alias("reported_at"),
-        "headers",
-        F.filter(F.transform("words", opening), lambda m: F.size(m["opened"]) > 0).alias("matches"),
-    )
-    # There is one row for each file; grouping it keeps later conditions on columns from going through its words again.
-    one_each = [F.any_value(c).alias(c) for c in ("reported_at", "headers", "matches")]
-    per_file = found.groupBy("file").agg(*one_each).withColumn("matches", F.sort_array("matches"))
-
-    def place(placed: Column, match: Column) -> Column:
-        free = F.filter(match["opened"], lambda pos: ~F.exists(placed, lambda p: p["pos"] == pos))
-        entry = F.struct(F.get(free, F.lit(0)).alias("pos"), (match["x0"] - LEFT_OFFSET).alias("left_edge"))
-        return F.when(F.size(free) > 0, F.array_append(placed, entry)).otherwise(placed)
-
-    nothing = F.array().cast("array<struct<pos:int,left_edge:double>>")
-    placed = per_file.withColumn("placed", F.array_sort(F.aggregate("matches", nothing, place)))
-    edges = F.transform(
-        "placed",
-        lambda p: F.struct(p["pos"].alias("pos"), F.get("headers", p["pos"])["name"].alias("name"), p["left_edge"].alias("left_edge")),
-    )
-    return placed.withColumn("edges", edges).select(
-        "file", "reported_at", "headers", with_right_edges(F.col("edges")).alias("ranges")
-    )
+    pages = stretch_lists(words.where(F.col("page") == FIRST_PAGE), ["file"], FIRST_PLACES, n_words)
+    ranges = "array<struct<pos:int,name:string,left_edge:double,right_edge:double>>"
+    # Else conditions on the result would have it worked out once more.
+    laid_out = F.arrow_udf(placing.layouts, f"reported_at string, ranges {ranges}").asNondeterministic()
+    names = F.transform("headers", lambda h: h["name"])
+    found = pages.join(headers, "file", "left").select("file", "headers", laid_out("parts", names).alias("found"))
+    return found.select("file", "found.reported_at", "headers", "found.ranges")
 
 
 def with_right_edges(edges: Column) -> Column:
@@ -273,10 +234,9 @@ def words_to_lines(words: DataFrame, lines: DataFrame) -> DataFrame:
     return spread_join(words, found, ["file", "page", "bottom"], by=["idx"])
 
 
-def _containing(ranges: Column, word: Column | None = None) -> Column:
-    """Ranges that contain the word of this row, or `word`."""
-    x0, x1 = (F.col("x0"), F.col("x1")) if word is None else (word["x0"], word["x1"])
-    return F.filter(ranges, lambda r: (x0 >= r["left_edge"]) & (x1 <= r["right_edge"]))
+def _containing(ranges: Column) -> Column:
+    """Ranges that contain the word of this row."""
+    return F.filter(ranges, lambda r: (F.col("x0") >= r["left_edge"]) & (F.col("x1") <= r["right_edge"]))
 
 
 def range_lists(ranges: DataFrame) -> DataFrame:
@@ -321,12 +281,12 @@ def with_plain_texts(words: DataFrame, headers: DataFrame) -> DataFrame:
 def placed_words(
     words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str] = (), n_words: int | None = None
 ) -> DataFrame:
-    """The data words of the files whose headers are all placed, with their lines and columns, in lists.
+    """The data words of the files whose headers are all placed, with what gives them their lines and columns.
 
-    A row is a stretch of a page: `(file, page, reported_at, others, words)`; `words` has `idx`, `text`, `line`,
-    `is_header` and `slots` of each. `line` is NULL below the last line. Headers are known by their snake-case name.
-    `slots` has, for each column that contains the word, the place of its name in `columns` followed by the file's
-    `others`, counted from 1; it is empty for a word outside all columns. For `n_words` see `dealt`.
+    A row is a page: `(file, page, parts, stops, reported_at, others, joined, ranges)`. `parts` are stretches of its
+    words, `stops` its line heights from the top down. Headers are known by their snake-case name, `joined` holds them
+    as they are written. Each of `ranges` has its edges and a slot: the place of its header in `columns` followed by the
+    file's `others`, counted from 1. For `n_words` see `dealt`.
     """
     known = F.array(*[F.lit(c) for c in snake_names(columns)]).cast("array<string>")
     names = F.transform("headers", lambda h: h["name"])
@@ -350,63 +310,22 @@ def placed_words(
         )
     )
     body = data_words(words).where(F.col("bottom").isNotNull())
-    targets = spread_join(line_lists(body, lines), complete, ["file"], spread=TINY_SIDE_SPREAD)
-
-    def placed(word: Column, i: Column) -> Column:
-        text, joined = word["text"], F.col("joined")
-        return F.struct(
-            (word["idx"] + i).alias("idx"),
-            text.alias("text"),
-            F.get(F.filter("stops", lambda s: s >= word["bottom"]), F.lit(0)).alias("line"),
-            (begins_header(text, joined) | ends_header(text, joined)).alias("is_header"),
-            F.transform(_containing(F.col("ranges"), word), lambda r: r["slot"]).alias("slots"),
-        )
-
-    values = ["idx", "text", "x0", "x1", "bottom"]
-    stretches = packed(body.select("file", "page", *values), ["file", "page"], counting="idx")
-    stretches = dealt(stretches, ["file", "page"], n_words).join(targets, ["file", "page"])
-    marked = F.transform(F.arrays_zip(*values), placed).alias("words")
-    return stretches.select("file", "page", "reported_at", "others", marked)
-
-
-def in_rows(words: Column) -> Column:
-    """Those of the words of `placed_words` that belong to a row of the table."""
-    return F.filter(words, lambda w: w["line"].isNotNull() & ~w["is_header"])
-
+    heights = lines.withColumn("bottom", F.col("bottom").cast("double"))
+    targets = spread_join(line_lists(body, heights), complete, ["file"])
+    return stretch_lists(body, ["file", "page"], BODY_PLACES, n_words).join(targets, ["file", "page"])
 
-def rows_of(words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """`table_rows` of files whose layouts are known."""
-    kept = placed_words(words, lines, layouts, columns).withColumn("words", in_rows(F.col("words")))
 
-    def row_part(line: Column) -> Column:
-        mine = F.filter("words", lambda w: w["line"] == line)
-        entries = F.transform(
-            mine,
-            lambda w: F.transform(w["slots"], lambda s: F.struct(w["idx"].alias("idx"), w["text"].alias("text"), s.alias("slot"))),
-        )
-        row_order = F.array_min(F.transform(mine, lambda w: w["idx"]))
-        return F.struct(line.alias("line"), row_order.alias("row_order"), F.flatten(entries).alias("entries"))
-
-    parts = F.transform(F.array_distinct(F.transform("words", lambda w: w["line"])), row_part)
-    # Stretches are joined by file and page, so the parts of a row already lie in one partition.
-    # An outer generator, as a plain one would have the parts worked out once more in a filter on their number.
-    each = kept.select("file", "page", "reported_at", "others", F.inline_outer(parts)).where(F.col("line").isNotNull())
-    grouped = each.groupBy("file", "page", "line").agg(
-        F.min("row_order").alias("row_order"),
-        F.sort_array(F.flatten(F.collect_list("entries"))).alias("entries"),
-        F.any_value("reported_at").alias("reported_at"),
-        F.any_value("others").alias("others"),
-    )
-
-    def cell(slot: Column) -> Column:
-        mine = F.filter("entries", lambda e: e["slot"] == slot)
-        text = F.array_join(F.transform(mine, lambda e: e["text"]), " ")
-        return F.nullif(F.trim(text), F.lit(""))
-
-    cells = [cell(F.lit(i)).alias(name) for i, name in enumerate(snake_names(columns), start=1)]
-    values = F.transform("others", lambda _, i: cell(i + len(columns) + 1))
-    more = F.map_from_arrays("others", values).alias("more")
-    return grouped.select("file", "page", "line", "row_order", *cells, more, "reported_at")
+def rows_of(
+    words: DataFrame, lines: DataFrame, layouts: DataFrame, columns: Sequence[str], n_words: int | None = None
+) -> DataFrame:
+    """`table_rows` of files whose layouts are known; for `n_words` see `dealt`."""
+    pages, names = placed_words(words, lines, layouts, columns, n_words), snake_names(columns)
+    kinds = [(c, words.schema[c].dataType) for c in ("file", "page")] + [("line", T.DoubleType())]
+    kinds += [("row_order", words.schema["idx"].dataType)] + [(c, T.StringType()) for c in names]
+    kinds += [("more", T.MapType(T.StringType(), T.StringType())), ("reported_at", T.StringType())]
+    schema = T.StructType([T.StructField(*kind) for kind in kinds])
+    made = pages.mapInArrow(per_chunk(placing.table_parts(names, to_arrow_type(words.schema["idx"].dataType))), schema)
+    return made.withColumn("line", F.col("line").cast(lines.schema["bottom"].dataType))
 
 
 def table_rows(
@@ -430,14 +349,10 @@ def dropped_words(words: DataFrame, lines: DataFrame, cells: DataFrame, n_words:
     headers = header_lists(cells)
     parts_only = words.withColumn("text", F.when(header_part(F.col("text"), headers), F.col("text")))
     placed = placed_words(parts_only, lines, file_layouts(words, headers, n_words), n_words=n_words)
-    reason = (
-        F.when(F.col("is_header"), "header")
-        .when(F.col("line").isNull(), "below_last_line")
-        .when(F.size("slots") == 0, "outside_columns")
-    )
-    in_body = placed.select("file", F.inline_outer("words")).select("file", reason.alias("reason")).where("reason is not null")
-    in_title = words.where(F.col("idx") < DATA_FROM).select("file", F.lit("title").alias("reason"))
-    return in_title.unionByName(in_body).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_words"))
+    schema = T.StructType([words.schema["file"], T.StructField("reason", T.StringType()), T.StructField("n_words", T.LongType())])
+    in_body = placed.mapInArrow(per_chunk(placing.dropped), schema)
+    in_title = words.where(F.col("idx") < DATA_FROM).groupBy("file", F.lit("title").alias("reason")).agg(F.count(F.lit(1)).alias("n_words"))
+    return in_title.unionByName(in_body.groupBy("file", "reason").agg(F.sum("n_words").alias("n_words")))
 
 
 def faults_of(words: DataFrame, headers: DataFrame, layouts: DataFrame, rows: DataFrame) -> DataFrame:

@@ -26,16 +26,18 @@ class DecodedReports:
     cells: DataFrame
 
 
-def parse_reports(reports: DecodedReports, *, strict: bool = True, fault_store: str | None = None) -> DataFrame:
+def parse_reports(
+    reports: DecodedReports, *, strict: bool = True, fault_store: str | None = None, n_words: int | None = None
+) -> DataFrame:
     """Rows of all reports: the report's columns, all other columns of a file in the map `more`, and the row's place.
 
     Headers are matched by their snake-case name, so files that spell them differently can be read together. With
     `strict` any file that cannot be laid out stops the job: the error names some of these files, and
-    `fault_store` is where all of them are written. The rows are worked out once.
+    `fault_store` is where all of them are written. The rows are worked out once. `n_words`, if known, sizes the tasks.
     """
     headers = header_lists(reports.cells)
-    layouts = file_layouts(reports.words, headers)
-    rows = rows_of(reports.words, reports.lines, layouts, REPORT_COLUMNS)
+    layouts = file_layouts(reports.words, headers, n_words)
+    rows = rows_of(reports.words, reports.lines, layouts, REPORT_COLUMNS, n_words)
     rows = rows.select(*INJURY_COLUMNS, "more", *PLACE_COLUMNS)
     if strict:
         layouts, rows = materialize(layouts, "report-layouts"), materialize(rows, "report-rows")
