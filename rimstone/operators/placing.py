@@ -14,7 +14,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
 
-from rimstone.operators.stretches import NO_IDX, NO_PLACE, NO_TEXT, Words, binary, bounds, chunks, read, told
+from rimstone.operators.stretches import NO_IDX, NO_PLACE, NO_TEXT, Words, binary, bounds, chunks, read
 
 # Functions of this module travel to executors by value, so that executors need not have it installed.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -30,6 +30,9 @@ LEFT_OFFSET = 1.0
 SEPARATOR = "\u001f"
 MARK = SEPARATOR.encode()
 
+# Beginnings and ends of headers are looked up in one set up to so many bytes, longer texts are compared one by one.
+LOOKED_UP = 64
+
 # Places of the words of a first page, and of the words of a body.
 FIRST_PLACES = ("x0",)
 BODY_PLACES = ("x0", "x1", "bottom")
@@ -69,6 +72,32 @@ def reading_order(words: Words) -> np.ndarray:
     return order
 
 
+def told(words: Words, lines: pa.Array, test: Callable[[bytes, bytes], bool]) -> np.ndarray:
+    """Whether `test` holds for a word's text and the header line of its row; false without either.
+
+    It may hold only for a text that begins or ends a header. Texts are looked up once each among the headers of all
+    rows, and only for those that may be part of one is the test made, once for each text and header line.
+    """
+    texts, values = words.text.dictionary_encode(), binary(lines).dictionary_encode()
+    known = values.dictionary.to_pylist()
+    names = {name for line in known for name in line.split(MARK)}
+    parts = {part for n in names for i in range(min(len(n), LOOKED_UP) + 1) for part in (n[:i], n[len(n) - i :])}
+    likely = pc.or_(
+        pc.is_in(texts.dictionary, value_set=pa.array(parts, texts.dictionary.type)),
+        pc.or_(pc.greater(pc.binary_length(texts.dictionary), LOOKED_UP), pc.match_substring(texts.dictionary, MARK)),
+    ).to_numpy(zero_copy_only=False)
+    codes = texts.indices.fill_null(len(likely)).to_numpy()
+    rows = values.indices.fill_null(-1).to_numpy().astype(np.int64)[words.row]
+    asked = np.flatnonzero(np.append(likely, False)[codes] & (rows >= 0))
+    pairs, place = np.unique(rows[asked] * len(likely) + codes[asked], return_inverse=True)
+    text, line = pairs % max(len(likely), 1), pairs // max(len(likely), 1)
+    named = texts.dictionary.take(pa.array(text)).to_pylist()
+    answers = np.array([test(t, known[i]) for t, i in zip(named, line.tolist())], dtype=bool)
+    found = np.zeros(len(codes), dtype=bool)
+    found[asked] = answers[place]
+    return found
+
+
 def opened_headers(names: list[bytes], text: bytes, next_text: bytes) -> list[int]:
     return [i for i, h in enumerate(names) if h == text or (h.startswith(text) and h.endswith(next_text))]
 
@@ -101,7 +130,7 @@ def first_page_layouts(batch: pa.RecordBatch) -> tuple[pa.Array, list]:
         if pair not in known:
             known[pair] = opened_headers(names[r], text, next_text)
         if known[pair]:
-            place = (False, False, 0.0) if unplaced else (True, x0 != x0, x0)
+            place = (not unplaced, x0 != x0, 0.0 if unplaced or x0 != x0 else x0)
             matches[r].append(((not unnumbered, number), place, known[pair], None if unplaced else x0 - LEFT_OFFSET))
 
     found = []

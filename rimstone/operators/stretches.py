@@ -195,15 +195,3 @@ def per_chunk(function: Callable[[pa.RecordBatch], pa.RecordBatch]) -> Callable:
                     yield made
 
     return run
-
-
-def told(words: Words, of_row: pa.Array, test: Callable[[bytes, bytes], bool]) -> np.ndarray:
-    """Whether `test` holds for a word's text and the value of its row; false without either. Asked once for each pair."""
-    texts, values = words.text.dictionary_encode(), binary(of_row).dictionary_encode()
-    codes = texts.indices.fill_null(-1).to_numpy().astype(np.int64)
-    rows = values.indices.fill_null(-1).to_numpy().astype(np.int64)[words.row]
-    pairs = np.where((codes < 0) | (rows < 0), -1, rows * len(texts.dictionary) + codes)
-    distinct, place = np.unique(pairs, return_inverse=True)
-    named, known = texts.dictionary.to_pylist(), values.dictionary.to_pylist()
-    answers = [p >= 0 and test(named[p % len(named)], known[p // len(named)]) for p in distinct.tolist()]
-    return np.array(answers, dtype=bool)[place] if len(pairs) else np.zeros(0, dtype=bool)

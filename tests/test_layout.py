@@ -266,3 +266,74 @@ def test_drops_carry_texts_of_headers_only_and_deal_many_words_wider(spark, monk
     assert rows(sized) == want
     # Both shuffles of words, by file and by page, are as wide as their number asks for.
     assert sized._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == 2
+
+
+def test_stretches_of_words_are_read_as_they_were(spark):
+    """Numbers that count on or not, texts that are long, empty or missing, and places that are missing or no number."""
+    import numpy as np
+    import pyarrow as pa
+
+    from rimstone.operators.stretches import NO_IDX, NO_PLACE, NO_TEXT, per_chunk, read, stretched
+
+    made = [("a", 1, 5, "é", 1.5, -2.0), ("a", 1, 6, "x" * 300, float("nan"), 1e300), ("a", 2, 0, "", None, 0.1)]
+    made += [("a", 2, 0, None, 3.0, None), ("b", 1, 9, "z", 0.0, 0.0), ("b", 1, 4, "y", 7.0, 8.0), ("b", 1, None, "n", 1.0, 1.0)]
+    words = spark.createDataFrame(made, "file string, page int, idx int, text string, x0 double, x1 double").coalesce(1)
+    stretches = stretched(words, ["file", "page"], ["x0", "x1"]).collect()
+    assert [(r["file"], r["page"]) for r in stretches] == [("a", 1), ("a", 2), ("b", 1)]
+    parts = pa.array([[bytes(r["stretch"])] for r in stretches] + [None, []], pa.list_(pa.binary()))
+    got = read(parts, 2)
+    assert got.row.tolist() == [0, 0, 1, 1, 2, 2, 2] and got.bounds.tolist() == [0, 2, 4, 7, 7, 7]
+    assert got.text.to_pylist() == [None if w[3] is None else w[3].encode() for w in made]
+    assert got.idx.tolist() == [w[2] or 0 for w in made]
+    assert got.null(NO_IDX).tolist() == [w[2] is None for w in made]
+    assert got.null(NO_TEXT).tolist() == [w[3] is None for w in made]
+    for i, place in enumerate(got.places):
+        assert got.null(NO_PLACE << i).tolist() == [w[4 + i] is None for w in made]
+        np.testing.assert_array_equal(place, [w[4 + i] or 0.0 for w in made])
+    batch = pa.RecordBatch.from_arrays([parts], names=["parts"])
+    pieces = [p.num_rows for p in per_chunk(lambda b: b)(iter([batch]))]
+    assert sum(pieces) == 5
+
+
+def test_words_of_one_number_go_by_their_text(spark):
+    """Numbers that come twice, on the first page and in a cell, whatever order the words lie in."""
+    words = page([*TITLE, ("Game", 21, 30, 50), ("Time", 41, 50, 50), ("late", 30, 40, 60), ("x", 1, 2, 300)])
+    words += [("a", 1, i, t, x0, x0 + 5, 60.0) for i, t, x0 in ((5, "Gam", 90.0), (7, "early", 31.0), (7, None, 31.0), (7, "late", 32.0))]
+    made = frames(spark, words[::-1], [(1, 80)], ["Game Time"])
+    w, ln, c = (df.repartition(3) for df in made)
+    # "Gam" (5) comes before "Game" (5), which "Time" follows.
+    assert edges_of(spark, words[::-1], ["Game Time"]) == {"Game Time": 20.0}
+    (row,) = lay.table_rows(w, ln, c, ["Game Time"]).collect()
+    assert (row["row_order"], row["game_time"], row["more"]) == (7, "early late late", {})
+    # "Gam" begins a header; the word without text is in no row and in no list of reasons, as it lies in a column.
+    assert rows(lay.dropped_words(w, ln, c)) == [("a", "below_last_line", 1), ("a", "header", 3), ("a", "title", 5)]
+
+
+def test_places_that_are_no_number_or_missing(spark):
+    """As Spark compares them: NaN is right of everything, and what is missing lies nowhere."""
+    nan = float("nan")
+    body = [("Team", 100, 130, 20), ("x", nan, 120, 30), ("y", 110, nan, 30), ("z", 110, 120, nan)]
+    words = page(TITLE + body) + [("a", 1, 9, "n", None, 120.0, 30.0), ("a", 1, 10, "o", 110.0, None, 30.0)]
+    words, lines, cells = frames(spark, words, [(1, 60)], ["Team"])
+    (row,) = lay.table_rows(words, lines, cells, ["Team"]).collect()
+    assert (row["row_order"], row["team"]) == (6, "x")
+    want = [("a", "below_last_line", 1), ("a", "header", 1), ("a", "outside_columns", 3), ("a", "title", 5)]
+    assert rows(lay.dropped_words(words, lines, cells)) == want
+
+
+def test_headers_longer_than_those_looked_up(spark):
+    long = "h" * 100
+    words = page([*TITLE, (long, 10, 20, 50), ("b", 30, 40, 50), ("h" * 70, 12, 14, 60), ("w", 12, 14, 60), ("h", 12, 14, 60)])
+    words, lines, cells = frames(spark, words, [(1, 80)], [long])
+    assert [r["left_edge"] for r in lay.header_edges(words, lay.header_lists(cells)).collect()] == [9.0]
+    (row,) = lay.table_rows(words, lines, cells, [long]).collect()
+    assert row[long] == "b w"
+
+
+def test_rows_are_placed_in_batches_and_dealt_by_their_number(spark, monkeypatch):
+    """No word comes apart from its page in a plan, and both shuffles of words are as wide as their number asks for."""
+    monkeypatch.setattr(lay, "PARTITION_WORDS", 1)
+    table = parse_reports(golden(spark), strict=False, n_words=24)
+    plan = table._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("RepartitionByExpression") == 2 and plan.count("MapInArrow") == 3 and "Generate inline" not in plan
+    assert table.count() == 2
